@@ -8,12 +8,12 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_ISO = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+_ISO = "[0-9]{4}-[0-9]{2}-[0-9]{2}"
 
 
 def iso_date(text: Column) -> Column:
     """DATE for ``YYYY-MM-DD`` text, null for anything else (casts accept ``2024-1-5``)."""
-    return F.when(text.rlike(_ISO), F.try_to_date(text, "yyyy-MM-dd"))
+    return F.when(text.rlike(f"^{_ISO}\\z"), F.try_to_date(text, "yyyy-MM-dd"))
 
 
 def date_error(option: str, text: Column) -> Column:

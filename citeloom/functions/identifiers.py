@@ -22,7 +22,7 @@ WHITESPACE = (
 )
 
 # ASCII digits only: superscripts and other scripts' digits are not identifiers.
-_DIGITS = "^[0-9]+$"
+_DIGITS = "^[0-9]+\\z"
 
 
 def strip(value: Column) -> Column:
@@ -31,8 +31,7 @@ def strip(value: Column) -> Column:
 
 
 def _all_digits(value: Column) -> Column:
-    # `$` also matches before a final line break in Java; stripped values have none.
-    return value.rlike(_DIGITS) & ~value.contains("\n")
+    return value.rlike(_DIGITS)
 
 
 def pmid(value: Column) -> Column:

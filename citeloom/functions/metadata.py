@@ -17,13 +17,21 @@ def year_from_text(text: Column) -> Column:
     return F.nullif(found, F.lit("")).try_cast("int")
 
 
-def year(value: Column) -> Column:
-    """Year of a JSON value held as text: a whole number stands for itself, text is searched.
+def year(text: Column, document: Column, key: str) -> Column:
+    """Year of a top-level JSON value: a whole number stands for itself, text is searched.
 
-    ``value`` is raw JSON: numbers bare, strings in quotes, so the two can be told apart.
+    ``text`` is the value parsed as text. Only where a number and a string would give different
+    years is the document parsed again to learn the type.
     """
-    return F.when(value.rlike("^-?[0-9]+$"), value.try_cast("int")).when(
-        value.startswith('"'), year_from_text(value)
+    plain = text.rlike("^(19|20)[0-9]{2}\\z")
+    numeric = text.rlike("^[-+.0-9eE]+\\z")
+    variant = F.variant_get(F.try_parse_json(document), f"$.{key}", "variant")
+    is_string = F.coalesce(F.schema_of_variant(variant) == "STRING", F.lit(False))
+    whole = F.when(text.rlike("^-?[0-9]+\\z"), text.try_cast("int"))
+    return (
+        F.when(plain, text.try_cast("int"))
+        .when(numeric, F.when(is_string, year_from_text(text)).otherwise(whole))
+        .otherwise(year_from_text(text))
     )
 
 
