@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.operators.lookup import ROWS_PER_TASK, hot_keys, lookup
+from citeloom.operators.lookup import MAX_HOT_KEYS, ROWS_PER_TASK, hot_keys, lookup
 from citeloom.scratch import Scratch
 
 
@@ -92,8 +92,6 @@ def parents(
 def hot_keys_from_counts(tree: DataFrame, most: int, rows_per_task: int) -> list[tuple[str, int]]:
     if most <= rows_per_task:
         return []
-    from citeloom.operators.lookup import MAX_HOT_KEYS
-
     rows = (
         tree.where(F.col("n") > rows_per_task)
         .orderBy(F.desc("n"), "id")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions.identifiers import KINDS
 from citeloom.functions.metadata import METADATA_TYPE
-from citeloom.operators.lookup import HotKeys, hot_keys, lookup
+from citeloom.operators.lookup import HotKeys, hot_keys, lookup, prune
 
 # Rows with text are large, so fewer of one key go to a task than where only ids move.
 TEXT_ROWS_PER_TASK = 50_000
@@ -59,6 +59,11 @@ def _hot(records: DataFrame, kind: str, total: int, rows_per_task: int) -> HotKe
     return hot_keys(records, kind, total=total, rows_per_task=rows_per_task)
 
 
+def _pruned(table: DataFrame, records: DataFrame, kind: str, total: int) -> DataFrame:
+    """Provider rows for the records' keys, when those are few; before any text is cleaned."""
+    return prune(table, records.select(F.col(kind).alias("key")), "key", total)
+
+
 def choose_text_source(
     records: DataFrame,
     providers: Sequence[TextProvider],
@@ -75,9 +80,10 @@ def choose_text_source(
         "misses", F.array().cast("array<string>")
     )
     for provider in providers:
-        keys = _with_text(provider.table).select(F.col("key").alias("_key")).distinct()
         # A record already served, or with an empty id, has nothing to look up.
         wanted = F.when(F.col("text_source").isNull(), F.nullif(provider.kind, F.lit("")))
+        table = _pruned(provider.table, records, provider.kind, total)
+        keys = _with_text(table).select(F.col("key").alias("_key")).distinct()
         hot = _hot(records, provider.kind, total, rows_per_task)
         looked = lookup(
             chosen.withColumn("_key", wanted), keys.withColumn("_found", F.lit(True)), "_key", hot=hot
@@ -118,7 +124,7 @@ def attach_metadata(
     found = chosen.withColumn("metadata", F.lit(None).cast(METADATA_TYPE))
     for provider in providers:
         for kind in provider.kinds:
-            table = provider.table.select(
+            table = _pruned(provider.table, chosen, kind, total).select(
                 F.col("key").alias("_key"), F.col("metadata").alias("_metadata_found")
             )
             wanted = F.when(
@@ -149,7 +155,7 @@ def attach_text(
         )
         # One text per key; copies of a key combine map-side and the smallest text is kept.
         texts = (
-            _with_text(provider.table)
+            _with_text(_pruned(provider.table, served, provider.kind, total))
             .groupBy(F.col("key").alias("_key"))
             .agg(F.min("text").alias("text"))
         )

@@ -14,10 +14,13 @@ from pyspark.sql import functions as F
 
 # Fact rows of one key that a single task is asked to handle.
 ROWS_PER_TASK = 1_000_000
-# Hot keys that are spread. The table of them is this long at most, so broadcasting it is safe;
-# any key after the hottest 10,000 holds less than 1/10,000 of the rows.
-MAX_HOT_KEYS = 10_000
+# Hot keys that are spread. The table of them is this long at most, so broadcasting it is safe.
+MAX_HOT_KEYS = 1_000
+# Size of the frequent-items sketch; a key it misses holds well under 1/1,000 of the rows.
+_TRACKED = 10_000
 _NULL_SLOTS = 65_536
+# Key sets up to this many rows (a few MB) are broadcast to prune the table they are looked up in.
+BROADCAST_KEYS = 100_000
 
 HotKeys = list[tuple[str, int]]
 
@@ -25,23 +28,34 @@ HotKeys = list[tuple[str, int]]
 def hot_keys(
     facts: DataFrame, key: str, *, total: int | None = None, rows_per_task: int = ROWS_PER_TASK
 ) -> HotKeys:
-    """``(key, slots)`` for keys holding more than ``rows_per_task`` rows.
+    """``(key, slots)`` for keys holding more than about ``rows_per_task`` rows.
 
-    Counting combines map-side, so a hot key costs one row per task. With a known total that no
-    key can exceed, nothing is run.
+    Found by a sketch: one pass over the key column, one sketch per task, no shuffle of keys.
+    The answer only steers how rows are spread, so an estimate will do. With a known total that
+    no key can exceed, nothing is run.
     """
     if total is not None and total <= rows_per_task:
         return []
-    rows = (
-        facts.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("key"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > rows_per_task)
-        .orderBy(F.desc("n"), "key")
-        .limit(MAX_HOT_KEYS)
-        .collect()
+    sketch = F.call_function(
+        "approx_top_k", F.col(key), F.lit(MAX_HOT_KEYS), F.lit(_TRACKED)
     )
-    return [(r["key"], -(-r["n"] // rows_per_task)) for r in rows]
+    found = facts.where(F.col(key).isNotNull()).agg(sketch.alias("top")).first()["top"] or []
+    return [
+        (item["item"], -(-item["count"] // rows_per_task))
+        for item in found
+        if item["count"] > rows_per_task
+    ]
+
+
+def prune(table: DataFrame, keys: DataFrame, key: str, bound: int) -> DataFrame:
+    """Table rows whose key is wanted, where the wanted keys are few enough to broadcast.
+
+    ``bound`` is a checked upper limit on the rows of ``keys``. With more keys the table comes
+    back as it is, for the join that follows to sort out.
+    """
+    if bound > BROADCAST_KEYS:
+        return table
+    return table.join(F.broadcast(keys.select(key)), key, "left_semi")
 
 
 def lookup(
@@ -78,7 +92,7 @@ def lookup(
 
     row_hash = F.xxhash64(*[c for c, t in facts.dtypes if "map<" not in t and t != "variant"])
     slot = F.when(F.col(key).isNull(), F.pmod(row_hash, F.lit(_NULL_SLOTS))).otherwise(
-        F.pmod(row_hash, slots)
+        F.pmod(row_hash, slots) if hot else F.lit(0)
     )
     facts = facts.withColumn("_slot", slot.cast("int")).drop("_slots")
     return facts.join(table, [key, "_slot"], how).drop("_slot")

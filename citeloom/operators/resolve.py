@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions.identifiers import KINDS, classify, id_key, normalize_as, require_valid
 from citeloom.operators.components import components
-from citeloom.operators.lookup import ROWS_PER_TASK, hot_keys, lookup
+from citeloom.operators.lookup import BROADCAST_KEYS, ROWS_PER_TASK, hot_keys, lookup, prune
 from citeloom.operators.records import dedup_identifiers
 from citeloom.scratch import Scratch
 
@@ -95,22 +95,29 @@ def classified_inputs(raw: DataFrame, strict: bool = True) -> tuple[DataFrame, D
 
 
 def stage_hits(
-    keys: DataFrame, crosswalk: Crosswalk, rows_per_task: int = ROWS_PER_TASK
+    keys: DataFrame,
+    crosswalk: Crosswalk,
+    bound: int | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Crosswalk rows for the distinct ``kind, value`` keys, exact copies dropped.
 
-    The keys are unique and the crosswalk may not be, so it is the crosswalk side that is spread
-    when one key has very many rows.
+    ``bound`` is an upper limit on the number of keys. The keys are unique and the crosswalk may
+    not be, so it is the crosswalk side that is spread when one key has very many rows.
     """
     table = crosswalk.table.where(F.col("kind").isin(*crosswalk.kinds)).select(
         id_key(F.col("kind"), normalize_as(F.col("kind"), F.col("value"))).alias("id"), *KINDS
     )
-    table = table.where(F.col("id").isNotNull()).distinct()
     wanted = keys.where(F.col("kind").isin(*crosswalk.kinds)).select(
         id_key(F.col("kind"), F.col("value")).alias("id")
     )
+    bound = keys.count() if bound is None else bound
+    if bound <= BROADCAST_KEYS:
+        return prune(table, wanted, "id", bound).distinct()
     hot = hot_keys(table, "id", rows_per_task=rows_per_task)
-    return lookup(table, wanted, "id", how="inner", hot=hot, null_keys=False)
+    return lookup(
+        table.where(F.col("id").isNotNull()), wanted, "id", how="inner", hot=hot, null_keys=False
+    ).distinct()
 
 
 def stage_links(hits: DataFrame) -> DataFrame:
@@ -144,13 +151,14 @@ def resolve(
     scratch = scratch or Scratch(spark, "resolve")
     seeds = scratch.keep(dedup_identifiers(identifiers), "seeds")
     known = seeds.select("kind", "value")
+    bound = seeds.count()
 
     no_position = F.lit(None).cast(seeds.schema["pos"].dataType)
     asserted = seeds.select("kind", "value", F.lit(0).alias("stage"), "pos")
     edges, errors, used, links_by_stage = [], [], [], {}
     for rank, crosswalk in enumerate(crosswalks, start=1):
         keys = seeds if crosswalk.inputs_only else known
-        hits = scratch.keep(stage_hits(keys, crosswalk, rows_per_task), f"hits-{rank}")
+        hits = scratch.keep(stage_hits(keys, crosswalk, bound, rows_per_task), f"hits-{rank}")
         links = stage_links(hits)
         good = links.where(F.col("value").isNotNull())
         errors.append(
@@ -161,8 +169,11 @@ def resolve(
                 ).alias("message"),
             )
         )
-        if not hits.isEmpty():
+        n_hits = hits.count()
+        if n_hits:
             used.append((crosswalk.name,))
+        # Every hit asserts at most one identifier per kind.
+        bound += len(KINDS) * n_hits
         edges.append(good.select(F.col("id").alias("src"), id_key(F.col("kind"), F.col("value")).alias("dst")))
         new_values = good.select("kind", "value").distinct()
         asserted = asserted.unionByName(
