@@ -7,6 +7,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from citeloom.functions.identifiers import strip
 
@@ -44,9 +45,12 @@ _OTHER_ENTITY = "&(?!(?:lt|gt|quot|apos|#39|nbsp|copy|middot|amp);)[#a-zA-Z]"
 _LINE_BREAK = "[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x85\\u2028\\u2029]"
 
 
-@F.pandas_udf("string")
-def _decode_all_entities(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
+def _decode_all_entities(text: Column) -> Column:
+    # A local function travels to executors by value; they need not have this package.
+    def decode(texts: pd.Series) -> pd.Series:
+        return texts.map(html.unescape, na_action="ignore")
+
+    return F.pandas_udf(decode, StringType())(text)
 
 
 def decode_entities(text: Column) -> Column:
