@@ -67,58 +67,78 @@ def normalize_as(kind: Column | str, value: Column) -> Column:
     )
 
 
-def classify(value: Column) -> Column:
-    """``struct<kind,value,original,error>`` for a raw identifier of unknown kind.
+# Either prefix that settles the kind before the rest is looked at.
+_PM_PREFIX = "^(?i)pm(?:id:|c)"
+_AS_PMID = f"^(?:(?i)pmid:[{WHITESPACE}]*)?([0-9]+)\\z"
+_AS_PMCID = "^(?i)(?:pmcid:(?:pmc)?|pmc)([0-9]+)\\z"
+
 
-    The value decides the kind, not the place it came from. Rules in order: blank is an error;
-    ``pmid:`` prefix; ``pmcid:`` or ``pmc`` prefix; all digits is a PMID; a slash is a DOI;
-    anything else is an error. Exactly one of ``value`` and ``error`` is set.
+def identifier_key(value: Column) -> Column:
+    """``kind:value`` for a raw identifier of unknown kind; null for a bad or blank one.
+
+    The value decides the kind, not the place it came from. Rules in order: ``pmid:`` prefix;
+    ``pmcid:`` or ``pmc`` prefix; all digits is a PMID; a slash makes a DOI.
     """
     raw = strip(value)
-    low = F.lower(raw)
-    after_prefix = F.regexp_replace(raw, "(?i)^pmid:", "")
-    as_pmid = low.startswith("pmid:")
-    as_pmcid = low.startswith("pmcid:") | low.startswith("pmc")
-    blank = value.isNull() | (raw == "")
-
-    kind = (
-        F.when(blank, F.lit(None).cast("string"))
-        .when(as_pmid, F.when(pmid(after_prefix).isNotNull(), F.lit("pmid")))
-        .when(as_pmcid, F.when(pmcid(raw).isNotNull(), F.lit("pmcid")))
-        .when(_all_digits(raw), F.lit("pmid"))
-        .when(raw.contains("/"), F.lit("doi"))
-    )
-    normalized = (
-        F.when(blank, F.lit(None).cast("string"))
-        .when(as_pmid, pmid(after_prefix))
-        .when(as_pmcid, pmcid(raw))
-        .when(_all_digits(raw), raw)
-        .when(raw.contains("/"), doi(raw))
-    )
-    error = (
-        F.when(blank, F.lit("Identifier cannot be blank"))
+    as_pmid = F.regexp_extract(raw, _AS_PMID, 1)
+    as_pmcid = F.regexp_extract(raw, _AS_PMCID, 1)
+    return (
+        F.when(as_pmid != "", F.concat(F.lit("pmid:"), as_pmid))
+        .when(as_pmcid != "", F.concat(F.lit("pmcid:PMC"), as_pmcid))
         .when(
-            as_pmid,
-            F.when(strip(after_prefix) == "", F.lit("Empty PMID provided")).when(
-                pmid(after_prefix).isNull(), F.concat(F.lit("Invalid PMID: "), after_prefix)
-            ),
+            raw.contains("/") & ~raw.rlike(_PM_PREFIX),
+            F.concat(F.lit("doi:"), F.lower(F.regexp_replace(raw, "(?i)^doi:", ""))),
         )
-        .when(as_pmcid, F.when(pmcid(raw).isNull(), F.concat(F.lit("Invalid PMCID: "), raw)))
+    )
+
+
+def identifier_error(value: Column) -> Column:
+    """Why a raw identifier without a key is bad. Meant for values whose key is null."""
+    raw = strip(value)
+    after_prefix = F.substring(raw, 6, 2**31 - 1)
+    return (
+        F.when(value.isNull() | (raw == ""), F.lit("Identifier cannot be blank"))
         .when(
-            ~_all_digits(raw) & ~raw.contains("/"),
-            F.concat(F.lit("Unrecognized identifier: "), value),
+            raw.rlike("^(?i)pmid:"),
+            F.when(strip(after_prefix) == "", F.lit("Empty PMID provided")).otherwise(
+                F.concat(F.lit("Invalid PMID: "), after_prefix)
+            ),
         )
+        .when(raw.rlike("^(?i)pmc"), F.concat(F.lit("Invalid PMCID: "), raw))
+        .otherwise(F.concat(F.lit("Unrecognized identifier: "), value))
     )
+
+
+def key_kind(key: Column) -> Column:
+    return F.substring_index(key, ":", 1)
+
+
+def key_value(key: Column) -> Column:
+    return F.substring(key, F.instr(key, ":") + 1, F.lit(2**31 - 1))
+
+
+def classify(value: Column) -> Column:
+    """``struct<kind,value,original,error>``; exactly one of ``value`` and ``error`` is set."""
+    key = identifier_key(value)
     return F.struct(
-        kind.alias("kind"), normalized.alias("value"), value.alias("original"), error.alias("error")
+        key_kind(key).alias("kind"),
+        key_value(key).alias("value"),
+        value.alias("original"),
+        F.when(key.isNull(), identifier_error(value)).alias("error"),
     )
 
 
-def require_valid(classified: Column) -> Column:
-    """Strict mode: the classified struct itself, failing the job on the first bad value."""
-    return F.when(classified["error"].isNotNull(), F.raise_error(classified["error"])).otherwise(
-        classified
-    )
+def require_key(value: Column) -> Column:
+    """Strict mode: the key, failing the job on the first bad identifier."""
+    return F.coalesce(identifier_key(value), F.raise_error(identifier_error(value)))
+
+
+def compact(*values: Column) -> Column:
+    """Array of the string values that are not null, each once, in order.
+
+    Unlike a lambda over an array this keeps the values inside generated code.
+    """
+    return F.array_except(F.array(*values), F.array(F.lit(None).cast("string")))
 
 
 def find_pmcid(value: Column) -> Column:

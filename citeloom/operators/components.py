@@ -27,56 +27,42 @@ def parents(
 ) -> DataFrame:
     """``(id, component)`` for every vertex that is not its component's smallest label.
 
-    ``edges`` has string columns ``src`` and ``dst`` in either order. No record is ever joined
-    to another on a shared identifier, so a hub costs its number of edges and no more.
+    ``edges`` has string columns ``src`` and ``dst`` in either order and is read a few times, so
+    it should be cheap to compute; copies do no harm. No record is ever joined to another on a
+    shared identifier, so a hub costs its number of edges and no more.
     """
     scratch = scratch or Scratch(edges.sparkSession, "components")
     graph = edges.select(
         F.greatest("src", "dst").alias("id"), F.least("src", "dst").alias("low")
     ).where(F.col("id") != F.col("low"))
-    graph = scratch.keep(graph.distinct(), "edges-0")
 
     step = 0
     while True:
-        # One row per vertex: its parent, and how many smaller neighbours it has.
+        # One row per vertex: its parent, and whether it has more than one smaller neighbour.
         tree = scratch.keep(
-            graph.groupBy("id").agg(F.min("low").alias("component"), F.count("low").alias("n")),
+            graph.groupBy("id").agg(
+                F.min("low").alias("component"),
+                (F.min("low") != F.max("low")).alias("split"),
+                F.count("low").alias("n"),
+            ),
             f"tree-{step}",
         )
         size = tree.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("edges"),
+            F.max("split").alias("split"),
             F.coalesce(F.max("n"), F.lit(0)).alias("most"),
             F.count(F.lit(1)).alias("vertices"),
         ).first()
+        raised = _raised(tree, size["vertices"], rows_per_task)
+        if not size["split"]:
+            return _shorten(scratch, tree, raised, step, rows_per_task)
 
-        grand = tree.select(F.col("id").alias("component"), F.col("component").alias("grand"))
-        raised = lookup(
-            tree,
-            grand,
-            "component",
-            hot=hot_keys(
-                tree, "component", total=size["vertices"], rows_per_task=rows_per_task
-            ),
-            null_keys=False,
-        ).select(
-            "id",
-            F.col("component").alias("old"),
-            F.coalesce("grand", "component").alias("low"),
-            F.col("grand").isNotNull().alias("moved"),
-            "n",
-        )
-
-        if size["most"] <= 1:
-            settled = _shorten(scratch, raised, step, rows_per_task)
-            scratch.drop(*[f"edges-{step}", f"tree-{step}"])
-            return settled
-
-        shared = raised.where(F.col("n") > 1)
-        # Hot vertices are known from the counts just taken.
-        hot = hot_keys_from_counts(tree, size["most"], rows_per_task)
         moved = (
             lookup(
-                graph.withColumnRenamed("low", "other"), shared, "id", how="inner", hot=hot,
+                graph.withColumnRenamed("low", "other"),
+                raised.where("split"),
+                "id",
+                how="inner",
+                hot=_hot_vertices(tree, size["most"], rows_per_task),
                 null_keys=False,
             )
             .where(F.col("other") != F.col("old"))
@@ -89,7 +75,22 @@ def parents(
         step += 1
 
 
-def hot_keys_from_counts(tree: DataFrame, most: int, rows_per_task: int) -> list[tuple[str, int]]:
+def _raised(tree: DataFrame, vertices: int, rows_per_task: int) -> DataFrame:
+    """``id, old, low``: each vertex with its parent and its grandparent (the parent if a root)."""
+    grand = tree.select(F.col("id").alias("component"), F.col("component").alias("grand"))
+    hot = hot_keys(tree, "component", total=vertices, rows_per_task=rows_per_task)
+    others = [c for c in tree.columns if c not in ("id", "component")]
+    return lookup(tree, grand, "component", hot=hot, null_keys=False).select(
+        "id",
+        F.col("component").alias("old"),
+        F.coalesce("grand", "component").alias("low"),
+        F.col("grand").isNotNull().alias("moved"),
+        *others,
+    )
+
+
+def _hot_vertices(tree: DataFrame, most: int, rows_per_task: int) -> list[tuple[str, int]]:
+    """Vertices with many edges, known from the counts just taken."""
     if most <= rows_per_task:
         return []
     rows = (
@@ -102,37 +103,18 @@ def hot_keys_from_counts(tree: DataFrame, most: int, rows_per_task: int) -> list
     return [(r["id"], -(-r["n"] // rows_per_task)) for r in rows]
 
 
-def _shorten(scratch: Scratch, raised: DataFrame, step: int, rows_per_task: int) -> DataFrame:
+def _shorten(
+    scratch: Scratch, tree: DataFrame, raised: DataFrame, step: int, rows_per_task: int
+) -> DataFrame:
     """Only a forest is left: double the reach of every pointer until all end at a root."""
-    hop = 0
-    while True:
+    forest, hop, used = tree.select("id", "component"), 0, f"tree-{step}"
+    while not raised.where("moved").isEmpty():
         name = f"forest-{step}-{hop}"
-        forest = scratch.keep(
-            raised.select("id", F.col("low").alias("component"), "moved"), name
-        )
-        state = forest.agg(
-            F.coalesce(F.max("moved"), F.lit(False)).alias("moved"),
-            F.count(F.lit(1)).alias("vertices"),
-        ).first()
-        if hop:
-            scratch.drop(f"forest-{step}-{hop - 1}")
-        if not state["moved"]:
-            return forest.select("id", "component")
-        grand = forest.select(F.col("id").alias("component"), F.col("component").alias("grand"))
-        raised = lookup(
-            forest.select("id", "component"),
-            grand,
-            "component",
-            hot=hot_keys(
-                forest, "component", total=state["vertices"], rows_per_task=rows_per_task
-            ),
-            null_keys=False,
-        ).select(
-            "id",
-            F.coalesce("grand", "component").alias("low"),
-            F.col("grand").isNotNull().alias("moved"),
-        )
-        hop += 1
+        forest = scratch.keep(raised.select("id", F.col("low").alias("component")), name)
+        scratch.drop(used)
+        raised = _raised(forest, forest.count(), rows_per_task)
+        hop, used = hop + 1, name
+    return forest
 
 
 def components(

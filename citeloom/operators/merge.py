@@ -8,10 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.functions.identifiers import id_key, sort_token
+from citeloom.functions.identifiers import key_kind, key_value, sort_token
 from citeloom.operators.components import components, star_edges
 from citeloom.operators.lookup import ROWS_PER_TASK, hot_keys, lookup
-from citeloom.operators.records import identifier_errors, widen, with_identifiers
+from citeloom.operators.records import identifier_errors, record_keys, widen
 from citeloom.scratch import Scratch
 from citeloom.sources.lines import MERGE_MISSING, read_records
 
@@ -34,13 +34,9 @@ def grouped_members(
     records: DataFrame, scratch: Scratch, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """``id, kind, value, component`` for every distinct valid identifier of the records."""
-    valid = F.filter("ids", lambda i: i["error"].isNull())
-    keys = (
-        with_identifiers(records)
-        .select(F.transform(valid, lambda i: id_key(i["kind"], i["value"])).alias("keys"))
-        .where(F.size("keys") > 0)
-        .distinct()
-    )
+    before = scratch.tables()
+    # No filter on the list: it would be pushed below and work the keys out a second time.
+    keys = records.select(record_keys().alias("keys")).distinct()
     # Distinct key lists: read by both the vertex and the edge scan below.
     keys = scratch.keep(keys, "keys")
     vertices = keys.select(F.explode("keys").alias("id")).distinct()
@@ -48,11 +44,13 @@ def grouped_members(
     found = components(vertices, edges, scratch, rows_per_task=rows_per_task)
     members = found.select(
         "id",
-        F.substring_index("id", ":", 1).alias("kind"),
-        F.expr("substring(id, instr(id, ':') + 1)").alias("value"),
+        key_kind(F.col("id")).alias("kind"),
+        key_value(F.col("id")).alias("value"),
         "component",
     )
-    return scratch.keep(members, "members")
+    members = scratch.keep(members, "members")
+    scratch.drop_since(before, keep=("members",))
+    return members
 
 
 def merged_records(members: DataFrame) -> DataFrame:

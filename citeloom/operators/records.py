@@ -5,20 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.functions.identifiers import KINDS, classify, id_key, kind_value, strip
+from citeloom.functions.identifiers import (
+    KINDS,
+    compact,
+    id_key,
+    identifier_error,
+    identifier_key,
+    key_kind,
+    key_value,
+    kind_value,
+    strip,
+)
 
-
-def identifier_array() -> Column:
-    """Classified identifiers of one record in key order, null and blank values left out."""
-    present = F.filter(
-        F.array(*[F.col(k) for k in KINDS]), lambda v: v.isNotNull() & (strip(v) != "")
-    )
-    return F.transform(present, classify)
+# Fixed value: the message for a record left without identifiers.
+DISCARDED = "record discarded after normalization due to missing identifiers"
 
 
-def with_identifiers(records: DataFrame) -> DataFrame:
-    """Add ``ids``, the array of classified identifiers."""
-    return records.withColumn("ids", identifier_array())
+def record_keys() -> Column:
+    """Distinct keys of a record's valid identifiers in key order."""
+    return compact(*[identifier_key(F.col(k)) for k in KINDS])
 
 
 def explode_identifiers(records: DataFrame) -> DataFrame:
@@ -27,11 +32,10 @@ def explode_identifiers(records: DataFrame) -> DataFrame:
     The value decides the kind: a number under the ``pmcid`` key is a PMID.
     """
     others = [c for c in records.columns if c not in KINDS]
-    return (
-        with_identifiers(records)
-        .select(*others, F.explode("ids").alias("i"))
-        .where(F.col("i.error").isNull())
-        .select(*others, "i.kind", "i.value")
+    keys = F.array(*[identifier_key(F.col(k)) for k in KINDS])
+    exploded = records.select(*others, F.explode(keys).alias("id")).where(F.col("id").isNotNull())
+    return exploded.select(
+        *others, key_kind(F.col("id")).alias("kind"), key_value(F.col("id")).alias("value")
     )
 
 
@@ -41,21 +45,19 @@ def identifier_errors(records: DataFrame) -> DataFrame:
     Keeps the columns other than the three keys and adds ``message`` (without a path).
     """
     others = [c for c in records.columns if c not in KINDS]
-    found = with_identifiers(records)
-    bad = F.transform(F.filter("ids", lambda i: i["error"].isNotNull()), lambda i: i["error"])
-    discarded = F.when(~F.exists("ids", lambda i: i["error"].isNull()), discard_message())
-    messages = F.concat(bad, F.array_compact(F.array(discarded)))
-    return found.select(*others, F.explode(messages).alias("message"))
 
+    def bad(value: Column) -> Column:
+        given = value.isNotNull() & (strip(value) != "")
+        return F.when(given & identifier_key(value).isNull(), identifier_error(value))
 
-def discard_message() -> Column:
-    return F.lit("record discarded after normalization due to missing identifiers")
+    discarded = F.when(F.size(record_keys()) == 0, F.lit(DISCARDED))
+    messages = F.array_compact(F.array(*[bad(F.col(k)) for k in KINDS], discarded))
+    return records.select(*others, F.explode(messages).alias("message"))
 
 
 def discarded_records(records: DataFrame) -> DataFrame:
     """Records without a single valid identifier."""
-    kept = with_identifiers(records).where(~F.exists("ids", lambda i: i["error"].isNull()))
-    return kept.drop("ids")
+    return records.where(F.size(record_keys()) == 0)
 
 
 def dedup_identifiers(ids: DataFrame, position: str = "pos") -> DataFrame:

@@ -16,7 +16,17 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.functions.identifiers import KINDS, classify, id_key, normalize_as, require_valid
+from citeloom.functions.identifiers import (
+    KINDS,
+    compact,
+    id_key,
+    identifier_error,
+    identifier_key,
+    key_kind,
+    key_value,
+    normalize_as,
+    require_key,
+)
 from citeloom.operators.components import components
 from citeloom.operators.lookup import BROADCAST_KEYS, ROWS_PER_TASK, hot_keys, lookup, prune
 from citeloom.operators.records import dedup_identifiers
@@ -85,11 +95,14 @@ def classified_inputs(raw: DataFrame, strict: bool = True) -> tuple[DataFrame, D
 
     Strict mode fails the job on the first bad identifier; lenient mode reports it as a row.
     """
-    found = classify(F.col("raw"))
-    rows = raw.select("pos", (require_valid(found) if strict else found).alias("i"))
-    good = rows.where(F.col("i.error").isNull()).select("pos", "i.kind", "i.value")
-    errors = rows.where(F.col("i.error").isNotNull()).select(
-        F.lit("input").alias("stage"), F.col("i.error").alias("message")
+    value = F.col("raw")
+    key = require_key(value) if strict else identifier_key(value)
+    # Exploding drops null keys and works each key out once; a filter would do it twice.
+    good = raw.select("pos", F.explode(compact(key)).alias("id")).select(
+        "pos", key_kind(F.col("id")).alias("kind"), key_value(F.col("id")).alias("value")
+    )
+    errors = raw.where(identifier_key(value).isNull()).select(
+        F.lit("input").alias("stage"), identifier_error(value).alias("message")
     )
     return good, errors
 
@@ -100,42 +113,49 @@ def stage_hits(
     bound: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Crosswalk rows for the distinct ``kind, value`` keys, exact copies dropped.
+    """Crosswalk rows for the ``kind, value`` keys, exact copies dropped.
 
-    ``bound`` is an upper limit on the number of keys. The keys are unique and the crosswalk may
+    ``bound`` is an upper limit on the number of keys. Keys are made unique and the crosswalk may
     not be, so it is the crosswalk side that is spread when one key has very many rows.
     """
+    # Exploded rather than selected: the null check the join adds would work the key out twice.
+    key = id_key(F.col("kind"), normalize_as(F.col("kind"), F.col("value")))
     table = crosswalk.table.where(F.col("kind").isin(*crosswalk.kinds)).select(
-        id_key(F.col("kind"), normalize_as(F.col("kind"), F.col("value"))).alias("id"), *KINDS
+        F.explode(F.array(key)).alias("id"), *KINDS
     )
-    wanted = keys.where(F.col("kind").isin(*crosswalk.kinds)).select(
-        id_key(F.col("kind"), F.col("value")).alias("id")
+    wanted = (
+        keys.where(F.col("kind").isin(*crosswalk.kinds))
+        .select(id_key(F.col("kind"), F.col("value")).alias("id"))
+        .distinct()
     )
     bound = keys.count() if bound is None else bound
     if bound <= BROADCAST_KEYS:
         return prune(table, wanted, "id", bound).distinct()
-    hot = hot_keys(table, "id", rows_per_task=rows_per_task)
-    return lookup(
-        table.where(F.col("id").isNotNull()), wanted, "id", how="inner", hot=hot, null_keys=False
-    ).distinct()
+    total = crosswalk.table.count()
+    hot = hot_keys(table, "id", total=total, rows_per_task=rows_per_task)
+    return lookup(table, wanted, "id", how="inner", hot=hot, null_keys=False).distinct()
 
 
 def stage_links(hits: DataFrame) -> DataFrame:
-    """``id, kind, value, raw``: one row per asserted identifier; a bad one has a null value."""
+    """``id, kind, value, raw``: one row per asserted identifier; a bad one has a null value.
+
+    A hit that asserts nothing gives one row of nulls, so that it still counts as an answer.
+    """
     asserted = F.array(
         *[
-            F.struct(
-                F.lit(k).alias("kind"),
-                normalize_as(k, F.col(k)).alias("value"),
-                F.col(k).alias("raw"),
+            F.when(
+                F.col(k) != "",
+                F.struct(
+                    F.lit(k).alias("kind"),
+                    normalize_as(k, F.col(k)).alias("value"),
+                    F.col(k).alias("raw"),
+                ),
             )
             for k in KINDS
         ]
     )
-    return (
-        hits.select("id", F.explode(asserted).alias("a"))
-        .where(F.col("a.raw").isNotNull() & (F.col("a.raw") != ""))
-        .select("id", "a.*")
+    return hits.select("id", F.explode_outer(F.array_compact(asserted)).alias("a")).select(
+        "id", "a.*"
     )
 
 
@@ -149,6 +169,7 @@ def resolve(
     """Resolve ``pos, kind, value`` rows (normalized) through the crosswalks in order."""
     spark: SparkSession = identifiers.sparkSession
     scratch = scratch or Scratch(spark, "resolve")
+    before = scratch.tables()
     seeds = scratch.keep(dedup_identifiers(identifiers), "seeds")
     known = seeds.select("kind", "value")
     bound = seeds.count()
@@ -158,28 +179,27 @@ def resolve(
     edges, errors, used, links_by_stage = [], [], [], {}
     for rank, crosswalk in enumerate(crosswalks, start=1):
         keys = seeds if crosswalk.inputs_only else known
-        hits = scratch.keep(stage_hits(keys, crosswalk, bound, rows_per_task), f"hits-{rank}")
-        links = stage_links(hits)
+        hits = stage_hits(keys, crosswalk, bound, rows_per_task)
+        links = scratch.keep(stage_links(hits), f"links-{rank}")
         good = links.where(F.col("value").isNotNull())
         errors.append(
-            links.where(F.col("value").isNull()).select(
+            links.where(F.col("value").isNull() & F.col("raw").isNotNull()).select(
                 F.lit(crosswalk.name).alias("stage"),
                 F.concat(
                     F.lit("Invalid "), F.upper("kind"), F.lit(": "), F.col("raw")
                 ).alias("message"),
             )
         )
-        n_hits = hits.count()
-        if n_hits:
+        n_links = links.count()
+        if n_links:
             used.append((crosswalk.name,))
-        # Every hit asserts at most one identifier per kind.
-        bound += len(KINDS) * n_hits
+        bound += n_links
+        new_values = good.select("kind", "value")
         edges.append(good.select(F.col("id").alias("src"), id_key(F.col("kind"), F.col("value")).alias("dst")))
-        new_values = good.select("kind", "value").distinct()
         asserted = asserted.unionByName(
             new_values.select("kind", "value", F.lit(rank).alias("stage"), no_position.alias("pos"))
         )
-        known = known.unionByName(new_values).distinct()
+        known = known.unionByName(new_values)
         links_by_stage[crosswalk.name] = links
 
     vertices = asserted.groupBy("kind", "value").agg(
@@ -193,6 +213,9 @@ def resolve(
         components(vertices, all_edges, scratch, rows_per_task=rows_per_task), "members"
     )
 
+    kept = [f"links-{rank}" for rank in range(1, len(crosswalks) + 1)]
+    scratch.drop_since(before, keep=("members", *kept))
+
     latest = F.struct("stage", "value")
     records = (
         members.groupBy("component")

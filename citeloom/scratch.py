@@ -33,17 +33,27 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str = "run"):
         self.spark = spark
         self.path = f"{checkpoint_root(spark)}/citeloom/{label}-{uuid.uuid4().hex}"
+        self._tables: set[str] = set()
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Write a DataFrame once and give it back as a table scan."""
         path = f"{self.path}/{name}"
         df.write.mode("overwrite").parquet(path)
+        self._tables.add(name)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
         """Remove tables nothing reads any more."""
-        for name in names:
+        for name in self._tables.intersection(names):
             self._delete(f"{self.path}/{name}")
+            self._tables.remove(name)
+
+    def drop_since(self, before: set[str], keep: tuple[str, ...] = ()) -> None:
+        """Remove the tables written since ``before`` (from :meth:`tables`), but for some."""
+        self.drop(*(self._tables - before - set(keep)))
+
+    def tables(self) -> set[str]:
+        return set(self._tables)
 
     def close(self) -> None:
         """Remove the whole folder; results that read from it must be written first."""
