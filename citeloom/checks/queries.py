@@ -21,6 +21,7 @@ from citeloom.functions.identifiers import (
     strip,
 )
 from citeloom.functions.metadata import author_names, year_from_text
+from citeloom.functions.once import evaluated
 from citeloom.functions.text import html_to_text, record_slug
 from citeloom.operators import fulltext as ft
 from citeloom.operators import resolve as rs
@@ -67,7 +68,7 @@ def _(spark, sf):
 
 @_query("q_normalize_ids")
 def _(spark, sf):
-    rows = view(spark, sf, "raw_ids").select("k", classify(F.col("raw")).alias("i"))
+    rows = evaluated(view(spark, sf, "raw_ids"), "k", classify(F.col("raw")).alias("i"))
     return rows.where(F.col("i.error").isNull()).select(
         "k", "i.kind", "i.value", id_key(F.col("i.kind"), F.col("i.value")).alias("id_key")
     )
@@ -75,7 +76,7 @@ def _(spark, sf):
 
 @_query("q_normalize_errors")
 def _(spark, sf):
-    rows = view(spark, sf, "raw_ids").select("k", classify(F.col("raw")).alias("i"))
+    rows = evaluated(view(spark, sf, "raw_ids"), "k", classify(F.col("raw")).alias("i"))
     return rows.where(F.col("i.error").isNotNull()).select("k", "i.error")
 
 
@@ -177,7 +178,7 @@ def _(spark, sf):
 @_query("q_dedup_ids")
 def _(spark, sf):
     rows = view(spark, sf, "recs").select("k", F.explode(F.array(*KINDS)).alias("raw"))
-    ids = rows.select(F.col("k").alias("pos"), classify(F.col("raw")).alias("i"))
+    ids = evaluated(rows, F.col("k").alias("pos"), classify(F.col("raw")).alias("i"))
     return dedup_identifiers(ids.where(F.col("i.error").isNull()).select("pos", "i.kind", "i.value"))
 
 
@@ -346,7 +347,7 @@ def _(spark, sf):
 
 
 def _providers(spark, sf):
-    pages = view(spark, sf, "text_a").select("key", html_to_text(F.col("html")).alias("text"))
+    pages = html_to_text(view(spark, sf, "text_a"))
     documents = view(spark, sf, "text_b").select("key", strip(F.col("text")).alias("text"))
     return [ft.pubget(pages), ft.ace(documents)]
 
@@ -357,7 +358,7 @@ def _chosen(spark, sf):
 
 @_query("q_html_text")
 def _(spark, sf):
-    return view(spark, sf, "text_a").select("key", html_to_text(F.col("html")).alias("text"))
+    return html_to_text(view(spark, sf, "text_a"))
 
 
 @_query("q_text_fallback")
@@ -415,7 +416,7 @@ def _(spark, sf):
 @_query("q_input_counts")
 def _(spark, sf):
     ids = view(spark, sf, "recs").select(F.explode(F.array(*KINDS)).alias("raw"))
-    good = ids.select(classify(F.col("raw")).alias("i")).where(F.col("i.error").isNull())
+    good = evaluated(ids, classify(F.col("raw")).alias("i")).where(F.col("i.error").isNull())
     return m.input_counts(good.select("i.kind", "i.value"))
 
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 import html
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from citeloom.functions.identifiers import strip
+from citeloom.functions.once import evaluated
 
 # Comments and elements whose text is not shown. One alternation in one pass: whichever opens
 # first wins, so a comment inside a script and a script inside a comment both come out right.
@@ -53,17 +54,10 @@ def _decode_all_entities(text: Column) -> Column:
     return F.pandas_udf(decode, StringType())(text)
 
 
-def decode_entities(text: Column) -> Column:
-    """Replace character references.
-
-    Rows with only the common entities stay in the JVM. The Python function sees the text of
-    the other rows alone; for the rest it is sent nulls.
-    """
-    common = text
+def _common_entities(text: Column) -> Column:
     for entity, character in _COMMON_ENTITIES.items():
-        common = F.replace(common, F.lit(entity), F.lit(character))
-    rare = F.when(text.rlike(_OTHER_ENTITY), text)
-    return F.coalesce(_decode_all_entities(rare), common)
+        text = F.replace(text, F.lit(entity), F.lit(character))
+    return text
 
 
 def join_lines(text: Column) -> Column:
@@ -72,10 +66,19 @@ def join_lines(text: Column) -> Column:
     return F.nullif(F.array_join(F.filter(lines, lambda s: s != ""), "\n"), F.lit(""))
 
 
-def html_to_text(document: Column) -> Column:
-    """Visible text of an HTML document, one text node per line."""
-    shown = F.regexp_replace(document, _HIDDEN, "\n")
-    return join_lines(decode_entities(F.regexp_replace(shown, _TAG, "\n")))
+def html_to_text(df: DataFrame, document: str = "html", name: str = "text") -> DataFrame:
+    """Replace the HTML column by its visible text, one text node per line.
+
+    Rows with only the common entities stay in the JVM. The Python decoder sees the text of the
+    other rows alone; for the rest it is sent nulls.
+    """
+    others = [c for c in df.columns if c not in (document, name)]
+    shown = F.regexp_replace(F.regexp_replace(document, _HIDDEN, "\n"), _TAG, "\n")
+    stripped = evaluated(df, *others, shown.alias("_shown"))
+    rare = F.when(F.col("_shown").rlike(_OTHER_ENTITY), F.col("_shown"))
+    decoded = stripped.select("*", _decode_all_entities(rare).alias("_rare"))
+    plain = F.coalesce("_rare", _common_entities(F.col("_shown")))
+    return evaluated(decoded, *others, join_lines(plain).alias(name))
 
 
 def record_slug(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions.identifiers import KINDS
 from citeloom.functions.metadata import METADATA_TYPE
+from citeloom.functions.once import evaluated
 from citeloom.operators.lookup import HotKeys, hot_keys, lookup, prune
 
 # Rows with text are large, so fewer of one key go to a task than where only ids move.
@@ -52,7 +53,10 @@ def ace(table: DataFrame) -> TextProvider:
 
 
 def _with_text(table: DataFrame) -> DataFrame:
-    return table.where(F.col("key").isNotNull() & (F.col("text") != ""))
+    """Rows that have text; a text that is computed (cleaned HTML) is computed once."""
+    return evaluated(table.where(F.col("key").isNotNull()), "key", "text").where(
+        F.col("text") != ""
+    )
 
 
 def _hot(records: DataFrame, kind: str, total: int, rows_per_task: int) -> HotKeys:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions.identifiers import KINDS, strip
 from citeloom.functions.jsontext import CORRUPT, is_single_value, parse_object, truthy
+from citeloom.functions.once import evaluated
 
 PLACE = ["path", "block", "line_id"]
 
@@ -82,20 +83,28 @@ def parse_records(
     The three keys are kept, others ignored. ``error`` is null for a good line; a bad line has
     null identifiers.
     """
-    text = strip(F.col(value))
+    kept = list(lines.columns)
+    text = F.col("_text")
+    stripped = evaluated(lines, *kept, strip(F.col(value)).alias("_text")).where(text != "")
     schema = ", ".join(f"{k} STRING" for k in KINDS)
-    parsed = lines.where(text != "").withColumn("_parsed", parse_object(text, schema))
-    whole = is_single_value(text)
-    is_object = text.startswith("{") & whole & F.col(f"_parsed.{CORRUPT}").isNull()
+    parsed = evaluated(
+        stripped,
+        *kept,
+        "_text",
+        parse_object(text, schema).alias("_parsed"),
+        is_single_value(text).alias("_whole"),
+    )
+    is_object = text.startswith("{") & F.col("_whole") & F.col(f"_parsed.{CORRUPT}").isNull()
     any_present = _any([truthy(F.col(f"_parsed.{k}"), text, k) for k in KINDS])
     error = (
         F.when(is_object & any_present, F.lit(None).cast("string"))
         .when(is_object, F.lit(missing))
-        .when(~text.startswith("{") & whole, F.lit("expected JSON object per line"))
+        .when(~text.startswith("{") & F.col("_whole"), F.lit("expected JSON object per line"))
         .otherwise(F.lit("invalid JSON"))
     )
-    return parsed.withColumn("error", error).select(
-        *[c for c in lines.columns],
+    judged = evaluated(parsed, *kept, "_parsed", error.alias("error"))
+    return judged.select(
+        *kept,
         *[F.when(F.col("error").isNull(), F.col(f"_parsed.{k}")).alias(k) for k in KINDS],
         "error",
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.functions.identifiers import classify, find_pmcid
+from citeloom.functions.identifiers import find_pmcid, identifier_key, key_kind, key_value
 from citeloom.functions.jsontext import OPTIONS, is_single_value, present_text
 from citeloom.functions.metadata import (
     author_names,
@@ -18,6 +18,7 @@ from citeloom.functions.metadata import (
     year,
     year_from_text,
 )
+from citeloom.functions.once import evaluated
 from citeloom.operators.lookup import HotKeys, hot_keys, lookup
 
 RESPONSE_SCHEMA = "source STRING, request_key STRING, status INT, body STRING"
@@ -34,36 +35,28 @@ def read_responses(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
 def _error_text() -> Column:
     """Null for a usable or simply absent response, else the error message."""
     source, status = F.col("source"), F.col("status")
-    is_graph = source == GRAPH
     status_text = F.concat(source, F.lit(": error "), status.cast("string"))
+    unreadable = F.when(
+        F.col("body").isNull() | ~is_single_value(F.col("body")),
+        F.concat(source, F.lit(": invalid JSON response")),
+    )
     return (
-        F.when(is_graph & (status == 404), F.lit(None).cast("string"))
-        .when(
-            (source == ESEARCH) & ((status >= 400) | ~is_single_value(F.col("body"))),
-            F.lit("Failed to query PubMed"),
-        )
-        .when(
-            (status >= 400) & is_graph,
-            F.concat(status_text, F.lit(" for "), F.col("request_key")),
-        )
-        .when(status >= 400, status_text)
-        .when(
-            F.col("body").isNull() | ~is_single_value(F.col("body")),
-            F.concat(source, F.lit(": invalid JSON response")),
-        )
+        F.when(status < 400, unreadable)
+        .when((source == GRAPH) & (status == 404), F.lit(None).cast("string"))
+        .when(source == GRAPH, F.concat(status_text, F.lit(" for "), F.col("request_key")))
+        .otherwise(status_text)
     )
 
 
 def response_errors(responses: DataFrame) -> DataFrame:
     """``source, request_key, message`` for every failed response."""
-    return responses.select("source", "request_key", _error_text().alias("message")).where(
-        F.col("message").isNotNull()
-    )
+    judged = evaluated(responses, "source", "request_key", _error_text().alias("message"))
+    return judged.where(F.col("message").isNotNull())
 
 
 def usable(responses: DataFrame) -> DataFrame:
     """Responses with a body to read: no error and not a 404 miss."""
-    return responses.where((F.col("status") < 400) & _error_text().isNull())
+    return responses.where((F.col("status") < 400) & is_single_value(F.col("body")))
 
 
 def _parse(text: Column, schema: str) -> Column:
@@ -74,20 +67,23 @@ def _parse(text: Column, schema: str) -> Column:
 
 
 def _search_pages(pages: DataFrame) -> DataFrame:
-    parsed = pages.withColumn(
-        "_r",
-        _parse(F.col("body"), "esearchresult STRUCT<count STRING, idlist ARRAY<STRING>>")[
-            "esearchresult"
-        ],
+    schema = "esearchresult STRUCT<count STRING, idlist ARRAY<STRING>>"
+    parsed = evaluated(
+        pages,
+        "search_hash",
+        "retstart",
+        ((F.col("status") >= 400) | F.col("body").isNull() | ~is_single_value(F.col("body"))).alias(
+            "failed"
+        ),
+        _parse(F.col("body"), schema)["esearchresult"].alias("r"),
     )
-    failed = (F.col("status") >= 400) | F.col("body").isNull() | ~is_single_value(F.col("body"))
     return parsed.select(
         "search_hash",
         "retstart",
-        F.coalesce("_r.idlist", F.array().cast("array<string>")).alias("ids"),
-        F.col("_r.count").try_cast("bigint").alias("count"),
-        F.when(failed, F.lit("Failed to query PubMed"))
-        .when(F.col("_r").isNull(), F.lit("Unexpected PubMed response structure"))
+        F.coalesce("r.idlist", F.array().cast("array<string>")).alias("ids"),
+        F.col("r.count").try_cast("bigint").alias("count"),
+        F.when(F.col("failed"), F.lit("Failed to query PubMed"))
+        .when(F.col("r").isNull(), F.lit("Unexpected PubMed response structure"))
         .alias("error"),
     )
 
@@ -157,7 +153,8 @@ def idconv_crosswalk(responses: DataFrame) -> DataFrame:
     rows = usable(responses.where(F.col("source") == IDCONV)).select(
         "request_key", F.posexplode(_parse(F.col("body"), schema)["records"]).alias("pos", "r")
     )
-    named = rows.select(
+    named = evaluated(
+        rows,
         present_text(F.col("r.pmcid")).alias("pmcid"),
         F.struct(
             F.col("request_key"),
@@ -172,10 +169,10 @@ def idconv_crosswalk(responses: DataFrame) -> DataFrame:
 
 def _summary_entries(responses: DataFrame, requested: DataFrame | None) -> DataFrame:
     """``pmid, entry`` (raw JSON object) of summary responses."""
-    result = _parse(F.col("body"), "result STRING")["result"]
+    result = _parse(F.col("body"), "result MAP<STRING, STRING>")["result"]
     entries = (
         usable(responses.where(F.col("source") == ESUMMARY))
-        .select(F.explode(_parse(result, "MAP<STRING, STRING>")).alias("pmid", "entry"))
+        .select(F.explode(result).alias("pmid", "entry"))
         .where(F.col("entry").startswith("{"))
     )
     return entries if requested is None else restrict_to_requested(entries, requested)
@@ -197,16 +194,14 @@ def esummary_crosswalk(responses: DataFrame, requested: DataFrame | None = None)
         values = F.transform(wanted, lambda i: read(present_text(i["value"])))
         return F.try_element_at(F.filter(values, lambda v: v.isNotNull()), F.lit(-1))
 
-    return (
-        _summary_entries(responses, requested)
-        .select("pmid", ids.alias("ids"))
-        .select(
-            "pmid",
-            last(("pmc", "pmcid"), find_pmcid).alias("pmcid"),
-            last(("doi",), lambda v: v).alias("doi"),
-        )
-        .where(F.col("pmcid").isNotNull() | F.col("doi").isNotNull())
+    listed = evaluated(_summary_entries(responses, requested), "pmid", ids.alias("ids"))
+    picked = evaluated(
+        listed,
+        "pmid",
+        last(("pmc", "pmcid"), find_pmcid).alias("pmcid"),
+        last(("doi",), lambda v: v).alias("doi"),
     )
+    return picked.where(F.col("pmcid").isNotNull() | F.col("doi").isNotNull())
 
 
 def external_ids(responses: DataFrame, extra_keys: bool = False) -> DataFrame:
@@ -221,16 +216,21 @@ def external_ids(responses: DataFrame, extra_keys: bool = False) -> DataFrame:
         names["pmid"].append("PubMed")
         names["pmcid"].append("PubMedCentral")
     found = _parse(F.col("body"), "externalIds MAP<STRING, STRING>")["externalIds"]
-    rows = usable(responses.where(F.col("source") == GRAPH)).select(
-        classify(F.col("request_key")).alias("key"), found.alias("ids")
+    rows = evaluated(
+        usable(responses.where(F.col("source") == GRAPH)),
+        identifier_key(F.col("request_key")).alias("key"),
+        found.alias("ids"),
     )
-    picked = [
-        F.coalesce(*[present_text(F.col("ids")[n]) for n in keys]).alias(kind)
-        for kind, keys in names.items()
-    ]
-    return rows.select("key.kind", "key.value", *picked).where(
-        F.coalesce("pmid", "pmcid", "doi").isNotNull()
+    picked = evaluated(
+        rows,
+        key_kind(F.col("key")).alias("kind"),
+        key_value(F.col("key")).alias("value"),
+        *[
+            F.coalesce(*[present_text(F.col("ids")[n]) for n in keys]).alias(kind)
+            for kind, keys in names.items()
+        ],
     )
+    return picked.where(F.coalesce("pmid", "pmcid", "doi").isNotNull())
 
 
 # -- metadata -----------------------------------------------------------------------------
@@ -240,12 +240,17 @@ def graph_metadata(responses: DataFrame) -> DataFrame:
     """``key, metadata`` of paper-graph responses; the key is the request key as asked."""
     # authors stays raw JSON: anything but a list leaves the author list empty.
     schema = "title STRING, abstract STRING, venue STRING, journal STRING, year STRING, authors STRING"
-    rows = usable(responses.where(F.col("source") == GRAPH)).select(
-        "request_key", "body", _parse(F.col("body"), schema).alias("p")
-    )
-    keys = F.json_object_keys(F.col("body"))
     known = ["title", "abstract", "venue", "journal", "year"]
-    has_any = F.arrays_overlap(keys, F.array(*[F.lit(k) for k in known]))
+    has_any = F.arrays_overlap(
+        F.json_object_keys(F.col("body")), F.array(*[F.lit(k) for k in known])
+    )
+    rows = evaluated(
+        usable(responses.where(F.col("source") == GRAPH)),
+        "request_key",
+        "body",
+        _parse(F.col("body"), schema).alias("p"),
+        has_any.alias("has_any"),
+    )
     listed = F.col("p.authors").startswith("[")
     names = F.filter(
         F.transform(
@@ -262,7 +267,7 @@ def graph_metadata(responses: DataFrame) -> DataFrame:
         year(F.col("p.year"), F.col("body"), "year"),
         F.lit(GRAPH),
     )
-    keep = F.coalesce(has_any, F.lit(False)) | F.coalesce(listed, F.lit(False))
+    keep = F.coalesce("has_any", F.lit(False)) | F.coalesce(listed, F.lit(False))
     return rows.where(keep).select(F.col("request_key").alias("key"), meta.alias("metadata"))
 
 
@@ -278,8 +283,11 @@ def summary_metadata(
         "title STRING, elocationid STRING, fulljournalname STRING, pubdate STRING, "
         "sortpubdate STRING, authors STRING"
     )
-    rows = _summary_entries(responses, requested).select(
-        "pmid", "entry", _parse(F.col("entry"), schema).alias("p")
+    rows = evaluated(
+        _summary_entries(responses, requested),
+        "pmid",
+        "entry",
+        _parse(F.col("entry"), schema).alias("p"),
     )
     listed = F.when(F.col("p.authors").startswith("["), F.col("p.authors"))
     objects = F.filter(F.from_json(listed, "array<string>"), lambda a: a.startswith("{"))
