@@ -185,10 +185,23 @@ FROM documents WHERE lang <> 'de'""",
 }
 
 
+# Scans with fewer splits than this are spread; the given files hold one row group each, so all
+# that follows would run as one task. Larger inputs have more splits and are read as they are.
+_MIN_SPLITS = 16
+
+
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    table = spark.read.parquet(path)
+    wanted = min(_MIN_SPLITS, spark.sparkContext.defaultParallelism)
+    if table.rdd.getNumPartitions() >= wanted:
+        return table
+    return table.repartition(wanted, table.columns[0])
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     for table in TABLES:
         if table in VIEWS[name]:
-            spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+            _scan(spark, f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
     return spark.sql(VIEWS[name])
 
 

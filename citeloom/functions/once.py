@@ -13,4 +13,5 @@ def evaluated(df: DataFrame, *columns: Column | str) -> DataFrame:
     expression there, so a parsed document would be parsed again for each use. A generator's
     output stays where it is. Null columns must carry a type.
     """
-    return df.select(F.inline(F.array(F.struct(*columns))))
+    chosen = df.select(*columns)
+    return chosen.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in chosen.columns]))))
