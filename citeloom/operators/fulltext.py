@@ -25,7 +25,8 @@ TEXT_ROWS_PER_TASK = 50_000
 class TextProvider:
     """``table`` has ``key, text``; ``kind`` is the identifier looked up.
 
-    ``miss`` is the message for a key without text, with ``{}`` for the key.
+    ``miss`` is the message for a key without text, with ``{}`` for the key. Where the table
+    repeats a key, the smallest text is taken.
     """
 
     name: str
@@ -36,7 +37,10 @@ class TextProvider:
 
 @dataclass(frozen=True)
 class MetadataProvider:
-    """``table`` has unique ``key`` and ``metadata``; ``kinds`` are tried in order."""
+    """``table`` has ``key, metadata``; ``kinds`` are the identifiers tried, in order.
+
+    Where the table repeats a key, as when a response was landed twice, one answer is taken.
+    """
 
     name: str
     table: DataFrame
@@ -87,11 +91,9 @@ def choose_text_source(
         # A record already served, or with an empty id, has nothing to look up.
         wanted = F.when(F.col("text_source").isNull(), F.nullif(provider.kind, F.lit("")))
         table = _pruned(provider.table, records, provider.kind, total)
-        keys = _with_text(table).select(F.col("key").alias("_key")).distinct()
+        keys = _with_text(table).select(F.col("key").alias("_key"), F.lit(True).alias("_found"))
         hot = _hot(records, provider.kind, total, rows_per_task)
-        looked = lookup(
-            chosen.withColumn("_key", wanted), keys.withColumn("_found", F.lit(True)), "_key", hot=hot
-        )
+        looked = lookup(chosen.withColumn("_key", wanted), keys, "_key", hot=hot, pick="_found")
         before, after = provider.miss.split("{}")
         missed = F.col("_key").isNotNull() & F.col("_found").isNull()
         message = F.concat(F.lit(before), F.col("_key"), F.lit(after))
@@ -136,7 +138,9 @@ def attach_metadata(
                 F.nullif(kind, F.lit("")),
             )
             hot = _hot(chosen, kind, total, rows_per_task)
-            looked = lookup(found.withColumn("_key", wanted), table, "_key", hot=hot)
+            looked = lookup(
+                found.withColumn("_key", wanted), table, "_key", hot=hot, pick="_metadata_found"
+            )
             found = looked.withColumn(
                 "metadata", F.coalesce("metadata", "_metadata_found")
             ).drop("_key", "_metadata_found")
@@ -157,16 +161,14 @@ def attach_text(
         served = chosen.where(F.col("text_source") == provider.name).withColumn(
             "_key", F.col(provider.kind)
         )
-        # One text per key; copies of a key combine map-side and the smallest text is kept.
-        texts = (
-            _with_text(_pruned(provider.table, served, provider.kind, total))
-            .groupBy(F.col("key").alias("_key"))
-            .agg(F.min("text").alias("text"))
+        texts = _with_text(_pruned(provider.table, served, provider.kind, total)).select(
+            F.col("key").alias("_key"), "text"
         )
         hot = _hot(chosen, provider.kind, total, rows_per_task)
-        parts.append(
-            lookup(served, texts, "_key", how="inner", hot=hot, null_keys=False).drop("_key")
+        joined = lookup(
+            served, texts, "_key", how="inner", hot=hot, null_keys=False, pick="text"
         )
+        parts.append(joined.drop("_key"))
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)

@@ -66,17 +66,21 @@ def lookup(
     how: str = "left",
     hot: Sequence[tuple[str, int]] = (),
     null_keys: bool = True,
+    pick: str | None = None,
 ) -> DataFrame:
-    """Join ``facts`` to ``table`` (unique on ``key``); both name the key column alike.
+    """Join ``facts`` to ``table``, which has one row per key; both name the key column alike.
 
     ``hot`` comes from :func:`hot_keys`; ``null_keys=False`` says the facts' keys are never
-    null, which keeps a plain one-column join that can reuse an existing partitioning.
+    null, which keeps a plain one-column join that can reuse an existing partitioning. Where the
+    table may repeat keys, ``pick`` names its one other column, whose smallest value is taken;
+    copies combine map-side, and the join that follows reuses the grouping's partitioning.
     """
     if not hot and not null_keys:
-        return facts.join(table, key, how)
+        return facts.join(_one_per_key(table, [key], pick), key, how)
 
     slots = F.lit(1)
     if hot:
+        table = _one_per_key(table, [key], pick)
         spark = facts.sparkSession
         spread = F.broadcast(spark.createDataFrame(list(hot), f"`{key}` string, _slots int"))
         facts = facts.join(spread, key, "left")
@@ -89,6 +93,7 @@ def lookup(
         table = table.withColumn(
             "_slot", F.pmod(F.xxhash64(key), F.lit(1)).cast("int")
         )
+        table = _one_per_key(table, [key, "_slot"], pick)
 
     row_hash = F.xxhash64(*[c for c, t in facts.dtypes if "map<" not in t and t != "variant"])
     slot = F.when(F.col(key).isNull(), F.pmod(row_hash, F.lit(_NULL_SLOTS))).otherwise(
@@ -96,3 +101,9 @@ def lookup(
     )
     facts = facts.withColumn("_slot", slot.cast("int")).drop("_slots")
     return facts.join(table, [key, "_slot"], how).drop("_slot")
+
+
+def _one_per_key(table: DataFrame, keys: list[str], pick: str | None) -> DataFrame:
+    if pick is None:
+        return table
+    return table.groupBy(*keys).agg(F.min(pick).alias(pick))

@@ -12,9 +12,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citeloom.functions.metadata import METADATA_TYPE
+
 ERROR_SCHEMA = "stage string, path string, line_no bigint, message string"
 INLINE_ERRORS = 1_000
 
+# Absent values are written as null, not left out; other formats pass this option over.
+JSON_NULLS = {"ignoreNullFields": "false"}
+
+FULLTEXT_RECORD = (
+    "slug string, pmid string, pmcid string, doi string, text string, text_source string, "
+    f"metadata {METADATA_TYPE}"
+)
+
 SEARCH_SCHEMA = (
     "source string, query string, start_date string, end_date string, result_count bigint, "
     "run_started_at string, retmax bigint"
@@ -88,7 +98,7 @@ def one_row(spark: SparkSession, schema: str, values: dict) -> DataFrame:
 
 def write_manifest(manifest: DataFrame, run_dir: str) -> None:
     """``metadata.json`` folder with one JSON document, nulls written."""
-    rows = manifest.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}))
+    rows = manifest.select(F.to_json(F.struct("*"), JSON_NULLS))
     rows.coalesce(1).write.mode("overwrite").text(f"{run_dir}/metadata.json")
 
 
@@ -109,4 +119,4 @@ def write_id_list(ids: DataFrame, path: str, column: str = "pmid") -> None:
 
 def write_records(records: DataFrame, path: str, columns: Sequence[str] = ("pmid", "pmcid", "doi")) -> None:
     """Compact JSON Lines; absent identifiers are written as null."""
-    records.select(*columns).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    records.select(*columns).write.mode("overwrite").options(**JSON_NULLS).json(path)

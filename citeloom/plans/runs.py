@@ -191,10 +191,14 @@ def fulltext_run(
     text_providers: Sequence[TextProvider],
     metadata_providers: Sequence[MetadataProvider],
     *,
+    record_format: str = "parquet",
     layout: DataLayout | None = None,
     clock: Clock = _utc_now,
 ) -> Run:
-    """Fetch text and metadata for record files; failures are written too, without text."""
+    """Fetch text and metadata for record files; failures are written too, without text.
+
+    Records are written as ``parquet`` or ``json``, one row or document each, named by ``slug``.
+    """
     if not input_files:
         raise ValueError("At least one JSONL file must be provided")
     layout = layout or DataLayout.from_session(spark)
@@ -217,8 +221,8 @@ def fulltext_run(
     slug = record_slug(F.col("pmid"), F.col("pmcid"), F.col("doi"), F.col("index"))
     whole.select(
         slug.alias("slug"), "pmid", "pmcid", "doi", "text", "text_source", "metadata"
-    ).write.mode("overwrite").parquet(records_dir)
-    written = spark.read.parquet(records_dir)
+    ).write.format(record_format).options(**m.JSON_NULLS).mode("overwrite").save(records_dir)
+    written = spark.read.schema(m.FULLTEXT_RECORD).format(record_format).load(records_dir)
 
     read = parse_errors.select(F.lit("read").alias("stage"), "path", "line_no", "message")
     missed = text_errors(chosen).select(F.lit("text").alias("stage"), "message")

@@ -91,3 +91,11 @@ def test_hot_keys_null_keys_and_copies(spark, monkeypatch, few_keys):
     counts = {(r["text_source"], r["text"]): r["count"] for r in rows.groupBy("text_source", "text").count().collect()}
     served = len([i for i in range(n) if i % 3 and i % 2 == 0])
     assert counts == {("pubget", "t0"): 1_000, ("ace", "b"): served, (None, None): 2_000 - served}
+
+
+def test_a_response_landed_twice_does_not_repeat_records(spark):
+    records = spark.createDataFrame([("1", None, None), (None, None, "10.1/x")], RECORD)
+    answer = {"title": "T", "year": 2019}
+    df = landed(spark, *[("semantic-scholar", "1", 200, answer)] * 3)
+    rows = ft.fulltext_records(records, _providers(spark, {}, {"1": "one"}), _metadata(df)).collect()
+    assert sorted((r["pmid"] or "", r["metadata"] and r["metadata"]["title"]) for r in rows) == [("", None), ("1", "T")]

@@ -129,7 +129,8 @@ def test_merge_run_writes_nulls_and_repeats_in_place(spark, tmp_path, write_line
         merge_run(spark, [])
 
 
-def test_fulltext_run(spark, tmp_path, write_lines):
+@pytest.mark.parametrize("record_format", ["parquet", "json"])
+def test_fulltext_run(spark, tmp_path, write_lines, record_format):
     path = write_lines("r.jsonl", [{"pmid": "1", "pmcid": "PMC1"}, {"doi": "10.1/a"}, {"pmid": "2"}, {"pmid": "2"}, {"x": 1}])
     df = landed(spark, ("entrez", "2", 200, {"result": {"2": {"title": "Two", "pubdate": "2001"}}}))
     run = fulltext_run(
@@ -137,8 +138,11 @@ def test_fulltext_run(spark, tmp_path, write_lines):
         [ft.pubget(spark.createDataFrame([("PMC1", "one")], "key string, text string")),
          ft.ace(spark.createDataFrame([("2", "two")], "key string, text string"))],
         [ft.MetadataProvider("entrez", resp.summary_metadata(df), ("pmid",))],
-        layout=DataLayout(str(tmp_path)), clock=clock,
+        record_format=record_format, layout=DataLayout(str(tmp_path)), clock=clock,
     )
+    if record_format == "json":
+        failed = [d for d in _lines(spark, f"{run.path}/records") if d["slug"] == "0001_10_1_a"]
+        assert failed[0]["text"] is None and failed[0]["metadata"] is None
     rows = {r["slug"]: r for r in run.records.collect()}
     assert set(rows) == {"0000_1", "0001_10_1_a", "0002_2"}
     assert rows["0000_1"]["text"] == "one" and rows["0000_1"]["metadata"] is None
