@@ -302,45 +302,47 @@ def _(spark, sf):
 # -- resolve ------------------------------------------------------------------------------
 
 
-def _resolution(spark, sf) -> rs.Resolution:
+def _crosswalks(spark, sf) -> list[rs.Crosswalk]:
+    return [
+        rs.idconv(view(spark, sf, "xw_idconv")),
+        rs.esummary(view(spark, sf, "xw_esummary")),
+        rs.graph(view(spark, sf, "xw_graph")),
+    ]
+
+
+def _stages(spark, sf, upto: int = 3) -> rs.Stages:
     inputs, _ = rs.classified_inputs(view(spark, sf, "inputs"))
-    return rs.resolve(
-        inputs,
-        [
-            rs.idconv(view(spark, sf, "xw_idconv")),
-            rs.esummary(view(spark, sf, "xw_esummary")),
-            rs.graph(view(spark, sf, "xw_graph")),
-        ],
-    )
+    return rs.lookup_stages(inputs, _crosswalks(spark, sf)[:upto])
 
 
-def _stage(name: str):
+def _stage(number: int):
     def build(spark, sf):
-        links = _resolution(spark, sf).stage_links[name]
+        links = list(_stages(spark, sf, number).links.values())[-1]
         return links.where(F.col("value").isNotNull()).select("id", "kind", "value")
 
     return build
 
 
-QUERIES["q_resolve_stage1"] = _stage("pmc")
-QUERIES["q_resolve_stage2"] = _stage("entrez")
-QUERIES["q_resolve_stage3"] = _stage("semantic-scholar")
+QUERIES["q_resolve_stage1"] = _stage(1)
+QUERIES["q_resolve_stage2"] = _stage(2)
+QUERIES["q_resolve_stage3"] = _stage(3)
 
 
 @_query("q_resolve")
 def _(spark, sf):
-    return rs.in_input_order(_resolution(spark, sf).records).select(*KINDS, "pos")
+    inputs, _ = rs.classified_inputs(view(spark, sf, "inputs"))
+    found = rs.resolve(inputs, _crosswalks(spark, sf))
+    return rs.in_input_order(found.records).select(*KINDS, "pos")
 
 
 @_query("q_sources_used")
 def _(spark, sf):
-    used = _resolution(spark, sf).sources.select("source")
-    return used.distinct()
+    return rs.sources_frame(spark, _stages(spark, sf).used)
 
 
 @_query("q_resolve_errors")
 def _(spark, sf):
-    return _resolution(spark, sf).errors
+    return _stages(spark, sf).errors
 
 
 # -- full text ----------------------------------------------------------------------------

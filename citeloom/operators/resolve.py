@@ -139,24 +139,64 @@ def stage_hits(
 def stage_links(hits: DataFrame) -> DataFrame:
     """``id, kind, value, raw``: one row per asserted identifier; a bad one has a null value.
 
-    A hit that asserts nothing gives one row of nulls, so that it still counts as an answer.
+    Every hit keeps a row for the first kind, with nulls if it asserts none, so that a hit
+    without identifiers still counts as an answer.
     """
     asserted = F.array(
         *[
-            F.when(
-                F.col(k) != "",
-                F.struct(
-                    F.lit(k).alias("kind"),
-                    normalize_as(k, F.col(k)).alias("value"),
-                    F.col(k).alias("raw"),
-                ),
+            F.struct(
+                F.lit(k).alias("kind"),
+                normalize_as(k, F.col(k)).alias("value"),
+                F.nullif(F.col(k), F.lit("")).alias("raw"),
             )
             for k in KINDS
         ]
     )
-    return hits.select("id", F.explode_outer(F.array_compact(asserted)).alias("a")).select(
-        "id", "a.*"
-    )
+    links = hits.select("id", F.explode(asserted).alias("a")).select("id", "a.*")
+    return links.where(F.col("raw").isNotNull() | (F.col("kind") == KINDS[0]))
+
+
+@dataclass(frozen=True)
+class Stages:
+    """What the lookups found: ``seeds``, the links of each stage by name, the sources that
+    answered, and error rows for bad values."""
+
+    seeds: DataFrame
+    links: dict[str, DataFrame]
+    used: list[str]
+    errors: DataFrame
+
+
+def lookup_stages(
+    identifiers: DataFrame,
+    crosswalks: Sequence[Crosswalk],
+    scratch: Scratch | None = None,
+    *,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> Stages:
+    """Look ``pos, kind, value`` rows up in the crosswalks in order, without grouping them."""
+    spark: SparkSession = identifiers.sparkSession
+    scratch = scratch or Scratch(spark, "stages")
+    seeds = scratch.keep(dedup_identifiers(identifiers), "seeds")
+    known, bound = seeds.select("kind", "value"), seeds.count()
+    errors = spark.createDataFrame([], "stage string, message string")
+    used, links_by_stage = [], {}
+    for rank, crosswalk in enumerate(crosswalks, start=1):
+        keys = seeds if crosswalk.inputs_only else known
+        hits = stage_hits(keys, crosswalk, bound, rows_per_task)
+        links = scratch.keep(stage_links(hits), f"links-{rank}")
+        bad = links.where(F.col("value").isNull() & F.col("raw").isNotNull())
+        text = F.concat(F.lit("Invalid "), F.upper("kind"), F.lit(": "), F.col("raw"))
+        errors = errors.unionByName(
+            bad.select(F.lit(crosswalk.name).alias("stage"), text.alias("message"))
+        )
+        found = links.count()
+        if found:
+            used.append(crosswalk.name)
+        bound += found
+        known = known.unionByName(links.where("value IS NOT NULL").select("kind", "value"))
+        links_by_stage[crosswalk.name] = links
+    return Stages(seeds, links_by_stage, used, errors)
 
 
 def resolve(
@@ -170,45 +210,23 @@ def resolve(
     spark: SparkSession = identifiers.sparkSession
     scratch = scratch or Scratch(spark, "resolve")
     before = scratch.tables()
-    seeds = scratch.keep(dedup_identifiers(identifiers), "seeds")
-    known = seeds.select("kind", "value")
-    bound = seeds.count()
+    stages = lookup_stages(identifiers, crosswalks, scratch, rows_per_task=rows_per_task)
 
-    no_position = F.lit(None).cast(seeds.schema["pos"].dataType)
-    asserted = seeds.select("kind", "value", F.lit(0).alias("stage"), "pos")
-    edges, errors, used, links_by_stage = [], [], [], {}
-    for rank, crosswalk in enumerate(crosswalks, start=1):
-        keys = seeds if crosswalk.inputs_only else known
-        hits = stage_hits(keys, crosswalk, bound, rows_per_task)
-        links = scratch.keep(stage_links(hits), f"links-{rank}")
+    no_position = F.lit(None).cast(stages.seeds.schema["pos"].dataType)
+    asserted = stages.seeds.select("kind", "value", F.lit(0).alias("stage"), "pos")
+    all_edges = spark.createDataFrame([], "src string, dst string")
+    for rank, links in enumerate(stages.links.values(), start=1):
         good = links.where(F.col("value").isNotNull())
-        errors.append(
-            links.where(F.col("value").isNull() & F.col("raw").isNotNull()).select(
-                F.lit(crosswalk.name).alias("stage"),
-                F.concat(
-                    F.lit("Invalid "), F.upper("kind"), F.lit(": "), F.col("raw")
-                ).alias("message"),
-            )
-        )
-        n_links = links.count()
-        if n_links:
-            used.append((crosswalk.name,))
-        bound += n_links
-        new_values = good.select("kind", "value")
-        edges.append(good.select(F.col("id").alias("src"), id_key(F.col("kind"), F.col("value")).alias("dst")))
         asserted = asserted.unionByName(
-            new_values.select("kind", "value", F.lit(rank).alias("stage"), no_position.alias("pos"))
+            good.select("kind", "value", F.lit(rank).alias("stage"), no_position.alias("pos"))
         )
-        known = known.unionByName(new_values)
-        links_by_stage[crosswalk.name] = links
+        dst = id_key(F.col("kind"), F.col("value"))
+        all_edges = all_edges.unionByName(good.select(F.col("id").alias("src"), dst.alias("dst")))
 
     vertices = asserted.groupBy("kind", "value").agg(
         F.min("stage").alias("stage"), F.min("pos").alias("pos")
     )
     vertices = vertices.withColumn("id", id_key(F.col("kind"), F.col("value")))
-    all_edges = edges[0] if edges else spark.createDataFrame([], "src string, dst string")
-    for more in edges[1:]:
-        all_edges = all_edges.unionByName(more)
     members = scratch.keep(
         components(vertices, all_edges, scratch, rows_per_task=rows_per_task), "members"
     )
@@ -225,20 +243,22 @@ def resolve(
         )
         .select(*KINDS, "pos", "component")
     )
-    all_errors = spark.createDataFrame([], "stage string, message string")
-    for more in errors:
-        all_errors = all_errors.unionByName(more)
     return Resolution(
         records,
         members,
         losing_values(members, rows_per_task),
-        spark.createDataFrame(used, "source string"),
-        all_errors,
+        sources_frame(spark, stages.used),
+        stages.errors,
         scratch,
-        links_by_stage,
+        stages.links,
     )
 
 
+def sources_frame(spark: SparkSession, used: Sequence[str]) -> DataFrame:
+    """``source``: one row per stage that answered."""
+    return spark.createDataFrame([(name,) for name in used], "source string")
+
+
 def losing_values(members: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """``component, kind, value, kept``: values that did not become the record's."""
     group = F.concat_ws(" ", "kind", "component")
