@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from citeloom.functions.identifiers import (
     KINDS,
     compact,
-    id_key,
     identifier_error,
     identifier_key,
     key_kind,
@@ -74,8 +73,3 @@ def widen(members: DataFrame, group: str, value: Column | None = None) -> DataFr
     return members.groupBy(group).agg(
         *[F.min(kind_value(F.col("kind"), value, k)).alias(k) for k in KINDS]
     )
-
-
-def keyed(ids: DataFrame) -> DataFrame:
-    """Add ``id``, the ``kind:value`` key."""
-    return ids.withColumn("id", id_key(F.col("kind"), F.col("value")))

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from citeloom.functions.identifiers import find_pmcid, identifier_key, key_kind, key_value
 from citeloom.functions.jsontext import OPTIONS, is_single_value, present_text
 from citeloom.functions.metadata import (
-    author_names,
     journal_name,
     metadata_struct,
     year,
@@ -306,19 +305,3 @@ def summary_metadata(
     return rows.where(F.col("entry") != "{}").select(
         F.col("pmid").alias("key"), meta.alias("metadata")
     )
-
-
-__all__ = [
-    "author_names",
-    "esearch_errors",
-    "esearch_ids",
-    "esummary_crosswalk",
-    "external_ids",
-    "graph_metadata",
-    "idconv_crosswalk",
-    "read_responses",
-    "response_errors",
-    "restrict_to_requested",
-    "summary_metadata",
-    "usable",
-]
