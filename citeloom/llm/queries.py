@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import prefix_counts, records, sharding, transducer
+from citeloom.llm import pii, prefix_counts, records, sharding, templates, transducer
 from citeloom.llm.session import documents
 from citeloom.scratch import Scratch
 
@@ -29,6 +29,15 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(documents(spark, sf_dir))
+
+
+def op7_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return templates.contaminated(documents(spark, sf_dir), benchmark)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = prefix_counts.prefix_counts(
         documents(spark, sf_dir),
@@ -54,6 +63,8 @@ def op10_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_token_records": op2_token_records,
     "op3_byte_bpe": op3_byte_bpe,
+    "op6_pii_spans": op6_pii_spans,
+    "op7_template_decontamination": op7_template_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_minimax_shards": op10_minimax_shards,
 }
