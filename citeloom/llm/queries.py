@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import pii, prefix_counts, records, sharding, templates, transducer
+from citeloom.llm import pii, prefix_counts, quality, records, sharding, templates, transducer
 from citeloom.llm.session import documents
 from citeloom.scratch import Scratch
 
@@ -29,6 +29,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir), ["doc_id"], Scratch(spark, "quality"))
+
+
 def op6_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(documents(spark, sf_dir))
 
@@ -63,6 +67,7 @@ def op10_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_token_records": op2_token_records,
     "op3_byte_bpe": op3_byte_bpe,
+    "op5_quality_outliers": op5_quality_outliers,
     "op6_pii_spans": op6_pii_spans,
     "op7_template_decontamination": op7_template_decontamination,
     "op9_token_counts": op9_token_counts,
