@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import pii, prefix_counts, quality, records, sharding, templates, transducer
+from citeloom.llm import pii, prefix_counts, quality, records, secrets, sharding, templates, transducer
 from citeloom.llm.session import documents
 from citeloom.scratch import Scratch
 
@@ -42,6 +42,10 @@ def op7_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.contaminated(documents(spark, sf_dir), benchmark)
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(documents(spark, sf_dir), Scratch(spark, "secrets"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = prefix_counts.prefix_counts(
         documents(spark, sf_dir),
@@ -70,6 +74,7 @@ QUERIES = {
     "op5_quality_outliers": op5_quality_outliers,
     "op6_pii_spans": op6_pii_spans,
     "op7_template_decontamination": op7_template_decontamination,
+    "op8_secret_scan": op8_secret_scan,
     "op9_token_counts": op9_token_counts,
     "op10_minimax_shards": op10_minimax_shards,
 }
