@@ -6,11 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import pii, prefix_counts, quality, records, secrets, sharding, templates, transducer
+from citeloom.llm import minhash, pii, prefix_counts, quality, records, secrets, sharding, templates, transducer
 from citeloom.llm.session import documents
 from citeloom.scratch import Scratch
 
 
+def op1_minhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.classes(documents(spark, sf_dir), Scratch(spark, "minhash"))
+
+
 def op2_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.token_records(
         documents(spark, sf_dir),
@@ -69,6 +73,7 @@ def op10_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash_classes": op1_minhash_classes,
     "op2_token_records": op2_token_records,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_quality_outliers": op5_quality_outliers,
