@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import minhash, pii, prefix_counts, quality, records, secrets, sharding, templates, transducer
+from citeloom.llm import lm, minhash, pii, prefix_counts, quality, records, secrets, sharding, templates, transducer
 from citeloom.llm.session import documents
 from citeloom.scratch import Scratch
 
@@ -33,6 +33,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(documents(spark, sf_dir), Scratch(spark, "lm"))
+
+
 def op5_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir), ["doc_id"], Scratch(spark, "quality"))
 
@@ -76,6 +80,7 @@ QUERIES = {
     "op1_minhash_classes": op1_minhash_classes,
     "op2_token_records": op2_token_records,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_lm_scores": op4_lm_scores,
     "op5_quality_outliers": op5_quality_outliers,
     "op6_pii_spans": op6_pii_spans,
     "op7_template_decontamination": op7_template_decontamination,

@@ -19,7 +19,6 @@ empty table gives no records; other columns are not read.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from array import array
@@ -33,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.llm.pieces import Memo, Pieces
-from citeloom.llm.session import file_bytes, id_and_text, importable
+from citeloom.llm.session import file_bytes, folder_address, id_and_text, importable
 from citeloom.scratch import Scratch
 
 INDEX = "file string, offset long, length long, doc_id long, n_tokens long, before long"
@@ -188,14 +187,6 @@ def _encoder(data: Broadcast, width: str) -> Encoder:
     return _encoders[key]
 
 
-def _folder(scratch: Scratch, name: str) -> str:
-    """A folder's full address in the session's file systems."""
-    spark = scratch.spark
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch.path}/{name}")
-    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
-    return re.sub(r"^file:/+", "file:///", full)
-
-
 def write_records(
     docs: DataFrame,
     vocabulary_path: str,
@@ -210,7 +201,7 @@ def write_records(
     importable(spark)
     data = spark.sparkContext.broadcast(file_bytes(vocabulary_path))
     width = "H" if vocabulary_size <= 1 << 16 else "I"
-    folder = _folder(scratch, name)
+    folder = folder_address(scratch, name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
@@ -251,7 +242,7 @@ def read_records(index: DataFrame, scratch: Scratch, name: str = "records") -> D
 
     Checksums are verified. Index rows may come in any order and any selection.
     """
-    folder = _folder(scratch, name)
+    folder = folder_address(scratch, name)
     importable(index.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

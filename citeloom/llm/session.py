@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citeloom.scratch import Scratch
+
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -34,3 +37,11 @@ def file_bytes(path: str) -> bytes:
     """A vocabulary file, read by the driver; its size is fixed, so it may be broadcast."""
     with open(path, "rb") as handle:
         return handle.read()
+
+
+def folder_address(scratch: Scratch, name: str) -> str:
+    """The full address of one of a run's folders, for tasks that open its files themselves."""
+    spark = scratch.spark
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch.path}/{name}")
+    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return re.sub(r"^file:/+", "file:///", full)
