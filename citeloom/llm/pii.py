@@ -4,8 +4,8 @@ Two detectors of the same kinds run: one over the text as it is, one over the te
 by transducers. The transducers rewrite look-alike letters and full-width forms, drop invisible
 characters, and turn spelled digits and ``at``/``dot`` disguises into what they stand for; each
 character they put out carries the stretch of source it came from, so what is found in the
-normalised text maps back to code points of the source. A found stretch counts if it holds a
-rewritten character and does not overlap a plain one of its kind.
+normalised text maps back to code points of the source. A found stretch counts if it reads
+otherwise than its source and does not overlap a plain one of its kind.
 
 Cases: null text counts as empty; rows repeat as they come; an empty table gives an empty table;
 ``find`` reads no other columns and ``redact`` keeps all columns as they are but the text.
@@ -166,11 +166,10 @@ class Normalised:
         self.text = text
         self.starts = list(range(len(text)))
         self.ends = list(range(1, len(text) + 1))
-        self.rewritten = bytearray(len(text))
 
     def rewrite(self, pattern: re.Pattern, put: Callable[[re.Match], str]) -> None:
         text, at = [], 0
-        starts, ends, rewritten = [], [], bytearray()
+        starts, ends = [], []
         for match in pattern.finditer(self.text):
             a, b = match.span()
             out = put(match)
@@ -179,17 +178,14 @@ class Normalised:
             text += (self.text[at:a], out)
             starts += self.starts[at:a]
             ends += self.ends[at:a]
-            rewritten += self.rewritten[at:a]
             starts += [self.starts[a]] * len(out)
             ends += [self.ends[b - 1]] * len(out)
-            rewritten += b"\1" * len(out)
             at = b
         if at:
             text.append(self.text[at:])
             self.text = "".join(text)
             self.starts = starts + self.starts[at:]
             self.ends = ends + self.ends[at:]
-            self.rewritten = rewritten + self.rewritten[at:]
 
     def source(self, span: Span) -> Span:
         return self.starts[span[0]], self.ends[span[1] - 1]
@@ -241,7 +237,7 @@ def spans(text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:
         for kind, found in plain(clear.text).items():
             for span in found:
                 start, end = clear.source(span)
-                if any(clear.rewritten[span[0] : span[1]]) and all(
+                if text[start:end] != clear.text[span[0] : span[1]] and all(
                     end <= a or b <= start for a, b in base[kind]
                 ):
                     added[kind].append((start, end))
