@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from citeloom.llm.pieces import Memo, Pieces
 from citeloom.llm.session import file_bytes, folder_address, id_and_text, importable
+from citeloom.llm.vocab import byte_letters
 from citeloom.scratch import Scratch
 
 INDEX = "file string, offset long, length long, doc_id long, n_tokens long, before long"
@@ -40,6 +41,11 @@ HEAD = "<Bq"
 NULL_ID, WIDE = 1, 2
 # Bytes read from a record file at a time.
 READ_STEP = 8 << 20
+# Documents encoded at a time, and words remembered by one Python worker.
+ENCODE_STEP = 256
+WORDS_KEPT = 1_000_000
+# Marks that the split keeps apart from letters before them, when nothing follows.
+MARKS = ",."
 
 
 class Crc32c:
@@ -112,8 +118,10 @@ class Encoder:
     """Whole texts to ids with the tokenizers library.
 
     Words are encoded once each: a lone space or line break between words is a border that no
-    token crosses, so the words a batch has not met before are encoded together as one text, cut
-    where a token begins with a space. Other texts go through the library as they are.
+    token crosses. A word of letters is one piece of the split, and so is the comma or full stop
+    after it; such pieces go straight to the library's model. Other words that are new are encoded
+    together as one text, cut where a token begins with a space. Texts with other white space go
+    through the library as they are.
     """
 
     def __init__(self, vocabulary: bytes, width: str):
@@ -129,27 +137,47 @@ class Encoder:
         self.opens = opens
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.pieces = Pieces("")
-        self.words = Memo(self._alone)  # by the word with what stands before it
+        self.letters = {byte: letter for letter, byte in byte_letters().items()}
+        self.marks = {mark: self._alone(mark) for mark in MARKS}
+        self.words = Memo(self._alone, kept=WORDS_KEPT)  # a word after a line break with the break
         self.feed = self._alone("\n")
 
     def _alone(self, text: str) -> bytes:
         return array(self.width, self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a space and letters, which the split keeps together."""
+        shown = piece.encode().decode("latin-1").translate(self.letters)
+        return array(self.width, [t.id for t in self.library.model.tokenize(shown)]).tobytes()
+
     def _learn(self, texts: list[list[list[str]]]) -> None:
-        """Encode the spaced words not yet known, all in one call."""
+        """Encode the spaced words not yet known."""
         known = self.words
-        new = list({w for lines in texts for words in lines for w in words[1:]} - known.keys())
-        if not new:
-            return
+        new = {w for lines in texts for words in lines for w in words[1:]} - known.keys()
         if len(known) + len(new) > known.kept:
             known.clear()
+            new = {w for lines in texts for words in lines for w in words[1:]}
+        rest = []
+        for word in new:
+            if word.isalpha():
+                known[word] = self._piece(" " + word)
+            elif word[-1] in self.marks and word[:-1].isalpha():
+                stem = known.get(word[:-1])
+                if stem is None:
+                    stem = known[word[:-1]] = self._piece(" " + word[:-1])
+                known[word] = stem + self.marks[word[-1]]
+            else:
+                rest.append(word)
+        if not rest:
+            return
+        joined = " " + " ".join(rest)
         ids = np.array(
-            self.library.encode(" " + " ".join(new), add_special_tokens=False).ids,
+            self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids,
             dtype=np.uint16 if self.width == "H" else np.uint32,
         )
         data, size = ids.tobytes(), ids.itemsize
         starts = np.flatnonzero(self.opens[ids]).tolist()
-        for word, start, end in zip(new, starts, [*starts[1:], len(ids)], strict=True):
+        for word, start, end in zip(rest, starts, [*starts[1:], len(ids)], strict=True):
             known[word] = data[start * size : end * size]
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -215,16 +243,18 @@ def write_records(
             if out is None:
                 store.create_dir(root, recursive=True)
                 out = store.open_output_stream(attempt)
-            ids = encoder.encode(batch.column("text").to_pylist())
             rows: list[tuple] = []
-            for doc_id, own in zip(batch.column("doc_id").to_pylist(), ids):
-                flags = wide | (NULL_ID if doc_id is None else 0)
-                record = frame(struct.pack(HEAD, flags, doc_id or 0) + own + end, crc)
-                out.write(record)
-                n = len(own) // len(end) + 1
-                rows.append((file, offset, len(record), doc_id, n, before))
-                offset += len(record)
-                before += n
+            for at in range(0, batch.num_rows, ENCODE_STEP):
+                few = batch.slice(at, ENCODE_STEP)
+                ids = encoder.encode(few.column("text").to_pylist())
+                for doc_id, own in zip(few.column("doc_id").to_pylist(), ids):
+                    flags = wide | (NULL_ID if doc_id is None else 0)
+                    record = frame(struct.pack(HEAD, flags, doc_id or 0) + own + end, crc)
+                    out.write(record)
+                    n = len(own) // len(end) + 1
+                    rows.append((file, offset, len(record), doc_id, n, before))
+                    offset += len(record)
+                    before += n
             if rows:
                 columns = [pa.array(c, k) for c, k in zip(zip(*rows), [pa.string(), *[pa.int64()] * 5])]
                 yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in INDEX.split(", ")])
