@@ -109,6 +109,10 @@ comp AS (SELECT id, min(other) AS component FROM reach GROUP BY id
          UNION ALL SELECT id, (SELECT min(id) FROM touched) FROM touched),
 members AS (SELECT DISTINCT n.id, n.kind, n.value, c.component FROM named n JOIN comp c USING (id))"""
 
+_CONFLICTS = """SELECT component, kind,
+  'Conflicting ' || kind || ' values encountered: [''' || least || ''', ''' || value || ''']' AS message
+FROM (SELECT *, min(value) OVER (PARTITION BY component, kind) AS least FROM members) WHERE value <> least"""
+
 _WIDE = """min(CASE WHEN kind = 'pmid' THEN value END) AS pmid,
   min(CASE WHEN kind = 'pmcid' THEN value END) AS pmcid,
   min(CASE WHEN kind = 'doi' THEN value END) AS doi"""
@@ -274,9 +278,9 @@ ORDER BY coalesce('pmid:' || pmid, 'pmcid:' || pmcid, 'doi:' || doi)""",
     "q_merge_hub": f"""{with_views('hub_recs', recursive=True)}, {_HUB}
 SELECT {_WIDE} FROM members GROUP BY component""",
     "q_conflicts": f"""{with_views('recs', recursive=True)}, {_graph('recs')}
-SELECT component, kind, 'Conflicting ' || kind || ' values encountered: [' ||
-  string_agg('''' || value || '''', ', ' ORDER BY value) || ']' AS message
-FROM members GROUP BY component, kind HAVING count(*) > 1""",
+{_CONFLICTS}""",
+    "q_conflicts_hub": f"""{with_views('hub_recs', recursive=True)}, {_HUB}
+{_CONFLICTS}""",
     "q_conflict_counts": f"""{with_views('hub_recs', recursive=True)}, {_HUB}
 SELECT component, kind, count(*) AS n FROM members GROUP BY component, kind HAVING count(*) > 1""",
     "q_jsonl_records": f"""{with_views('raw_lines')}, {_MERGE_LINES}
@@ -289,8 +293,14 @@ SELECT path, k, pmid, pmcid, doi FROM n WHERE rn = 1""",
     "q_dedup_ids": f"""{with_views('recs')}, long AS ({_long('recs')})
 SELECT ({_kind('raw')}) AS kind, ({_value('raw')}) AS value, min(k) AS pos FROM long
 WHERE ({_kind('raw')}) IS NOT NULL GROUP BY 1, 2""",
-    "q_hash_ids": f"""{with_views('raw_ids')}, n AS (SELECT {_strip('raw')} AS x FROM raw_ids)
-SELECT substr(sha256(string_agg(x, chr(10) ORDER BY x)), 1, 16) AS hash, count(*) AS n FROM n WHERE x <> ''""",
+    "q_hash_ids": f"""{with_views('raw_ids')},
+items AS (SELECT {_strip('raw')} AS x, count(*) AS n FROM raw_ids WHERE {_strip('raw')} <> '' GROUP BY 1),
+leaves AS (SELECT cast('0x' || substr(sha256(x), 1, 5) AS INT) AS leaf,
+  sha256(string_agg(sha256(x) || ':' || n, chr(10) ORDER BY sha256(x) || ':' || n)) AS digest, sum(n) AS n FROM items GROUP BY 1),
+branches AS (SELECT cast(floor(leaf / 1024) AS INT) AS leaf, sum(n) AS n,
+  sha256(string_agg(lpad(cast(leaf AS string), 7, '0') || ':' || digest, chr(10) ORDER BY leaf)) AS digest FROM leaves GROUP BY 1)
+SELECT substr(sha256(string_agg(lpad(cast(leaf AS string), 7, '0') || ':' || digest, chr(10) ORDER BY leaf)), 1, 16) AS hash,
+  cast(sum(n) AS BIGINT) AS n FROM branches""",
     "q_search": f"""{with_views('corpus')} SELECT doc_id, strftime(pub_date, '%Y-%m-%d') AS pub_date FROM corpus
 WHERE contains(text, 'URGENT') AND pub_date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'""",
     "q_search_open_end": f"""{with_views('corpus')} SELECT doc_id FROM corpus

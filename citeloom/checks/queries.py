@@ -144,7 +144,13 @@ def _(spark, sf):
 @_query("q_conflicts")
 def _(spark, sf):
     members = grouped_members(view(spark, sf, "recs"), Scratch(spark, "conflicts"))
-    return conflict_messages(members).select("component", "kind", "message")
+    return conflict_messages(members)
+
+
+@_query("q_conflicts_hub")
+def _(spark, sf):
+    members = grouped_members(view(spark, sf, "hub_recs"), Scratch(spark, "conflicts"))
+    return conflict_messages(members, rows_per_task=1_000)
 
 
 @_query("q_conflict_counts")

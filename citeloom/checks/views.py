@@ -68,7 +68,7 @@ SELECT o_orderkey AS k, 'f' || cast(o_orderkey % 3 AS string) AS path,
 FROM orders""",
     "raw_lines": f"""
 SELECT 'f' || cast(o_orderkey % 3 AS string) || '.jsonl' AS path, {_div(3)} + 1 AS line_no,
-       CASE o_orderkey % 19
+       CASE o_orderkey % 23
          WHEN 0 THEN '{{"pmid":"' || {_K} || '","pmcid":null,"doi":"10.1000/D' || {_K} || '"}}'
          WHEN 1 THEN '  {{"pmid":' || {_K} || '}}  '
          WHEN 2 THEN '{{bad'
@@ -87,6 +87,10 @@ SELECT 'f' || cast(o_orderkey % 3 AS string) || '.jsonl' AS path, {_div(3)} + 1
          WHEN 15 THEN '{{"doi":["10.1000/L' || {_K} || '"]}}'
          WHEN 16 THEN '{{"pmid":"   "}}'
          WHEN 17 THEN '{{"pmid":"' || {_K} || '"}}{{"pmid":"2"}}'
+         WHEN 18 THEN '{{"pmid":"' || {_K} || '"}}] junk'
+         WHEN 19 THEN '{{"pmid":"' || {_K} || '"}}],[{{'
+         WHEN 20 THEN '{{"pmid":"' || {_K} || '"}} ] }}'
+         WHEN 21 THEN '[1] ] x'
          ELSE '{{"pmid":true,"extra":{{"a":[1,2]}}}}' END AS value
 FROM orders""",
     "inputs": f"""
@@ -107,7 +111,7 @@ FROM orders WHERE o_orderkey % 5 <> 0""",
     "responses": f"""
 SELECT 'entrez' AS source, {_K} AS request_key,
        CASE WHEN o_orderkey % 11 = 0 THEN 500 WHEN o_orderkey % 7 = 0 THEN 404 ELSE 200 END AS status,
-       CASE WHEN o_orderkey % 13 = 0 THEN '<html>busy</html>' ELSE
+       CASE WHEN o_orderkey % 13 = 0 THEN '<html>busy</html>' WHEN o_orderkey % 13 = 1 THEN '{{"result":{{}}}} ] junk' ELSE
        '{{"result":{{"uids":["' || {_K} || '"],"' || {_K} ||
        '":{{"pubdate":"' || CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE cast(1890 + o_orderkey % 130 AS string) || ' Mar 11' END ||
        '","sortpubdate":"2001/03/11 00:00","title":"T' || {_K} ||

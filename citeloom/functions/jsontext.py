@@ -20,11 +20,14 @@ def parse_object(text: Column, schema: str) -> Column:
 def is_single_value(text: Column) -> Column:
     """True when the text is exactly one JSON value.
 
-    ``from_json`` ignores whatever follows the first value; wrapped in brackets the text must
-    parse to its end and count one element.
+    JSON functions ignore whatever follows the first value they can close. Put in an array before
+    a number that the text cannot know of, the text is whole if the array has two elements and the
+    second is that number.
     """
-    length = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
-    return F.coalesce(length == 1, F.lit(False))
+    mark = F.xxhash64(text).cast("string")
+    array = F.concat(F.lit("["), text, F.lit(","), mark, F.lit("]"))
+    whole = (F.json_array_length(array) == 2) & (F.get_json_object(array, "$[1]") == mark)
+    return F.coalesce(whole, F.lit(False))
 
 
 def truthy(value: Column, document: Column, key: str) -> Column:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.operators.lookup import MAX_HOT_KEYS, ROWS_PER_TASK, hot_keys, lookup
+from citeloom.operators.lookup import ROWS_PER_TASK, hot_bound, hot_keys, lookup
 from citeloom.scratch import Scratch
 
 
@@ -50,6 +50,7 @@ def parents(
         size = tree.agg(
             F.max("split").alias("split"),
             F.coalesce(F.max("n"), F.lit(0)).alias("most"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("edges"),
             F.count(F.lit(1)).alias("vertices"),
         ).first()
         raised = _raised(tree, size["vertices"], rows_per_task)
@@ -62,7 +63,7 @@ def parents(
                 raised.where("split"),
                 "id",
                 how="inner",
-                hot=_hot_vertices(tree, size["most"], rows_per_task),
+                hot=_hot_vertices(tree, size["most"], size["edges"], rows_per_task),
                 null_keys=False,
             )
             .where(F.col("other") != F.col("old"))
@@ -89,18 +90,13 @@ def _raised(tree: DataFrame, vertices: int, rows_per_task: int) -> DataFrame:
     )
 
 
-def _hot_vertices(tree: DataFrame, most: int, rows_per_task: int) -> list[tuple[str, int]]:
+def _hot_vertices(tree: DataFrame, most: int, edges: int, rows_per_task: int) -> list[tuple[str, int]]:
     """Vertices with many edges, known from the counts just taken."""
     if most <= rows_per_task:
         return []
-    rows = (
-        tree.where(F.col("n") > rows_per_task)
-        .orderBy(F.desc("n"), "id")
-        .select("id", "n")
-        .limit(MAX_HOT_KEYS)
-        .collect()
-    )
-    return [(r["id"], -(-r["n"] // rows_per_task)) for r in rows]
+    bound = hot_bound(edges, rows_per_task)
+    rows = tree.where(F.col("n") > bound).select("id", "n").collect()
+    return [(r["id"], -(-r["n"] // bound)) for r in rows]
 
 
 def _shorten(

@@ -1,23 +1,25 @@
-"""Order-free content hashes for run folders.
+"""Content hashes for run folders, the same rule at every size.
 
-The exact hash is one SHA-256 over all values in sorted order, so every byte passes through one
-digest. It is used while the input is small enough for that (checked first). Beyond the bound a
-tree of digests takes its place: sorted leaves of equal size, then digests of digests.
+A hash is a tree of digests of bounded fan-in, so no task sees more than one leaf's digests.
+Identifiers are hashed as a multiset: their leaves come from their own digests. Files are hashed
+in order: their leaves are stretches of lines, in path and line order.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.functions.identifiers import strip
-from citeloom.sources.lines import read_lines
+from citeloom.sources.lines import read_lines, with_line_numbers
 
-EXACT_BYTES = 64 * 1024 * 1024
 HASH_LENGTH = 16
 _FANOUT = 1024
+# Fixed value: what an input without identifiers is answered with.
+_NO_IDENTIFIERS = "at least one identifier is required to compute a hash"
 
 
 def _digest(values: Column) -> Column:
@@ -46,61 +48,77 @@ def _tree_digest(items: DataFrame) -> DataFrame:
     )
 
 
-def hash_identifiers(
-    ids: DataFrame, column: str = "id", *, exact_bytes: int = EXACT_BYTES
-) -> DataFrame:
+def hash_identifiers(ids: DataFrame, column: str = "id", *, mode: str = "tree") -> DataFrame:
     """One-row ``hash, n`` of a column of identifiers: stripped, blanks dropped, order-free.
 
-    Repeated identifiers count as often as they occur.
+    Repeated identifiers count as often as they occur. ``mode="exact"`` is one SHA-256 over all
+    values in sorted order, which passes through one task: for lists known to be short, where the
+    hash has to equal one made elsewhere.
     """
+    if mode not in ("tree", "exact"):
+        raise ValueError("mode is tree or exact")
     cleaned = ids.select(strip(F.col(column)).alias("item")).where(F.col("item") != "")
-    counted = cleaned.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    size = cleaned.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("item") + 1).alias("bytes")
-    ).first()
-    if not size["n"]:
-        raise ValueError("at least one identifier is required to compute a hash")
-    if size["bytes"] > exact_bytes:
-        return _tree_digest(counted)
-    return cleaned.agg(
-        F.substring(_digest(F.collect_list("item")), 1, HASH_LENGTH).alias("hash"),
-        F.count(F.lit(1)).alias("n"),
+    if cleaned.isEmpty():
+        raise ValueError(_NO_IDENTIFIERS)
+    if mode == "exact":
+        return cleaned.agg(
+            F.substring(_digest(F.collect_list("item")), 1, HASH_LENGTH).alias("hash"),
+            F.count(F.lit(1)).alias("n"),
+        )
+    return _tree_digest(cleaned.groupBy("item").agg(F.count(F.lit(1)).alias("n")))
+
+
+def hash_values(values: Sequence[str]) -> str:
+    """Exact hash of a short list held by the driver, such as a query and its date bounds."""
+    cleaned = sorted(v.strip() for v in values if v.strip())
+    if not cleaned:
+        raise ValueError(_NO_IDENTIFIERS)
+    return hashlib.sha256("\n".join(cleaned).encode()).hexdigest()[:HASH_LENGTH]
+
+
+def _in_order(rows: DataFrame, keys: Sequence[str], place: str) -> DataFrame:
+    """Digest of each group's digests in the order of ``place``, one level up the tree."""
+    listed = F.array_sort(F.collect_list(F.struct(F.col(place), F.col("digest"))))
+    return rows.groupBy(*keys).agg(
+        F.sha2(F.array_join(F.transform(listed, lambda r: r["digest"]), "\n"), 256).alias("digest")
     )
 
 
-def hash_values(spark: SparkSession, values: Sequence[str]) -> str:
-    """Hash of a short list held by the driver, such as a query and its date bounds."""
-    rows = spark.createDataFrame([(v,) for v in values], "id string")
-    return hash_identifiers(rows).first()["hash"]
+def file_digests(lines: DataFrame, levels: int = 3) -> DataFrame:
+    """``path, digest`` of ``path, line_no, value`` rows; ``line_no`` counts from 1.
+
+    ``levels`` times, stretches of as many rows as the fan-in become one; the few that are left of
+    a file (more than a trillion lines apart) become its digest.
+    """
+    rows = lines.select("path", (F.col("line_no") - 1).alias("place"), F.sha2("value", 256).alias("digest"))
+    for _ in range(levels):
+        rows = _in_order(
+            rows.withColumn("up", F.floor(F.col("place") / _FANOUT)), ["path", "up"], "place"
+        ).withColumnRenamed("up", "place")
+    return _in_order(rows, ["path"], "place")
 
 
-def hash_files(
-    spark: SparkSession, paths: Sequence[str], *, exact_bytes: int = EXACT_BYTES
-) -> str:
+def hash_files(spark: SparkSession, paths: Sequence[str]) -> str:
     """Hash of file contents in path order; names do not count, missing paths are skipped.
 
-    Beyond ``exact_bytes`` the files' lines are hashed as a tree, which no longer depends on the
-    order of lines or files.
+    Each file counts with its length in bytes and its lines, as Spark reads them, in order.
     """
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    found, size = [], 0
-    for path in sorted(paths):
+    found = []
+    for path in sorted(set(paths)):
         hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
         fs = hadoop_path.getFileSystem(conf)
         if fs.exists(hadoop_path):
-            found.append(path)
-            size += fs.getContentSummary(hadoop_path).getLength()
-    if not found:
-        return spark.range(1).select(
-            F.substring(F.sha2(F.lit(""), 256), 1, HASH_LENGTH).alias("hash")
-        ).first()["hash"]
-    if size > exact_bytes:
-        lines = read_lines(spark, found).groupBy(F.col("value").alias("item"))
-        return _tree_digest(lines.agg(F.count(F.lit(1)).alias("n"))).first()["hash"]
-    files = spark.read.format("binaryFile").load(found).select("path", "content")
-    whole = F.aggregate(
-        F.sort_array(F.collect_list(F.struct("path", "content"))),
-        F.lit(b""),
-        lambda seen, f: F.concat(seen, f["content"]),
-    )
-    return files.agg(F.substring(F.sha2(whole, 256), 1, HASH_LENGTH).alias("hash")).first()["hash"]
+            found.append((path, fs.getContentSummary(hadoop_path).getLength()))
+    digests = {}
+    if found:
+        lines = read_lines(spark, [p for p, _ in found])
+        numbered = with_line_numbers(lines, lines).select("path", "line_no", "value")
+        # One row per file, as many as paths were given.
+        digests = {r["path"]: r["digest"] for r in file_digests(numbered).collect()}
+    # A folder's files count in the order of their paths, under the path that was given.
+    whole = hashlib.sha256()
+    for path, length in found:
+        own = [digests[p] for p in sorted(digests) if p == path or p.startswith(path.rstrip("/") + "/")]
+        whole.update(f"{length}:{','.join(own)}\n".encode())
+    return whole.hexdigest()[:HASH_LENGTH]

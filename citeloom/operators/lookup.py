@@ -14,10 +14,9 @@ from pyspark.sql import functions as F
 
 # Fact rows of one key that a single task is asked to handle.
 ROWS_PER_TASK = 1_000_000
-# Hot keys that are spread. The table of them is this long at most, so broadcasting it is safe.
-MAX_HOT_KEYS = 1_000
-# Size of the frequent-items sketch; a key it misses holds well under 1/1,000 of the rows.
-_TRACKED = 10_000
+# A hot key holds at least this part of all rows, so there are never more hot keys than this and
+# broadcasting the table of them is safe.
+MAX_HOT_KEYS = 100_000
 _NULL_SLOTS = 65_536
 # Key sets up to this many rows (a few MB) are broadcast to prune the table they are looked up in.
 BROADCAST_KEYS = 100_000
@@ -28,23 +27,24 @@ HotKeys = list[tuple[str, int]]
 def hot_keys(
     facts: DataFrame, key: str, *, total: int | None = None, rows_per_task: int = ROWS_PER_TASK
 ) -> HotKeys:
-    """``(key, slots)`` for keys holding more than about ``rows_per_task`` rows.
+    """``(key, slots)`` for every key holding more rows than one task should handle.
 
-    Found by a sketch: one pass over the key column, one sketch per task, no shuffle of keys.
-    The answer only steers how rows are spread, so an estimate will do. With a known total that
-    no key can exceed, nothing is run.
+    That is ``rows_per_task`` or, in tables so large that more keys than ``MAX_HOT_KEYS`` could
+    exceed it, that share of all rows. Counts are exact and combine map-side. With a total that no
+    key can exceed, nothing is run.
     """
-    if total is not None and total <= rows_per_task:
+    if total is None:
+        total = facts.where(F.col(key).isNotNull()).count()
+    if total <= rows_per_task:
         return []
-    sketch = F.call_function(
-        "approx_top_k", F.col(key), F.lit(MAX_HOT_KEYS), F.lit(_TRACKED)
-    )
-    found = facts.where(F.col(key).isNotNull()).agg(sketch.alias("top")).first()["top"] or []
-    return [
-        (item["item"], -(-item["count"] // rows_per_task))
-        for item in found
-        if item["count"] > rows_per_task
-    ]
+    bound = hot_bound(total, rows_per_task)
+    counted = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return [(r[key], -(-r["_n"] // bound)) for r in counted.where(F.col("_n") > bound).collect()]
+
+
+def hot_bound(total: int, rows_per_task: int) -> int:
+    """Rows of one key above which it is spread; fewer keys than ``MAX_HOT_KEYS`` exceed it."""
+    return max(rows_per_task, total // MAX_HOT_KEYS)
 
 
 def prune(table: DataFrame, keys: DataFrame, key: str, bound: int) -> DataFrame:

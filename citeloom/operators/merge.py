@@ -15,9 +15,6 @@ from citeloom.operators.records import identifier_errors, record_keys, widen
 from citeloom.scratch import Scratch
 from citeloom.sources.lines import MERGE_MISSING, read_records
 
-# A conflict message lists this many values at most; longer lists continue in further messages.
-VALUES_PER_MESSAGE = 10_000
-
 
 @dataclass(frozen=True)
 class MergeResult:
@@ -80,38 +77,41 @@ def _quoted(value: Column) -> Column:
     )
 
 
-def conflict_messages(
-    members: DataFrame,
-    *,
-    values_per_message: int = VALUES_PER_MESSAGE,
-    rows_per_task: int = ROWS_PER_TASK,
-    total: int | None = None,
+def conflict_values(
+    members: DataFrame, *, rows_per_task: int = ROWS_PER_TASK, total: int | None = None
 ) -> DataFrame:
-    """``component, kind, part, message``: every conflicting value, listed in sorted order.
-
-    A list longer than ``values_per_message`` is cut by value hash into several messages that
-    together name all values, so no group is gathered whole.
-    """
+    """``component, kind, value, chosen``: every value that is not the one its record keeps."""
     group = F.concat_ws(" ", "kind", "component")
-    disputed = conflicts(members).select(
-        group.alias("group"),
-        F.ceil(F.col("n") / F.lit(values_per_message)).cast("int").alias("parts"),
+    counted = members.groupBy("component", "kind").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("chosen")
     )
+    disputed = counted.where(F.col("n") > 1).select(group.alias("group"), "chosen")
     facts = members.select(group.alias("group"), "component", "kind", "value")
     hot = hot_keys(facts, "group", total=total, rows_per_task=rows_per_task)
     listed = lookup(facts, disputed, "group", how="inner", hot=hot, null_keys=False)
-    part = F.pmod(F.xxhash64("value"), F.col("parts")).cast("int")
-    parts = listed.groupBy("component", "kind", part.alias("part")).agg(
-        F.sort_array(F.collect_list("value")).alias("values")
+    return listed.where(F.col("value") != F.col("chosen")).select(
+        "component", "kind", "value", "chosen"
     )
+
+
+def conflict_messages(
+    members: DataFrame, *, rows_per_task: int = ROWS_PER_TASK, total: int | None = None
+) -> DataFrame:
+    """``component, kind, message``: each value beside the one its record keeps.
+
+    One row per value at every size, so no group is gathered.
+    """
+    rows = conflict_values(members, rows_per_task=rows_per_task, total=total)
     text = F.concat(
         F.lit("Conflicting "),
         F.col("kind"),
         F.lit(" values encountered: ["),
-        F.array_join(F.transform("values", _quoted), ", "),
+        _quoted(F.col("chosen")),
+        F.lit(", "),
+        _quoted(F.col("value")),
         F.lit("]"),
     )
-    return parts.select("component", "kind", "part", text.alias("message"))
+    return rows.select("component", "kind", text.alias("message"))
 
 
 def merge(
@@ -119,7 +119,6 @@ def merge(
     scratch: Scratch | None = None,
     *,
     rows_per_task: int = ROWS_PER_TASK,
-    values_per_message: int = VALUES_PER_MESSAGE,
 ) -> MergeResult:
     """Merge records with columns ``pmid, pmcid, doi`` (and optionally ``path``)."""
     scratch = scratch or Scratch(records.sparkSession, "merge")
@@ -133,7 +132,6 @@ def merge(
     )
     disputed = conflict_messages(
         members,
-        values_per_message=values_per_message,
         rows_per_task=rows_per_task,
         total=members.count(),
     ).select(

@@ -1,7 +1,7 @@
 """Run manifests, counters and sinks.
 
-A manifest is a one-row DataFrame of fixed schema. Its error list is complete up to a bound;
-longer lists stand in the run's error table alone, which always holds every error.
+A manifest is a one-row DataFrame of fixed schema. It counts the errors and names the run's error
+table, which holds every one of them.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from citeloom.functions.metadata import METADATA_TYPE
 
 ERROR_SCHEMA = "stage string, path string, line_no bigint, message string"
-INLINE_ERRORS = 1_000
 
 # Absent values are written as null, not left out; other formats pass this option over.
 JSON_NULLS = {"ignoreNullFields": "false"}
@@ -31,17 +30,17 @@ SEARCH_SCHEMA = (
 )
 RESOLVE_SCHEMA = (
     "input_file string, input_count bigint, unique_inputs bigint, record_count bigint, "
-    "sources array<string>, error_count bigint, errors array<string>, input_hash string, "
+    "sources array<string>, error_count bigint, errors_path string, input_hash string, "
     "run_started_at string, records_path string"
 )
 MERGE_SCHEMA = (
     "input_files array<string>, input_hash string, record_count bigint, error_count bigint, "
-    "errors array<string>, run_started_at string, records_path string"
+    "errors_path string, run_started_at string, records_path string"
 )
 FULLTEXT_SCHEMA = (
     "input_files array<string>, input_hash string, record_count bigint, "
     "records_with_text bigint, records_without_text bigint, text_sources array<string>, "
-    "metadata_sources array<string>, error_count bigint, errors array<string>, "
+    "metadata_sources array<string>, error_count bigint, errors_path string, "
     "run_started_at string, records_dir string"
 )
 
@@ -82,15 +81,6 @@ def sources_used(used: DataFrame, column: str = "source") -> DataFrame:
     return names.agg(F.sort_array(F.collect_list("s")).alias("sources"))
 
 
-def inline_errors(errors: DataFrame) -> tuple[int, list[str] | None]:
-    """Count of errors, and their texts when there are few enough to list in a manifest."""
-    count = errors.count()
-    if count > INLINE_ERRORS:
-        return count, None
-    rows = errors.orderBy("stage", "path", "line_no", "message").select("message").collect()
-    return count, [r["message"] for r in rows]
-
-
 def one_row(spark: SparkSession, schema: str, values: dict) -> DataFrame:
     frame = spark.createDataFrame([], schema)
     return spark.createDataFrame([tuple(values.get(c) for c in frame.columns)], schema)
@@ -106,10 +96,11 @@ def read_manifest(spark: SparkSession, run_dir: str) -> dict:
     return json.loads(spark.read.text(f"{run_dir}/metadata.json").first()["value"])
 
 
-def write_errors(errors: DataFrame, run_dir: str) -> DataFrame:
+def write_errors(errors: DataFrame, run_dir: str) -> tuple[int, str]:
+    """Write the run's error table; gives back the number of errors and the table's path."""
     path = f"{run_dir}/errors"
     errors.write.mode("overwrite").parquet(path)
-    return errors.sparkSession.read.schema(errors.schema).parquet(path)
+    return errors.sparkSession.read.schema(errors.schema).parquet(path).count(), path
 
 
 def write_id_list(ids: DataFrame, path: str, column: str = "pmid") -> None:

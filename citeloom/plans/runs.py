@@ -73,7 +73,7 @@ def search_run(
     first, last = parse_date_option("start-date", start), parse_date_option("end-date", end)
     parts = [query] + [f"start:{start}"] * bool(start) + [f"end:{end}"] * bool(end)
     started = clock()
-    path = layout.search_run(hash_values(spark, parts), started.strftime("%Y%m%d"))
+    path = layout.search_run(hash_values(parts), started.strftime("%Y%m%d"))
 
     found = search(corpus, predicate, first, last).orderBy(*(order or [id_column]))
     m.write_id_list(found, f"{path}/pmids.txt", id_column)
@@ -107,43 +107,41 @@ def resolve_run(
 ) -> Run:
     """Resolve a file of identifiers; ``service_errors`` are error rows of landed responses."""
     layout = layout or DataLayout.from_session(spark)
-    scratch = Scratch(spark, "resolve")
-    started = clock()
-    good, bad = classified_inputs(identifier_list(spark, input_file), strict)
-    inputs = scratch.keep(good, "inputs")
-    keys = inputs.select(id_key(F.col("kind"), F.col("value")).alias("id"))
-    digest = hash_identifiers(keys).first()["hash"]
-    path = layout.resolve_run(digest)
-
-    result = resolve(inputs, crosswalks, scratch)
-    records_path = f"{path}/records.jsonl"
-    m.write_records(in_input_order(result.records), records_path)
-    parts = [bad, result.errors]
-    if service_errors is not None:
-        parts.append(service_errors.select(F.col("source").alias("stage"), "message"))
-    errors = m.write_errors(m.error_log(*parts), path)
-    error_count, listed = m.inline_errors(errors)
-    counts = m.input_counts(inputs).first()
-    records = _read_records(spark, records_path)
-    row = m.one_row(
-        spark,
-        m.RESOLVE_SCHEMA,
-        {
-            "input_file": input_file,
-            "input_count": counts["input_count"],
-            "unique_inputs": counts["unique_inputs"],
-            "record_count": records.count(),
-            "sources": m.sources_used(result.sources).first()["sources"],
-            "error_count": error_count,
-            "errors": listed,
-            "input_hash": digest,
-            "run_started_at": utc_stamp(started),
-            "records_path": records_path,
-        },
-    )
-    m.write_manifest(row, path)
-    scratch.close()
-    return Run(path, row, records)
+    with Scratch(spark, "resolve") as scratch:
+        started = clock()
+        good, bad = classified_inputs(identifier_list(spark, input_file), strict)
+        inputs = scratch.keep(good, "inputs")
+        keys = inputs.select(id_key(F.col("kind"), F.col("value")).alias("id"))
+        digest = hash_identifiers(keys).first()["hash"]
+        path = layout.resolve_run(digest)
+
+        result = resolve(inputs, crosswalks, scratch)
+        records_path = f"{path}/records.jsonl"
+        m.write_records(in_input_order(result.records), records_path)
+        parts = [bad, result.errors]
+        if service_errors is not None:
+            parts.append(service_errors.select(F.col("source").alias("stage"), "message"))
+        error_count, errors_path = m.write_errors(m.error_log(*parts), path)
+        counts = m.input_counts(inputs).first()
+        records = _read_records(spark, records_path)
+        row = m.one_row(
+            spark,
+            m.RESOLVE_SCHEMA,
+            {
+                "input_file": input_file,
+                "input_count": counts["input_count"],
+                "unique_inputs": counts["unique_inputs"],
+                "record_count": records.count(),
+                "sources": m.sources_used(result.sources).first()["sources"],
+                "error_count": error_count,
+                "errors_path": errors_path,
+                "input_hash": digest,
+                "run_started_at": utc_stamp(started),
+                "records_path": records_path,
+            },
+        )
+        m.write_manifest(row, path)
+        return Run(path, row, records)
 
 
 def merge_run(
@@ -161,28 +159,27 @@ def merge_run(
     digest = hash_files(spark, input_files)
     path = layout.merge_run(digest)
 
-    result = merge_paths(spark, input_files)
-    records_path = f"{path}/records.jsonl"
-    m.write_records(in_output_order(result.records), records_path)
-    errors = m.write_errors(m.error_log(result.errors), path)
-    error_count, listed = m.inline_errors(errors)
-    records = _read_records(spark, records_path)
-    row = m.one_row(
-        spark,
-        m.MERGE_SCHEMA,
-        {
-            "input_files": sorted(input_files),
-            "input_hash": digest,
-            "record_count": records.count(),
-            "error_count": error_count,
-            "errors": listed,
-            "run_started_at": utc_stamp(started),
-            "records_path": records_path,
-        },
-    )
-    m.write_manifest(row, path)
-    result.scratch.close()
-    return Run(path, row, records)
+    with Scratch(spark, "merge") as scratch:
+        result = merge_paths(spark, input_files, scratch)
+        records_path = f"{path}/records.jsonl"
+        m.write_records(in_output_order(result.records), records_path)
+        error_count, errors_path = m.write_errors(m.error_log(result.errors), path)
+        records = _read_records(spark, records_path)
+        row = m.one_row(
+            spark,
+            m.MERGE_SCHEMA,
+            {
+                "input_files": sorted(input_files),
+                "input_hash": digest,
+                "record_count": records.count(),
+                "error_count": error_count,
+                "errors_path": errors_path,
+                "run_started_at": utc_stamp(started),
+                "records_path": records_path,
+            },
+        )
+        m.write_manifest(row, path)
+        return Run(path, row, records)
 
 
 def fulltext_run(
@@ -202,53 +199,51 @@ def fulltext_run(
     if not input_files:
         raise ValueError("At least one JSONL file must be provided")
     layout = layout or DataLayout.from_session(spark)
-    scratch = Scratch(spark, "fulltext")
-    started = clock()
-    digest = hash_files(spark, input_files)
-    path = layout.fulltext_run(digest)
-
-    loaded, parse_errors = read_records(spark, input_files, FULLTEXT_MISSING)
-    indexed = dense_index(
-        dedup_triples(loaded), ["path", "block", "line_id"], "index", scratch
-    ).select("index", "pmid", "pmcid", "doi")
-    records = scratch.keep(indexed, "records")
-    chosen = scratch.keep(choose_text_source(records, text_providers), "chosen")
-    total = chosen.count()
-    described = attach_metadata(chosen, metadata_providers, total=total)
-    whole = attach_text(described, text_providers, total=total)
-
-    records_dir = f"{path}/records"
-    slug = record_slug(F.col("pmid"), F.col("pmcid"), F.col("doi"), F.col("index"))
-    whole.select(
-        slug.alias("slug"), "pmid", "pmcid", "doi", "text", "text_source", "metadata"
-    ).write.format(record_format).options(**m.JSON_NULLS).mode("overwrite").save(records_dir)
-    written = spark.read.schema(m.FULLTEXT_RECORD).format(record_format).load(records_dir)
-
-    read = parse_errors.select(F.lit("read").alias("stage"), "path", "line_no", "message")
-    missed = text_errors(chosen).select(F.lit("text").alias("stage"), "message")
-    errors = m.write_errors(m.error_log(read, missed), path)
-    error_count, listed = m.inline_errors(errors)
-    counts = m.text_counts(chosen).first()
-    row = m.one_row(
-        spark,
-        m.FULLTEXT_SCHEMA,
-        {
-            "input_files": list(input_files),
-            "input_hash": digest,
-            **counts.asDict(),
-            "text_sources": m.sources_used(chosen, "text_source").first()["sources"],
-            "metadata_sources": m.sources_used(
-                written.select(F.col("metadata.source").alias("source"))
-            ).first()["sources"],
-            "error_count": error_count,
-            "errors": listed,
-            "run_started_at": utc_stamp(started),
-            "records_dir": records_dir,
-        },
-    )
-    m.write_manifest(row, path)
-    scratch.close()
-    return Run(path, row, written)
+    with Scratch(spark, "fulltext") as scratch:
+        started = clock()
+        digest = hash_files(spark, input_files)
+        path = layout.fulltext_run(digest)
+
+        loaded, parse_errors = read_records(spark, input_files, FULLTEXT_MISSING)
+        indexed = dense_index(
+            dedup_triples(loaded), ["path", "block", "line_id"], "index", scratch
+        ).select("index", "pmid", "pmcid", "doi")
+        records = scratch.keep(indexed, "records")
+        chosen = scratch.keep(choose_text_source(records, text_providers), "chosen")
+        total = chosen.count()
+        described = attach_metadata(chosen, metadata_providers, total=total)
+        whole = attach_text(described, text_providers, total=total)
+
+        records_dir = f"{path}/records"
+        slug = record_slug(F.col("pmid"), F.col("pmcid"), F.col("doi"), F.col("index"))
+        whole.select(
+            slug.alias("slug"), "pmid", "pmcid", "doi", "text", "text_source", "metadata"
+        ).write.format(record_format).options(**m.JSON_NULLS).mode("overwrite").save(records_dir)
+        written = spark.read.schema(m.FULLTEXT_RECORD).format(record_format).load(records_dir)
+
+        read = parse_errors.select(F.lit("read").alias("stage"), "path", "line_no", "message")
+        missed = text_errors(chosen).select(F.lit("text").alias("stage"), "message")
+        error_count, errors_path = m.write_errors(m.error_log(read, missed), path)
+        counts = m.text_counts(chosen).first()
+        row = m.one_row(
+            spark,
+            m.FULLTEXT_SCHEMA,
+            {
+                "input_files": list(input_files),
+                "input_hash": digest,
+                **counts.asDict(),
+                "text_sources": m.sources_used(chosen, "text_source").first()["sources"],
+                "metadata_sources": m.sources_used(
+                    written.select(F.col("metadata.source").alias("source"))
+                ).first()["sources"],
+                "error_count": error_count,
+                "errors_path": errors_path,
+                "run_started_at": utc_stamp(started),
+                "records_dir": records_dir,
+            },
+        )
+        m.write_manifest(row, path)
+        return Run(path, row, written)
 
 
 def _read_records(spark: SparkSession, path: str) -> DataFrame:

@@ -6,25 +6,26 @@ after another is lost, and planned with known sizes.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_root: str | None = None
-
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only on a local master."""
-    global _local_root
+    """The folder named by ``spark.checkpoint.dir``, else one in the session's file system.
+
+    On a cluster whose file system is each machine's own disk there is no such folder, so one has
+    to be named.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    system = spark._jvm.org.apache.hadoop.fs.FileSystem.get(spark._jsc.hadoopConfiguration())
+    local_master = spark.sparkContext.master.split("[")[0] == "local"
+    if system.getUri().getScheme() == "file" and not local_master:
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="citeloom-")
-    return _local_root
+    folder = f"/tmp/citeloom-checkpoints-{spark.sparkContext.applicationId}"
+    return system.makeQualified(spark._jvm.org.apache.hadoop.fs.Path(folder)).toString()
 
 
 class Scratch:
@@ -55,6 +56,12 @@ class Scratch:
     def tables(self) -> set[str]:
         return set(self._tables)
 
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        self.close()
+
     def close(self) -> None:
         """Remove the whole folder; results that read from it must be written first."""
         self._delete(self.path)

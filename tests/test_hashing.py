@@ -3,6 +3,7 @@ import random
 
 import pytest
 
+from citeloom.operators import hashing
 from citeloom.operators.hashing import hash_files, hash_identifiers, hash_values
 
 
@@ -11,37 +12,66 @@ def _hash(spark, values, **options):
     return hash_identifiers(df, **options).first()["hash"]
 
 
-def test_identifier_hash_is_order_free_and_counts_repeats(spark):
-    a = _hash(spark, ["pmid:123", "doi:10.1000/xyz"])
-    assert a == _hash(spark, ["doi:10.1000/xyz ", "  ", "pmid:123"]) and len(a) == 16
-    joined = "\n".join(sorted(["doi:10.1000/xyz", "pmid:123"])).encode()
-    assert a == hashlib.sha256(joined).hexdigest()[:16]
-    assert a != _hash(spark, ["pmid:123", "pmid:123", "doi:10.1000/xyz"])
-    assert hash_values(spark, ["pmid:123", "doi:10.1000/xyz"]) == a
+def test_exact_hash_is_that_of_the_sorted_list(spark):
+    ids = ["pmid:77", "doi:10.5/q", "pmcid:PMC8"]
+    want = hashlib.sha256("\n".join(sorted(ids)).encode()).hexdigest()[:16]
+    assert _hash(spark, [" pmid:77", "  ", "doi:10.5/q ", "pmcid:PMC8"], mode="exact") == want
+    assert hash_values(ids) == hash_values(ids[::-1] + [" "]) == want
+    with pytest.raises(ValueError, match="tree or exact"):
+        _hash(spark, ids, mode="other")
 
 
 def test_empty_input_is_an_error(spark):
     with pytest.raises(ValueError, match="at least one identifier"):
         _hash(spark, ["  "])
+    with pytest.raises(ValueError, match="at least one identifier"):
+        hash_values(["\t"])
 
 
-def test_tree_hash_beyond_the_bound(spark):
+def test_tree_hash_is_order_free_and_counts_repeats(spark):
     values = [str(i) for i in range(3_000)] + ["7"] * 500
     shuffled = values[:]
     random.Random(1).shuffle(shuffled)
-    tree = _hash(spark, values, exact_bytes=100)
-    assert tree == _hash(spark, shuffled, exact_bytes=100)
-    assert tree != _hash(spark, values[:-1], exact_bytes=100)
-    assert tree != _hash(spark, values)
-
-
-def test_file_hash(spark, tmp_path):
-    a, b = tmp_path / "a.txt", tmp_path / "b.txt"
-    a.write_bytes(b"hello\n")
-    b.write_bytes(b"world\n")
-    want = hashlib.sha256(b"hello\nworld\n").hexdigest()[:16]
-    assert hash_files(spark, [str(b), str(a)]) == want
-    assert hash_files(spark, [str(a), str(b), str(tmp_path / "missing")]) == want
+    tree = _hash(spark, values)
+    assert tree == _hash(spark, shuffled) and len(tree) == 16
+    assert tree != _hash(spark, values[:-1])
+    assert tree != _hash(spark, values[1:] + ["x"])
+
+
+def test_the_rule_does_not_depend_on_size(spark):
+    """Adding values one by one never changes how the others are hashed."""
+    from hashlib import sha256
+
+    for n in (1, 5, 400):
+        leaves = {}
+        for i in range(n):
+            sha = sha256(str(i).encode()).hexdigest()
+            leaves.setdefault(int(sha[:5], 16), []).append(f"{sha}:1")
+        level = {k: sha256("\n".join(sorted(v)).encode()).hexdigest() for k, v in leaves.items()}
+        branches = {}
+        for k, d in level.items():
+            branches.setdefault(k // 1024, []).append(f"{k:07d}:{d}")
+        top = [f"{k:07d}:" + sha256("\n".join(sorted(v)).encode()).hexdigest() for k, v in branches.items()]
+        assert _hash(spark, map(str, range(n))) == sha256("\n".join(sorted(top)).encode()).hexdigest()[:16]
+
+
+def test_file_hash_keeps_order(spark, tmp_path, monkeypatch):
+    def write(name, text):
+        (tmp_path / name).write_bytes(text.encode())
+        return str(tmp_path / name)
+
+    lines = [f"line {i}" for i in range(50)]
+    whole = "\n".join(lines) + "\n"
+    a = hash_files(spark, [write("a", whole)])
+    assert a == hash_files(spark, [write("b", whole)]) and len(a) == 16  # names do not count
+    swapped = "\n".join([lines[1], lines[0], *lines[2:]]) + "\n"
+    assert a != hash_files(spark, [write("c", swapped)])
+    assert a != hash_files(spark, [write("d", whole.rstrip())])
+    two = [write("e", "one\n"), write("f", "two\n")]
+    assert hash_files(spark, two) == hash_files(spark, two[::-1] + [str(tmp_path / "missing")])
+    assert hash_files(spark, two) != hash_files(spark, [write("g", "two\n"), write("h", "one\n")])
+    assert hash_files(spark, two) != hash_files(spark, [write("i", "one\ntwo\n")])
     assert hash_files(spark, [str(tmp_path / "missing")]) == hashlib.sha256().hexdigest()[:16]
-    tree = hash_files(spark, [str(a), str(b)], exact_bytes=1)
-    assert tree == hash_files(spark, [str(b), str(a)], exact_bytes=1) != want
+    # More levels than one in use.
+    monkeypatch.setattr(hashing, "_FANOUT", 4)
+    assert hash_files(spark, [write("a", whole)]) != hash_files(spark, [write("c", swapped)])

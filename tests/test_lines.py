@@ -1,5 +1,8 @@
 import pytest
 
+from pyspark.sql import functions as F
+
+from citeloom.functions.jsontext import is_single_value
 from citeloom.sources.lines import (
     FULLTEXT_MISSING,
     dedup_triples,
@@ -74,3 +77,18 @@ def test_triples_are_deduplicated_across_files_first_kept(spark, write_lines):
         (a, "1", None), (a, " 1", None), (b, None, "10.1/A"),
     ]
     assert [r["message"] for r in errors.collect()] == [f"{b}:3: record missing identifiers"]
+
+
+@pytest.mark.parametrize(
+    "text",
+    ['{"pmid":"1"}] junk', '{"pmid":"2"}],[{', '{"pmid":"3"} ] }', '{"pmid":"4"},5', '{"pmid":"5"} x', "{", "", "]", "1] 2"],
+)
+def test_what_follows_a_json_value_makes_it_invalid(spark, text):
+    row = spark.createDataFrame([(text,)], "t string")
+    assert row.select(is_single_value(F.col("t"))).first()[0] is False
+
+
+@pytest.mark.parametrize("text", ['{"pmid":"1"}', " [1, 2] ", "3", '"]"', "null", '{"a":[{}]}'])
+def test_whole_json_values(spark, text):
+    row = spark.createDataFrame([(text,)], "t string")
+    assert row.select(is_single_value(F.col("t"))).first()[0] is True

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from citeloom.operators.lookup import hot_keys, lookup, prune
+from citeloom.operators.lookup import MAX_HOT_KEYS, hot_bound, hot_keys, lookup, prune
 
 
 def _facts(spark):
@@ -15,12 +15,26 @@ def _table(spark):
     return some.unionAll(spark.sql("SELECT 'hot' AS key, 2 AS x"))
 
 
-def test_hot_keys_are_found_by_one_sketch(spark):
+def test_hot_keys_are_counted(spark):
     hot = hot_keys(_facts(spark), "key", rows_per_task=1_000)
     assert [k for k, _ in hot] == ["hot"] and hot[0][1] >= 10
+    assert hot == [("hot", 10)]
     assert hot_keys(_facts(spark), "key", total=30_000, rows_per_task=30_000) == []
 
 
+def test_every_hot_key_is_spread_however_many(spark):
+    facts = spark.range(60_000).select("id", F.concat(F.lit("k"), F.col("id") % 1_500).alias("key"))
+    hot = hot_keys(facts, "key", rows_per_task=10)
+    assert sorted(hot) == sorted((f"k{i}", 4) for i in range(1_500))
+    table = spark.range(1_500).select(F.concat(F.lit("k"), "id").alias("key"), F.col("id").alias("x"))
+    joined = lookup(facts, table, "key", hot=hot)
+    assert joined.where("concat('k', x) = key").count() == 60_000
+
+
+def test_so_many_keys_that_the_bound_rises():
+    assert hot_bound(5 * MAX_HOT_KEYS, 3) == 5 and hot_bound(5 * MAX_HOT_KEYS, 30) == 30
+
+
 def test_spread_lookup_gives_the_plain_join(spark):
     facts, table = _facts(spark), _table(spark)
     want = sorted(map(tuple, facts.join(table, "key", "left").select("id", "key", "x").collect()))

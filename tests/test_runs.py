@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from citeloom.functions.dates import date_error, iso_date, parse_date_option
 from citeloom.operators import fulltext as ft
 from citeloom.operators import resolve as rs
+from citeloom.operators.hashing import hash_files, hash_identifiers
 from citeloom.operators.ordering import dense_index, one_page, paged
 from citeloom.operators.search import contains, search
 from citeloom.plans import manifest as m
@@ -98,7 +99,7 @@ def test_resolve_run(spark, tmp_path):
     stages = [rs.idconv(resp.idconv_crosswalk(df)), rs.esummary(resp.esummary_crosswalk(df)), rs.graph(resp.external_ids(df))]
     run = resolve_run(spark, str(ids), stages, service_errors=resp.response_errors(df), layout=DataLayout(str(tmp_path)), clock=clock)
     keys = ["pmid:32256646", "pmcid:PMC7086438", "doi:10.1155/2020/4598217", "pmid:32256646"]
-    digest = hashlib.sha256("\n".join(sorted(keys)).encode()).hexdigest()[:16]
+    digest = hash_identifiers(spark.createDataFrame([(k,) for k in keys], "id string")).first()["hash"]
     assert run.path == f"{tmp_path}/interim/resolved/{digest}"
     assert _lines(spark, f"{run.path}/records.jsonl") == [
         {"pmid": "32256646", "pmcid": "PMC7086438", "doi": "10.1155/2020/4598217"}
@@ -106,7 +107,12 @@ def test_resolve_run(spark, tmp_path):
     row = m.read_manifest(spark, run.path)
     assert (row["input_count"], row["unique_inputs"], row["record_count"]) == (4, 3, 1)
     assert row["sources"] == ["entrez", "pmc"] and row["input_hash"] == digest
-    assert row["errors"] == ["semantic-scholar: error 429 for 32256646"]
+    assert row["error_count"] == 1
+    assert _messages(spark, row) == ["semantic-scholar: error 429 for 32256646"]
+
+
+def _messages(spark, row):
+    return [r["message"] for r in spark.read.parquet(row["errors_path"]).collect()]
 
 
 def test_merge_run_writes_nulls_and_repeats_in_place(spark, tmp_path, write_lines):
@@ -119,12 +125,12 @@ def test_merge_run_writes_nulls_and_repeats_in_place(spark, tmp_path, write_line
         {"pmid": None, "pmcid": None, "doi": "10.1/only"},
         {"pmid": "1", "pmcid": "PMC1", "doi": "10.1/abc"},
     ]
-    content = open(a, "rb").read() + open(b, "rb").read()
     assert m.read_manifest(spark, run.path) == {
-        "input_files": [a, b], "input_hash": hashlib.sha256(content).hexdigest()[:16], "record_count": 2,
-        "error_count": 1, "errors": [f"{a}:3: invalid JSON"], "run_started_at": "2024-01-15T12:00:00Z",
+        "input_files": [a, b], "input_hash": hash_files(spark, [a, b]), "record_count": 2,
+        "error_count": 1, "errors_path": f"{run.path}/errors", "run_started_at": "2024-01-15T12:00:00Z",
         "records_path": f"{run.path}/records.jsonl",
     }
+    assert _messages(spark, m.read_manifest(spark, run.path)) == [f"{a}:3: invalid JSON"]
     with pytest.raises(ValueError):
         merge_run(spark, [])
 
@@ -151,15 +157,26 @@ def test_fulltext_run(spark, tmp_path, write_lines, record_format):
     row = m.read_manifest(spark, run.path)
     assert (row["record_count"], row["records_with_text"], row["records_without_text"]) == (3, 2, 1)
     assert row["text_sources"] == ["ace", "pubget"] and row["metadata_sources"] == ["entrez"]
-    assert row["errors"] == [f"{path}:5: record missing identifiers"] and row["input_files"] == [path]
+    assert _messages(spark, row) == [f"{path}:5: record missing identifiers"] and row["input_files"] == [path]
     assert os.path.isdir(row["records_dir"])
 
 
-def test_error_lists_stay_whole_beyond_the_inline_bound(spark, monkeypatch):
-    errors = spark.range(20).select(
+def test_every_error_is_in_the_error_table(spark, tmp_path):
+    errors = spark.range(2_000).select(
         F.lit("s").alias("stage"), F.lit(None).cast("string").alias("path"),
         F.col("id").alias("line_no"), F.concat(F.lit("e"), "id").alias("message"),
     )
-    assert m.inline_errors(errors)[1][0] == "e0" and m.inline_errors(errors)[0] == 20
-    monkeypatch.setattr(m, "INLINE_ERRORS", 10)
-    assert m.inline_errors(errors) == (20, None)
+    count, path = m.write_errors(errors, str(tmp_path))
+    assert (count, path) == (2_000, f"{tmp_path}/errors")
+    assert spark.read.parquet(path).select("message").distinct().count() == 2_000
+
+
+def test_scratch_goes_when_a_run_fails(spark, tmp_path, monkeypatch):
+    closed = []
+    monkeypatch.setattr("citeloom.scratch.Scratch.close", lambda self: closed.append(self.path))
+    monkeypatch.setattr("citeloom.plans.runs.resolve", lambda *a: 1 / 0)
+    ids = tmp_path / "ids.txt"
+    ids.write_text("7\n")
+    with pytest.raises(ZeroDivisionError):
+        resolve_run(spark, str(ids), [], layout=DataLayout(str(tmp_path)), clock=clock)
+    assert len(closed) == 1
