@@ -62,8 +62,9 @@ def _error(x: str) -> str:
       WHEN NOT {_digits(s)} AND NOT contains({s}, '/') THEN 'Unrecognized identifier: ' || {x} END"""
 
 
-def _present(x: str) -> str:
-    return f"CASE WHEN {x} NOT IN ('', '0', 'false', '[]', '{{}}') THEN {x} END"
+def _present(document: str, key: str) -> str:
+    value = f"json_extract({document}, '$.{key}')"
+    return f"CASE WHEN {_TRUTHY.format(v=value)} THEN {document} ->> '$.{key}' END"
 
 
 _LONG = """SELECT k, path, kv.key AS from_key, kv.raw AS raw FROM {view},
@@ -109,6 +110,9 @@ comp AS (SELECT id, min(other) AS component FROM reach GROUP BY id
          UNION ALL SELECT id, (SELECT min(id) FROM touched) FROM touched),
 members AS (SELECT DISTINCT n.id, n.kind, n.value, c.component FROM named n JOIN comp c USING (id))"""
 
+_LEVEL = """l{up} AS (SELECT path, cast(floor(place / 1024) AS BIGINT) AS place,
+  sha256(string_agg(digest, chr(10) ORDER BY place)) AS digest FROM l{low} GROUP BY 1, 2)"""
+
 _CONFLICTS = """SELECT component, kind,
   'Conflicting ' || kind || ' values encountered: [''' || least || ''', ''' || value || ''']' AS message
 FROM (SELECT *, min(value) OVER (PARTITION BY component, kind) AS least FROM members) WHERE value <> least"""
@@ -173,7 +177,7 @@ entries AS (SELECT request_key AS pmid, json_extract(body, '$.result."' || reque
             FROM good WHERE source = 'entrez')"""
 
 _SUMMARY_IDS = f"""{_ENTRIES},
-items AS (SELECT pmid, i.ordinality AS n, lower(i.a ->> '$.idtype') AS idtype, {_present("(i.a ->> '$.value')")} AS v
+items AS (SELECT pmid, i.ordinality AS n, lower(i.a ->> '$.idtype') AS idtype, {_present('i.a', 'value')} AS v
   FROM entries, unnest(CAST(json_extract(e, '$.articleids') AS JSON[])) WITH ORDINALITY AS i(a, ordinality)),
 kinds AS (SELECT pmid, n, CASE WHEN idtype IN ('pmc', 'pmcid') THEN 'pmcid' ELSE idtype END AS kind,
   CASE WHEN idtype = 'doi' THEN v ELSE coalesce(nullif(regexp_extract(upper({_strip('v')}), 'PMC[0-9]+'), ''),
@@ -301,6 +305,15 @@ branches AS (SELECT cast(floor(leaf / 1024) AS INT) AS leaf, sum(n) AS n,
   sha256(string_agg(lpad(cast(leaf AS string), 7, '0') || ':' || digest, chr(10) ORDER BY leaf)) AS digest FROM leaves GROUP BY 1)
 SELECT substr(sha256(string_agg(lpad(cast(leaf AS string), 7, '0') || ':' || digest, chr(10) ORDER BY leaf)), 1, 16) AS hash,
   cast(sum(n) AS BIGINT) AS n FROM branches""",
+    "q_hash_files": f"""{with_views('raw_lines')},
+l0 AS (SELECT path, line_no - 1 AS place, sha256(value) AS digest FROM raw_lines),
+{_LEVEL.format(up=1, low=0)}, {_LEVEL.format(up=2, low=1)}, {_LEVEL.format(up=3, low=2)}
+SELECT path, sha256(string_agg(digest, chr(10) ORDER BY place)) AS digest FROM l3 GROUP BY path""",
+    "q_merge_paths": f"""{with_views('recs', recursive=True)}, {_graph('recs')}
+SELECT {_WIDE} FROM members GROUP BY component""",
+    "q_identifier_list": f"{with_views('inputs')} SELECT raw FROM inputs",
+    "q_id_list": f"{with_views('corpus')} SELECT cast(doc_id AS string) AS pmid FROM corpus",
+    "q_landed": f"{with_views('responses')} SELECT source, request_key, cast(status AS INT) AS status, body FROM responses",
     "q_search": f"""{with_views('corpus')} SELECT doc_id, strftime(pub_date, '%Y-%m-%d') AS pub_date FROM corpus
 WHERE contains(text, 'URGENT') AND pub_date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'""",
     "q_search_open_end": f"""{with_views('corpus')} SELECT doc_id FROM corpus
@@ -322,9 +335,9 @@ SELECT 'pubmed' AS source, search_hash AS request_key, message FROM failed""",
     "q_status_routing": f"""{with_views('responses')}, e AS (SELECT source, request_key, {_RESPONSE_ERROR} AS message FROM responses)
 SELECT * FROM e WHERE message IS NOT NULL""",
     "q_idconv": f"""{with_views('responses')}, {_OK},
-items AS (SELECT request_key, i.n, i.r ->> '$.pmcid' AS pmcid, {_present("(i.r ->> '$.pmid')")} AS pmid, {_present("(i.r ->> '$.doi')")} AS doi
+items AS (SELECT request_key, i.n, {_present('i.r', 'pmcid')} AS pmcid, {_present('i.r', 'pmid')} AS pmid, {_present('i.r', 'doi')} AS doi
   FROM good, unnest(CAST(json_extract(body, '$.records') AS JSON[])) WITH ORDINALITY AS i(r, n) WHERE source = 'pmc'),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY pmcid ORDER BY request_key DESC, n DESC) AS rn FROM items WHERE {_present('pmcid')} IS NOT NULL)
+ranked AS (SELECT *, row_number() OVER (PARTITION BY pmcid ORDER BY request_key DESC, n DESC) AS rn FROM items WHERE pmcid IS NOT NULL)
 SELECT pmcid, pmid, doi FROM ranked WHERE rn = 1""",
     "q_esummary_ids": f"{with_views('responses')}, {_SUMMARY_IDS} SELECT pmid, pmcid, doi FROM xw",
     "q_semi_requested": f"""{with_views('responses', 'article_recs')}, {_SUMMARY_IDS}
@@ -332,9 +345,9 @@ SELECT pmid, pmcid, doi FROM xw WHERE pmid IN (SELECT pmid FROM article_recs WHE
     "q_external_ids": f"""{with_views('responses')}, {_OK},
 e AS (SELECT request_key, json_extract(body, '$.externalIds') AS x FROM good WHERE source = 'semantic-scholar'),
 n AS (SELECT ({_kind('request_key')}) AS kind, ({_value('request_key')}) AS value,
-  coalesce({_present("(x ->> '$.PMID')")}, {_present("(x ->> '$.pmid')")}) AS pmid,
-  coalesce({_present("(x ->> '$.PMCID')")}, {_present("(x ->> '$.pmcid')")}) AS pmcid,
-  coalesce({_present("(x ->> '$.DOI')")}, {_present("(x ->> '$.doi')")}) AS doi FROM e)
+  coalesce({_present('x', 'PMID')}, {_present('x', 'pmid')}) AS pmid,
+  coalesce({_present('x', 'PMCID')}, {_present('x', 'pmcid')}) AS pmcid,
+  coalesce({_present('x', 'DOI')}, {_present('x', 'doi')}) AS doi FROM e)
 SELECT * FROM n WHERE coalesce(pmid, pmcid, doi) IS NOT NULL""",
     "q_meta_graph": f"""{with_views('responses')}, {_OK}
 SELECT request_key AS key, body ->> '$.title' AS title, body ->> '$.abstract' AS abstract,

@@ -25,13 +25,14 @@ from citeloom.functions.once import evaluated
 from citeloom.functions.text import html_to_text, record_slug
 from citeloom.operators import fulltext as ft
 from citeloom.operators import resolve as rs
-from citeloom.operators.hashing import hash_identifiers
+from citeloom.operators.hashing import file_digests, hash_identifiers
 from citeloom.operators.merge import (
     conflict_messages,
     conflicts,
     grouped_members,
     in_output_order,
     merge,
+    merge_paths,
     merged_records,
 )
 from citeloom.operators.ordering import dense_index, one_page, paged
@@ -45,7 +46,7 @@ from citeloom.operators.search import contains, search
 from citeloom.plans import manifest as m
 from citeloom.scratch import Scratch
 from citeloom.sources import responses as resp
-from citeloom.sources.lines import dedup_triples, parse_records
+from citeloom.sources.lines import dedup_triples, identifier_list, parse_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -193,6 +194,42 @@ def _(spark, sf):
     return hash_identifiers(view(spark, sf, "raw_ids"), "raw")
 
 
+@_query("q_hash_files")
+def _(spark, sf):
+    return file_digests(view(spark, sf, "raw_lines"))
+
+
+# -- files written and read again ---------------------------------------------------------
+
+
+@_query("q_merge_paths")
+def _(spark, sf):
+    scratch = Scratch(spark, "paths")
+    m.write_records(view(spark, sf, "recs"), f"{scratch.path}/recs.jsonl")
+    return merge_paths(spark, [f"{scratch.path}/recs.jsonl"], scratch).records
+
+
+@_query("q_identifier_list")
+def _(spark, sf):
+    path = f"{Scratch(spark, 'ids').path}/ids.txt"
+    m.write_id_list(view(spark, sf, "inputs"), path, "raw")
+    return identifier_list(spark, path).select("raw")
+
+
+@_query("q_id_list")
+def _(spark, sf):
+    path = f"{Scratch(spark, 'ids').path}/pmids.txt"
+    m.write_id_list(view(spark, sf, "corpus"), path, "doc_id")
+    return spark.read.text(path).select(F.col("value").alias("pmid"))
+
+
+@_query("q_landed")
+def _(spark, sf):
+    path = f"{Scratch(spark, 'landed').path}/responses"
+    view(spark, sf, "responses").write.mode("overwrite").parquet(path)
+    return resp.read_responses(spark, path)
+
+
 # -- search -------------------------------------------------------------------------------
 
 

@@ -120,14 +120,17 @@ SELECT 'entrez' AS source, {_K} AS request_key,
        ',"articleids":[{{"idtype":"pubmed","value":"' || {_K} || '"}},{{"idtype":"pmc","value":"' ||
        CASE WHEN o_orderkey % 3 = 0 THEN 'none' ELSE 'PMC' || {_K} END ||
        '"}},{{"idtype":"PMCID","value":"' || CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE 'pmc-id: PMC' || {_K} || ';' END ||
-       '"}}' || CASE WHEN o_orderkey % 2 = 0 THEN ',{{"idtype":"doi","value":"10.1000/' || {_K} || '"}}' ELSE '' END ||
+       '"}}' || CASE WHEN o_orderkey % 18 = 0 THEN ',{{"idtype":"doi","value":"0"}}'
+         WHEN o_orderkey % 18 = 2 THEN ',{{"idtype":"doi","value":0}}'
+         WHEN o_orderkey % 2 = 0 THEN ',{{"idtype":"doi","value":"10.1000/' || {_K} || '"}}' ELSE '' END ||
        ']}}}}}}' END AS body
 FROM orders
 UNION ALL
 SELECT 'pmc' AS source, {_K} AS request_key,
        CASE WHEN o_orderkey % 11 = 0 THEN 429 ELSE 200 END AS status,
        '{{"status":"ok","records":[{{"pmcid":"PMC' || cast({_div(2)} AS string) || '","pmid":' || {_K} ||
-       ',"doi":"10.1000/' || {_K} || '"}},{{"requested-id":"x"}},{{"pmcid":"PMCX' || {_K} || '","pmid":null}}]}}' AS body
+       ',"doi":"10.1000/' || {_K} || '"}},{{"requested-id":"x"}},{{"pmcid":"PMCX' || {_K} || '","pmid":' ||
+       CASE o_orderkey % 3 WHEN 0 THEN 'null' WHEN 1 THEN '"0"' ELSE '0' END || '}}]}}' AS body
 FROM orders
 UNION ALL
 SELECT 'semantic-scholar' AS source,
@@ -138,7 +141,8 @@ SELECT 'semantic-scholar' AS source,
        ',"journal":' || CASE o_orderkey % 3 WHEN 0 THEN '{{"name":"JN' || {_K} || '","volume":"3"}}' WHEN 1 THEN 'null' ELSE '"Plain"' END ||
        ',"authors":[{{"authorId":"1","name":"N ' || {_K} || '"}},{{"name":null}},"text",{{"name":"M"}}]' ||
        ',"externalIds":' || CASE WHEN o_orderkey % 5 = 0 THEN '{{"MAG":"1"}}' ELSE
-       '{{"' || CASE WHEN o_orderkey % 2 = 0 THEN 'DOI' ELSE 'doi' END || '":"10.1000/S' || {_K} || '","PMID":' || {_K} || ',"CorpusId":7}}' END ||
+       '{{"' || CASE WHEN o_orderkey % 2 = 0 THEN 'DOI' ELSE 'doi' END || '":"10.1000/S' || {_K} || '","PMID":' ||
+       CASE o_orderkey % 17 WHEN 0 THEN '"0"' WHEN 1 THEN '0' ELSE {_K} END || ',"CorpusId":7}}' END ||
        '}}' AS body
 FROM orders""",
     # Search pages of three ids, 20 landed pages per search; totals, empty and failed pages vary.

@@ -45,6 +45,6 @@ def truthy(value: Column, document: Column, key: str) -> Column:
     return F.coalesce(present, F.lit(False))
 
 
-def present_text(value: Column) -> Column:
-    """Null for texts of empty JSON values inside a service payload, else the text."""
-    return F.when(~value.isin("", "0", "false", "[]", "{}"), value)
+def present_text(value: Column, document: Column, key: str) -> Column:
+    """The text of a top-level JSON value, null if the value does not count as present."""
+    return F.when(truthy(value, document, key), value)

@@ -148,18 +148,24 @@ def esearch_errors(pages: DataFrame) -> DataFrame:
 
 def idconv_crosswalk(responses: DataFrame) -> DataFrame:
     """``pmcid, pmid, doi`` of id-conversion responses; later rows of a PMCID win."""
-    schema = "records ARRAY<STRUCT<pmcid STRING, pmid STRING, doi STRING>>"
+    records = _parse(F.col("body"), "records ARRAY<STRING>")["records"]
     rows = usable(responses.where(F.col("source") == IDCONV)).select(
-        "request_key", F.posexplode(_parse(F.col("body"), schema)["records"]).alias("pos", "r")
+        "request_key", F.posexplode(records).alias("pos", "raw")
     )
+    fields = _parse(F.col("raw"), "pmcid STRING, pmid STRING, doi STRING")
+    read = evaluated(rows, "request_key", "pos", "raw", fields.alias("r"))
+
+    def present(kind: str) -> Column:
+        return present_text(F.col(f"r.{kind}"), F.col("raw"), kind)
+
     named = evaluated(
-        rows,
-        present_text(F.col("r.pmcid")).alias("pmcid"),
+        read,
+        present("pmcid").alias("pmcid"),
         F.struct(
             F.col("request_key"),
             F.col("pos"),
-            present_text(F.col("r.pmid")).alias("pmid"),
-            present_text(F.col("r.doi")).alias("doi"),
+            present("pmid").alias("pmid"),
+            present("doi").alias("doi"),
         ).alias("entry"),
     ).where(F.col("pmcid").isNotNull())
     last = named.groupBy("pmcid").agg(F.max("entry").alias("entry"))
@@ -184,13 +190,19 @@ def restrict_to_requested(entries: DataFrame, requested: DataFrame) -> DataFrame
 
 def esummary_crosswalk(responses: DataFrame, requested: DataFrame | None = None) -> DataFrame:
     """``pmid, pmcid, doi`` of summary responses; the last usable id of a kind wins."""
-    ids = _parse(F.col("entry"), "articleids ARRAY<STRUCT<idtype STRING, value STRING>>")[
-        "articleids"
-    ]
+    raw = _parse(F.col("entry"), "articleids ARRAY<STRING>")["articleids"]
+    ids = F.transform(
+        raw,
+        lambda r: F.struct(
+            r.alias("raw"),
+            F.lower(F.get_json_object(r, "$.idtype")).alias("idtype"),
+            F.get_json_object(r, "$.value").alias("value"),
+        ),
+    )
 
     def last(kinds: tuple[str, ...], read) -> Column:
-        wanted = F.filter("ids", lambda i: F.lower(i["idtype"]).isin(*kinds))
-        values = F.transform(wanted, lambda i: read(present_text(i["value"])))
+        wanted = F.filter("ids", lambda i: i["idtype"].isin(*kinds))
+        values = F.transform(wanted, lambda i: read(present_text(i["value"], i["raw"], "value")))
         return F.try_element_at(F.filter(values, lambda v: v.isNotNull()), F.lit(-1))
 
     listed = evaluated(_summary_entries(responses, requested), "pmid", ids.alias("ids"))
@@ -219,13 +231,14 @@ def external_ids(responses: DataFrame, extra_keys: bool = False) -> DataFrame:
         usable(responses.where(F.col("source") == GRAPH)),
         identifier_key(F.col("request_key")).alias("key"),
         found.alias("ids"),
+        F.get_json_object("body", "$.externalIds").alias("raw"),
     )
     picked = evaluated(
         rows,
         key_kind(F.col("key")).alias("kind"),
         key_value(F.col("key")).alias("value"),
         *[
-            F.coalesce(*[present_text(F.col("ids")[n]) for n in keys]).alias(kind)
+            F.coalesce(*[present_text(F.col("ids")[n], F.col("raw"), n) for n in keys]).alias(kind)
             for kind, keys in names.items()
         ],
     )
