@@ -165,12 +165,19 @@ _OK = f"good AS (SELECT * FROM responses WHERE status < 400 AND ({_RESPONSE_ERRO
 _SEARCH = """p AS (SELECT *, status >= 400 OR NOT json_exists(body, '$.esearchresult') AS bad,
   CASE WHEN status >= 400 THEN 'Failed to query PubMed' ELSE 'Unexpected PubMed response structure' END AS why,
   coalesce(CAST(json_extract(body, '$.esearchresult.idlist') AS VARCHAR[]), []) AS ids,
-  CAST(json_extract_string(body, '$.esearchresult.count') AS BIGINT) AS cnt FROM search_pages),
-walk AS (SELECT *, first_value(cnt) OVER w AS total,
+  json_extract_string(body, '$.esearchresult.count') AS cnt FROM search_pages),
+walk AS (SELECT *, first_value(coalesce(try_cast(cnt AS BIGINT), len(ids))) OVER w AS total, first_value(retstart) OVER w AS start,
+  first_value(NOT bad AND cnt IS NOT NULL AND try_cast(cnt AS BIGINT) IS NULL) OVER w AS bad_count,
   coalesce(sum(CASE WHEN NOT bad AND len(ids) = 0 THEN 1 ELSE 0 END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS empties
   FROM p WINDOW w AS (PARTITION BY search_hash ORDER BY retstart)),
-reached AS (SELECT * FROM walk WHERE empties = 0 AND (retstart = 0 OR retstart < total)),
-failed AS (SELECT search_hash, arg_min(why, retstart) AS message FROM reached WHERE bad GROUP BY search_hash)"""
+reached AS (SELECT *, lag(retstart + len(ids), 1, 0::BIGINT) OVER (PARTITION BY search_hash ORDER BY retstart) AS due
+  FROM walk WHERE empties = 0 AND (retstart = start OR retstart < total)),
+failed AS (SELECT search_hash, CASE WHEN min(start) > 0 THEN 'Search pages do not begin at the start'
+  WHEN bool_or(bad) THEN arg_min(why, retstart) FILTER (WHERE bad)
+  WHEN bool_or(bad_count) THEN 'Invalid count in PubMed response'
+  WHEN bool_or(retstart <> due) THEN 'Search pages leave a gap or overlap'
+  WHEN max(retstart + len(ids)) < min(total) AND NOT bool_or(len(ids) = 0) THEN 'Search pages end before the total' END AS message
+  FROM reached GROUP BY search_hash HAVING message IS NOT NULL)"""
 
 _ENTRIES = f"""{_OK},
 entries AS (SELECT request_key AS pmid, json_extract(body, '$.result."' || request_key || '"') AS e

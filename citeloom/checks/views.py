@@ -145,15 +145,18 @@ SELECT 'semantic-scholar' AS source,
        CASE o_orderkey % 17 WHEN 0 THEN '"0"' WHEN 1 THEN '0' ELSE {_K} END || ',"CorpusId":7}}' END ||
        '}}' AS body
 FROM orders""",
-    # Search pages of three ids, 20 landed pages per search; totals, empty and failed pages vary.
+    # Search pages of three ids, up to 20 landed pages per search; totals, empty,
+    # failed and missing pages vary.
     "search_pages": f"""
 SELECT 's' || cast({_div(20)} AS string) AS search_hash, (o_orderkey % 20) * 3 AS retstart,
        CASE WHEN {_div(20)} % 5 = 1 AND o_orderkey % 20 = 7 THEN 400 ELSE 200 END AS status,
        CASE WHEN {_div(20)} % 5 = 2 AND o_orderkey % 20 = 4 THEN '{{"other":1}}' ELSE
-       '{{"esearchresult":{{"count":"' || cast(CASE {_div(20)} % 3 WHEN 0 THEN 60 WHEN 1 THEN 31 ELSE 12 END AS string) ||
+       '{{"esearchresult":{{"count":"' || CASE WHEN {_div(20)} % 11 = 5 THEN 'abc' ELSE '' END || cast(CASE {_div(20)} % 3 WHEN 0 THEN 60 WHEN 1 THEN 31 ELSE 12 END AS string) ||
        '","idlist":[' || CASE WHEN {_div(20)} % 5 = 3 AND o_orderkey % 20 >= 9 THEN ''
          ELSE '"' || {_K} || '","' || {_K} || '",' || cast(o_orderkey + 1 AS string) END || ']}}}}' END AS body
-FROM orders""",
+FROM orders
+WHERE NOT ({_div(20)} % 7 = 3 AND o_orderkey % 20 = 3) AND NOT ({_div(20)} % 7 = 4 AND o_orderkey % 20 = 0)
+  AND NOT ({_div(20)} % 7 = 5 AND o_orderkey % 20 >= 10)""",
     "corpus": """
 SELECT o_orderkey AS doc_id, o_orderpriority AS text, cast(o_orderdate AS date) AS pub_date
 FROM orders""",

@@ -64,6 +64,14 @@ def _parse(text: Column, schema: str) -> Column:
 
 # -- search pages -------------------------------------------------------------------------
 
+# Error texts of searches; the last three are for pages that were never landed.
+SEARCH_FAILED = "Failed to query PubMed"
+SEARCH_STRUCTURE = "Unexpected PubMed response structure"
+SEARCH_COUNT = "Invalid count in PubMed response"
+SEARCH_LATE = "Search pages do not begin at the start"
+SEARCH_GAP = "Search pages leave a gap or overlap"
+SEARCH_SHORT = "Search pages end before the total"
+
 
 def _search_pages(pages: DataFrame) -> DataFrame:
     schema = "esearchresult STRUCT<count STRING, idlist ARRAY<STRING>>"
@@ -81,8 +89,9 @@ def _search_pages(pages: DataFrame) -> DataFrame:
         "retstart",
         F.coalesce("r.idlist", F.array().cast("array<string>")).alias("ids"),
         F.col("r.count").try_cast("bigint").alias("count"),
-        F.when(F.col("failed"), F.lit("Failed to query PubMed"))
-        .when(F.col("r").isNull(), F.lit("Unexpected PubMed response structure"))
+        (F.col("r.count").isNotNull() & F.col("r.count").try_cast("bigint").isNull()).alias("bad_count"),
+        F.when(F.col("failed"), F.lit(SEARCH_FAILED))
+        .when(F.col("r").isNull(), F.lit(SEARCH_STRUCTURE))
         .alias("error"),
     )
 
@@ -97,48 +106,108 @@ def _search_headers(pages: DataFrame) -> DataFrame:
         F.min(F.when(empty, F.col("retstart"))).alias("first_empty"),
         F.min(F.when(bad, F.col("retstart"))).alias("first_bad"),
         F.min_by("error", F.when(bad, F.col("retstart"))).alias("message"),
+        F.min_by(~bad & F.col("bad_count"), "retstart").alias("bad_count"),
     )
     reached = (
         F.col("first_bad").isNotNull()
         & (F.col("first_empty").isNull() | (F.col("first_bad") < F.col("first_empty")))
         & ((F.col("first_bad") == F.col("first")) | (F.col("first_bad") < F.col("total")))
     )
-    return header.withColumn("failed", reached)
+    return header.select(
+        "search_hash",
+        "first",
+        "total",
+        "first_empty",
+        F.when(F.col("first") > 0, F.lit(SEARCH_LATE))
+        .when(reached, F.col("message"))
+        .when(F.col("bad_count"), F.lit(SEARCH_COUNT))
+        .alias("message"),
+    )
+
+
+def _reached_pages(pages: DataFrame, hot: HotKeys) -> DataFrame:
+    """Pages that each search's paging loop would have read, with the search's header."""
+    read = _search_pages(pages)
+    return lookup(
+        read.select("search_hash", "retstart", "ids"),
+        _search_headers(read),
+        "search_hash",
+        how="inner",
+        hot=hot,
+        null_keys=False,
+    ).where(
+        F.col("message").isNotNull()
+        | (
+            ((F.col("retstart") == F.col("first")) | (F.col("retstart") < F.col("total")))
+            & (F.col("first_empty").isNull() | (F.col("retstart") <= F.col("first_empty")))
+        )
+    )
+
+
+def _search_verdicts(reached: DataFrame) -> DataFrame:
+    """``search_hash, message``: one small row per search, null for one that is complete.
+
+    Pages follow each other if each begins where one ends: then the hashes of all beginnings and
+    all ends cancel, but for the first beginning and the last end.
+    """
+    end = F.col("retstart") + F.size("ids")
+    chained = F.bit_xor(F.xxhash64("retstart")).bitwiseXOR(
+        F.bit_xor(F.when(F.size("ids") > 0, F.xxhash64(end)).otherwise(F.xxhash64("retstart")))
+    )
+    # An empty page ends where it begins, so it cancels by itself; where it stands is checked.
+    summed = reached.groupBy("search_hash").agg(
+        F.first("message").alias("message"),
+        chained.alias("chained"),
+        F.max(end).alias("last_end"),
+        F.first("total").alias("total"),
+        F.first("first_empty").alias("first_empty"),
+    )
+    whole = F.xxhash64(F.lit(0).cast("bigint")).bitwiseXOR(F.xxhash64("last_end"))
+    gap = F.when(F.col("last_end") > 0, F.col("chained") != whole).otherwise(F.lit(False))
+    return summed.select(
+        "search_hash",
+        F.when(F.col("message").isNotNull(), F.col("message"))
+        .when(gap, F.lit(SEARCH_GAP))
+        .when(
+            F.col("first_empty").isNull() & (F.col("last_end") < F.col("total")),
+            F.lit(SEARCH_SHORT),
+        )
+        .alias("message"),
+    )
 
 
 def esearch_ids(pages: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """``search_hash, position, pmid`` of landed search pages, in service order, no dedup.
 
     A search's pages count up to the first empty one or the total named on its first page. A
-    search whose loop would have met a failed page gives no ids (see :func:`esearch_errors`).
-    Pages follow each other without gaps, so an id's position is its page's start plus its
-    place there, and no window over a search is needed.
+    search whose loop would have met a failed page, or whose pages were not all landed, gives no
+    ids (see :func:`esearch_errors`). Pages follow each other without gaps, so an id's position is
+    its page's start plus its place there, and no window over a search is needed.
     """
     if hot is None:
         hot = hot_keys(pages, "search_hash")
-    read = _search_pages(pages)
+    reached = _reached_pages(pages, hot)
+    complete = _search_verdicts(reached).where(F.col("message").isNull()).select("search_hash")
     kept = lookup(
-        read.select("search_hash", "retstart", "ids"),
-        _search_headers(read),
+        reached.select("search_hash", "retstart", "ids"),
+        complete,
         "search_hash",
         how="inner",
         hot=hot,
         null_keys=False,
-    ).where(
-        ~F.col("failed")
-        & ((F.col("retstart") == F.col("first")) | (F.col("retstart") < F.col("total")))
-        & (F.col("first_empty").isNull() | (F.col("retstart") < F.col("first_empty")))
     )
     return kept.select("search_hash", "retstart", F.posexplode("ids").alias("pos", "pmid")).select(
         "search_hash", (F.col("retstart") + F.col("pos")).alias("position"), "pmid"
     )
 
 
-def esearch_errors(pages: DataFrame) -> DataFrame:
-    """``source, request_key, message`` for every search that failed."""
+def esearch_errors(pages: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+    """``source, request_key, message`` for every search that failed or is incomplete."""
+    if hot is None:
+        hot = hot_keys(pages, "search_hash")
     return (
-        _search_headers(_search_pages(pages))
-        .where("failed")
+        _search_verdicts(_reached_pages(pages, hot))
+        .where(F.col("message").isNotNull())
         .select(F.lit(ESEARCH).alias("source"), F.col("search_hash").alias("request_key"), "message")
     )
 
