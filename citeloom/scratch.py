@@ -36,10 +36,10 @@ class Scratch:
         self.path = f"{checkpoint_root(spark)}/citeloom/{label}-{uuid.uuid4().hex}"
         self._tables: set[str] = set()
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Write a DataFrame once and give it back as a table scan."""
+    def keep(self, df: DataFrame, name: str, **options: str) -> DataFrame:
+        """Write a DataFrame once, with the writer's options, and give it back as a table scan."""
         path = f"{self.path}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").options(**options).parquet(path)
         self._tables.add(name)
         return self.spark.read.schema(df.schema).parquet(path)
 
