@@ -5,17 +5,23 @@ often it stands in the text times its inverse document frequency. Similarity is
 
 1. Equal texts become one, so the rest is about distinct texts; copies follow their text.
 2. Document frequencies: tasks send each shingle once per block of texts, packed by ranges of the
-   hash; what is in more than one text comes back to the blocks it came from.
+   hash; what is in more than one text comes back to the blocks it came from. A shingle is known
+   by its range and 40 more bits of its hash; ranges grow in number with the data, so the chance
+   that two are taken for one stays about one in a million.
 3. Similar texts share shingles, so a text whose shared shingles are less than the threshold of
    its weight has no near-duplicate; that is exact and leaves few texts to sample.
 4. Samples (Ioffe 2010) are banded. In a small bucket all pairs are candidates; in a large one
-   each member meets a leader, and members that are not yet in the leader's class meet new
-   leaders, until each has met a leader of every class in its bucket or been a leader.
+   each member meets the leader, the member whose shingles are the most common, as the original
+   of a group of copies is. Members that are not in the leader's class after that are few and
+   are compared with all of the bucket, in blocks of bounded size.
 5. Candidates are verified on their whole weighted sets, and verified pairs are links; classes are
-   the connected components.
+   the connected components. Any two members of a bucket are compared or in its leader's class,
+   so no class that the buckets can show is missed.
 
-Inverse document frequency is scaled to lie between 1 and 2, so that what large groups of copies
-share, and must share to be found, keeps at least half the weight of what is theirs alone.
+Inverse document frequency is scaled to lie between 1 and 1.1: copies of one text share shingles
+that many texts have, and lose those by their edits that no other has. Unscaled, the rare ones
+would weigh many times the common ones, and copies that share nine shingles in ten would fall
+below a similarity of 0.8.
 
 Cases: null text counts as empty; empty texts are copies of each other; texts are compared in
 lower case; null ids belong to classes like others, and a class of null ids only has a null id;
@@ -46,6 +52,11 @@ BANDS, ROWS = 16, 3
 BLOCK_BYTES = 16 << 20
 # Members up to which a bucket's pairs are all compared.
 SMALL_BUCKET = 8
+# Members of a larger bucket in a block: of those left, and of all.
+LEFT_BLOCK, ALL_BLOCK = 64, 256
+LOW_BITS = 40
+# How much more a shingle of one text weighs than one of all texts.
+IDF_RANGE = 0.1
 # Elements of a text sampled at a time.
 SAMPLE_STEP = 4096
 
@@ -116,8 +127,8 @@ class Sampler:
 
 
 def idf(df: np.ndarray, n_texts: int) -> np.ndarray:
-    """Between 1 (in all texts) and 2 (in one of very many)."""
-    return 1.0 + np.log((n_texts + 1.0) / (df + 1.0)) / math.log(n_texts + 2.0)
+    """Between 1 (in all texts) and 1 + IDF_RANGE (in one of very many)."""
+    return 1.0 + IDF_RANGE * np.log((n_texts + 1.0) / (df + 1.0)) / math.log(n_texts + 2.0)
 
 
 def release(spark: SparkSession) -> None:
@@ -144,11 +155,29 @@ def text_key(column: str = "text") -> Column:
 SENT = "range long, block int, hashes binary"
 
 
-def _send(texts: DataFrame, ranges: int) -> DataFrame:
-    """The distinct shingles of each text, a block's packed together by range of the hash: the low
-    six bytes, which the range in the leading bits completes."""
-    shift = np.uint64(64 - max(0, ranges.bit_length() - 1))
-    single = ranges == 1
+def _places(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """The range in the leading bits, then the low bits."""
+    low = hashes & np.uint64((1 << LOW_BITS) - 1)
+    if not bits:
+        return low
+    return (hashes >> np.uint64(64 - bits)) << np.uint64(LOW_BITS) | low
+
+
+def _low_bytes(places: np.ndarray) -> bytes:
+    return places.view(np.uint8).reshape(-1, 8)[:, : LOW_BITS // 8].tobytes()
+
+
+def _from_low_bytes(column: pa.ChunkedArray) -> tuple[np.ndarray, list[int]]:
+    """The low bits of all rows, one after the other, and how many each row has."""
+    parts = [np.frombuffer(p.as_buffer(), np.uint8).reshape(-1, LOW_BITS // 8) for p in column]
+    wide = np.zeros((sum(map(len, parts)), 8), np.uint8)
+    if parts:
+        np.concatenate(parts, out=wide[:, : LOW_BITS // 8])
+    return wide.view(np.uint64).ravel(), list(map(len, parts))
+
+
+def _send(texts: DataFrame, bits: int) -> DataFrame:
+    """The distinct shingles of each text, a block's packed together by range of the hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = shingler()
@@ -157,17 +186,16 @@ def _send(texts: DataFrame, ranges: int) -> DataFrame:
 
         def packed() -> Iterator[pa.RecordBatch]:
             for block, parts in held.items():
-                hashes = np.concatenate(parts)
-                hashes.sort()
-                cut = np.zeros(len(hashes), np.uint64) if single else hashes >> shift
-                starts = np.flatnonzero(np.concatenate(([True], cut[1:] != cut[:-1])))
-                data = hashes.view(np.uint8).reshape(-1, 8)
-                ends = [*starts[1:].tolist(), len(hashes)]
+                places = np.concatenate(parts)
+                places.sort()
+                ranges = places >> np.uint64(LOW_BITS)
+                starts = np.flatnonzero(np.concatenate(([True], ranges[1:] != ranges[:-1])))
+                cuts = list(zip(starts.tolist(), [*starts[1:].tolist(), len(places)]))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(cut[starts].astype(np.int64)),
+                        pa.array(ranges[starts].astype(np.int64)),
                         pa.array([block] * len(starts), pa.int32()),
-                        pa.array([data[a:b, :6].tobytes() for a, b in zip(starts.tolist(), ends)], pa.binary()),
+                        pa.array([_low_bytes(places[a:b]) for a, b in cuts], pa.binary()),
                     ],
                     names=["range", "block", "hashes"],
                 )
@@ -177,7 +205,7 @@ def _send(texts: DataFrame, ranges: int) -> DataFrame:
             for block, text in zip(batch.column("block").to_pylist(), batch.column("text")):
                 hashes = make(text.as_py())[0]
                 if len(hashes):
-                    held.setdefault(block, []).append(hashes)
+                    held.setdefault(block, []).append(_places(hashes, bits))
                     n_held += len(hashes)
             if n_held * 8 >= BLOCK_BYTES * 2:
                 yield from packed()
@@ -188,37 +216,33 @@ def _send(texts: DataFrame, ranges: int) -> DataFrame:
     return texts.select("block", "text").mapInArrow(run, SENT)
 
 
-BACK = "block int, hashes binary, df binary"
+BACK = "block int, range long, hashes binary, df binary"
 
 
 def _count(sent: DataFrame) -> DataFrame:
     """To each block, its shingles that stand in more than one text, with how many."""
 
     def run(table: pa.Table) -> pa.Table:
-        blocks = table.column("block").to_pylist()
-        parts = [
-            np.frombuffer(p.as_buffer(), np.uint8).reshape(-1, 6) for p in table.column("hashes")
-        ]
-        wide = np.zeros((sum(map(len, parts)), 8), np.uint8)
-        np.concatenate(parts, out=wide[:, :6])
-        values = wide.view(np.uint64).ravel()
+        blocks, number = table.column("block").to_pylist(), table.column("range")[0].as_py()
+        values, lengths = _from_low_bytes(table.column("hashes"))
         distinct, counts = np.unique(values, return_counts=True)
         shared, df = distinct[counts > 1], counts[counts > 1].astype(np.uint32)
         out_blocks, out_hashes, out_df = [], [], []
         at = 0
-        for block, part in zip(blocks, parts):
-            own = np.unique(values[at : at + len(part)])
-            at += len(part)
+        for block, length in zip(blocks, lengths):
+            own = np.unique(values[at : at + length])
+            at += length
             place = np.searchsorted(shared, own)
             place[place == len(shared)] = 0
             found = place[shared[place] == own] if len(shared) else place[:0]
             if len(found):
                 out_blocks.append(block)
-                out_hashes.append(shared[found].view(np.uint8).reshape(-1, 8)[:, :6].tobytes())
+                out_hashes.append(_low_bytes(shared[found]))
                 out_df.append(df[found].tobytes())
         return pa.table(
             {
                 "block": pa.array(out_blocks, pa.int32()),
+                "range": pa.array([number] * len(out_blocks), pa.int64()),
                 "hashes": pa.array(out_hashes, pa.binary()),
                 "df": pa.array(out_df, pa.binary()),
             }
@@ -230,35 +254,33 @@ def _count(sent: DataFrame) -> DataFrame:
 # ---- samples ----
 
 VECTORS = (
-    "key string, total double, hashes binary, weights binary, bands array<long>"
+    "key string, total double, centre double, hashes binary, weights binary, bands array<long>"
 )
 
 
-def _sample(texts: DataFrame, back: DataFrame, n_texts: int, similar: float) -> DataFrame:
+def _sample(texts: DataFrame, back: DataFrame, n_texts: int, bits: int, similar: float) -> DataFrame:
     """Of the texts that may have a near-duplicate: shared shingles with weights, total weight and
-    band hashes. A shingle is known here by the low 48 bits of its hash."""
-    mask = np.uint64((1 << 48) - 1)
+    band hashes, and how common its shingles are (``centre``)."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         make, sampler = shingler(), Sampler(BANDS * ROWS)
         known = np.zeros(0, np.uint64)
         df = np.zeros(0, np.uint32)
         if right.num_rows:
-            parts = [np.frombuffer(p.as_buffer(), np.uint8).reshape(-1, 6) for p in right.column("hashes")]
-            wide = np.zeros((sum(map(len, parts)), 8), np.uint8)
-            np.concatenate(parts, out=wide[:, :6])
-            known = wide.view(np.uint64).ravel()
+            low, lengths = _from_low_bytes(right.column("hashes"))
+            of = np.repeat(right.column("range").to_numpy().astype(np.uint64), lengths)
+            known = low | of << np.uint64(LOW_BITS)
             df = np.concatenate([np.frombuffer(p.as_buffer(), np.uint32) for p in right.column("df")])
             known, first = np.unique(known, return_index=True)
             df = df[first]
-        rows: list[list] = [[] for _ in range(5)]
+        rows: list[list] = [[] for _ in range(6)]
         for key, text in zip(left.column("key"), left.column("text")):
             if not len(known):
                 break
             hashes, counts = make(text.as_py())
             if not len(hashes):
                 continue
-            hashes = hashes & mask
+            hashes = _places(hashes, bits)
             place = np.searchsorted(known, hashes)
             place[place == len(known)] = 0
             shared = known[place] == hashes
@@ -275,11 +297,12 @@ def _sample(texts: DataFrame, back: DataFrame, n_texts: int, similar: float) ->
             order = np.argsort(hashes)
             rows[0].append(key.as_py())
             rows[1].append(total)
-            rows[2].append(hashes[order].tobytes())
-            rows[3].append(weights[order].astype(np.float32).tobytes())
-            rows[4].append(bands.view(np.int64))
-        kinds = [pa.string(), pa.float64(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
-        names = ["key", "total", "hashes", "weights", "bands"]
+            rows[2].append(float(np.log(frequency).mean()))
+            rows[3].append(hashes[order].tobytes())
+            rows[4].append(weights[order].astype(np.float32).tobytes())
+            rows[5].append(bands.view(np.int64))
+        kinds = [pa.string(), pa.float64(), pa.float64(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+        names = ["key", "total", "centre", "hashes", "weights", "bands"]
         return pa.table({n: pa.array(r, k) for n, r, k in zip(names, rows, kinds)})
 
     return texts.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(run, VECTORS)
@@ -288,33 +311,39 @@ def _sample(texts: DataFrame, back: DataFrame, n_texts: int, similar: float) ->
 # ---- candidates and links ----
 
 
-def _similarity(similar: float):
-    """Pandas function: whether two weighted sets are similar."""
+def _overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """Weight that two sets have in common; hashes are sorted."""
+    place = np.searchsorted(b[0], a[0])
+    place[place == len(b[0])] = 0
+    both = b[0][place] == a[0]
+    return float(np.minimum(a[1][both], b[1][place[both]]).sum(dtype=np.float64))
 
-    def judge(a_h, a_w, a_t, b_h, b_w, b_t):
-        import pandas as pd
 
-        out = np.zeros(len(a_h))
-        for i, (ah, aw, at, bh, bw, bt) in enumerate(zip(a_h, a_w, a_t, b_h, b_w, b_t)):
-            ah, bh = np.frombuffer(ah, np.uint64), np.frombuffer(bh, np.uint64)
-            aw, bw = np.frombuffer(aw, np.float32), np.frombuffer(bw, np.float32)
-            _, ai, bi = np.intersect1d(ah, bh, assume_unique=False, return_indices=True)
-            both = float(np.minimum(aw[ai], bw[bi]).sum(dtype=np.float64))
-            out[i] = both / (at + bt - both)
-        return pd.Series(out >= similar - 1e-6)
+def _set(hashes: bytes, weights: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(hashes, np.uint64), np.frombuffer(weights, np.float32)
 
-    return F.pandas_udf(judge, "boolean")
+
+def _alike(a, b, a_total: float, b_total: float, similar: float) -> bool:
+    both = _overlap(a, b)
+    return both >= (similar - 1e-6) * (a_total + b_total - both)
 
 
 def _verified(pairs: DataFrame, vectors: DataFrame, similar: float) -> DataFrame:
     """The pairs ``a, b`` that are similar. A pair's sets meet by two joins on unique keys."""
+
+    def judge(a_h, a_w, a_t, b_h, b_w, b_t):
+        import pandas as pd
+
+        rows = zip(a_h, a_w, a_t, b_h, b_w, b_t)
+        return pd.Series([_alike(_set(ah, aw), _set(bh, bw), at, bt, similar) for ah, aw, at, bh, bw, bt in rows], dtype=bool)
+
     side = lambda p: vectors.select(
         F.col("key").alias(p), *[F.col(c).alias(f"{p}_{c}") for c in ("hashes", "weights", "total")]
     )
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    judge = _similarity(similar)
+    alike = F.pandas_udf(judge, "boolean")
     return both.where(
-        judge("a_hashes", "a_weights", "a_total", "b_hashes", "b_weights", "b_total")
+        alike("a_hashes", "a_weights", "a_total", "b_hashes", "b_weights", "b_total")
     ).select("a", "b")
 
 
@@ -322,66 +351,89 @@ def _pair(x: Column, y: Column) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def _compare_left(cells: DataFrame, similar: float) -> DataFrame:
+    """Links between a block of members left over and a block of all members of their bucket.
+
+    Two texts that share several buckets are compared in the first of them.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        left, right = [r for r in rows if r["left"]], [r for r in rows if not r["left"]]
+        found: list[tuple[str, str]] = []
+        if left and right:
+            band = left[0]["band"]
+            bands = np.array([r["bands"] for r in right])
+            sets = [_set(r["hashes"], r["weights"]) for r in right]
+            for row in left:
+                own = _set(row["hashes"], row["weights"])
+                first = np.argmax(bands == np.array(row["bands"]), axis=1)
+                for j in np.flatnonzero(first == band).tolist():
+                    other = right[j]
+                    # Two that are both left over are compared once.
+                    if row["component"] == other["component"] or (other["is_left"] and other["key"] < row["key"]):
+                        continue
+                    if _alike(own, sets[j], row["total"], other["total"], similar):
+                        found.append((min(row["key"], other["key"]), max(row["key"], other["key"])))
+        return pa.table(
+            {"a": pa.array([a for a, _ in found], pa.string()), "b": pa.array([b for _, b in found], pa.string())}
+        )
+
+    return cells.groupBy("band", "hash", "left_block", "all_block").applyInArrow(run, "a string, b string")
+
+
 def links(vectors: DataFrame, scratch: Scratch, similar: float) -> DataFrame:
     """Verified pairs ``a, b`` of text keys, enough to connect every class."""
-    rows = vectors.select("key", F.posexplode("bands").alias("band", "hash"))
-    counted = rows.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    members = scratch.keep(rows.join(counted, ["band", "hash"]), "members")
-    small = members.where(F.col("n") <= SMALL_BUCKET).drop("n")
-    other = small.withColumnRenamed("key", "other")
+    rows = vectors.select("key", "centre", F.posexplode("bands").alias("band", "hash"))
+    order = F.struct("centre", "key")
+    counted = rows.groupBy("band", "hash").agg(
+        F.count(F.lit(1)).alias("n"), F.max(order)["key"].alias("leader")
+    )
+    members = scratch.keep(
+        rows.join(counted.where(F.col("n") > 1), ["band", "hash"]).drop("centre"), "members"
+    )
+    small = members.where(F.col("n") <= SMALL_BUCKET).select("band", "hash", "key")
     near = (
-        small.join(other, ["band", "hash"]).where(F.col("key") < F.col("other"))
+        small.join(small.withColumnRenamed("key", "other"), ["band", "hash"])
+        .where(F.col("key") < F.col("other"))
         .select(*_pair(F.col("key"), F.col("other")))
     )
-    large = members.where(F.col("n") > SMALL_BUCKET).select("band", "hash", "key")
-    # A round's leader is the member that a hash of this round and band puts first.
-    def led(rows: DataFrame, number: int) -> DataFrame:
-        order = F.struct(F.xxhash64("key", F.lit(number), "band").alias("o"), "key")
-        leaders = rows.groupBy("band", "hash").agg(F.min(order)["key"].alias("leader"))
-        return rows.join(leaders, ["band", "hash"]).where(F.col("key") != F.col("leader"))
-
-    pairs = near.unionByName(led(large, 0).select(*_pair(F.col("key"), F.col("leader")))).distinct()
-    found = scratch.keep(_verified(pairs, vectors, similar), "links-0")
-    tried = scratch.keep(led(large, 0).select("band", "hash", F.col("leader").alias("key")).distinct(), "leaders-0")
-    number = 0
-    while not large.isEmpty():
-        labelled = scratch.keep(
-            components(
-                large.select(F.col("key").alias("id")).distinct(),
-                found.select(F.col("a").alias("src"), F.col("b").alias("dst")),
-                scratch,
-            ),
-            f"labels-{number}",
-        )
-        placed = large.join(labelled.withColumnRenamed("id", "key"), "key")
-        mixed = placed.groupBy("band", "hash").agg(
-            F.min("component").alias("lo"), F.max("component").alias("hi")
-        ).where(F.col("lo") != F.col("hi")).select("band", "hash")
-        # Members of classes that no leader of this bucket came from yet.
-        led_classes = placed.join(tried, ["band", "hash", "key"], "left_semi").select(
-            "band", "hash", "component"
-        ).distinct()
-        open_ = placed.join(mixed, ["band", "hash"]).join(
-            led_classes, ["band", "hash", "component"], "left_anti"
-        )
-        number += 1
-        order = F.struct(F.xxhash64("key", F.lit(number), "band").alias("o"), "key", "component")
-        leaders = scratch.keep(
-            open_.groupBy("band", "hash").agg(F.min(order).alias("first")).select(
-                "band", "hash", F.col("first.key").alias("leader"), F.col("first.component").alias("own")
-            ),
-            f"leaders-{number}",
-        )
-        if leaders.isEmpty():
-            return found
-        meet = placed.join(leaders, ["band", "hash"]).where(F.col("component") != F.col("own"))
-        pairs = meet.select(*_pair(F.col("key"), F.col("leader"))).distinct()
-        new = _verified(pairs, vectors, similar)
-        found = scratch.keep(found.unionByName(new).distinct(), f"links-{number}")
-        tried = scratch.keep(
-            tried.unionByName(leaders.select("band", "hash", F.col("leader").alias("key"))), f"tried-{number}"
-        )
-    return found
+    large = members.where(F.col("n") > SMALL_BUCKET)
+    led = large.where(F.col("key") != F.col("leader")).select(*_pair(F.col("key"), F.col("leader")))
+    found = scratch.keep(_verified(near.unionByName(led).distinct(), vectors, similar), "links")
+
+    labelled = scratch.keep(
+        components(
+            large.select(F.col("key").alias("id")).distinct(),
+            found.select(F.col("a").alias("src"), F.col("b").alias("dst")),
+            scratch,
+        ),
+        "labels",
+    )
+    leading = labelled.select(F.col("id").alias("leader"), F.col("component").alias("led"))
+    placed = large.join(labelled.withColumnRenamed("id", "key"), "key").join(leading, "leader").select(
+        "band", "hash", "key", "n", "component", (F.col("component") != F.col("led")).alias("is_left")
+    )
+    placed = scratch.keep(placed, "placed")
+    count = placed.where("is_left").groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n_left"))
+    mixed = placed.join(count, ["band", "hash"])
+    spread = F.abs(F.xxhash64("key", "band"))
+    left_blocks = F.ceil(F.col("n_left") / LEFT_BLOCK).cast("int")
+    all_blocks = F.ceil(F.col("n") / ALL_BLOCK).cast("int")
+    through = lambda blocks: F.explode(F.sequence(F.lit(0), blocks - 1))
+    left = mixed.where("is_left").select(
+        "band", "hash", "key", "component", "is_left", F.lit(True).alias("left"),
+        F.pmod(spread, left_blocks).cast("int").alias("left_block"), through(all_blocks).alias("all_block"),
+    )
+    every = mixed.select(
+        "band", "hash", "key", "component", "is_left", F.lit(False).alias("left"),
+        through(left_blocks).alias("left_block"), F.pmod(spread, all_blocks).cast("int").alias("all_block"),
+    )
+    cells = left.unionByName(every).join(
+        vectors.select("key", "total", "hashes", "weights", "bands"), "key"
+    )
+    rest = scratch.keep(_compare_left(cells, similar), "more-links")
+    return found.unionByName(rest).distinct()
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, *, similar: float = SIMILAR) -> DataFrame:
@@ -391,23 +443,25 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, *, similar: float = SIMIL
     keyed = docs.select(text_key().alias("key"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     size = keyed.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
-    ranges = 1 << max(0, (blocks - 1).bit_length())
+    bits = (blocks - 1).bit_length()
     # Copies in one task combine before they are sent, so a text that fills the table is no load.
     distinct = keyed.groupBy("key").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
     texts = scratch.keep(
-        distinct.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int")), "texts"
+        distinct.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int")),
+        "texts",
+        compression="zstd",
     )
     release(spark)
     n_texts = texts.count()
-    back = scratch.keep(_count(_send(texts, ranges)), "shared")
+    back = scratch.keep(_count(_send(texts, bits)), "shared")
     release(spark)
     vectors = scratch.keep(
-        _sample(texts.select("block", "key", "text"), back, n_texts, similar), "vectors"
+        _sample(texts.select("block", "key", "text"), back, n_texts, bits, similar), "vectors"
     )
     ids = scratch.keep(texts.select("key", "copies"), "ids")
     scratch.drop("texts", "shared")
     release(spark)
-    found = links(vectors, scratch, similar)
+    found = scratch.keep(links(vectors, scratch, similar), "all-links")
     ends = found.select(F.col("a").alias("key")).unionAll(found.select(F.col("b").alias("key")))
     degree = ends.groupBy("key").agg(F.count(F.lit(1)).alias("n_links"))
     labels = components(

@@ -20,7 +20,7 @@ def weighted(texts):
     df = Counter(s for own in sets.values() for s in own)
     n = len(sets)
     return {
-        t: {s: c * (1 + math.log((n + 1) / (df[s] + 1)) / math.log(n + 2)) for s, c in own.items()}
+        t: {s: c * (1 + 0.1 * math.log((n + 1) / (df[s] + 1)) / math.log(n + 2)) for s, c in own.items()}
         for t, own in sets.items()
     }
 
@@ -73,7 +73,7 @@ def test_classes_equal_all_pairs(spark, scratch, seed):
     texts = [prose(1000 + i, rng.randint(1, 120)) for i in range(60)]
     for f in range(8):
         texts += family(f, rng.randint(2, 6), edits=rng.randint(1, 4))
-    texts += family(77, 40)  # a large bucket
+    texts += family(77, 40) + family(78, 60, 100, 3)  # large buckets, the second of loose copies
     texts += [texts[3]] * 7
     rng.shuffle(texts)
     rows = list(enumerate(texts))
@@ -84,8 +84,10 @@ def test_classes_equal_all_pairs(spark, scratch, seed):
 
 
 def test_several_classes_in_one_bucket(spark, scratch, monkeypatch):
-    """Texts that share a bucket but not a class meet leaders of every class there."""
+    """Texts that share a bucket but not the leader's class are compared with all of it."""
     monkeypatch.setattr(minhash, "SMALL_BUCKET", 2)
+    monkeypatch.setattr(minhash, "LEFT_BLOCK", 3)
+    monkeypatch.setattr(minhash, "ALL_BLOCK", 7)
     monkeypatch.setattr(minhash, "BANDS", 1)
     families = [family(500 + f, 5) for f in range(6)]
     rows = list(enumerate(t for own in families for t in own))
@@ -97,9 +99,9 @@ def test_several_classes_in_one_bucket(spark, scratch, monkeypatch):
         h, _ = shingle(t)
         known = dict(zip(h.tolist(), [1.0] * len(h)))
         vectors.append(
-            (minhash_key(t), float(len(known)), h.tobytes(), np.ones(len(h), np.float32).tobytes(), [7])
+            (minhash_key(t), float(len(known)), 1.0, h.tobytes(), np.ones(len(h), np.float32).tobytes(), [7])
         )
-    table = spark.createDataFrame(vectors, "key string, total double, hashes binary, weights binary, bands array<long>")
+    table = spark.createDataFrame(vectors, "key string, total double, centre double, hashes binary, weights binary, bands array<long>")
     found = minhash.links(scratch.keep(table, "given"), scratch, 0.8).collect()
     joined = [{texts[r["a"]] // 5, texts[r["b"]] // 5} for r in found]
     assert weights and all(len(pair) == 1 for pair in joined)
