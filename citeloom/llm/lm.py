@@ -41,7 +41,9 @@ from citeloom.scratch import Scratch
 
 FOLDS, HELD_OUT, DELETED = 7, 2, 3
 # Bytes of text in a block, about.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
+# Documents whose tokens are looked up at a time.
+LOOKUP_STEP = 256
 # Buckets by context count: unseen, 1, 2-3, 4-7, …
 BUCKETS = 48
 # Held-out tokens a bucket needs for weights of its own; else those of the bucket below.
@@ -123,9 +125,20 @@ def _rows_of(column: pa.ChunkedArray) -> list[np.ndarray]:
     return [np.frombuffer(p.as_buffer(), np.uint8).reshape(-1, LOW_BITS // 8) for p in column]
 
 
-def _numbers(column: pa.ChunkedArray) -> np.ndarray:
-    parts = [np.frombuffer(p.as_buffer(), np.uint32) for p in column]
-    return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+def _pack(counted: np.ndarray, deleted: np.ndarray) -> tuple[bytes, bytes]:
+    """Two small counts in a byte; where one is above 14, both follow apart."""
+    large = (counted > 14) | (deleted > 14)
+    codes = np.where(large, 255, counted << 4 | deleted).astype(np.uint8)
+    return codes.tobytes(), np.column_stack((counted[large], deleted[large])).astype(np.uint32).tobytes()
+
+
+def _unpack(codes: pa.ChunkedArray, more: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The counts of all rows, one after the other."""
+    code = np.frombuffer(b"".join(c.as_py() for c in codes), np.uint8)
+    large = np.frombuffer(b"".join(m.as_py() for m in more), np.uint32).reshape(-1, 2)
+    counted, deleted = (code >> 4).astype(np.uint32), (code & 15).astype(np.uint32)
+    counted[code == 255], deleted[code == 255] = large[:, 0], large[:, 1]
+    return counted, deleted
 
 
 def placed(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, int]:
@@ -156,8 +169,8 @@ def placed(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, int]:
     )
 
 
-SENT = "range long, block long, hashes binary, counted binary, deleted binary"
-TOTALS = "range long, block long, hashes binary, counted binary, deleted binary, sums array<long>"
+SENT = "range long, block long, hashes binary, codes binary, more binary"
+TOTALS = "range long, block long, hashes binary, codes binary, more binary, sums array<long>"
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
@@ -169,6 +182,11 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBat
             yield int(blocks[a]), batch.slice(int(a), int(b - a))
 
 
+def _few(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, rows.num_rows, LOOKUP_STEP):
+        yield rows.slice(at, LOOKUP_STEP)
+
+
 def _send(documents: DataFrame, bits: int) -> DataFrame:
     """Counts of a block's unigrams (even range numbers) and bigrams (odd), by range."""
 
@@ -191,26 +209,28 @@ def _send(documents: DataFrame, bits: int) -> DataFrame:
                 ranges = places >> np.uint64(LOW_BITS)
                 edges = np.flatnonzero(np.concatenate(([True], ranges[1:] != ranges[:-1]))).tolist()
                 cuts = list(zip(edges, [*edges[1:], len(places)]))
+                packs = [_pack(counted[a:b], deleted[a:b]) for a, b in cuts]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ranges[edges].astype(np.int64) * 2 + kind),
                         pa.array([block] * len(cuts), pa.int64()),
                         pa.array([_low_bytes(places[a:b]) for a, b in cuts], pa.binary()),
-                        pa.array([counted[a:b].tobytes() for a, b in cuts], pa.binary()),
-                        pa.array([deleted[a:b].tobytes() for a, b in cuts], pa.binary()),
+                        pa.array([codes for codes, _ in packs], pa.binary()),
+                        pa.array([more for _, more in packs], pa.binary()),
                     ],
-                    names=["range", "block", "hashes", "counted", "deleted"],
+                    names=["range", "block", "hashes", "codes", "more"],
                 )
 
         for own, rows in _runs(batches):
-            if held and (own != block or size >= 8 * BLOCK_BYTES):
+            if held and (own != block or size >= 4 * BLOCK_BYTES):
                 yield from packed()
                 size = 0
             block = own
-            tokens, contexts, n = make(rows.column("text").to_pylist())
-            part = np.repeat(rows.column("part").to_numpy(zero_copy_only=False).astype(np.int8), n)
-            held.append((tokens, contexts, part))
-            size += tokens.nbytes
+            for few in _few(rows):
+                tokens, contexts, n = make(few.column("text").to_pylist())
+                part = np.repeat(few.column("part").to_numpy(zero_copy_only=False).astype(np.int8), n)
+                held.append((tokens, contexts, part))
+                size += tokens.nbytes
         if held:
             yield from packed()
 
@@ -225,8 +245,9 @@ def _add_up(sent: DataFrame) -> DataFrame:
         number = table.column("range")[0].as_py()
         parts = _rows_of(table.column("hashes"))
         values, where = np.unique(_from_low_bytes(parts), return_inverse=True)
-        counted = np.bincount(where, _numbers(table.column("counted")), len(values)).astype(np.uint32)
-        deleted = np.bincount(where, _numbers(table.column("deleted")), len(values)).astype(np.uint32)
+        counted, deleted = _unpack(table.column("codes"), table.column("more"))
+        counted = np.bincount(where, counted, len(values)).astype(np.uint32)
+        deleted = np.bincount(where, deleted, len(values)).astype(np.uint32)
         blocks = table.column("block").to_pylist()
         ends = np.cumsum([len(p) for p in parts])
         own = [where[e - len(p) : e] for e, p in zip(ends, parts)]
@@ -234,13 +255,14 @@ def _add_up(sent: DataFrame) -> DataFrame:
         if number % 2 == 0:
             both = counted.astype(np.int64) + deleted
             sums = [int(counted.sum(dtype=np.int64)), int((counted > 0).sum()), int(both.sum()), int((both > 0).sum())]
+        packs = [_pack(counted[i], deleted[i]) for i in own]
         return pa.table(
             {
                 "range": pa.array([number] * len(blocks), pa.int64()),
                 "block": pa.array(blocks, pa.int64()),
                 "hashes": table.column("hashes").combine_chunks(),
-                "counted": pa.array([counted[i].tobytes() for i in own], pa.binary()),
-                "deleted": pa.array([deleted[i].tobytes() for i in own], pa.binary()),
+                "codes": pa.array([codes for codes, _ in packs], pa.binary()),
+                "more": pa.array([more for _, more in packs], pa.binary()),
                 "sums": pa.array([sums] + [None] * (len(blocks) - 1), pa.list_(pa.int64())),
             }
         )
@@ -253,7 +275,7 @@ class Totals:
 
     def __init__(self, store: arrow_fs.FileSystem, path: str, bits: int):
         self.bits = bits
-        table = pq.read_table(path, filesystem=store, partitioning=None, columns=["range", "hashes", "counted", "deleted"])
+        table = pq.read_table(path, filesystem=store, partitioning=None, columns=["range", "hashes", "codes", "more"])
         ranges = table.column("range").to_numpy()
         self.kinds = []
         for kind in (0, 1):
@@ -262,9 +284,8 @@ class Totals:
             of = np.repeat(own.column("range").to_numpy().astype(np.uint64) // np.uint64(2), [len(p) for p in parts])
             places = _from_low_bytes(parts) | of << np.uint64(LOW_BITS)
             order = np.argsort(places)
-            self.kinds.append(
-                (places[order], _numbers(own.column("counted"))[order], _numbers(own.column("deleted"))[order])
-            )
+            counted, deleted = _unpack(own.column("codes"), own.column("more"))
+            self.kinds.append((places[order], counted[order], deleted[order]))
 
     def find(self, kind: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Counts in the counted part and in the deleted part."""
@@ -279,8 +300,10 @@ def _with_totals(batches, address: str, bits: int):
     last, totals = None, None
     for block, rows in _runs(batches):
         if block != last:
-            last, totals = block, Totals(store, f"{root}/block={block}", bits)
-        yield rows, totals
+            last, totals = block, None
+            totals = Totals(store, f"{root}/block={block}", bits)
+        for few in _few(rows):
+            yield few, totals
 
 
 def _estimates(make: Tokens, totals: Totals, tokens, contexts, whole: bool):
@@ -374,7 +397,7 @@ def scores(docs: DataFrame, scratch: Scratch) -> DataFrame:
     _add_up(_send(documents, bits)).repartition("block").sortWithinPartitions("block").write.partitionBy("block").mode(
         "overwrite"
     ).parquet(f"{scratch.path}/totals")
-    schema = "range long, hashes binary, counted binary, deleted binary, sums array<long>, block long"
+    schema = "range long, sums array<long>, block long"
     sums = spark.read.schema(schema).parquet(f"{scratch.path}/totals").where(F.col("sums").isNotNull())
     row = sums.agg(*[F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(4)]).first()
     n_counted, v_counted, n, v = (row[f"s{i}"] or 0 for i in range(4))
