@@ -9,12 +9,12 @@ that part most likely, and then all training documents are counted.
 Counts are of all training documents. Most bigrams are rare, so rows of single counts would be
 many times the text: tasks pack the counts of a block of documents by ranges of the bigrams'
 hashes, ranges add them up, and each block gets back the totals of the bigrams it holds. A bigram
-is known by its range and 40 more bits of its hash; ranges grow in number with the data, so the
-chance that two share a count stays about one in a million. Where a document lies (file and row)
+is known by its range and 32 more bits of its hash; ranges grow in number with the data, so the
+chance that two share a count stays about one in fifty thousand. Where a document lies (file and row)
 makes its block, so the text is read where it is each time and never shuffled.
 
 Held-out likelihood is gathered by the two estimates' ratios to the uniform one, in steps of a
-sixteenth of a power of two, with the mean estimates in each step: a table of bounded size.
+quarter of a power of two, with the mean estimates in each step: a table of bounded size.
 
 Cases: null text counts as empty, which is its end alone; a null id counts as the empty string;
 rows repeat as they come, and count as often; without training documents, counts are zero and all
@@ -49,8 +49,10 @@ BUCKETS = 48
 # Held-out tokens a bucket needs for weights of its own; else those of the bucket below.
 ENOUGH = 100
 EM_STEPS = 200
-STEPS_PER_OCTAVE = 16
-LOW_BITS = 40
+STEPS_PER_OCTAVE = 4
+LOW_BITS = 32
+# Ranges of hashes for each block.
+RANGES = 16
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)  # fixed values: constants of the splitmix64 generator
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -392,7 +394,7 @@ def scores(docs: DataFrame, scratch: Scratch) -> DataFrame:
     spark = docs.sparkSession
     importable(spark)
     documents, blocks = placed(docs, scratch)
-    bits = max(0, (2 * blocks - 1).bit_length())
+    bits = (RANGES * blocks - 1).bit_length()
     address = folder_address(scratch, "totals")
     _add_up(_send(documents, bits)).repartition("block").sortWithinPartitions("block").write.partitionBy("block").mode(
         "overwrite"
