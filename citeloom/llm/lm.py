@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.llm.pieces import Memo
-from citeloom.llm.session import folder_address, importable
+from citeloom.llm.session import folder_address, importable, in_worker
 from citeloom.scratch import Scratch
 
 FOLDS, HELD_OUT, DELETED = 7, 2, 3
@@ -91,13 +91,8 @@ class Tokens:
         return tokens, contexts, n
 
 
-_tokens: list[Tokens] = []
-
-
 def tokenizer() -> Tokens:
-    if not _tokens:
-        _tokens.append(Tokens())
-    return _tokens[0]
+    return in_worker("tokens", make=Tokens)
 
 
 def _bigrams(tokens: np.ndarray, contexts: np.ndarray) -> np.ndarray:

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.llm.pieces import Memo
-from citeloom.llm.session import importable
+from citeloom.llm.session import importable, in_worker
 from citeloom.operators.components import components
 from citeloom.scratch import Scratch
 
@@ -137,13 +137,8 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-_shinglers: list[Shingler] = []
-
-
 def shingler() -> Shingler:
-    if not _shinglers:
-        _shinglers.append(Shingler())
-    return _shinglers[0]
+    return in_worker("shingler", make=Shingler)
 
 
 def text_key(column: str = "text") -> Column:

@@ -28,7 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 from citeloom.llm.pieces import Memo, Pieces
-from citeloom.llm.session import file_bytes, id_and_text, importable
+from citeloom.llm.session import file_bytes, id_and_text, importable, in_worker
 from citeloom.llm.vocab import Vocabulary
 
 # The contractions of the split pattern that have two letters. Cut short by one,
@@ -166,15 +166,11 @@ def longest_within(counts: np.ndarray, budget: int, longest: int) -> int:
     return int(fitting[-1]) + 1 if len(fitting) else 0
 
 
-_counters: dict[tuple[int, str], PrefixCounter] = {}
-
-
 def _counter(data: Broadcast, pattern: str) -> PrefixCounter:
-    key = (hash(data.value), pattern)
-    if key not in _counters:
-        _counters.clear()
-        _counters[key] = PrefixCounter(Vocabulary.from_json(data.value), pattern)
-    return _counters[key]
+    def make() -> PrefixCounter:
+        return PrefixCounter(Vocabulary.from_json(data.value), pattern)
+
+    return in_worker("prefix counter", hash(data.value), pattern, make=make)
 
 
 def prefix_counts(

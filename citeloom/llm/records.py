@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.llm.pieces import Memo, Pieces
-from citeloom.llm.session import file_bytes, folder_address, id_and_text, importable
+from citeloom.llm.session import file_bytes, folder_address, id_and_text, importable, in_worker
 from citeloom.llm.vocab import byte_letters
 from citeloom.scratch import Scratch
 
@@ -204,15 +204,8 @@ class Encoder:
         return self.words["\n" + word][len(self.feed) :] if word else b""
 
 
-_encoders: dict[tuple[int, str], Encoder] = {}
-
-
 def _encoder(data: Broadcast, width: str) -> Encoder:
-    key = (hash(data.value), width)
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(data.value, width)
-    return _encoders[key]
+    return in_worker("encoder", hash(data.value), width, make=lambda: Encoder(data.value, width))
 
 
 def write_records(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,18 @@ def importable(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, _ROOT])
 
 
+# One operator's tables at a time: a Python worker serves one stage after another.
+_held: dict[tuple, object] = {}
+
+
+def in_worker(*key, make: Callable[[], object]):
+    """What a worker keeps between tasks; asking for something else lets go of it first."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

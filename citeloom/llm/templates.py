@@ -29,8 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.llm.pieces import Memo
-from citeloom.llm.session import importable
+from citeloom.llm.session import importable, in_worker
 
+# Words remembered by one Python worker.
+WORDS_KEPT = 500_000
 WINDOW = 8
 SHORTEST = 5
 # Words in a window that must not be placeholders, at least.
@@ -87,7 +89,7 @@ class Templates:
     """Template words of texts."""
 
     def __init__(self) -> None:
-        self.words = Memo(_word, kept=1_000_000)
+        self.words = Memo(_word, kept=WORDS_KEPT)
         self.name, self.unit = np.uint64(_hash("<name>")), np.uint64(_hash("<u>"))
 
     def words_of(self, text: str) -> list[str]:
@@ -139,13 +141,8 @@ class Templates:
         ]
 
 
-_templates: list[Templates] = []
-
-
 def templates() -> Templates:
-    if not _templates:
-        _templates.append(Templates())
-    return _templates[0]
+    return in_worker("templates", make=Templates)
 
 
 WINDOWS = "key string, window long, size int, at int, slots array<string>"

@@ -26,11 +26,13 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 from citeloom.llm.pieces import Memo, Pieces
-from citeloom.llm.session import file_bytes, id_and_text, importable
+from citeloom.llm.session import file_bytes, id_and_text, importable, in_worker
 from citeloom.llm.vocab import Vocabulary
 
 # Transitions kept; past this many the machine forgets all but its start state.
-TRANSITIONS_KEPT = 400_000
+TRANSITIONS_KEPT = 250_000
+# Words and pieces remembered by one Python worker.
+WORDS_KEPT = 300_000
 # No token.
 NONE = -1
 # Ids decoded at a time.
@@ -156,14 +158,14 @@ class Codec:
         self.pieces = Pieces(pattern)
         machine = Transducer(vocab)
         findall = self.pieces.pattern.findall
-        piece_ids = Memo(lambda piece: array("I", machine.encode(piece.encode())).tobytes())
+        piece_ids = Memo(lambda piece: array("I", machine.encode(piece.encode())).tobytes(), WORDS_KEPT)
 
         def whole(word: str) -> bytes:
             return b"".join([piece_ids[p] for p in findall(word)])
 
         self._whole = whole
-        self._first = Memo(whole)
-        self._spaced = Memo(lambda word: whole(" " + word))
+        self._first = Memo(whole, WORDS_KEPT // 4)
+        self._spaced = Memo(lambda word: whole(" " + word), WORDS_KEPT)
 
     def encode(self, text: str) -> bytes:
         """Ids as unsigned 32-bit integers, least byte first."""
@@ -184,15 +186,11 @@ class Codec:
         stream.close()
 
 
-_codecs: dict[tuple[int, str], Codec] = {}
-
-
 def _codec(data: Broadcast, pattern: str) -> Codec:
-    key = (hash(data.value), pattern)
-    if key not in _codecs:
-        _codecs.clear()
-        _codecs[key] = Codec(Vocabulary.from_ranks(data.value), pattern)
-    return _codecs[key]
+    def make() -> Codec:
+        return Codec(Vocabulary.from_ranks(data.value), pattern)
+
+    return in_worker("codec", hash(data.value), pattern, make=make)
 
 
 ENCODED = "doc_id long, text string, ids binary"
