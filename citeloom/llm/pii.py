@@ -144,19 +144,27 @@ _ODD = re.compile(
 )
 _OPEN, _CLOSE = r"[\[({<]\s{0,3}", r"\s{0,3}[\])}>]"
 _digit = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
+_MAIL = (
+    rf"(?<=[A-Za-z0-9])\s(?:{AT_WORDS})\s(?=[A-Za-z0-9-]{{1,63}}(?:\s(?:{DOT_WORDS})\s[A-Za-z0-9-]{{1,63}}){{0,5}}"
+    rf"(?:\.|\s(?:{DOT_WORDS})\s)(?:{ENDINGS})\b)"
+)
+_SEP = rf"(?<=[A-Za-z0-9])\s(?:{DOT_WORDS})\s(?=[A-Za-z0-9])"
 _SIGNS = re.compile(
     rf"(?P<at>\s{{0,3}}{_OPEN}(?:{AT_WORDS}|@){_CLOSE}\s{{0,3}})"
     rf"|(?P<dot>\s{{0,3}}{_OPEN}(?:{DOT_WORDS}|\.){_CLOSE}\s{{0,3}})"
-    rf"|(?P<mail>(?<=[A-Za-z0-9])\s(?:{AT_WORDS})\s(?=[A-Za-z0-9-]{{1,63}}(?:\s(?:{DOT_WORDS})\s[A-Za-z0-9-]{{1,63}}){{0,5}}"
-    rf"(?:\.|\s(?:{DOT_WORDS})\s)(?:{ENDINGS})\b))"
-    rf"|(?P<sep>(?<=[A-Za-z0-9])\s(?:{DOT_WORDS})\s(?=[A-Za-z0-9]))"
+    rf"|(?P<mail>{_MAIL})"
+    rf"|(?P<sep>{_SEP})"
     rf"|(?P<plus>\b(?:{PLUS_WORDS})\s+(?=(?:{_digit})\b))"
     rf"|(?P<digit>\b(?:{_digit})\b)"
     rf"|(?P<gap>(?<=\w)(?:\s*,\s*|\s+)(?=(?:{_digit})\b))",
     re.IGNORECASE,
 )
 _BRACKETED = re.compile(rf"{_OPEN}(?:{AT_WORDS}|@|{DOT_WORDS}|\.){_CLOSE}", re.IGNORECASE)
-_FEWEST_DIGITS = 4
+_MAIL_ALONE, _SEP_ALONE = re.compile(_MAIL, re.IGNORECASE), re.compile(_SEP, re.IGNORECASE)
+_WORD = re.compile(r"\w+")
+_SIGN_WORDS = frozenset(f"{AT_WORDS}|{DOT_WORDS}".split("|"))
+# Letters that a pattern without case takes for an ASCII one, but ``lower`` does not make one.
+_CASE = str.maketrans({"ſ": "s", "ı": "i", "İ": "i"})
 
 
 class Normalised:
@@ -201,23 +209,28 @@ def _sign(match: re.Match) -> str:
         return "+"
     if kind == "gap":
         return " "
-    return DIGIT_WORDS[match.group().lower()]
+    return DIGIT_WORDS[_lower(match.group())]
+
+
+def _lower(text: str) -> str:
+    return (text if text.isascii() else text.translate(_CASE)).lower()
 
 
 def disguised(text: str) -> bool:
-    """Whether the transducers might change anything that matters; reads all of the text."""
+    """Whether the transducers might change anything but gaps; reads all of the text.
+
+    True wherever one of them would; a gap matters only before a digit word. Whether what they put
+    out is credible is for detection to say.
+    """
     if not text.isascii() and _ODD.search(text):
         return True
     if _BRACKETED.search(text):
         return True
-    lower = text.lower()
-    if any(f" {w} " in lower for w in DOT_WORDS.split("|")):
+    words = set(_WORD.findall(_lower(text)))
+    if not DIGIT_WORDS.keys().isdisjoint(words):
         return True
-    words = lower.replace("-", " ").split()
-    if DIGIT_WORDS.keys().isdisjoint(words):
-        return False
-    at = [i for i, w in enumerate(words) if w.strip(",.;:") in DIGIT_WORDS]
-    return any(b - a < 2 * _FEWEST_DIGITS for a, b in zip(at, at[_FEWEST_DIGITS - 1 :]))
+    # Both signs are words of their own, so most texts need no search.
+    return not words.isdisjoint(_SIGN_WORDS) and bool(_MAIL_ALONE.search(text) or _SEP_ALONE.search(text))
 
 
 def normalise(text: str) -> Normalised:

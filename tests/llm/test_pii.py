@@ -67,6 +67,41 @@ def test_disguises(text, kind, found):
     assert not any(added[k] for k in pii.KINDS if k != kind)
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "found"),
+    [
+        ("write to john at example.com today", "email", "john at example.com"),
+        ("a@b.com or john at example.com", "email", "john at example.com"),
+        ("call plus four, nine, one, seven, one, two, three, four, five, seven.", "phone",
+         "plus four, nine, one, seven, one, two, three, four, five, seven"),
+        ("call plus 44 20 7946 09 ten or plus four 4 20 7946 0958", "phone", "plus four 4 20 7946 0958"),
+        ("card 4111 1111 two 111 1111", "card", None),
+        ("card 4111 1111 1111 111 one", "card", "4111 1111 1111 111 one"),
+        ("host 192.168.one.10", "ip", "192.168.one.10"),
+        ("mail john@zéro.com", "email", "john@zéro.com"),
+    ],
+)
+def test_one_disguise_is_enough(text, kind, found):
+    base, added = pii.spans(text)
+    assert base == brute(text)
+    assert [text[a:b] for a, b in added[kind]] == ([found] if found else [])
+    assert not found or found not in pii.masked(text)
+
+
+def test_the_gate_loses_no_span(monkeypatch):
+    rng = random.Random(5)
+    pieces = [
+        *"at dot plus point arroba ät one ſix fıve SİX Four zéro fünf 4 1111 192 168 + @ , . ; - ( ) [ ] com org".split(),
+        *["john", "example", "example.com", "a@b.com", "(at)", "[dot]", "х", "\u200b", "é", "\u00a0", "\n", ", ", "４"],
+    ]
+    texts = ["".join(rng.choice(pieces) + rng.choice(["", " ", " "]) for _ in range(rng.randint(1, 14))) for _ in range(6_000)]
+    texts += [" ".join(rng.choices("plus one two 4 five 6 192 . dot - 1111".split(), k=20)) for _ in range(1_000)]
+    gated = [pii.spans(t) for t in texts]
+    monkeypatch.setattr(pii, "disguised", lambda text: True)
+    assert gated == [pii.spans(t) for t in texts]
+    assert sum(any(added.values()) for _, added in gated) > 100
+
+
 @pytest.mark.parametrize(
     "text", ["We met at noon on the dot.", "one two three", "look at this. dot matrix", "un deux trois quatre cinq"]
 )
