@@ -121,3 +121,12 @@ def test_odd_documents(odd, none, scratch, spark):
     held_out = [(i, "a b") for i in range(40) if fold(i) == 2]
     only = lm.scores(frame(spark, held_out), scratch).collect()
     assert all(r["train_tokens"] == 0 and r["n_known"] == 0 and math.isfinite(r["score"]) for r in only)
+
+
+def test_hashes_alike_in_their_low_halves_stay_apart():
+    hashes = np.arange(256, dtype=np.uint64) << np.uint64(32) | np.uint64(7)
+    places = lm._places(hashes, 1)
+    assert len(np.unique(places)) == 256
+    kept = lm._from_low_bytes([np.frombuffer(lm._low_bytes(places), np.uint8).reshape(-1, lm.LOW_BITS // 8)])
+    assert len(np.unique(kept)) == 256
+    assert lm.STEPS_PER_OCTAVE >= 16
