@@ -1,11 +1,15 @@
 """Benchmark decontamination by canonical templates.
 
-Texts become template words: numbers, names and units turn into typed placeholders, the rest is
-lower-cased and stripped of punctuation. Windows of template words are hashed and the documents'
-windows joined to the benchmark's; windows of one document and item that lie on one diagonal
-belong together. Their slots (what the placeholders stood for) must be consistent: one value of
-the item always faces one value of the document and the other way round, within a type. So a
-question asked again with other numbers or names is found, a chance run of placeholders is not.
+Texts become template words: numbers, names and units turn into typed placeholders, a run of
+names or a number with its unit into one; the rest is lower-cased and stripped of punctuation.
+Windows of template words are hashed and the documents' windows joined to the benchmark's, beside
+windows of the words as they are, lower-cased, which find verbatim copies whatever they consist of.
+A capital word that begins a window is read both as a name and as a word.
+
+Windows of one document and item that lie on nearby diagonals belong together. Where one value of
+the item faces several values of the document, windows in which it faces another than itself
+do not count. So a question asked again with other numbers or names is found, a chance run of
+placeholders is not.
 
 A document is contaminated by an item when matched windows cover at least ``share`` of the item's
 words. Documents' windows are looked up in a bitmap of fixed size first, so that only likely
@@ -42,6 +46,8 @@ SHARE = 0.5
 BITMAP_BITS = 26
 
 NUMBER, NAME, UNIT = 1, 2, 3
+# What a written word's own type may be besides: a number with its unit, a word with digits in it.
+_WITH_UNIT, _WITH_DIGITS = 2, 3
 # Low bits of a template word's hash: its type, and facts about its writing.
 _KIND, _CAPITAL, _STOP, _UNIT_WORD = 3, 4, 8, 16
 _FLAGS = np.uint64(31)
@@ -72,17 +78,28 @@ def _word(word: str) -> int:
     core = _core(word)
     flags = _STOP if word[-1] in ".!?:" or word[-1] in "\"')]»”" and word[-2:-1] in (".", "!", "?") else 0
     lower = core.lower()
-    shape = _DIGITS.sub("<n>", lower)
+    shape = _shape(lower)
     if lower in UNITS:
         flags |= _UNIT_WORD
     if shape != lower:
         rest = shape.replace("<n>", "")
-        if not rest or rest in UNITS:
-            flags |= NUMBER
-            shape = "<n>" if not rest else shape.replace(rest, "<u>")
+        flags |= NUMBER if not rest else _WITH_UNIT if rest in UNITS else _WITH_DIGITS
     elif core[:1].isupper() and core[1:].islower():
         flags |= _CAPITAL
-    return _hash(shape) | flags
+    return _hash(lower) | flags
+
+
+def _shape(lower: str) -> str:
+    return _DIGITS.sub("<n>", lower)
+
+
+def _counting(words: list[str]) -> bool:
+    """Whether words are numbers at equal steps, which any count or table may hold."""
+    try:
+        numbers = [int(_core(w)) for w in words]
+    except ValueError:
+        return False
+    return len({b - a for a, b in zip(numbers, numbers[1:])}) <= 1
 
 
 class Templates:
@@ -90,19 +107,30 @@ class Templates:
 
     def __init__(self) -> None:
         self.words = Memo(_word, kept=WORDS_KEPT)
+        self.shapes = Memo(lambda w: _hash(_shape(_core(w).lower())), kept=WORDS_KEPT)
         self.name, self.unit = np.uint64(_hash("<name>")), np.uint64(_hash("<u>"))
+        self.number, self.amount = np.uint64(_hash("<n>")), np.uint64(_hash("<n><u>"))
 
     def words_of(self, text: str) -> list[str]:
         return text.split()
 
-    def canonical(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def written(self, words: list[str]) -> np.ndarray:
+        """Hash of every word as it is, and its flags in the low bits."""
+        return np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
+
+    def canonical(self, words: list[str], raw: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Hash and type (0 for a plain word) of every template word."""
-        raw = np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
+        raw = self.written(words) if raw is None else raw
         flags = (raw & _FLAGS).astype(np.uint8)
         hashes = raw & ~_FLAGS
-        kinds = flags & _KIND
+        own = flags & _KIND
+        kinds = np.zeros(len(words), np.uint8)
         if not len(words):
             return hashes, kinds
+        hashes[own == NUMBER], hashes[own == _WITH_UNIT] = self.number, self.amount
+        kinds[(own == NUMBER) | (own == _WITH_UNIT)] = NUMBER
+        for i in np.flatnonzero(own == _WITH_DIGITS).tolist():
+            hashes[i] = self.shapes[words[i]]
         # A capital inside a sentence makes a name; at its beginning it may be any word.
         inside = np.empty(len(words), dtype=bool)
         inside[0] = False
@@ -117,35 +145,92 @@ class Templates:
         hashes[units], kinds[units] = self.unit, UNIT
         return hashes, kinds
 
-    def windows(self, hashes: np.ndarray, kinds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hash of each window of ``size`` words, and whether it has plain words enough."""
-        n = len(hashes) - size + 1
-        if n <= 0:
-            return np.zeros(0, np.uint64), np.zeros(0, bool)
-        total = np.zeros(n, np.uint64)
+    def collapsed(self, hashes: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, type and first word of every placeholder or word, runs as one; the words' number
+        ends the last column."""
+        before, after = kinds[:-1], kinds[1:]
+        joined = np.zeros(len(kinds), dtype=bool)
+        joined[1:] = (
+            (before == NAME) & (after == NAME)
+            | (before == NUMBER) & (after == UNIT)
+            | (before == UNIT) & (after == NUMBER)
+        )
+        starts = np.flatnonzero(~joined)
+        edges = np.append(starts, len(kinds))
+        hashes, kinds = hashes[starts], kinds[starts]
+        amounts = (np.diff(edges) > 1) & (kinds != NAME)
+        hashes[amounts], kinds[amounts] = self.amount, NUMBER
+        return hashes, kinds, edges
+
+    def windows(self, parts: list[np.ndarray]) -> np.ndarray:
+        """Hash of windows given by their first words' hashes, second words' hashes and so on."""
+        total = np.zeros(len(parts[0]), np.uint64)
         factor = np.uint64(_MULTIPLIER)
-        for i in range(size):
-            total = total * factor + (hashes[i : i + n] >> np.uint64(5))
+        for part in parts:
+            total = total * factor + (part >> np.uint64(5))
         total ^= total >> np.uint64(29)
         total *= np.uint64(0xBF58476D1CE4E5B9)  # fixed value: a mixing constant
         total ^= total >> np.uint64(32)
+        return total
+
+    def found(self, words: list[str], size: int | None, wanted) -> Iterator[tuple[int, int, int, int, list[str]]]:
+        """``window, size, first word, end, slots`` of the windows that ``wanted`` takes."""
+        raw = self.written(words)
+        words_alone = raw & ~_FLAGS
+        own = size or min(WINDOW, len(words))
+        n = len(words) - own + 1
+        if n > 0:
+            apart = words_alone ^ self.unit  # not to be taken for templates
+            window = self.windows([apart[i : i + n] for i in range(own)])
+            for i in np.flatnonzero(wanted(window)).tolist():
+                if not _counting(words[i : i + own]):
+                    yield int(window[i].view(np.int64)), own, i, i + own, []
+        hashes, kinds, edges = self.collapsed(*self.canonical(words, raw))
+        own = size or min(WINDOW, len(hashes))
+        n = len(hashes) - own + 1
+        if own < SHORTEST or n <= 0:
+            return
         plain = np.concatenate(([0], np.cumsum(kinds == 0)))
-        return total, plain[size:] - plain[:-size] >= min(PLAIN_WORDS, size)
-
-    def slots(self, words: list[str], kinds: np.ndarray, start: int, size: int) -> list[str]:
-        """``offset:type:value`` of the placeholders in a window."""
-        return [
-            f"{i}:{kinds[start + i]}:{_core(words[start + i]).lower()}"
-            for i in range(size)
-            if kinds[start + i]
-        ]
+        least = min(PLAIN_WORDS, own)
+        starts = edges[:-1]
+        many = np.diff(edges) > 1
+
+        def row(window, i, at, till, slots):
+            inner = [(kinds[j], edges[j], edges[j + 1]) for j in range(i + 1, till) if kinds[j]]
+            return int(window.view(np.int64)), own, int(at), int(edges[till]), [
+                f"{kind}:{(' ' if kind == NAME else '').join(_core(w).lower() for w in words[a:b])}"
+                for kind, a, b in slots + inner
+            ]
+
+        window = self.windows([hashes[i : i + n] for i in range(own)])
+        for i in np.flatnonzero((plain[own:] - plain[:-own] >= least) & wanted(window)).tolist():
+            yield row(window[i], i, starts[i], i + own, [(kinds[i], starts[i], edges[i + 1])] if kinds[i] else [])
+            if kinds[i] == NAME and many[i]:
+                # The run's first word may only be a capital one in front of the name.
+                yield row(window[i], i, starts[i] + 1, i + own, [(NAME, starts[i] + 1, edges[i + 1])])
+        # The other reading of a capital word that begins a window: a name as a word, a word as a name.
+        capital = (raw[starts] & np.uint64(_CAPITAL)) != 0
+        at = np.flatnonzero(capital[:n] & ~many[:n] & ((kinds[:n] == NAME) | (kinds[:n] == 0)))
+        named = kinds[at] == NAME
+        window = self.windows([np.where(named, words_alone[starts[at]], self.name), *[hashes[at + i] for i in range(1, own)]])
+        enough = plain[at + own] - plain[at] + np.where(named, 1, -1) >= least
+        for k in np.flatnonzero(enough & wanted(window)).tolist():
+            i = int(at[k])
+            yield row(window[k], i, starts[i], i + own, [] if named[k] else [(NAME, starts[i], edges[i + 1])])
+        # A capital word, and the rest of the run as a name.
+        at = np.flatnonzero((kinds[: n + 1] == NAME) & many[: n + 1])
+        window = self.windows([words_alone[starts[at]], *[hashes[at + i - 1] for i in range(1, own)]])
+        enough = plain[at + own - 1] - plain[at] + 1 >= least
+        for k in np.flatnonzero(enough & wanted(window)).tolist():
+            i = int(at[k])
+            yield row(window[k], i, starts[i], i + own - 1, [(NAME, starts[i] + 1, edges[i + 1])])
 
 
 def templates() -> Templates:
     return in_worker("templates", make=Templates)
 
 
-WINDOWS = "key string, window long, size int, at int, slots array<string>"
+WINDOWS = "key string, window long, size int, at int, till int, slots array<string>"
 
 
 def _rows(frame: DataFrame, key: str, text: str, sizes: list[int] | None, bitmap: Broadcast | None) -> DataFrame:
@@ -154,33 +239,26 @@ def _rows(frame: DataFrame, key: str, text: str, sizes: list[int] | None, bitmap
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maker = templates()
         bits = np.frombuffer(bitmap.value, np.uint8) if bitmap is not None else None
+
+        def wanted(found: np.ndarray) -> np.ndarray:
+            if bits is None:
+                return np.ones(len(found), bool)
+            place = found & np.uint64((1 << BITMAP_BITS) - 1)
+            return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1) == 1
+
         for batch in batches:
-            keys, windows, lengths, at, slots = [], [], [], [], []
+            rows = []
             for own, content in zip(batch.column("key").to_pylist(), batch.column("text")):
                 words = maker.words_of(content.as_py() or "")
                 if len(words) < SHORTEST:
                     continue
-                hashes, kinds = maker.canonical(words)
-                for size in sizes or [min(WINDOW, len(words))]:
-                    found, telling = maker.windows(hashes, kinds, size)
-                    if bits is not None:
-                        place = found & np.uint64((1 << BITMAP_BITS) - 1)
-                        telling &= (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1) == 1
-                    for i in np.flatnonzero(telling).tolist():
-                        keys.append(own)
-                        windows.append(int(found[i].view(np.int64)))
-                        lengths.append(size)
-                        at.append(i)
-                        slots.append(maker.slots(words, kinds, i, size))
+                for size in sizes or [None]:
+                    rows += [(own, *row) for row in maker.found(words, size, wanted)]
+            columns = list(zip(*rows)) or [()] * 6
+            kinds = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string())]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(keys, pa.string()),
-                    pa.array(windows, pa.int64()),
-                    pa.array(lengths, pa.int32()),
-                    pa.array(at, pa.int32()),
-                    pa.array(slots, pa.list_(pa.string())),
-                ],
-                names=["key", "window", "size", "at", "slots"],
+                [pa.array(c, k) for c, k in zip(columns, kinds)],
+                names=["key", "window", "size", "at", "till", "slots"],
             )
 
     narrow = frame.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"))
@@ -231,46 +309,84 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, share: float = SHARE) -> D
     found = _rows(docs.select(text_key().alias("_key"), "text"), "_key", "text", sizes, bitmap)
     right = item_windows.select(
         F.col("key").alias("item"), "window", "size", F.col("at").alias("item_at"),
-        F.col("slots").alias("item_slots"),
+        F.col("till").alias("item_till"), F.col("slots").alias("item_slots"),
     )
     joined = found.join(right, ["window", "size"])
-    # Windows on one diagonal: at most as many rows as the item has words, per copy of the text.
-    diagonal = joined.groupBy("key", "item", (F.col("at") - F.col("item_at")).alias("shift"), "size").agg(
-        F.collect_set("item_at").alias("places"),
-        F.array_distinct(
-            F.flatten(F.collect_set(F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b"))))
-        ).alias("pairs"),
-    )
-    value = lambda slot: F.regexp_replace(slot, r"^\d+:", "")
-    pairs = F.array_distinct(
-        F.transform("pairs", lambda p: F.struct(value(p["a"]).alias("a"), value(p["b"]).alias("b")))
-    )
-    judged = diagonal.select("key", "item", "places", "size", pairs.alias("pairs")).where(
-        (F.size("pairs") == F.size(F.array_distinct(F.col("pairs")["a"])))
-        & (F.size("pairs") == F.size(F.array_distinct(F.col("pairs")["b"])))
-    )
-    covered = F.size(
-        F.array_distinct(
-            F.flatten(F.transform("places", lambda p: F.sequence(p, p + F.col("size") - 1)))
-        )
+    # At most as many as the text's matched windows, whatever its copies.
+    together = joined.groupBy("key", "item").agg(
+        F.collect_set(F.struct("at", "item_at", "item_till", "slots", "item_slots")).alias("windows")
     )
     words = items.select(
         "item", "item_id", F.size(F.filter(F.split("text", r"\s+"), lambda w: w != "")).alias("item_words")
     )
-    scored = judged.select(
-        "key", "item", covered.alias("covered"),
-        F.forall("pairs", lambda p: p["a"] == p["b"]).alias("verbatim"),
-    )
-    best = scored.groupBy("key", "item").agg(
-        F.max(F.struct("covered", "verbatim")).alias("best")
-    )
+    kept = words.schema["item_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            best = [
+                judged([tuple(w.values()) for w in windows.as_py()], n)
+                for windows, n in zip(batch.column("windows"), batch.column("item_words").to_pylist())
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("key"),
+                    batch.column("item_id"),
+                    pa.array([c for c, _ in best], pa.int32()),
+                    batch.column("item_words"),
+                    pa.array([v for _, v in best], pa.bool_()),
+                ],
+                names=["key", "item_id", "covered", "item_words", "verbatim"],
+            )
+
     return (
-        best.join(words, "item")
-        .select("key", "item_id", "best.covered", "item_words", "best.verbatim")
+        together.join(words, "item")
+        .mapInArrow(run, f"key string, item_id {kept}, covered int, item_words int, verbatim boolean")
         .where(F.col("covered") >= F.ceil(F.col("item_words") * share))
+        .groupBy("key", "item_id", "item_words")
+        .agg(F.max(F.struct("covered", "verbatim")).alias("best"))
+        .select("key", "item_id", "best.covered", "item_words", "best.verbatim")
     )
 
 
+def judged(windows: list[tuple], item_words: int) -> tuple[int, bool]:
+    """Most words of an item that consistent windows on nearby diagonals cover, and whether all of
+    their slots hold the item's own values. ``windows`` has rows of place in the document, place
+    and end in the item, slots of both."""
+    near = max(WINDOW, item_words // 4)
+    rows = sorted((at - a, a, b, tuple(zip(theirs, ours))) for at, a, b, theirs, ours in windows)
+    best, end = (0, False), 0
+    for i, row in enumerate(rows):
+        if i and rows[i - 1][0] == row[0]:
+            continue
+        while end < len(rows) and rows[end][0] <= row[0] + near:
+            end += 1
+        alone = i
+        while alone < end and rows[alone][0] == row[0]:
+            alone += 1
+        for some in (rows[i:alone], rows[i:end]) if alone < end else (rows[i:end],):
+            best = max(best, _cover(some))
+    return best
+
+
+def _one(values: set[str]) -> bool:
+    """Whether values are one, or the longest and its last words, as of ``Anna Lee`` and ``Lee``."""
+    longest = max(values, key=len)
+    return all(v == longest or longest.endswith(" " + v.partition(":")[2]) for v in values)
+
+
+def _cover(rows: list[tuple]) -> tuple[int, bool]:
+    faces: dict[str, set[str]] = {}
+    for row in rows:
+        for theirs, ours in row[3]:
+            faces.setdefault(ours, set()).add(theirs)
+    covered, verbatim = set(), True
+    for _, a, b, pairs in rows:
+        if all(theirs == ours or _one(faces[ours]) for theirs, ours in pairs):
+            covered.update(range(a, b))
+            verbatim &= all(theirs == ours for theirs, ours in pairs)
+    return len(covered), verbatim
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, share: float = SHARE) -> DataFrame:
     """``doc_id, item_id, covered, item_words, verbatim``, one row per document and item."""
     ids = docs.select(text_key().alias("key"), "doc_id")

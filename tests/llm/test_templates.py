@@ -44,6 +44,27 @@ def test_asked_again_with_other_values(spark):
     assert hits(frame(spark, rows), items) == [(1, 1, True), (2, 1, False), (5, 1, True)]
 
 
+def test_longer_names_and_units_apart(spark):
+    items = benchmark(spark, [(1, QUESTION), (2, QUESTION.replace("12 km", "12km"))])
+    rows = [(1, QUESTION.replace("Maria", "Anna Lee")), (2, QUESTION.replace(" km on", "km on"))]
+    assert {(d, i) for d, i, _ in hits(frame(spark, rows), items)} == {(d, i) for d in (1, 2) for i in (1, 2)}
+
+
+def test_values_that_meet_and_values_that_part(spark):
+    passage = prose(21, 20) + " and Maria " + prose(22, 20).lower() + " near Maria " + prose(23, 14).lower()
+    items = benchmark(spark, [(1, QUESTION), (2, passage)])
+    met = QUESTION.replace("12 km", "9 km").replace("7 km", "9 km")
+    rows = [(1, met), (2, passage.replace("near Maria", "near Sonja"))]
+    assert {(d, i) for d, i, _ in hits(frame(spark, rows), items)} == {(1, 1), (2, 2)}
+
+
+def test_copies_of_any_words(spark):
+    items = ["Who Was The First King Of Old Norway Then", "3 17 42 9 118 6 77 21 5", "Maria sees seven dogs here"]
+    rows = [(d, f"{prose(30 + d, 30)} so {q} {prose(40 + d, 20)}") for d, q in enumerate(items)]
+    found = hits(frame(spark, rows), benchmark(spark, list(enumerate(items))))
+    assert found == [(d, d, True) for d in range(3)]
+
+
 def test_placeholders_alone_match_nothing(spark):
     items = benchmark(spark, [(1, "1 2 3 4 5 6 7 8 9 10"), (2, "rows 1 2 3 4 5 6 7 8 9")])
     rows = [(1, "9 8 7 6 5 4 3 2 1 0 11 12"), (2, " ".join(map(str, range(300))))]
