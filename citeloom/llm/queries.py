@@ -6,7 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import lm, minhash, pii, prefix_counts, quality, records, secrets, sharding, templates, transducer
+from citeloom.llm import (
+    centroids,
+    filter_audit,
+    lm,
+    minhash,
+    pii,
+    prefix_counts,
+    quality,
+    records,
+    secrets,
+    sharding,
+    templates,
+    transducer,
+    voronoi,
+)
+from citeloom.llm.oracles import ORACLES
 from citeloom.llm.session import documents
 from citeloom.scratch import Scratch
 
@@ -76,6 +91,21 @@ def op10_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return centroids.cluster(vectors, Scratch(spark, "centroids"))
+
+
+def op12_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return voronoi.top_products(vectors, Scratch(spark, "voronoi"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return filter_audit.audit(documents(spark, sf_dir), labels, Scratch(spark, "audit"))
+
+
 QUERIES = {
     "op1_minhash_classes": op1_minhash_classes,
     "op2_token_records": op2_token_records,
@@ -87,5 +117,8 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_token_counts": op9_token_counts,
     "op10_minimax_shards": op10_minimax_shards,
+    "op11_centroids": op11_centroids,
+    "op12_top_products": op12_top_products,
+    "op13_filter_audit": op13_filter_audit,
 }
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
