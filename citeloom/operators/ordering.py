@@ -1,4 +1,4 @@
-"""Dense positions and pages over a global order, without a single-task window."""
+"""Dense positions, neighbours and pages over a global order, without a single-task window."""
 
 from __future__ import annotations
 
@@ -6,9 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from citeloom.scratch import Scratch
 
+# Neighbouring rows that one task compares.
+RUN = 100_000
+
 
 def dense_index(
     df: DataFrame,
@@ -47,6 +51,24 @@ def dense_index(
     )
 
 
+def with_previous(
+    indexed: DataFrame, columns: Sequence[str], position: str = "position", run: int = RUN
+) -> DataFrame:
+    """Add ``previous_<column>`` of the row before, over dense positions.
+
+    Rows are dealt in runs of fixed length, whatever their keys, and the last row of each run is
+    also given to the next one, which needs it as predecessor only.
+    """
+    own = F.floor(F.col(position) / run)
+    last = F.col(position) % run == run - 1
+    dealt = indexed.select(
+        "*", F.explode(F.when(last, F.array(own, own + 1)).otherwise(F.array(own))).alias("_run")
+    )
+    order = Window.partitionBy("_run").orderBy(position)
+    seen = dealt.select("*", *[F.lag(c).over(order).alias(f"previous_{c}") for c in columns])
+    return seen.where(F.col("_run") == own).drop("_run")
+
+
 def paged(df: DataFrame, page_size: int, position: str = "position") -> DataFrame:
     """Add the page number of every row of an indexed DataFrame."""
     if page_size < 1:

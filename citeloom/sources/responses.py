@@ -19,6 +19,8 @@ from citeloom.functions.metadata import (
 )
 from citeloom.functions.once import evaluated
 from citeloom.operators.lookup import HotKeys, hot_keys, lookup
+from citeloom.operators.ordering import dense_index, with_previous
+from citeloom.scratch import Scratch
 
 RESPONSE_SCHEMA = "source STRING, request_key STRING, status INT, body STRING"
 
@@ -78,137 +80,138 @@ def _search_pages(pages: DataFrame) -> DataFrame:
     parsed = evaluated(
         pages,
         "search_hash",
-        "retstart",
+        F.col("retstart").cast("bigint").alias("retstart"),
         ((F.col("status") >= 400) | F.col("body").isNull() | ~is_single_value(F.col("body"))).alias(
             "failed"
         ),
         _parse(F.col("body"), schema)["esearchresult"].alias("r"),
     )
+    ids = F.coalesce("r.idlist", F.array().cast("array<string>"))
+    count = F.col("r.count").try_cast("bigint")
+    error = F.when(F.col("failed"), F.lit(SEARCH_FAILED)).when(
+        F.col("r").isNull(), F.lit(SEARCH_STRUCTURE)
+    )
     return parsed.select(
         "search_hash",
         "retstart",
-        F.coalesce("r.idlist", F.array().cast("array<string>")).alias("ids"),
-        F.col("r.count").try_cast("bigint").alias("count"),
-        (F.col("r.count").isNotNull() & F.col("r.count").try_cast("bigint").isNull()).alias("bad_count"),
-        F.when(F.col("failed"), F.lit(SEARCH_FAILED))
-        .when(F.col("r").isNull(), F.lit(SEARCH_STRUCTURE))
-        .alias("error"),
+        ids.alias("ids"),
+        (F.col("retstart") + F.size(ids)).alias("end"),
+        F.coalesce(count, F.size(ids).cast("bigint")).alias("count"),
+        (error.isNull() & F.col("r.count").isNotNull() & count.isNull()).alias("bad_count"),
+        error.alias("error"),
     )
 
 
-def _search_headers(pages: DataFrame) -> DataFrame:
-    """Where each search's paging loop stops: one small row per search."""
-    bad = F.col("error").isNotNull()
-    empty = ~bad & (F.size("ids") == 0)
-    header = pages.groupBy("search_hash").agg(
-        F.min("retstart").alias("first"),
-        F.min_by(F.coalesce("count", F.size("ids").cast("bigint")), "retstart").alias("total"),
-        F.min(F.when(empty, F.col("retstart"))).alias("first_empty"),
-        F.min(F.when(bad, F.col("retstart"))).alias("first_bad"),
-        F.min_by("error", F.when(bad, F.col("retstart"))).alias("message"),
-        F.min_by(~bad & F.col("bad_count"), "retstart").alias("bad_count"),
-    )
-    reached = (
-        F.col("first_bad").isNotNull()
-        & (F.col("first_empty").isNull() | (F.col("first_bad") < F.col("first_empty")))
-        & ((F.col("first_bad") == F.col("first")) | (F.col("first_bad") < F.col("total")))
-    )
-    return header.select(
+def _search_starts(pages: DataFrame) -> DataFrame:
+    """What a search's first page says: one small row per search."""
+    said = F.struct("retstart", (-F.col("end")).alias("least"), "count", "bad_count")
+    first = pages.groupBy("search_hash").agg(F.min(said).alias("s"))
+    return first.select(
         "search_hash",
-        "first",
-        "total",
-        "first_empty",
-        F.when(F.col("first") > 0, F.lit(SEARCH_LATE))
-        .when(reached, F.col("message"))
-        .when(F.col("bad_count"), F.lit(SEARCH_COUNT))
-        .alias("message"),
+        F.col("s.retstart").alias("first"),
+        F.col("s.count").alias("total"),
+        F.col("s.bad_count").alias("bad_count"),
     )
 
 
-def _reached_pages(pages: DataFrame, hot: HotKeys) -> DataFrame:
-    """Pages that each search's paging loop would have read, with the search's header."""
-    read = _search_pages(pages)
-    return lookup(
-        read.select("search_hash", "retstart", "ids"),
-        _search_headers(read),
+def _search_verdicts(pages: DataFrame, hot: HotKeys, scratch: Scratch) -> DataFrame:
+    """``search_hash, total, last, message``: a small row per search; a complete one has no message.
+
+    The paging loop asks for pages below the total and ends at the first empty one of these;
+    ``last`` is where the last page that it can read begins. Pages cover a search if each begins
+    where the one before it ends, which is compared over a global order: neither a long search nor
+    one landed many times is a task of its own.
+    """
+    asked = lookup(
+        pages.select("search_hash", "retstart", "end", "error"),
+        _search_starts(pages),
         "search_hash",
         how="inner",
         hot=hot,
         null_keys=False,
-    ).where(
-        F.col("message").isNotNull()
-        | (
-            ((F.col("retstart") == F.col("first")) | (F.col("retstart") < F.col("total")))
-            & (F.col("first_empty").isNull() | (F.col("retstart") <= F.col("first_empty")))
-        )
+    ).where((F.col("retstart") == F.col("first")) | (F.col("retstart") < F.col("total")))
+    # Of pages that begin alike the longest comes first, so that the others overlap it.
+    order = ["search_hash", "retstart", F.col("end").desc(), "error"]
+    ordered = dense_index(asked, order, "place", scratch)
+    compared = with_previous(ordered, ["search_hash", "end"], "place")
+    follows = F.col("previous_search_hash") == F.col("search_hash")
+    torn = follows & (F.col("previous_end") != F.col("retstart"))
+    bad, empty = F.col("error").isNotNull(), F.col("error").isNull() & (F.col("end") == F.col("retstart"))
+
+    def where_first(condition: Column) -> Column:
+        return F.min(F.when(condition, F.col("retstart")))
+
+    found = compared.groupBy("search_hash").agg(
+        F.min("first").alias("first"),
+        F.min("total").alias("total"),
+        F.bool_or("bad_count").alias("bad_count"),
+        where_first(empty).alias("first_empty"),
+        where_first(bad).alias("first_bad"),
+        F.min_by("error", F.when(bad, F.struct("retstart", "error"))).alias("why"),
+        where_first(torn).alias("first_torn"),
+        F.max("end").alias("end"),
     )
-
-
-def _search_verdicts(reached: DataFrame) -> DataFrame:
-    """``search_hash, message``: one small row per search, null for one that is complete.
-
-    Pages follow each other if each begins where one ends: then the hashes of all beginnings and
-    all ends cancel, but for the first beginning and the last end.
-    """
-    end = F.col("retstart") + F.size("ids")
-    chained = F.bit_xor(F.xxhash64("retstart")).bitwiseXOR(
-        F.bit_xor(F.when(F.size("ids") > 0, F.xxhash64(end)).otherwise(F.xxhash64("retstart")))
-    )
-    # An empty page ends where it begins, so it cancels by itself; where it stands is checked.
-    summed = reached.groupBy("search_hash").agg(
-        F.first("message").alias("message"),
-        chained.alias("chained"),
-        F.max(end).alias("last_end"),
-        F.first("total").alias("total"),
-        F.first("first_empty").alias("first_empty"),
-    )
-    whole = F.xxhash64(F.lit(0).cast("bigint")).bitwiseXOR(F.xxhash64("last_end"))
-    gap = F.when(F.col("last_end") > 0, F.col("chained") != whole).otherwise(F.lit(False))
-    return summed.select(
+    ends = F.coalesce("first_empty", F.lit((1 << 63) - 1))
+    return found.select(
         "search_hash",
-        F.when(F.col("message").isNotNull(), F.col("message"))
-        .when(gap, F.lit(SEARCH_GAP))
+        "total",
+        ends.alias("last"),
+        F.when(F.col("first") > 0, F.lit(SEARCH_LATE))
+        .when(F.col("first_bad") <= ends, F.col("why"))
+        .when(F.col("bad_count"), F.lit(SEARCH_COUNT))
+        .when(F.col("first_torn") <= ends, F.lit(SEARCH_GAP))
         .when(
-            F.col("first_empty").isNull() & (F.col("last_end") < F.col("total")),
-            F.lit(SEARCH_SHORT),
+            F.col("first_empty").isNull() & (F.col("end") < F.col("total")), F.lit(SEARCH_SHORT)
         )
         .alias("message"),
     )
 
 
-def esearch_ids(pages: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def _read_searches(
+    pages: DataFrame, hot: HotKeys | None, scratch: Scratch | None
+) -> tuple[DataFrame, DataFrame, HotKeys]:
+    """Pages parsed once and kept, the verdicts on their searches, and the hot searches."""
+    scratch = scratch or Scratch(pages.sparkSession, "searches")
+    read = scratch.keep(_search_pages(pages), "pages")
+    hot = hot_keys(read, "search_hash") if hot is None else hot
+    return read, _search_verdicts(read, hot, scratch), hot
+
+
+def esearch_ids(
+    pages: DataFrame, hot: HotKeys | None = None, scratch: Scratch | None = None
+) -> DataFrame:
     """``search_hash, position, pmid`` of landed search pages, in service order, no dedup.
 
-    A search's pages count up to the first empty one or the total named on its first page. A
-    search whose loop would have met a failed page, or whose pages were not all landed, gives no
-    ids (see :func:`esearch_errors`). Pages follow each other without gaps, so an id's position is
-    its page's start plus its place there, and no window over a search is needed.
+    A search's pages count up to the first empty one or the total named on its first page;
+    whatever was landed beyond is not looked at. A search whose loop would have met a failed page,
+    or whose pages do not follow each other, gives no ids (see :func:`esearch_errors`). Where they
+    do, an id's position is its page's start plus its place there.
     """
-    if hot is None:
-        hot = hot_keys(pages, "search_hash")
-    reached = _reached_pages(pages, hot)
-    complete = _search_verdicts(reached).where(F.col("message").isNull()).select("search_hash")
+    read, verdicts, hot = _read_searches(pages, hot, scratch)
+    complete = verdicts.where(F.col("message").isNull()).select("search_hash", "last", "total")
     kept = lookup(
-        reached.select("search_hash", "retstart", "ids"),
+        read.select("search_hash", "retstart", "ids"),
         complete,
         "search_hash",
         how="inner",
         hot=hot,
         null_keys=False,
+    ).where(
+        ((F.col("retstart") == 0) | (F.col("retstart") < F.col("total")))
+        & (F.col("retstart") <= F.col("last"))
     )
     return kept.select("search_hash", "retstart", F.posexplode("ids").alias("pos", "pmid")).select(
         "search_hash", (F.col("retstart") + F.col("pos")).alias("position"), "pmid"
     )
 
 
-def esearch_errors(pages: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def esearch_errors(
+    pages: DataFrame, hot: HotKeys | None = None, scratch: Scratch | None = None
+) -> DataFrame:
     """``source, request_key, message`` for every search that failed or is incomplete."""
-    if hot is None:
-        hot = hot_keys(pages, "search_hash")
-    return (
-        _search_verdicts(_reached_pages(pages, hot))
-        .where(F.col("message").isNotNull())
-        .select(F.lit(ESEARCH).alias("source"), F.col("search_hash").alias("request_key"), "message")
+    _, verdicts, _ = _read_searches(pages, hot, scratch)
+    return verdicts.where(F.col("message").isNotNull()).select(
+        F.lit(ESEARCH).alias("source"), F.col("search_hash").alias("request_key"), "message"
     )
 
 

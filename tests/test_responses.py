@@ -148,6 +148,62 @@ def test_search_pages(spark):
     ]
 
 
+def _searched(spark, searches):
+    """``{name: [(retstart, ids), ...]}`` with a total each, as ids by search and messages."""
+    rows = [
+        (name, start, 200, body if isinstance(body, str) else _page(str(total), [str(start + i) for i in range(body)]))
+        for name, (total, pages) in searches.items()
+        for start, body in pages
+    ]
+    pages = spark.createDataFrame(rows, "search_hash string, retstart bigint, status int, body string")
+    ids = {}
+    for name, position, pmid in _rows(resp.esearch_ids(pages)):
+        ids.setdefault(name, []).append((position, pmid))
+    assert all(sorted(v) == [(i, str(i)) for i in range(len(v))] for v in ids.values())
+    messages = {r["request_key"]: r["message"] for r in resp.esearch_errors(pages).collect()}
+    assert not set(ids) & set(messages)
+    return {k: len(v) for k, v in ids.items()}, messages
+
+
+def test_incomplete_searches(spark):
+    counts, messages = _searched(
+        spark,
+        {
+            "late": (9, [(3, 3), (6, 3)]),
+            "gap": (12, [(0, 3), (3, 3), (9, 3)]),
+            "short": (12, [(0, 3), (3, 3)]),
+            "short, empty page beyond": (12, [(0, 3), (3, 3), (6, 3), (27, 0)]),
+            "bad count": ("abc", [(0, 3), (3, 0)]),
+            "twice": (6, [(0, 3), (3, 3), (3, 3)]),
+            "three times": (6, [(0, 3), (3, 3), (3, 3), (3, 3)]),
+            "nested": (9, [(0, 9), (3, 3), (3, 3)]),
+            "overlap": (9, [(0, 4), (3, 3), (6, 3)]),
+            "empty beside full": (9, [(0, 3), (3, 0), (3, 3), (6, 3)]),
+            "whole": (9, [(0, 3), (3, 3), (6, 3)]),
+            "torn beyond the end": (6, [(0, 3), (3, 0), (5, 1), (9, 3), (9, 3)]),
+            "torn beyond the total": (6, [(0, 3), (3, 3), (7, 1), (9, 3)]),
+            "long last page": (4, [(0, 3), (3, 3)]),
+            "nothing found": (0, [(0, 0)]),
+            "failed beyond the total": (3, [(0, 3), (3, "x")]),
+            "failed within": (6, [(0, 3), (3, "x")]),
+        },
+    )
+    assert counts == {"whole": 9, "torn beyond the end": 3, "torn beyond the total": 6, "long last page": 6, "failed beyond the total": 3}
+    assert messages == {
+        "late": resp.SEARCH_LATE,
+        "gap": resp.SEARCH_GAP,
+        "short": resp.SEARCH_SHORT,
+        "short, empty page beyond": resp.SEARCH_SHORT,
+        "bad count": resp.SEARCH_COUNT,
+        "twice": resp.SEARCH_GAP,
+        "three times": resp.SEARCH_GAP,
+        "nested": resp.SEARCH_GAP,
+        "overlap": resp.SEARCH_GAP,
+        "empty beside full": resp.SEARCH_GAP,
+        "failed within": resp.SEARCH_FAILED,
+    }
+
+
 def test_landed_tables_are_read_with_a_fixed_schema(spark, tmp_path):
     landed(spark, ("pmc", "a", 200, IDCONV)).write.parquet(str(tmp_path / "p"))
     assert resp.read_responses(spark, str(tmp_path / "p")).count() == 1

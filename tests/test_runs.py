@@ -10,7 +10,7 @@ from citeloom.functions.dates import date_error, iso_date, parse_date_option
 from citeloom.operators import fulltext as ft
 from citeloom.operators import resolve as rs
 from citeloom.operators.hashing import hash_files, hash_identifiers
-from citeloom.operators.ordering import dense_index, one_page, paged
+from citeloom.operators.ordering import dense_index, one_page, paged, with_previous
 from citeloom.operators.search import contains, search
 from citeloom.plans import manifest as m
 from citeloom.plans.layout import DataLayout
@@ -69,6 +69,14 @@ def test_dense_index_and_pages(spark):
     assert dense_index(df.where("v < 0"), ["v"]).count() == 0
 
 
+@pytest.mark.parametrize("run", [1, 7, 100, 10_000])
+def test_previous_rows_across_runs(spark, run):
+    df = spark.range(500).select((F.col("id") * 7 % 500).alias("v"))
+    before = with_previous(dense_index(df, ["v"]), ["v"], run=run)
+    got = {r["v"]: r["previous_v"] for r in before.collect()}
+    assert got == {v: v - 1 if v else None for v in range(500)}
+
+
 def test_layout(spark, monkeypatch):
     monkeypatch.delenv("CITELOOM_DATA_ROOT", raising=False)
     assert DataLayout.from_session(spark).raw == "data/raw"
