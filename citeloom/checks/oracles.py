@@ -127,21 +127,22 @@ _TRUTHY = """coalesce(CASE json_type({v}) WHEN 'NULL' THEN false WHEN 'VARCHAR'
   WHEN 'OBJECT' THEN len(json_keys({v})) > 0 ELSE ({v} ->> '$')::double <> 0 END, false)"""
 
 
-def _parsed(missing: str) -> str:
+def _parsed(missing: str, view: str = "raw_lines", path: str = "path") -> str:
     def field(k):
         return f"CASE WHEN ok THEN json_extract(t, '$.{k}') END"
 
     any_true = " OR ".join(_TRUTHY.format(v=f"j_{k}") for k in ("pmid", "pmcid", "doi"))
-    return f"""lines AS (SELECT *, {_strip('value')} AS t FROM raw_lines WHERE {_strip('value')} <> ''),
+    return f"""lines AS (SELECT *, {_strip('value')} AS t FROM {view} WHERE {_strip('value')} <> ''),
 checked AS (SELECT *, json_valid(t) AS valid,
             CASE WHEN json_valid(t) THEN json_type(t) = 'OBJECT' ELSE false END AS ok FROM lines),
 fields AS (SELECT *, {field('pmid')} AS j_pmid, {field('pmcid')} AS j_pmcid, {field('doi')} AS j_doi FROM checked),
-parsed AS (SELECT path, line_no, CASE WHEN NOT valid THEN 'invalid JSON'
+parsed AS (SELECT {path}, line_no, CASE WHEN NOT valid THEN 'invalid JSON'
   WHEN NOT ok THEN 'expected JSON object per line' WHEN NOT ({any_true}) THEN '{missing}' END AS error,
   j_pmid ->> '$' AS pmid, j_pmcid ->> '$' AS pmcid, j_doi ->> '$' AS doi FROM fields)"""
 
 
 _MERGE_LINES = _parsed("row has no recognizable identifiers")
+_ARTICLE_LINES = _parsed("record missing identifiers", "article_lines", "file")
 
 
 def _bad_of(view: str) -> str:
@@ -248,17 +249,36 @@ def _html_text(x: str) -> str:
     return f"nullif(array_to_string(list_filter({lines}, lambda s: s <> ''), chr(10)), '')"
 
 
-_CHOSEN = f"""a AS (SELECT key, ({_html_text('html')}) AS text FROM text_a),
-b AS (SELECT key, {_strip('text')} AS text FROM text_b),
+_TEXTS = f"""a AS (SELECT key, ({_html_text('html')}) AS text FROM text_a),
+b AS (SELECT key, {_strip('text')} AS text FROM text_b)"""
+
+def _served(records: str) -> str:
+    """Records with the text and the misses of both providers."""
+    return f"""{_TEXTS},
 chosen AS (SELECT r.*, CASE WHEN a.text <> '' THEN 'pubget' WHEN b.text <> '' THEN 'ace' END AS text_source,
   CASE WHEN a.text <> '' THEN a.text WHEN b.text <> '' THEN b.text END AS text,
   CASE WHEN r.pmcid IS NOT NULL AND coalesce(a.text, '') = '' THEN 'PubGet returned no text for ' || r.pmcid END AS miss_a,
   CASE WHEN coalesce(a.text, '') = '' AND r.pmid IS NOT NULL AND coalesce(b.text, '') = ''
     THEN 'ACE returned no text for PMID ' || r.pmid END AS miss_b
-  FROM article_recs r LEFT JOIN a ON r.pmcid = a.key LEFT JOIN b ON r.pmid = b.key)"""
+  FROM {records} r LEFT JOIN a ON r.pmcid = a.key LEFT JOIN b ON r.pmid = b.key)"""
+
+
+_CHOSEN = _served("article_recs")
 
 _TEXT_VIEWS = ("article_recs", "text_a", "text_b")
 
+_PICKED = """g AS (SELECT request_key AS key, body FROM article_responses WHERE source = 'semantic-scholar'),
+e AS (SELECT request_key AS key, json_extract(body, '$.result."' || request_key || '"') AS body FROM article_responses WHERE source = 'entrez'),
+picked AS (SELECT c.*, coalesce(g1.body, g2.body, e.body) AS body,
+  CASE WHEN g1.key IS NOT NULL OR g2.key IS NOT NULL THEN 'semantic-scholar' WHEN e.key IS NOT NULL THEN 'entrez' END AS source
+  FROM chosen c LEFT JOIN g g1 ON c.pmid = g1.key AND c.text_source IS NOT NULL
+  LEFT JOIN g g2 ON c.doi = g2.key AND c.text_source IS NOT NULL LEFT JOIN e ON c.pmid = e.key AND c.text_source IS NOT NULL)"""
+
+_DESCRIBED = """body ->> '$.title' AS title,
+  CASE WHEN source IS NOT NULL THEN coalesce(body ->> '$.authors[0].name', '') END AS authors,
+  CASE WHEN source = 'entrez' THEN body ->> '$.fulljournalname' ELSE coalesce(body ->> '$.journal.name', body ->> '$.venue') END AS journal,
+  try_cast(nullif(regexp_extract(coalesce(body ->> '$.year', body ->> '$.pubdate'), '(19|20)[0-9]{2}'), '') AS INT) AS year, source"""
+
 _GRAPH_AUTHORS = """array_to_string(list_filter(list_transform(CAST(json_extract(body, '$.authors') AS JSON[]),
   lambda a: CASE WHEN json_type(a) = 'OBJECT' THEN a ->> '$.name' END), lambda n: n <> ''), '|')"""
 
@@ -298,6 +318,8 @@ SELECT component, kind, count(*) AS n FROM members GROUP BY component, kind HAVI
 SELECT path, line_no, pmid, pmcid, doi FROM parsed WHERE error IS NULL""",
     "q_jsonl_errors": f"""{with_views('raw_lines')}, {_MERGE_LINES}
 SELECT path || ':' || line_no || ': ' || error AS message FROM parsed WHERE error IS NOT NULL""",
+    "q_line_errors": f"""{with_views('file_lines')}, {_parsed('row has no recognizable identifiers', 'file_lines', 'file')}
+SELECT file, line_no, line_no || ': ' || error AS message FROM parsed WHERE error IS NOT NULL""",
     "q_dedup_triples": f"""{with_views('recs')},
 n AS (SELECT *, row_number() OVER (PARTITION BY pmid, pmcid, doi ORDER BY path, k) AS rn FROM recs)
 SELECT path, k, pmid, pmcid, doi FROM n WHERE rn = 1""",
@@ -393,16 +415,19 @@ SELECT doc_id, miss_a AS message FROM chosen WHERE miss_a IS NOT NULL
 UNION ALL SELECT doc_id, miss_b FROM chosen WHERE miss_b IS NOT NULL""",
     "q_no_text": f"{with_views(*_TEXT_VIEWS)}, {_CHOSEN} SELECT doc_id FROM chosen WHERE text_source IS NULL",
     "q_metadata_fallback": f"""{with_views(*_TEXT_VIEWS, 'article_responses')}, {_CHOSEN},
-g AS (SELECT request_key AS key, body FROM article_responses WHERE source = 'semantic-scholar'),
-e AS (SELECT request_key AS key, json_extract(body, '$.result."' || request_key || '"') AS body FROM article_responses WHERE source = 'entrez'),
-picked AS (SELECT c.doc_id, coalesce(g1.body, g2.body, e.body) AS body,
-  CASE WHEN g1.key IS NOT NULL OR g2.key IS NOT NULL THEN 'semantic-scholar' WHEN e.key IS NOT NULL THEN 'entrez' END AS source
-  FROM chosen c LEFT JOIN g g1 ON c.pmid = g1.key AND c.text_source IS NOT NULL
-  LEFT JOIN g g2 ON c.doi = g2.key AND c.text_source IS NOT NULL LEFT JOIN e ON c.pmid = e.key AND c.text_source IS NOT NULL)
-SELECT doc_id, body ->> '$.title' AS title,
-  CASE WHEN source IS NOT NULL THEN coalesce(body ->> '$.authors[0].name', '') END AS authors,
-  CASE WHEN source = 'entrez' THEN body ->> '$.fulljournalname' ELSE coalesce(body ->> '$.journal.name', body ->> '$.venue') END AS journal,
-  try_cast(nullif(regexp_extract(coalesce(body ->> '$.year', body ->> '$.pubdate'), '(19|20)[0-9]{{2}}'), '') AS INT) AS year, source
+{_PICKED}
+SELECT doc_id, {_DESCRIBED}
+FROM picked""",
+    "q_fulltext_errors": f"""{with_views('article_lines')}, {_ARTICLE_LINES}
+SELECT file, line_no, line_no || ': ' || error AS message FROM parsed WHERE error IS NOT NULL""",
+    "q_fulltext_records": f"""{with_views('article_lines', 'text_a', 'text_b', 'article_responses')}, {_ARTICLE_LINES},
+first AS (SELECT *, row_number() OVER (PARTITION BY pmid, pmcid, doi ORDER BY file, line_no) AS n FROM parsed WHERE error IS NULL),
+recs AS (SELECT row_number() OVER (ORDER BY file, line_no) - 1 AS i, pmid, pmcid, doi FROM first WHERE n = 1),
+{_served('recs')},
+{_PICKED}
+SELECT CASE WHEN i < 10000 THEN lpad(cast(i AS VARCHAR), 4, '0') ELSE cast(i AS VARCHAR) END || '_' ||
+  trim(regexp_replace(lower(coalesce(pmid, pmcid, doi)), '[^a-z0-9_-]+', '_', 'g'), '_') AS slug,
+  pmid, pmcid, doi, text, text_source, {_DESCRIBED}
 FROM picked""",
     "q_slug": f"""{with_views('article_recs')}
 SELECT doc_id, CASE WHEN doc_id < 10000 THEN lpad(cast(doc_id AS VARCHAR), 4, '0') ELSE cast(doc_id AS VARCHAR) END || '_' ||

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.checks.views import view
@@ -46,7 +46,13 @@ from citeloom.operators.search import contains, search
 from citeloom.plans import manifest as m
 from citeloom.scratch import Scratch
 from citeloom.sources import responses as resp
-from citeloom.sources.lines import dedup_triples, identifier_list, parse_records
+from citeloom.sources.lines import (
+    FULLTEXT_MISSING,
+    dedup_triples,
+    identifier_list,
+    parse_records,
+    read_records,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -408,9 +414,10 @@ def _(spark, sf):
 
 @_query("q_text_fallback")
 def _(spark, sf):
-    chosen = Scratch(spark, "text").keep(_chosen(spark, sf), "chosen")
-    whole = ft.attach_text(chosen, _providers(spark, sf))
-    return whole.select("doc_id", "text_source", "text")
+    scratch, records = Scratch(spark, "text"), view(spark, sf, "article_recs")
+    landed = [ft.land(p, records, scratch) for p in _providers(spark, sf)]
+    chosen = scratch.keep(ft.choose_text_source(records, landed), "chosen")
+    return ft.attach_text(chosen, landed).select("doc_id", "text_source", "text")
 
 
 @_query("q_text_errors")
@@ -423,16 +430,17 @@ def _(spark, sf):
     return ft.without_text(_chosen(spark, sf)).select("doc_id")
 
 
-@_query("q_metadata_fallback")
-def _(spark, sf):
+def _metadata_providers(spark, sf):
     responses = view(spark, sf, "article_responses")
-    providers = [
+    return [
         ft.MetadataProvider(resp.GRAPH, resp.graph_metadata(responses), ("pmid", "doi")),
         ft.MetadataProvider(resp.ESUMMARY, resp.summary_metadata(responses), ("pmid",)),
     ]
-    chosen = Scratch(spark, "metadata").keep(_chosen(spark, sf), "chosen")
-    return ft.attach_metadata(chosen, providers).select(
-        "doc_id",
+
+
+def _described(records: DataFrame, *columns: str) -> DataFrame:
+    return records.select(
+        *columns,
         "metadata.title",
         F.array_join("metadata.authors", "|").alias("authors"),
         "metadata.journal",
@@ -441,6 +449,58 @@ def _(spark, sf):
     )
 
 
+@_query("q_metadata_fallback")
+def _(spark, sf):
+    chosen = Scratch(spark, "metadata").keep(_chosen(spark, sf), "chosen")
+    return _described(ft.attach_metadata(chosen, _metadata_providers(spark, sf)), "doc_id")
+
+
+def _written_lines(spark, sf, name: str, scratch: Scratch) -> str:
+    """A view's lines as text files of bounded length, one folder ``file=<n>`` each."""
+    path = f"{scratch.path}/{name}"
+    lines = view(spark, sf, name).repartition("file").sortWithinPartitions("file", "line_no")
+    lines.select("file", "value").write.mode("overwrite").partitionBy("file").text(path)
+    return path
+
+
+def _file_number(path: str = "path") -> Column:
+    return F.regexp_extract(path, "/file=([0-9]+)/", 1).cast("bigint").alias("file")
+
+
+@_query("q_line_errors")
+def _(spark, sf):
+    scratch = Scratch(spark, "lines")
+    path = _written_lines(spark, sf, "file_lines", scratch)
+    _, errors = read_records(spark, path, scratch=scratch)
+    message = F.regexp_extract("message", ":([0-9]+: .*)$", 1).alias("message")
+    return errors.select(_file_number(), "line_no", message)
+
+
+@_query("q_fulltext_records")
+def _(spark, sf):
+    scratch = Scratch(spark, "fulltext")
+    path = _written_lines(spark, sf, "article_lines", scratch)
+    loaded, _ = read_records(spark, path, FULLTEXT_MISSING, scratch)
+    # Folders are named by numbers, which do not order as the paths' texts do.
+    placed = dedup_triples(loaded.withColumn("file", _file_number()), ["file", "block", "line_id"])
+    indexed = dense_index(placed, ["file", "block", "line_id"], "index", scratch)
+    records = scratch.keep(indexed.select("index", *KINDS), "records")
+    whole = ft.fulltext_records(
+        records, _providers(spark, sf), _metadata_providers(spark, sf), scratch
+    )
+    slug = record_slug(F.col("pmid"), F.col("pmcid"), F.col("doi"), F.col("index"))
+    return _described(whole, slug.alias("slug"), *KINDS, "text", "text_source")
+
+
+@_query("q_fulltext_errors")
+def _(spark, sf):
+    scratch = Scratch(spark, "fulltext")
+    path = _written_lines(spark, sf, "article_lines", scratch)
+    _, errors = read_records(spark, path, FULLTEXT_MISSING, scratch)
+    message = F.regexp_extract("message", ":([0-9]+: .*)$", 1).alias("message")
+    return errors.select(_file_number(), "line_no", message)
+
+
 @_query("q_slug")
 def _(spark, sf):
     recs = view(spark, sf, "article_recs")

@@ -16,6 +16,32 @@ def _div(n: int) -> str:
 
 _K = "cast(o_orderkey AS string)"
 
+# One line of a record file, good or bad in many ways.
+_LINE = f"""CASE o_orderkey % 23
+         WHEN 0 THEN '{{"pmid":"' || {_K} || '","pmcid":null,"doi":"10.1000/D' || {_K} || '"}}'
+         WHEN 1 THEN '  {{"pmid":' || {_K} || '}}  '
+         WHEN 2 THEN '{{bad'
+         WHEN 3 THEN '[1,2]'
+         WHEN 4 THEN '{{"title":"No identifiers"}}'
+         WHEN 5 THEN ''
+         WHEN 6 THEN '{{"pmcid":"' || {_K} || '"}}'
+         WHEN 7 THEN '{{"pmid":"x y","doi":"10.1000/Q' || {_K} || '"}}'
+         WHEN 8 THEN '{{"pmid":0}}'
+         WHEN 9 THEN '{{"pmid":"0"}}'
+         WHEN 10 THEN '{{"pmid":0,"doi":"10.1000/Z' || {_K} || '"}}'
+         WHEN 11 THEN '{{"pmid":"' || {_K} || '"}} tail'
+         WHEN 12 THEN '{{"pmid":"","doi":false,"pmcid":[]}}'
+         WHEN 13 THEN '"' || {_K} || '"'
+         WHEN 14 THEN '{{"pmid":"false"}}'
+         WHEN 15 THEN '{{"doi":["10.1000/L' || {_K} || '"]}}'
+         WHEN 16 THEN '{{"pmid":"   "}}'
+         WHEN 17 THEN '{{"pmid":"' || {_K} || '"}}{{"pmid":"2"}}'
+         WHEN 18 THEN '{{"pmid":"' || {_K} || '"}}] junk'
+         WHEN 19 THEN '{{"pmid":"' || {_K} || '"}}],[{{'
+         WHEN 20 THEN '{{"pmid":"' || {_K} || '"}} ] }}'
+         WHEN 21 THEN '[1] ] x'
+         ELSE '{{"pmid":true,"extra":{{"a":[1,2]}}}}' END"""
+
 VIEWS = {
     # Records in blocks of 12 that form one component two hops wide.
     "recs": f"""
@@ -68,31 +94,12 @@ SELECT o_orderkey AS k, 'f' || cast(o_orderkey % 3 AS string) AS path,
 FROM orders""",
     "raw_lines": f"""
 SELECT 'f' || cast(o_orderkey % 3 AS string) || '.jsonl' AS path, {_div(3)} + 1 AS line_no,
-       CASE o_orderkey % 23
-         WHEN 0 THEN '{{"pmid":"' || {_K} || '","pmcid":null,"doi":"10.1000/D' || {_K} || '"}}'
-         WHEN 1 THEN '  {{"pmid":' || {_K} || '}}  '
-         WHEN 2 THEN '{{bad'
-         WHEN 3 THEN '[1,2]'
-         WHEN 4 THEN '{{"title":"No identifiers"}}'
-         WHEN 5 THEN ''
-         WHEN 6 THEN '{{"pmcid":"' || {_K} || '"}}'
-         WHEN 7 THEN '{{"pmid":"x y","doi":"10.1000/Q' || {_K} || '"}}'
-         WHEN 8 THEN '{{"pmid":0}}'
-         WHEN 9 THEN '{{"pmid":"0"}}'
-         WHEN 10 THEN '{{"pmid":0,"doi":"10.1000/Z' || {_K} || '"}}'
-         WHEN 11 THEN '{{"pmid":"' || {_K} || '"}} tail'
-         WHEN 12 THEN '{{"pmid":"","doi":false,"pmcid":[]}}'
-         WHEN 13 THEN '"' || {_K} || '"'
-         WHEN 14 THEN '{{"pmid":"false"}}'
-         WHEN 15 THEN '{{"doi":["10.1000/L' || {_K} || '"]}}'
-         WHEN 16 THEN '{{"pmid":"   "}}'
-         WHEN 17 THEN '{{"pmid":"' || {_K} || '"}}{{"pmid":"2"}}'
-         WHEN 18 THEN '{{"pmid":"' || {_K} || '"}}] junk'
-         WHEN 19 THEN '{{"pmid":"' || {_K} || '"}}],[{{'
-         WHEN 20 THEN '{{"pmid":"' || {_K} || '"}} ] }}'
-         WHEN 21 THEN '[1] ] x'
-         ELSE '{{"pmid":true,"extra":{{"a":[1,2]}}}}' END AS value
+       {_LINE} AS value
 FROM orders""",
+    # The same lines as files of up to 1,000 lines, numbered as they stand there.
+    "file_lines": f"""
+SELECT file, cast(row_number() OVER (PARTITION BY file ORDER BY k) AS bigint) AS line_no, value
+FROM (SELECT {_div(1000)} AS file, o_orderkey AS k, {_LINE} AS value FROM orders) lines""",
     "inputs": f"""
 SELECT o_orderkey AS pos,
        CASE o_orderkey % 3 WHEN 0 THEN 'PMC' || {_K} WHEN 1 THEN {_K} ELSE '10.1000/' || {_K} END AS raw
@@ -175,6 +182,19 @@ SELECT doc_id,
        CASE WHEN doc_id % 2 = 0 THEN 'PMC' || cast(doc_id AS string) END AS pmcid,
        '10.1000/' || cast(doc_id AS string) AS doi
 FROM documents""",
+    # Articles as lines of record files: values as they come, repeated and unusable records.
+    "article_lines": """
+SELECT cast(floor(doc_id / 500) AS bigint) AS file, 3 * (doc_id % 500) + place AS line_no,
+       CASE WHEN place = 1 THEN CASE doc_id % 7
+         WHEN 0 THEN '' WHEN 1 THEN '{"title":"none"}' WHEN 2 THEN '{bad' WHEN 3 THEN '[1]'
+         WHEN 4 THEN '{"pmid":"","doi":false}' ELSE '   ' END
+       ELSE '{"pmid":' || CASE WHEN doc_id % 3 = 0 THEN 'null' WHEN doc_id % 5 = 0 THEN cast(doc_id AS string)
+           ELSE '"' || cast(doc_id AS string) || '"' END ||
+         ',"pmcid":' || CASE WHEN doc_id % 2 = 0 THEN '"PMC' || cast(doc_id AS string) || '"' ELSE 'null' END ||
+         ',"doi":"10.1000/' || CASE WHEN place = 3 AND doc_id % 4 = 0 THEN 'X' ELSE '' END || cast(doc_id AS string) || '"}'
+       END AS value
+FROM (SELECT doc_id, 1 AS place FROM documents UNION ALL SELECT doc_id, 2 FROM documents
+      UNION ALL SELECT doc_id, 3 FROM documents) lines""",
     "text_a": "SELECT 'PMC' || cast(page_id AS string) AS key, html FROM pages",
     "text_b": "SELECT cast(doc_id AS string) AS key, text FROM documents WHERE lang <> 'fr'",
     # Metadata responses: graph by PMID for labelled documents and by DOI for Spanish ones,

@@ -150,7 +150,7 @@ def merge_paths(
     if not paths:
         raise ValueError("At least one JSONL file is required")
     scratch = scratch or Scratch(spark, "merge")
-    records, parse_errors = read_records(spark, paths, MERGE_MISSING)
+    records, parse_errors = read_records(spark, paths, MERGE_MISSING, scratch)
     result = merge(records, scratch, **options)
     read = parse_errors.select(F.lit("read").alias("stage"), "path", "line_no", "message")
     return MergeResult(

@@ -16,9 +16,7 @@ from citeloom.functions.text import record_slug
 from citeloom.operators.fulltext import (
     MetadataProvider,
     TextProvider,
-    attach_metadata,
-    attach_text,
-    choose_text_source,
+    fetch,
     text_errors,
 )
 from citeloom.operators.hashing import hash_files, hash_identifiers, hash_values
@@ -109,7 +107,7 @@ def resolve_run(
     layout = layout or DataLayout.from_session(spark)
     with Scratch(spark, "resolve") as scratch:
         started = clock()
-        good, bad = classified_inputs(identifier_list(spark, input_file), strict)
+        good, bad = classified_inputs(identifier_list(spark, input_file, scratch), strict)
         inputs = scratch.keep(good, "inputs")
         keys = inputs.select(id_key(F.col("kind"), F.col("value")).alias("id"))
         digest = hash_identifiers(keys).first()["hash"]
@@ -204,15 +202,13 @@ def fulltext_run(
         digest = hash_files(spark, input_files)
         path = layout.fulltext_run(digest)
 
-        loaded, parse_errors = read_records(spark, input_files, FULLTEXT_MISSING)
+        loaded, parse_errors = read_records(spark, input_files, FULLTEXT_MISSING, scratch)
         indexed = dense_index(
             dedup_triples(loaded), ["path", "block", "line_id"], "index", scratch
         ).select("index", "pmid", "pmcid", "doi")
         records = scratch.keep(indexed, "records")
-        chosen = scratch.keep(choose_text_source(records, text_providers), "chosen")
-        total = chosen.count()
-        described = attach_metadata(chosen, metadata_providers, total=total)
-        whole = attach_text(described, text_providers, total=total)
+        found = fetch(records, text_providers, metadata_providers, scratch)
+        chosen, whole = found.chosen, found.records
 
         records_dir = f"{path}/records"
         slug = record_slug(F.col("pmid"), F.col("pmcid"), F.col("doi"), F.col("index"))

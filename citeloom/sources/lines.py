@@ -1,8 +1,10 @@
 """Line sources: identifier lists and record JSON Lines, with bad rows kept as data.
 
-A line's place is ``(path, block, line_id)``: the file, the start of its input split, and an id
-that grows within the split. It orders lines as they stand in the files without numbering them.
-Physical line numbers, wanted in error messages only, come from one row count per split.
+Text is read once and lands in a columnar copy, whatever was made of a line beside its place
+``(path, block, line_id)``: the file, the start of its input split, and its row in the copy, where
+a split's lines stand together and in order. The place orders lines as they stand in the files, the
+same in every later scan. Physical line numbers, wanted in error messages only, are the rows before
+a line in its split and the lines of the splits before, a prefix sum over one row per split.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from citeloom.functions.identifiers import KINDS, strip
 from citeloom.functions.jsontext import CORRUPT, is_single_value, parse_object, truthy
 from citeloom.functions.once import evaluated
+from citeloom.scratch import Scratch
 
 PLACE = ["path", "block", "line_id"]
 
@@ -26,19 +29,35 @@ MERGE_MISSING = "row has no recognizable identifiers"
 FULLTEXT_MISSING = "record missing identifiers"
 
 
-def read_lines(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
-    """``path, block, line_id, value`` for every physical line, blank ones included."""
+def _scan(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
+    """``path, block, value`` of every physical line; the one place where text is read."""
     paths = [paths] if isinstance(paths, str) else sorted(paths)
     if not paths:
         raise ValueError("At least one JSONL file is required")
     return spark.read.text(paths).select(
         F.regexp_replace("_metadata.file_path", "^file:(//)?", "").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line_id"),
         "value",
     )
 
 
+def _landed(lines: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Write rows with ``path`` and ``block`` in the order they come; adds their ``line_id``.
+
+    One task reads a split, so its lines are neighbours in one file of the copy.
+    """
+    others = [c for c in lines.columns if c not in PLACE]
+    kept = scratch.keep(lines, name)
+    return kept.select("path", "block", F.col("_metadata.row_index").alias("line_id"), *others)
+
+
+def read_lines(
+    spark: SparkSession, paths: Sequence[str] | str, scratch: Scratch | None = None
+) -> DataFrame:
+    """``path, block, line_id, value`` for every physical line, blank ones included."""
+    return _landed(_scan(spark, paths), scratch or Scratch(spark, "lines"), "lines")
+
+
 def line_offsets(lines: DataFrame) -> DataFrame:
     """First id and preceding line count of every split: one row per split, not per line."""
     splits = lines.groupBy("path", "block").agg(
@@ -60,19 +79,21 @@ def with_line_numbers(rows: DataFrame, lines: DataFrame) -> DataFrame:
     ).drop("before", "first_id")
 
 
-def identifier_list(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
+def identifier_list(
+    spark: SparkSession, paths: Sequence[str] | str, scratch: Scratch | None = None
+) -> DataFrame:
     """``pos, raw``: one identifier per line, stripped, blank lines dropped.
 
     ``pos`` is a struct that orders identifiers as they stand in the files.
     """
-    lines = read_lines(spark, paths)
-    pieces = lines.select(*PLACE, F.posexplode(F.split("value", _MORE_LINE_ENDS)))
-    ids = pieces.select(
-        F.struct(*PLACE, F.col("pos").alias("piece")).alias("pos"), strip(F.col("col")).alias("raw")
-    ).where(F.col("raw") != "")
+    pieces = _scan(spark, paths).select(
+        "path", "block", F.explode(F.split("value", _MORE_LINE_ENDS)).alias("piece")
+    )
+    stripped = evaluated(pieces, "path", "block", strip(F.col("piece")).alias("raw"))
+    ids = _landed(stripped.where(F.col("raw") != ""), scratch or Scratch(spark, "ids"), "ids")
     if ids.isEmpty():
         raise ValueError("Input file contains no identifiers")
-    return ids
+    return ids.select(F.struct(*PLACE).alias("pos"), "raw")
 
 
 def parse_records(
@@ -84,8 +105,13 @@ def parse_records(
     null identifiers.
     """
     kept = list(lines.columns)
+    stripped = evaluated(lines, *kept, strip(F.col(value)).alias("_text"))
+    return _parsed(stripped.where(F.col("_text") != ""), kept, missing)
+
+
+def _parsed(stripped: DataFrame, kept: list[str], missing: str) -> DataFrame:
+    """The columns kept, the three identifiers and the error of stripped texts."""
     text = F.col("_text")
-    stripped = evaluated(lines, *kept, strip(F.col(value)).alias("_text")).where(text != "")
     schema = ", ".join(f"{k} STRING" for k in KINDS)
     parsed = evaluated(
         stripped,
@@ -118,17 +144,27 @@ def _any(flags: list[Column]) -> Column:
 
 
 def read_records(
-    spark: SparkSession, paths: Sequence[str] | str, missing: str = MERGE_MISSING
+    spark: SparkSession,
+    paths: Sequence[str] | str,
+    missing: str = MERGE_MISSING,
+    scratch: Scratch | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Records and error rows of JSON Lines files.
 
     Records: place columns and ``pmid, pmcid, doi`` as read. Errors: ``path, line_no, message``
-    with the message in ``path:line: text`` form.
+    with the message in ``path:line: text`` form. Lines are read and parsed once.
     """
-    lines = read_lines(spark, paths)
-    parsed = parse_records(lines, missing)
-    records = parsed.where(F.col("error").isNull()).select(*PLACE, *KINDS)
-    bad = parsed.where(F.col("error").isNotNull()).select(*PLACE, "error")
+    scratch = scratch or Scratch(spark, "records")
+    stripped = evaluated(
+        _scan(spark, paths), "path", "block", strip(F.col("value")).alias("_text")
+    )
+    # Blank lines land too, as rows that are neither record nor error: they count as lines.
+    blank = (F.col("_text") == "").alias("blank")
+    parsed = _parsed(stripped.select("*", blank), ["path", "block", "blank"], missing)
+    lines = _landed(parsed, scratch, "parsed-lines")
+    given = lines.where(~F.col("blank"))
+    records = given.where(F.col("error").isNull()).select(*PLACE, *KINDS)
+    bad = given.where(F.col("error").isNotNull()).select(*PLACE, "error")
     errors = with_line_numbers(bad, lines).select(
         "path",
         "line_no",

@@ -39,3 +39,12 @@ def write_lines(tmp_path):
         return str(path)
 
     return write
+
+
+@pytest.fixture
+def scratch(spark):
+    from citeloom.scratch import Scratch
+
+    kept = Scratch(spark, "test")
+    yield kept
+    kept.close()

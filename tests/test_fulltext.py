@@ -25,14 +25,14 @@ def _providers(spark, a, b):
 
 
 def test_first_provider_is_preferred_and_metadata_falls_back(spark):
-    records = spark.createDataFrame([("32256646", "PMC7086438", "10.1155/2020/4598217")], RECORD)
+    records = spark.createDataFrame([("70010020", "PMC8800113", "10.5555/lit.2021.77")], RECORD)
     df = landed(
         spark,
-        ("semantic-scholar", "32256646", 404, {"error": "x"}),
-        ("semantic-scholar", "10.1155/2020/4598217", 429, {"code": "429"}),
-        ("entrez", "32256646", 200, SUMMARY),
+        ("semantic-scholar", "70010020", 404, {"error": "x"}),
+        ("semantic-scholar", "10.5555/lit.2021.77", 429, {"code": "429"}),
+        ("entrez", "70010020", 200, SUMMARY),
     )
-    providers = _providers(spark, {"PMC7086438": "pubget text"}, {"32256646": "ace text"})
+    providers = _providers(spark, {"PMC8800113": "pubget text"}, {"70010020": "ace text"})
     row = ft.fulltext_records(records, providers, _metadata(df)).first()
     assert (row["text"], row["text_source"]) == ("pubget text", "pubget")
     assert row["metadata"]["title"] == "A title" and row["metadata"]["source"] == "entrez"
@@ -41,19 +41,19 @@ def test_first_provider_is_preferred_and_metadata_falls_back(spark):
 
 def test_second_provider_serves_a_miss_which_is_still_reported(spark):
     records = spark.createDataFrame(
-        [("31452104", None, "10.1007/x"), ("5", "PMC5", None), ("6", "PMC6", None)], RECORD
+        [("70010031", None, "10.5555/y"), ("5", "PMC5", None), ("6", "PMC6", None)], RECORD
     )
     df = landed(
         spark,
-        ("semantic-scholar", "31452104", 429, {"code": "429"}),
-        ("semantic-scholar", "10.1007/x", 200, {"title": "By DOI", "year": 2019}),
-        ("entrez", "31452104", 200, {"result": {"31452104": {"title": "Not used"}}}),
+        ("semantic-scholar", "70010031", 429, {"code": "429"}),
+        ("semantic-scholar", "10.5555/y", 200, {"title": "By DOI", "year": 2019}),
+        ("entrez", "70010031", 200, {"result": {"70010031": {"title": "Not used"}}}),
     )
-    providers = _providers(spark, {"PMC6": ""}, {"31452104": "ace text", "5": "five"})
+    providers = _providers(spark, {"PMC6": ""}, {"70010031": "ace text", "5": "five"})
     rows = {r["pmid"]: r for r in ft.fulltext_records(records, providers, _metadata(df)).collect()}
-    assert rows["31452104"]["text_source"] == "ace"
-    assert rows["31452104"]["metadata"]["title"] == "By DOI"
-    assert rows["31452104"]["metadata"]["source"] == "semantic-scholar"
+    assert rows["70010031"]["text_source"] == "ace"
+    assert rows["70010031"]["metadata"]["title"] == "By DOI"
+    assert rows["70010031"]["metadata"]["source"] == "semantic-scholar"
     assert (rows["5"]["text"], rows["6"]["text"]) == ("five", None)
     messages = [r["message"] for r in ft.text_errors(ft.choose_text_source(records, providers)).collect()]
     assert sorted(messages) == [
@@ -99,3 +99,30 @@ def test_a_response_landed_twice_does_not_repeat_records(spark):
     df = landed(spark, *[("semantic-scholar", "1", 200, answer)] * 3)
     rows = ft.fulltext_records(records, _providers(spark, {}, {"1": "one"}), _metadata(df)).collect()
     assert sorted((r["pmid"] or "", r["metadata"] and r["metadata"]["title"]) for r in rows) == [("", None), ("1", "T")]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sources_are_settled_without_text_and_places_are_its_rows(spark, scratch):
+    records = spark.createDataFrame([("1", "PMC1", None), ("2", None, None), (None, "PMC1", None)], RECORD)
+    providers = _providers(spark, {"PMC1": "one"}, {"2": "two", "1": "unused"})
+    landed = [ft.land(p, records, scratch) for p in providers]
+    assert all(p.landed for p in landed) and ft.land(landed[0], records, scratch) is landed[0]
+    chosen = ft.choose_text_source(records, landed)
+    assert "text:string" not in _plan(chosen) and "lead:string,digest:string" in _plan(chosen)
+    places = {(r["pmid"], r["pmcid"]): r["text_place"] for r in chosen.collect()}
+    assert places["1", "PMC1"] == places[None, "PMC1"] != places["2", None]
+    texts = [r["text"] for r in ft.attach_text(chosen, landed).collect()]
+    assert sorted(texts) == ["one", "one", "two"]
+    with pytest.raises(ValueError, match="pubget have not landed"):
+        ft.attach_text(chosen, providers)
+
+
+def test_texts_that_begin_alike_are_told_apart(spark):
+    begin = "same " * 40
+    copies = spark.createDataFrame([("1", begin + x) for x in "dbca"], "key string, text string")
+    records = spark.createDataFrame([("1", None, None)], RECORD)
+    taken = {ft.fulltext_records(records, [ft.ace(copies.repartition(n))], []).first()["text"] for n in (1, 3)}
+    assert len(taken) == 1 and taken.pop().startswith(begin)

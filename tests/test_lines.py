@@ -57,6 +57,15 @@ def test_line_numbers_across_many_splits(spark, tmp_path):
     assert got == {text: i for i, text in enumerate(lines, 1) if text}
 
 
+def test_text_is_read_once(spark, write_lines):
+    path = write_lines("o.jsonl", ['{"pmid":"1"}', "", "{bad"])
+    records, errors = read_records(spark, [path])
+    for part in (records, errors):
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan text" not in plan and "FileScan parquet" in plan
+    assert [r["line_no"] for r in errors.collect()] == [3]
+
+
 def test_identifier_list_strips_and_drops_blank_lines(spark, tmp_path):
     path = tmp_path / "ids.txt"
     path.write_text(" 1 \r\n\n \nPMC2\x0b10.1/x\n", encoding="utf-8", newline="")

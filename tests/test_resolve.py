@@ -27,13 +27,13 @@ def _rows(df):
 def test_three_ids_become_one_record_with_all_sources(spark):
     df = landed(
         spark,
-        ("pmc", "PMC7086438", 200, IDCONV),
-        ("entrez", "32256646", 200, SUMMARY),
-        ("semantic-scholar", "10.1155/2020/4598217", 200, GRAPH_IDS),
-        ("semantic-scholar", "32256646", 404, {"error": "not found"}),
+        ("pmc", "PMC8800113", 200, IDCONV),
+        ("entrez", "70010020", 200, SUMMARY),
+        ("semantic-scholar", "10.5555/lit.2021.77", 200, GRAPH_IDS),
+        ("semantic-scholar", "70010020", 404, {"error": "not found"}),
     )
-    result = rs.resolve(_inputs(spark, "32256646", "PMC7086438", "10.1155/2020/4598217"), _stages(df))
-    assert _rows(result.records) == [("32256646", "PMC7086438", "10.1155/2020/4598217")]
+    result = rs.resolve(_inputs(spark, "70010020", "PMC8800113", "10.5555/lit.2021.77"), _stages(df))
+    assert _rows(result.records) == [("70010020", "PMC8800113", "10.5555/lit.2021.77")]
     assert {r["source"] for r in result.sources.collect()} == {"pmc", "entrez", "semantic-scholar"}
     assert result.errors.count() == 0 and result.conflicts.count() == 0
 
@@ -41,12 +41,12 @@ def test_three_ids_become_one_record_with_all_sources(spark):
 def test_all_services_failing_leaves_the_inputs(spark):
     df = landed(
         spark,
-        ("pmc", "PMC7086438", 500, "x"),
-        ("entrez", "32256646", 500, "x"),
-        ("semantic-scholar", "32256646", 500, "x"),
+        ("pmc", "PMC8800113", 500, "x"),
+        ("entrez", "70010020", 500, "x"),
+        ("semantic-scholar", "70010020", 500, "x"),
     )
-    result = rs.resolve(_inputs(spark, "32256646", "PMC7086438"), _stages(df))
-    assert _rows(rs.in_input_order(result.records)) == [("32256646", None, None), (None, "PMC7086438", None)]
+    result = rs.resolve(_inputs(spark, "70010020", "PMC8800113"), _stages(df))
+    assert _rows(rs.in_input_order(result.records)) == [("70010020", None, None), (None, "PMC8800113", None)]
     assert result.sources.count() == 0
     messages = " ".join(r["message"] for r in resp.response_errors(df).collect())
     assert all(name in messages for name in ("pmc", "entrez", "semantic-scholar"))

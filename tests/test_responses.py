@@ -5,31 +5,31 @@ from citeloom.sources import responses as resp
 # Payload shapes as the services send them.
 SUMMARY = {
     "result": {
-        "uids": ["32256646"],
-        "32256646": {
-            "uid": "32256646",
-            "pubdate": "2020",
-            "sortpubdate": "2020/03/11 00:00",
+        "uids": ["70010020"],
+        "70010020": {
+            "uid": "70010020",
+            "pubdate": "2021",
+            "sortpubdate": "2021/06/05 00:00",
             "title": "A title",
-            "authors": [{"name": "Shankhwar SN", "authtype": "Author"}, {"name": ""}],
+            "authors": [{"name": "Okafor TN", "authtype": "Author"}, {"name": ""}],
             "fulljournalname": "A journal",
-            "elocationid": "doi: 10.1155/2020/4598217",
+            "elocationid": "doi: 10.5555/lit.2021.77",
             "articleids": [
-                {"idtype": "pubmed", "value": "32256646"},
-                {"idtype": "pmc", "value": "PMC7086438"},
-                {"idtype": "pmcid", "value": "pmc-id: PMC7086438;"},
-                {"idtype": "doi", "value": "10.1155/2020/4598217"},
+                {"idtype": "pubmed", "value": "70010020"},
+                {"idtype": "pmc", "value": "PMC8800113"},
+                {"idtype": "pmcid", "value": "pmc-id: PMC8800113;"},
+                {"idtype": "doi", "value": "10.5555/lit.2021.77"},
             ],
         },
     }
 }
 IDCONV = {
     "status": "ok",
-    "records": [{"doi": "10.1155/2020/4598217", "pmcid": "PMC7086438", "pmid": 32256646}],
+    "records": [{"doi": "10.5555/lit.2021.77", "pmcid": "PMC8800113", "pmid": 70010020}],
 }
 GRAPH_IDS = {
     "paperId": "p",
-    "externalIds": {"PubMedCentral": "7086438", "DOI": "10.1155/2020/4598217", "CorpusId": 214933504, "PubMed": "32256646"},
+    "externalIds": {"PubMedCentral": "8800113", "DOI": "10.5555/lit.2021.77", "CorpusId": 99120034, "PubMed": "70010020"},
 }
 
 
@@ -43,37 +43,37 @@ def _rows(df):
 
 
 def test_summaries(spark):
-    df = landed(spark, ("entrez", "32256646", 200, SUMMARY))
-    assert _rows(resp.esummary_crosswalk(df)) == [("32256646", "PMC7086438", "10.1155/2020/4598217")]
+    df = landed(spark, ("entrez", "70010020", 200, SUMMARY))
+    assert _rows(resp.esummary_crosswalk(df)) == [("70010020", "PMC8800113", "10.5555/lit.2021.77")]
     wanted = spark.createDataFrame([("1",)], "pmid string")
     assert _rows(resp.esummary_crosswalk(df, wanted)) == []
     key, meta = resp.summary_metadata(df).first()
-    assert key == "32256646"
+    assert key == "70010020"
     assert meta.asDict() == {
-        "title": "A title", "abstract": "doi: 10.1155/2020/4598217", "authors": ["Shankhwar SN"],
-        "journal": "A journal", "year": 2020, "source": "entrez",
+        "title": "A title", "abstract": "doi: 10.5555/lit.2021.77", "authors": ["Okafor TN"],
+        "journal": "A journal", "year": 2021, "source": "entrez",
     }
     assert resp.summary_metadata(df, strict_abstract=True).first()["metadata"]["abstract"] is None
 
 
 def test_id_conversion_takes_numbers_and_the_last_row(spark):
-    later = {"records": [{"pmcid": "PMC7086438", "pmid": "9"}, {"pmid": "5"}, {"pmcid": "PMC1"}]}
+    later = {"records": [{"pmcid": "PMC8800113", "pmid": "9"}, {"pmid": "5"}, {"pmcid": "PMC1"}]}
     df = landed(spark, ("pmc", "a", 200, IDCONV), ("pmc", "b", 200, later))
-    assert sorted(_rows(resp.idconv_crosswalk(df))) == [("PMC1", None, None), ("PMC7086438", "9", None)]
+    assert sorted(_rows(resp.idconv_crosswalk(df))) == [("PMC1", None, None), ("PMC8800113", "9", None)]
 
 
 def test_external_ids_and_the_extra_keys(spark):
     df = landed(
         spark,
-        ("semantic-scholar", "10.1155/2020/4598217", 200, GRAPH_IDS),
+        ("semantic-scholar", "10.5555/lit.2021.77", 200, GRAPH_IDS),
         ("semantic-scholar", "5", 200, {"externalIds": {"PMID": "", "pmid": 5, "pmcid": "PMC5"}}),
         ("semantic-scholar", "6", 200, {"externalIds": {"MAG": "1"}}),
     )
     assert sorted(_rows(resp.external_ids(df))) == [
-        ("doi", "10.1155/2020/4598217", None, None, "10.1155/2020/4598217"),
+        ("doi", "10.5555/lit.2021.77", None, None, "10.5555/lit.2021.77"),
         ("pmid", "5", "5", "PMC5", None),
     ]
-    assert ("doi", "10.1155/2020/4598217", "32256646", "7086438", "10.1155/2020/4598217") in _rows(
+    assert ("doi", "10.5555/lit.2021.77", "70010020", "8800113", "10.5555/lit.2021.77") in _rows(
         resp.external_ids(df, extra_keys=True)
     )
 

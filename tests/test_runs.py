@@ -102,21 +102,21 @@ def test_search_run(spark, corpus, tmp_path):
 
 def test_resolve_run(spark, tmp_path):
     ids = tmp_path / "ids.txt"
-    ids.write_text("32256646\nPMC7086438\n\n10.1155/2020/4598217\n32256646\n")
-    df = landed(spark, ("pmc", "PMC7086438", 200, IDCONV), ("entrez", "32256646", 200, SUMMARY), ("semantic-scholar", "32256646", 429, GRAPH_IDS))
+    ids.write_text("70010020\nPMC8800113\n\n10.5555/lit.2021.77\n70010020\n")
+    df = landed(spark, ("pmc", "PMC8800113", 200, IDCONV), ("entrez", "70010020", 200, SUMMARY), ("semantic-scholar", "70010020", 429, GRAPH_IDS))
     stages = [rs.idconv(resp.idconv_crosswalk(df)), rs.esummary(resp.esummary_crosswalk(df)), rs.graph(resp.external_ids(df))]
     run = resolve_run(spark, str(ids), stages, service_errors=resp.response_errors(df), layout=DataLayout(str(tmp_path)), clock=clock)
-    keys = ["pmid:32256646", "pmcid:PMC7086438", "doi:10.1155/2020/4598217", "pmid:32256646"]
+    keys = ["pmid:70010020", "pmcid:PMC8800113", "doi:10.5555/lit.2021.77", "pmid:70010020"]
     digest = hash_identifiers(spark.createDataFrame([(k,) for k in keys], "id string")).first()["hash"]
     assert run.path == f"{tmp_path}/interim/resolved/{digest}"
     assert _lines(spark, f"{run.path}/records.jsonl") == [
-        {"pmid": "32256646", "pmcid": "PMC7086438", "doi": "10.1155/2020/4598217"}
+        {"pmid": "70010020", "pmcid": "PMC8800113", "doi": "10.5555/lit.2021.77"}
     ]
     row = m.read_manifest(spark, run.path)
     assert (row["input_count"], row["unique_inputs"], row["record_count"]) == (4, 3, 1)
     assert row["sources"] == ["entrez", "pmc"] and row["input_hash"] == digest
     assert row["error_count"] == 1
-    assert _messages(spark, row) == ["semantic-scholar: error 429 for 32256646"]
+    assert _messages(spark, row) == ["semantic-scholar: error 429 for 70010020"]
 
 
 def _messages(spark, row):
