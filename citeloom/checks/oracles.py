@@ -303,6 +303,9 @@ SELECT k, ({_kind('raw')}) AS kind, ({_value('raw')}) AS value FROM long WHERE (
 SELECT k, path FROM bad WHERE message LIKE 'record discarded%'""",
     "q_components": f"{with_views('recs', recursive=True)}, {_graph('recs')} SELECT id, component FROM members",
     "q_components_hub": f"{with_views('hub_recs', recursive=True)}, {_HUB} SELECT id, component FROM members",
+    "q_components_chain": f"""{with_views('chain_recs')},
+ids AS (SELECT path_no, 'pmid:' || pmid AS id FROM chain_recs UNION SELECT path_no, 'doi:' || doi FROM chain_recs)
+SELECT id, min(id) OVER (PARTITION BY path_no) AS component FROM ids""",
     "q_merge": f"""{with_views('recs', recursive=True)}, {_graph('recs')}
 SELECT {_WIDE} FROM members GROUP BY component
 ORDER BY coalesce('pmid:' || pmid, 'pmcid:' || pmcid, 'doi:' || doi)""",

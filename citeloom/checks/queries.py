@@ -138,6 +138,12 @@ def _(spark, sf):
     return members.select("id", "component")
 
 
+@_query("q_components_chain")
+def _(spark, sf):
+    members = grouped_members(view(spark, sf, "chain_recs"), Scratch(spark, "chain"))
+    return members.select("id", "component")
+
+
 @_query("q_merge")
 def _(spark, sf):
     return in_output_order(merge(view(spark, sf, "recs")).records)

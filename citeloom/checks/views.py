@@ -56,6 +56,16 @@ SELECT o_orderkey AS k, {_K} AS pmid,
        CASE WHEN o_orderkey % 2 = 0 THEN 'PMC' || cast({_div(4)} AS string) END AS pmcid,
        CASE WHEN o_orderkey % 3 = 0 THEN '10.1000/HUB' ELSE '10.1000/' || {_K} END AS doi
 FROM orders""",
+    # Three paths through all records, whose keys do not follow the path: each DOI joins a PMID
+    # to the next one, so the longest path grows with the table.
+    "chain_recs": f"""
+SELECT o_orderkey AS k, o_orderkey % 3 AS path_no, reverse(cast(o_orderkey AS string)) AS pmid,
+       cast(NULL AS string) AS pmcid, '10.1000/' || reverse(cast(o_orderkey AS string)) AS doi
+FROM orders
+UNION ALL
+SELECT o_orderkey, o_orderkey % 3, reverse(cast(o_orderkey + 3 AS string)),
+       cast(NULL AS string), '10.1000/' || reverse(cast(o_orderkey AS string))
+FROM orders WHERE o_orderkey + 3 <= (SELECT max(o_orderkey) FROM orders)""",
     "raw_ids": f"""
 SELECT o_orderkey AS k,
        CASE o_orderkey % 15

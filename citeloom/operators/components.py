@@ -4,7 +4,10 @@ Each vertex keeps its smallest neighbour as parent. A round moves every other ed
 vertex to that parent and lets every vertex skip to its grandparent, in the manner of the
 alternating large-star / small-star method (Kiveris et al., SoCC 2014). Edges only ever move to
 smaller labels, so the loop ends, and it ends in stars whose centre is the smallest label.
-Labels are the identifier keys themselves, so there are no hash collisions to reason about.
+
+Keys are numbered once, in their order, so the loop runs on pairs of integers: its aggregates keep
+fixed-width buffers in hash tables, its shuffles carry sixteen bytes an edge, and the smallest
+number of a component is that of its smallest key. Keys are joined back once.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.operators.lookup import ROWS_PER_TASK, hot_bound, hot_keys, lookup
+from citeloom.operators.ordering import dense_index
 from citeloom.scratch import Scratch
 
 
@@ -27,7 +31,7 @@ def parents(
 ) -> DataFrame:
     """``(id, component)`` for every vertex that is not its component's smallest label.
 
-    ``edges`` has string columns ``src`` and ``dst`` in either order and is read a few times, so
+    ``edges`` has columns ``src`` and ``dst`` (integers) in either order and is read a few times, so
     it should be cheap to compute; copies do no harm. No record is ever joined to another on a
     shared identifier, so a hub costs its number of edges and no more.
     """
@@ -113,6 +117,26 @@ def _shorten(
     return forest
 
 
+def numbered_edges(
+    edges: DataFrame,
+    dictionary: DataFrame,
+    total: int,
+    scratch: Scratch,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Edges of string keys as edges of the keys' numbers; ends that have none are left out.
+
+    ``total`` is the number of edges.
+    """
+    found = edges
+    for end in ("src", "dst"):
+        hot = hot_keys(found, end, total=total, rows_per_task=rows_per_task)
+        numbers = dictionary.select(F.col("id").alias(end), F.col("number").alias(f"{end}_number"))
+        found = lookup(found, numbers, end, how="inner", hot=hot, null_keys=False).drop(end)
+    kept = found.select(F.col("src_number").alias("src"), F.col("dst_number").alias("dst"))
+    return scratch.keep(kept, "numbered-edges")
+
+
 def components(
     vertices: DataFrame,
     edges: DataFrame,
@@ -122,8 +146,19 @@ def components(
 ) -> DataFrame:
     """All columns of ``vertices`` (unique string column ``id``) plus ``component``.
 
-    The component is the smallest id it holds; a vertex without edges is its own component.
+    The component is the smallest id it holds; a vertex without edges is its own component. Edges
+    run between vertices.
     """
-    found = parents(edges, scratch, rows_per_task=rows_per_task)
-    joined = vertices.join(found, "id", "left")
-    return joined.withColumn("component", F.coalesce("component", "id"))
+    scratch = scratch or Scratch(vertices.sparkSession, "components")
+    numbered = dense_index(vertices, ["id"], "number", scratch)
+    total = edges.count()
+    joined = numbered_edges(edges, numbered, total, scratch, rows_per_task)
+    found = parents(joined, scratch, rows_per_task=rows_per_task).withColumnRenamed("id", "number")
+    labelled = numbered.join(found, "number", "left").withColumn(
+        "component", F.coalesce("component", "number")
+    )
+    names = numbered.select(F.col("number").alias("component"), F.col("id").alias("name"))
+    # Each vertex with a parent has an edge, so no component has more than two per edge.
+    hot = hot_keys(found, "component", total=2 * total, rows_per_task=rows_per_task)
+    named = lookup(labelled, names, "component", how="inner", hot=hot, null_keys=False)
+    return named.select(*vertices.columns, F.col("name").alias("component"))

@@ -21,7 +21,7 @@ _NULL_SLOTS = 65_536
 # Key sets up to this many rows (a few MB) are broadcast to prune the table they are looked up in.
 BROADCAST_KEYS = 100_000
 
-HotKeys = list[tuple[str, int]]
+HotKeys = list[tuple[str | int, int]]
 
 
 def hot_keys(
@@ -64,7 +64,7 @@ def lookup(
     key: str,
     *,
     how: str = "left",
-    hot: Sequence[tuple[str, int]] = (),
+    hot: Sequence[tuple[str | int, int]] = (),
     null_keys: bool = True,
     pick: str | None = None,
 ) -> DataFrame:
@@ -82,7 +82,8 @@ def lookup(
     if hot:
         table = _one_per_key(table, [key], pick)
         spark = facts.sparkSession
-        spread = F.broadcast(spark.createDataFrame(list(hot), f"`{key}` string, _slots int"))
+        kind = facts.schema[key].dataType.simpleString()
+        spread = F.broadcast(spark.createDataFrame(list(hot), f"`{key}` {kind}, _slots int"))
         facts = facts.join(spread, key, "left")
         table = table.join(spread, key, "left").withColumn(
             "_slot", F.explode(F.sequence(F.lit(0), F.coalesce("_slots", F.lit(1)) - 1))

@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from citeloom.operators.components import components
+from citeloom.operators.components import components, parents
 
 
 def union_find(pairs):
@@ -74,3 +74,13 @@ def test_hub_with_many_leaves_is_spread(spark, hub):
 def test_any_graph_any_partitioning(spark, numbers, parts):
     pairs = [(f"v{a}", f"v{b}") for a, b in numbers]
     assert run(spark, pairs, parts, rows_per_task=3) == union_find(pairs)
+
+
+def test_rounds_aggregate_integers_in_hash_tables(spark, scratch):
+    edges = spark.range(50).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    plans = []
+    keep = scratch.keep
+    scratch.keep = lambda df, name, **options: plans.append(df._jdf.queryExecution().executedPlan().toString()) or keep(df, name, **options)
+    found = {r["id"]: r["component"] for r in parents(edges, scratch).collect()}
+    assert found == {i: 0 for i in range(1, 51)}
+    assert any("HashAggregate" in p for p in plans) and not any("SortAggregate" in p for p in plans)
