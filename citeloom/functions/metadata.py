@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from citeloom.functions.jsontext import text_at
+
 METADATA_TYPE = (
     "struct<title:string,abstract:string,authors:array<string>,"
     "journal:string,year:int,source:string>"
@@ -17,20 +19,16 @@ def year_from_text(text: Column) -> Column:
     return F.nullif(found, F.lit("")).try_cast("int")
 
 
-def year(text: Column, document: Column, key: str) -> Column:
-    """Year of a top-level JSON value: a whole number stands for itself, text is searched.
-
-    ``text`` is the value parsed as text. Only where a number and a string would give different
-    years is the document parsed again to learn the type.
-    """
-    plain = text.rlike("^(19|20)[0-9]{2}\\z")
+def year_at(value: Column, path: str) -> Column:
+    """Year at a path of a VARIANT: a whole number stands for itself, text is searched."""
+    text = text_at(value, path)
+    kind = F.schema_of_variant(F.try_variant_get(value, path, "variant"))
     numeric = text.rlike("^[-+.0-9eE]+\\z")
-    variant = F.variant_get(F.try_parse_json(document), f"$.{key}", "variant")
-    is_string = F.coalesce(F.schema_of_variant(variant) == "STRING", F.lit(False))
-    whole = F.when(text.rlike("^-?[0-9]+\\z"), text.try_cast("int"))
+    whole = F.when(kind == "BIGINT", text.try_cast("int"))
+    # Only where a number and a string would give different years does the type matter.
     return (
-        F.when(plain, text.try_cast("int"))
-        .when(numeric, F.when(is_string, year_from_text(text)).otherwise(whole))
+        F.when(text.rlike("^(19|20)[0-9]{2}\\z"), text.try_cast("int"))
+        .when(numeric & (kind != "STRING"), whole)
         .otherwise(year_from_text(text))
     )
 

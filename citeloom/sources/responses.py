@@ -1,7 +1,9 @@
 """Landed service responses: one row per response, flattened to crosswalks and metadata.
 
 A response row is ``(source, request_key, status, body)``; search pages also carry
-``retstart``. Flatteners read good responses; :func:`response_errors` reports the rest.
+``retstart``. Flatteners read good responses; :func:`response_errors` reports the rest. Every body is
+parsed once, to a VARIANT that all fields are taken from; :func:`parsed` does so ahead, for responses
+that several flatteners read.
 """
 
 from __future__ import annotations
@@ -10,13 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.functions.identifiers import find_pmcid, identifier_key, key_kind, key_value
-from citeloom.functions.jsontext import OPTIONS, is_single_value, present_text
-from citeloom.functions.metadata import (
-    journal_name,
-    metadata_struct,
-    year,
-    year_from_text,
-)
+from citeloom.functions.jsontext import list_at, object_at, parsed_json, present_at, text_at
+from citeloom.functions.metadata import journal_name, metadata_struct, year_at, year_from_text
 from citeloom.functions.once import evaluated
 from citeloom.operators.lookup import HotKeys, hot_keys, lookup
 from citeloom.operators.ordering import dense_index, with_previous
@@ -33,14 +30,19 @@ def read_responses(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
     return spark.read.schema(RESPONSE_SCHEMA).format(fmt).load(path)
 
 
+def parsed(responses: DataFrame) -> DataFrame:
+    """Responses with their bodies as VARIANTs in ``json``; null for those not to be read."""
+    if "json" in responses.columns:
+        return responses
+    read = responses.withColumn("_read", F.when(F.col("status") < 400, F.col("body")))
+    return parsed_json(read, "_read").drop("_read")
+
+
 def _error_text() -> Column:
     """Null for a usable or simply absent response, else the error message."""
     source, status = F.col("source"), F.col("status")
     status_text = F.concat(source, F.lit(": error "), status.cast("string"))
-    unreadable = F.when(
-        F.col("body").isNull() | ~is_single_value(F.col("body")),
-        F.concat(source, F.lit(": invalid JSON response")),
-    )
+    unreadable = F.when(F.col("json").isNull(), F.concat(source, F.lit(": invalid JSON response")))
     return (
         F.when(status < 400, unreadable)
         .when((source == GRAPH) & (status == 404), F.lit(None).cast("string"))
@@ -51,17 +53,18 @@ def _error_text() -> Column:
 
 def response_errors(responses: DataFrame) -> DataFrame:
     """``source, request_key, message`` for every failed response."""
-    judged = evaluated(responses, "source", "request_key", _error_text().alias("message"))
+    read = parsed(responses)
+    judged = evaluated(read, "source", "request_key", _error_text().alias("message"))
     return judged.where(F.col("message").isNotNull())
 
 
 def usable(responses: DataFrame) -> DataFrame:
-    """Responses with a body to read: no error and not a 404 miss."""
-    return responses.where((F.col("status") < 400) & is_single_value(F.col("body")))
+    """Responses with a body to read, parsed: no error and not a 404 miss."""
+    return parsed(responses).where((F.col("status") < 400) & F.col("json").isNotNull())
 
 
-def _parse(text: Column, schema: str) -> Column:
-    return F.from_json(text, schema, OPTIONS)
+def _of(responses: DataFrame, source: str) -> DataFrame:
+    return usable(responses.where(F.col("source") == source)).drop("body")
 
 
 # -- search pages -------------------------------------------------------------------------
@@ -76,28 +79,28 @@ SEARCH_SHORT = "Search pages end before the total"
 
 
 def _search_pages(pages: DataFrame) -> DataFrame:
-    schema = "esearchresult STRUCT<count STRING, idlist ARRAY<STRING>>"
-    parsed = evaluated(
-        pages,
+    json = F.col("json")
+    parsed_pages = evaluated(
+        parsed(pages),
         "search_hash",
         F.col("retstart").cast("bigint").alias("retstart"),
-        ((F.col("status") >= 400) | F.col("body").isNull() | ~is_single_value(F.col("body"))).alias(
-            "failed"
-        ),
-        _parse(F.col("body"), schema)["esearchresult"].alias("r"),
+        ((F.col("status") >= 400) | json.isNull()).alias("failed"),
+        object_at(json, "$.esearchresult").isNull().alias("unknown"),
+        F.try_variant_get(json, "$.esearchresult.idlist", "array<string>").alias("idlist"),
+        text_at(json, "$.esearchresult.count").alias("count"),
     )
-    ids = F.coalesce("r.idlist", F.array().cast("array<string>"))
-    count = F.col("r.count").try_cast("bigint")
+    ids = F.coalesce("idlist", F.array().cast("array<string>"))
+    count = F.col("count").try_cast("bigint")
     error = F.when(F.col("failed"), F.lit(SEARCH_FAILED)).when(
-        F.col("r").isNull(), F.lit(SEARCH_STRUCTURE)
+        F.col("unknown"), F.lit(SEARCH_STRUCTURE)
     )
-    return parsed.select(
+    return parsed_pages.select(
         "search_hash",
         "retstart",
         ids.alias("ids"),
         (F.col("retstart") + F.size(ids)).alias("end"),
         F.coalesce(count, F.size(ids).cast("bigint")).alias("count"),
-        (error.isNull() & F.col("r.count").isNotNull() & count.isNull()).alias("bad_count"),
+        (error.isNull() & F.col("count").isNotNull() & count.isNull()).alias("bad_count"),
         error.alias("error"),
     )
 
@@ -220,18 +223,15 @@ def esearch_errors(
 
 def idconv_crosswalk(responses: DataFrame) -> DataFrame:
     """``pmcid, pmid, doi`` of id-conversion responses; later rows of a PMCID win."""
-    records = _parse(F.col("body"), "records ARRAY<STRING>")["records"]
-    rows = usable(responses.where(F.col("source") == IDCONV)).select(
-        "request_key", F.posexplode(records).alias("pos", "raw")
+    rows = _of(responses, IDCONV).select(
+        "request_key", F.posexplode(list_at(F.col("json"), "$.records")).alias("pos", "r")
     )
-    fields = _parse(F.col("raw"), "pmcid STRING, pmid STRING, doi STRING")
-    read = evaluated(rows, "request_key", "pos", "raw", fields.alias("r"))
 
     def present(kind: str) -> Column:
-        return present_text(F.col(f"r.{kind}"), F.col("raw"), kind)
+        return present_at(F.col("r"), f"$.{kind}")
 
     named = evaluated(
-        read,
+        rows,
         present("pmcid").alias("pmcid"),
         F.struct(
             F.col("request_key"),
@@ -245,14 +245,14 @@ def idconv_crosswalk(responses: DataFrame) -> DataFrame:
 
 
 def _summary_entries(responses: DataFrame, requested: DataFrame | None) -> DataFrame:
-    """``pmid, entry`` (raw JSON object) of summary responses."""
-    result = _parse(F.col("body"), "result MAP<STRING, STRING>")["result"]
-    entries = (
-        usable(responses.where(F.col("source") == ESUMMARY))
-        .select(F.explode(result).alias("pmid", "entry"))
-        .where(F.col("entry").startswith("{"))
+    """``pmid, entry`` of summary responses."""
+    listed = _of(responses, ESUMMARY).select(
+        F.explode(object_at(F.col("json"), "$.result")).alias("pmid", "entry")
     )
-    return entries if requested is None else restrict_to_requested(entries, requested)
+    if requested is not None:
+        listed = restrict_to_requested(listed, requested)
+    # The list of ids beside the entries is no object.
+    return listed.where(F.col("pmid") != "uids")
 
 
 def restrict_to_requested(entries: DataFrame, requested: DataFrame) -> DataFrame:
@@ -262,19 +262,16 @@ def restrict_to_requested(entries: DataFrame, requested: DataFrame) -> DataFrame
 
 def esummary_crosswalk(responses: DataFrame, requested: DataFrame | None = None) -> DataFrame:
     """``pmid, pmcid, doi`` of summary responses; the last usable id of a kind wins."""
-    raw = _parse(F.col("entry"), "articleids ARRAY<STRING>")["articleids"]
     ids = F.transform(
-        raw,
+        list_at(F.col("entry"), "$.articleids"),
         lambda r: F.struct(
-            r.alias("raw"),
-            F.lower(F.get_json_object(r, "$.idtype")).alias("idtype"),
-            F.get_json_object(r, "$.value").alias("value"),
+            F.lower(text_at(r, "$.idtype")).alias("idtype"), present_at(r, "$.value").alias("value")
         ),
     )
 
     def last(kinds: tuple[str, ...], read) -> Column:
-        wanted = F.filter("ids", lambda i: i["idtype"].isin(*kinds))
-        values = F.transform(wanted, lambda i: read(present_text(i["value"], i["raw"], "value")))
+        wanted = F.filter("ids", lambda i: i["idtype"].isin(*kinds) & i["value"].isNotNull())
+        values = F.transform(wanted, lambda i: read(i["value"]))
         return F.try_element_at(F.filter(values, lambda v: v.isNotNull()), F.lit(-1))
 
     listed = evaluated(_summary_entries(responses, requested), "pmid", ids.alias("ids"))
@@ -298,19 +295,17 @@ def external_ids(responses: DataFrame, extra_keys: bool = False) -> DataFrame:
     if extra_keys:
         names["pmid"].append("PubMed")
         names["pmcid"].append("PubMedCentral")
-    found = _parse(F.col("body"), "externalIds MAP<STRING, STRING>")["externalIds"]
     rows = evaluated(
-        usable(responses.where(F.col("source") == GRAPH)),
+        _of(responses, GRAPH),
         identifier_key(F.col("request_key")).alias("key"),
-        found.alias("ids"),
-        F.get_json_object("body", "$.externalIds").alias("raw"),
+        F.try_variant_get("json", "$.externalIds", "variant").alias("ids"),
     )
     picked = evaluated(
         rows,
         key_kind(F.col("key")).alias("kind"),
         key_value(F.col("key")).alias("value"),
         *[
-            F.coalesce(*[present_text(F.col("ids")[n], F.col("raw"), n) for n in keys]).alias(kind)
+            F.coalesce(*[present_at(F.col("ids"), f"$.{n}") for n in keys]).alias(kind)
             for kind, keys in names.items()
         ],
     )
@@ -320,39 +315,28 @@ def external_ids(responses: DataFrame, extra_keys: bool = False) -> DataFrame:
 # -- metadata -----------------------------------------------------------------------------
 
 
+def _names(authors: Column) -> Column:
+    """Names that are given, of a list of authors."""
+    return F.filter(F.transform(authors, lambda a: text_at(a, "$.name")), lambda n: n != "")
+
+
 def graph_metadata(responses: DataFrame) -> DataFrame:
     """``key, metadata`` of paper-graph responses; the key is the request key as asked."""
-    # authors stays raw JSON: anything but a list leaves the author list empty.
-    schema = "title STRING, abstract STRING, venue STRING, journal STRING, year STRING, authors STRING"
+    json = F.col("json")
     known = ["title", "abstract", "venue", "journal", "year"]
-    has_any = F.arrays_overlap(
-        F.json_object_keys(F.col("body")), F.array(*[F.lit(k) for k in known])
-    )
-    rows = evaluated(
-        usable(responses.where(F.col("source") == GRAPH)),
-        "request_key",
-        "body",
-        _parse(F.col("body"), schema).alias("p"),
-        has_any.alias("has_any"),
-    )
-    listed = F.col("p.authors").startswith("[")
-    names = F.filter(
-        F.transform(
-            F.from_json(F.when(listed, F.col("p.authors")), "array<string>"),
-            lambda a: F.when(a.startswith("{"), F.get_json_object(a, "$.name")),
-        ),
-        lambda n: n != "",
-    )
+    # A member that is null is there all the same.
+    has_any = F.coalesce(*[F.try_variant_get(json, f"$.{k}", "variant") for k in known]).isNotNull()
+    authors = list_at(json, "$.authors")
+    rows = _of(responses, GRAPH).where(has_any | authors.isNotNull())
     meta = metadata_struct(
-        F.col("p.title"),
-        F.col("p.abstract"),
-        names,
-        journal_name(F.col("p.journal"), F.col("p.venue")),
-        year(F.col("p.year"), F.col("body"), "year"),
+        text_at(json, "$.title"),
+        text_at(json, "$.abstract"),
+        _names(authors),
+        journal_name(text_at(json, "$.journal"), text_at(json, "$.venue")),
+        year_at(json, "$.year"),
         F.lit(GRAPH),
     )
-    keep = F.coalesce("has_any", F.lit(False)) | F.coalesce(listed, F.lit(False))
-    return rows.where(keep).select(F.col("request_key").alias("key"), meta.alias("metadata"))
+    return rows.select(F.col("request_key").alias("key"), meta.alias("metadata"))
 
 
 def summary_metadata(
@@ -363,30 +347,19 @@ def summary_metadata(
     Summaries carry no abstract; by default the field holds the electronic location id, as
     existing results do. ``strict_abstract`` leaves it null.
     """
-    schema = (
-        "title STRING, elocationid STRING, fulljournalname STRING, pubdate STRING, "
-        "sortpubdate STRING, authors STRING"
-    )
-    rows = evaluated(
-        _summary_entries(responses, requested),
-        "pmid",
-        "entry",
-        _parse(F.col("entry"), schema).alias("p"),
-    )
-    listed = F.when(F.col("p.authors").startswith("["), F.col("p.authors"))
-    objects = F.filter(F.from_json(listed, "array<string>"), lambda a: a.startswith("{"))
-    names = F.filter(
-        F.transform(objects, lambda a: F.get_json_object(a, "$.name")), lambda n: n != ""
+    entry = F.col("entry")
+    date_text = F.coalesce(
+        F.nullif(text_at(entry, "$.pubdate"), F.lit("")), text_at(entry, "$.sortpubdate")
     )
-    date_text = F.coalesce(F.nullif("p.pubdate", F.lit("")), "p.sortpubdate")
     meta = metadata_struct(
-        F.col("p.title"),
-        F.lit(None) if strict_abstract else F.col("p.elocationid"),
-        names,
-        F.col("p.fulljournalname"),
+        text_at(entry, "$.title"),
+        F.lit(None) if strict_abstract else text_at(entry, "$.elocationid"),
+        _names(list_at(entry, "$.authors")),
+        text_at(entry, "$.fulljournalname"),
         year_from_text(date_text),
         F.lit(ESUMMARY),
     )
-    return rows.where(F.col("entry") != "{}").select(
+    filled = F.cardinality(object_at(entry, "$")) > 0
+    return _summary_entries(responses, requested).where(filled).select(
         F.col("pmid").alias("key"), meta.alias("metadata")
     )
