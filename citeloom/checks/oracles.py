@@ -330,17 +330,20 @@ SELECT path, k, pmid, pmcid, doi FROM n WHERE rn = 1""",
 SELECT ({_kind('raw')}) AS kind, ({_value('raw')}) AS value, min(k) AS pos FROM long
 WHERE ({_kind('raw')}) IS NOT NULL GROUP BY 1, 2""",
     "q_hash_ids": f"""{with_views('raw_ids')},
-items AS (SELECT {_strip('raw')} AS x, count(*) AS n FROM raw_ids WHERE {_strip('raw')} <> '' GROUP BY 1),
-leaves AS (SELECT cast('0x' || substr(sha256(x), 1, 5) AS INT) AS leaf,
-  sha256(string_agg(sha256(x) || ':' || n, chr(10) ORDER BY sha256(x) || ':' || n)) AS digest, sum(n) AS n FROM items GROUP BY 1),
-branches AS (SELECT cast(floor(leaf / 1024) AS INT) AS leaf, sum(n) AS n,
-  sha256(string_agg(lpad(cast(leaf AS string), 7, '0') || ':' || digest, chr(10) ORDER BY leaf)) AS digest FROM leaves GROUP BY 1)
-SELECT substr(sha256(string_agg(lpad(cast(leaf AS string), 7, '0') || ':' || digest, chr(10) ORDER BY leaf)), 1, 16) AS hash,
-  cast(sum(n) AS BIGINT) AS n FROM branches""",
+items AS (SELECT sha256({_strip('raw')}) AS sha FROM raw_ids WHERE {_strip('raw')} <> ''),
+limbs AS (SELECT i, sum(cast('0x' || substr(sha, i, 5) AS BIGINT)) AS s FROM items, range(1, 65, 5) AS t(i) GROUP BY i)
+SELECT substr(sha256(string_agg(cast(s AS VARCHAR), chr(10) ORDER BY i) || chr(10) || (SELECT count(*) FROM items)), 1, 16) AS hash,
+  (SELECT count(*) FROM items) AS n FROM limbs""",
     "q_hash_files": f"""{with_views('raw_lines')},
 l0 AS (SELECT path, line_no - 1 AS place, sha256(value) AS digest FROM raw_lines),
 {_LEVEL.format(up=1, low=0)}, {_LEVEL.format(up=2, low=1)}, {_LEVEL.format(up=3, low=2)}
 SELECT path, sha256(string_agg(digest, chr(10) ORDER BY place)) AS digest FROM l3 GROUP BY path""",
+    "q_hash_bytes": f"""{with_views('file_lines')},
+files AS (SELECT file, string_agg(value || chr(10), '' ORDER BY line_no) AS bytes FROM file_lines GROUP BY file),
+l0 AS (SELECT file AS path, p AS place, sha256(substr(bytes, p * 512 + 1, 512)) AS digest
+  FROM files, unnest(range(0, cast(floor((length(bytes) - 1) / 512) AS BIGINT) + 1)) AS t(p)),
+{_LEVEL.format(up=1, low=0)}, {_LEVEL.format(up=2, low=1)}, {_LEVEL.format(up=3, low=2)}
+SELECT path AS file, sha256(string_agg(digest, chr(10) ORDER BY place)) AS digest FROM l3 GROUP BY path""",
     "q_merge_paths": f"""{with_views('recs', recursive=True)}, {_graph('recs')}
 SELECT {_WIDE} FROM members GROUP BY component""",
     "q_identifier_list": f"{with_views('inputs')} SELECT raw FROM inputs",

@@ -25,7 +25,12 @@ from citeloom.functions.once import evaluated
 from citeloom.functions.text import html_to_text, record_slug
 from citeloom.operators import fulltext as ft
 from citeloom.operators import resolve as rs
-from citeloom.operators.hashing import file_digests, hash_identifiers
+from citeloom.operators.hashing import (
+    file_digests,
+    hash_identifiers,
+    range_digests,
+    tree_digests,
+)
 from citeloom.operators.merge import (
     conflict_messages,
     conflicts,
@@ -211,6 +216,13 @@ def _(spark, sf):
     return file_digests(view(spark, sf, "raw_lines"))
 
 
+@_query("q_hash_bytes")
+def _(spark, sf):
+    path = _written_lines(spark, sf, "file_lines", Scratch(spark, "bytes"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return tree_digests(range_digests(files, 512)).select(_file_number(), "digest")
+
+
 # -- files written and read again ---------------------------------------------------------
 
 
