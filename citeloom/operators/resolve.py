@@ -11,7 +11,7 @@ is the record's; among those of one stage the largest. The other values are in `
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,13 +38,15 @@ class Crosswalk:
     """A lookup service as a table: ``kind, value`` looked up; ``pmid, pmcid, doi`` asserted.
 
     ``kinds`` says which identifiers are looked up; ``inputs_only`` limits them to the inputs,
-    leaving out those found by earlier stages.
+    leaving out those found by earlier stages. A prepared crosswalk's table has the normalized key
+    ``id`` in place of ``kind, value`` and is bucketed and sorted by it (:func:`prepare`).
     """
 
     name: str
     table: DataFrame
     kinds: tuple[str, ...] = KINDS
     inputs_only: bool = False
+    prepared: bool = False
 
 
 def idconv(table: DataFrame, name: str = "pmc") -> Crosswalk:
@@ -76,6 +78,36 @@ def graph(table: DataFrame, name: str = "semantic-scholar") -> Crosswalk:
     return Crosswalk(name, table, ("pmid", "doi"))
 
 
+def _keyed(crosswalk: Crosswalk) -> DataFrame:
+    """``id, pmid, pmcid, doi`` of the rows that can be looked up."""
+    if crosswalk.prepared:
+        return crosswalk.table
+    # Exploded rather than selected: the null check the join adds would work the key out twice.
+    key = id_key(F.col("kind"), normalize_as(F.col("kind"), F.col("value")))
+    return crosswalk.table.where(F.col("kind").isin(*crosswalk.kinds)).select(
+        F.explode(F.array(key)).alias("id"), *KINDS
+    )
+
+
+def prepare(crosswalk: Crosswalk, table_name: str, path: str, buckets: int) -> Crosswalk:
+    """Write a crosswalk once, keys normalized, bucketed and sorted by them, exact copies dropped.
+
+    Lookups of any number of keys then shuffle the keys alone: the crosswalk is read as it lies.
+    ``table_name`` names it in the session's catalog, ``path`` is where its files are.
+    """
+    keyed = _keyed(crosswalk).where(F.col("id").isNotNull()).distinct()
+    (
+        keyed.repartition(buckets, "id")
+        .write.mode("overwrite")
+        .option("path", path)
+        .bucketBy(buckets, "id")
+        .sortBy("id")
+        .saveAsTable(table_name)
+    )
+    table = keyed.sparkSession.table(table_name)
+    return replace(crosswalk, table=table, prepared=True)
+
+
 @dataclass(frozen=True)
 class Resolution:
     """``records`` (pmid, pmcid, doi, pos, component), ``members``, ``conflicts``, ``sources``
@@ -118,11 +150,7 @@ def stage_hits(
     ``bound`` is an upper limit on the number of keys. Keys are made unique and the crosswalk may
     not be, so it is the crosswalk side that is spread when one key has very many rows.
     """
-    # Exploded rather than selected: the null check the join adds would work the key out twice.
-    key = id_key(F.col("kind"), normalize_as(F.col("kind"), F.col("value")))
-    table = crosswalk.table.where(F.col("kind").isin(*crosswalk.kinds)).select(
-        F.explode(F.array(key)).alias("id"), *KINDS
-    )
+    table = _keyed(crosswalk)
     wanted = (
         keys.where(F.col("kind").isin(*crosswalk.kinds))
         .select(id_key(F.col("kind"), F.col("value")).alias("id"))
@@ -130,10 +158,12 @@ def stage_hits(
     )
     bound = keys.count() if bound is None else bound
     if bound <= BROADCAST_KEYS:
-        return prune(table, wanted, "id", bound).distinct()
-    total = crosswalk.table.count()
-    hot = hot_keys(table, "id", total=total, rows_per_task=rows_per_task)
-    return lookup(table, wanted, "id", how="inner", hot=hot, null_keys=False).distinct()
+        hits = prune(table, wanted, "id", bound)
+    else:
+        total = crosswalk.table.count()
+        hot = hot_keys(table, "id", total=total, rows_per_task=rows_per_task)
+        hits = lookup(table, wanted, "id", how="inner", hot=hot, null_keys=False)
+    return hits if crosswalk.prepared else hits.distinct()
 
 
 def stage_links(hits: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.functions.metadata import METADATA_TYPE
@@ -96,18 +96,41 @@ def read_manifest(spark: SparkSession, run_dir: str) -> dict:
     return json.loads(spark.read.text(f"{run_dir}/metadata.json").first()["value"])
 
 
-def write_errors(errors: DataFrame, run_dir: str) -> tuple[int, str]:
-    """Write the run's error table; gives back the number of errors and the table's path."""
-    path = f"{run_dir}/errors"
-    errors.write.mode("overwrite").parquet(path)
-    return errors.sparkSession.read.schema(errors.schema).parquet(path).count(), path
+class Counted:
+    """Counters that are taken while a DataFrame is written, so nothing is read to count it."""
 
+    def __init__(self, df: DataFrame, **counters: Column):
+        self._seen = Observation()
+        named = [c.alias(name) for name, c in counters.items()]
+        self.df = df.observe(self._seen, F.count(F.lit(1)).alias("rows"), *named)
 
-def write_id_list(ids: DataFrame, path: str, column: str = "pmid") -> None:
-    """One identifier per line, in the DataFrame's order."""
-    ids.select(F.col(column).cast("string")).write.mode("overwrite").text(path)
+    def get(self) -> dict[str, int]:
+        """The counters, once the DataFrame has been written."""
+        return self._seen.get
 
 
-def write_records(records: DataFrame, path: str, columns: Sequence[str] = ("pmid", "pmcid", "doi")) -> None:
-    """Compact JSON Lines; absent identifiers are written as null."""
-    records.select(*columns).write.mode("overwrite").options(**JSON_NULLS).json(path)
+def write_errors(errors: DataFrame, run_dir: str) -> int:
+    """Write the run's error table; gives back the number of errors."""
+    counted = Counted(errors)
+    counted.df.write.mode("overwrite").parquet(errors_path(run_dir))
+    return counted.get()["rows"]
+
+
+def errors_path(run_dir: str) -> str:
+    return f"{run_dir}/errors"
+
+
+def write_id_list(ids: DataFrame, path: str, column: str = "pmid") -> int:
+    """One identifier per line, in the DataFrame's order; gives back their number."""
+    counted = Counted(ids.select(F.col(column).cast("string")))
+    counted.df.write.mode("overwrite").text(path)
+    return counted.get()["rows"]
+
+
+def write_records(
+    records: DataFrame, path: str, columns: Sequence[str] = ("pmid", "pmcid", "doi")
+) -> int:
+    """Compact JSON Lines; absent identifiers are written as null. Gives back their number."""
+    counted = Counted(records.select(*columns))
+    counted.df.write.mode("overwrite").options(**JSON_NULLS).json(path)
+    return counted.get()["rows"]

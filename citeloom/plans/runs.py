@@ -1,5 +1,5 @@
 """The four runs a user starts. Each writes under a path named by its input's content hash, so
-running it again replaces the same folder."""
+running it again replaces the same folder, all at once when the new run is complete."""
 
 from __future__ import annotations
 
@@ -31,6 +31,7 @@ from citeloom.operators.resolve import (
 from citeloom.operators.search import search
 from citeloom.plans import manifest as m
 from citeloom.plans.layout import DataLayout
+from citeloom.plans.publish import publishing
 from citeloom.scratch import Scratch
 from citeloom.sources.lines import FULLTEXT_MISSING, dedup_triples, identifier_list, read_records
 
@@ -74,22 +75,22 @@ def search_run(
     path = layout.search_run(hash_values(parts), started.strftime("%Y%m%d"))
 
     found = search(corpus, predicate, first, last).orderBy(*(order or [id_column]))
-    m.write_id_list(found, f"{path}/pmids.txt", id_column)
+    with publishing(spark, path) as attempt:
+        row = m.one_row(
+            spark,
+            m.SEARCH_SCHEMA,
+            {
+                "source": "pubmed",
+                "query": query,
+                "start_date": first and first.isoformat(),
+                "end_date": last and last.isoformat(),
+                "result_count": m.write_id_list(found, f"{attempt}/pmids.txt", id_column),
+                "run_started_at": utc_stamp(started),
+                "retmax": page_size,
+            },
+        )
+        m.write_manifest(row, attempt)
     ids = spark.read.text(f"{path}/pmids.txt").withColumnRenamed("value", "pmid")
-    row = m.one_row(
-        spark,
-        m.SEARCH_SCHEMA,
-        {
-            "source": "pubmed",
-            "query": query,
-            "start_date": first and first.isoformat(),
-            "end_date": last and last.isoformat(),
-            "result_count": ids.count(),
-            "run_started_at": utc_stamp(started),
-            "retmax": page_size,
-        },
-    )
-    m.write_manifest(row, path)
     return Run(path, row, ids)
 
 
@@ -114,32 +115,30 @@ def resolve_run(
         path = layout.resolve_run(digest)
 
         result = resolve(inputs, crosswalks, scratch)
-        records_path = f"{path}/records.jsonl"
-        m.write_records(in_input_order(result.records), records_path)
         parts = [bad, result.errors]
         if service_errors is not None:
             parts.append(service_errors.select(F.col("source").alias("stage"), "message"))
-        error_count, errors_path = m.write_errors(m.error_log(*parts), path)
         counts = m.input_counts(inputs).first()
-        records = _read_records(spark, records_path)
-        row = m.one_row(
-            spark,
-            m.RESOLVE_SCHEMA,
-            {
-                "input_file": input_file,
-                "input_count": counts["input_count"],
-                "unique_inputs": counts["unique_inputs"],
-                "record_count": records.count(),
-                "sources": m.sources_used(result.sources).first()["sources"],
-                "error_count": error_count,
-                "errors_path": errors_path,
-                "input_hash": digest,
-                "run_started_at": utc_stamp(started),
-                "records_path": records_path,
-            },
-        )
-        m.write_manifest(row, path)
-        return Run(path, row, records)
+        with publishing(spark, path) as attempt:
+            ordered = in_input_order(result.records)
+            row = m.one_row(
+                spark,
+                m.RESOLVE_SCHEMA,
+                {
+                    "input_file": input_file,
+                    "input_count": counts["input_count"],
+                    "unique_inputs": counts["unique_inputs"],
+                    "record_count": m.write_records(ordered, f"{attempt}/records.jsonl"),
+                    "sources": m.sources_used(result.sources).first()["sources"],
+                    "error_count": m.write_errors(m.error_log(*parts), attempt),
+                    "errors_path": m.errors_path(path),
+                    "input_hash": digest,
+                    "run_started_at": utc_stamp(started),
+                    "records_path": f"{path}/records.jsonl",
+                },
+            )
+            m.write_manifest(row, attempt)
+        return Run(path, row, _read_records(spark, f"{path}/records.jsonl"))
 
 
 def merge_run(
@@ -159,25 +158,23 @@ def merge_run(
 
     with Scratch(spark, "merge") as scratch:
         result = merge_paths(spark, input_files, scratch)
-        records_path = f"{path}/records.jsonl"
-        m.write_records(in_output_order(result.records), records_path)
-        error_count, errors_path = m.write_errors(m.error_log(result.errors), path)
-        records = _read_records(spark, records_path)
-        row = m.one_row(
-            spark,
-            m.MERGE_SCHEMA,
-            {
-                "input_files": sorted(input_files),
-                "input_hash": digest,
-                "record_count": records.count(),
-                "error_count": error_count,
-                "errors_path": errors_path,
-                "run_started_at": utc_stamp(started),
-                "records_path": records_path,
-            },
-        )
-        m.write_manifest(row, path)
-        return Run(path, row, records)
+        with publishing(spark, path) as attempt:
+            ordered = in_output_order(result.records)
+            row = m.one_row(
+                spark,
+                m.MERGE_SCHEMA,
+                {
+                    "input_files": sorted(input_files),
+                    "input_hash": digest,
+                    "record_count": m.write_records(ordered, f"{attempt}/records.jsonl"),
+                    "error_count": m.write_errors(m.error_log(result.errors), attempt),
+                    "errors_path": m.errors_path(path),
+                    "run_started_at": utc_stamp(started),
+                    "records_path": f"{path}/records.jsonl",
+                },
+            )
+            m.write_manifest(row, attempt)
+        return Run(path, row, _read_records(spark, f"{path}/records.jsonl"))
 
 
 def fulltext_run(
@@ -210,36 +207,50 @@ def fulltext_run(
         found = fetch(records, text_providers, metadata_providers, scratch)
         chosen, whole = found.chosen, found.records
 
-        records_dir = f"{path}/records"
+        read = parse_errors.select(F.lit("read").alias("stage"), "path", "line_no", "message")
+        missed = text_errors(chosen).select(F.lit("text").alias("stage"), "message")
         slug = record_slug(F.col("pmid"), F.col("pmcid"), F.col("doi"), F.col("index"))
-        whole.select(
+        named = whole.select(
             slug.alias("slug"), "pmid", "pmcid", "doi", "text", "text_source", "metadata"
-        ).write.format(record_format).options(**m.JSON_NULLS).mode("overwrite").save(records_dir)
-        written = spark.read.schema(m.FULLTEXT_RECORD).format(record_format).load(records_dir)
+        )
 
-        read = parse_errors.select(F.lit("read").alias("stage"), "path", "line_no", "message")
-        missed = text_errors(chosen).select(F.lit("text").alias("stage"), "message")
-        error_count, errors_path = m.write_errors(m.error_log(read, missed), path)
-        counts = m.text_counts(chosen).first()
-        row = m.one_row(
-            spark,
-            m.FULLTEXT_SCHEMA,
-            {
-                "input_files": list(input_files),
-                "input_hash": digest,
-                **counts.asDict(),
-                "text_sources": m.sources_used(chosen, "text_source").first()["sources"],
-                "metadata_sources": m.sources_used(
-                    written.select(F.col("metadata.source").alias("source"))
-                ).first()["sources"],
-                "error_count": error_count,
-                "errors_path": errors_path,
-                "run_started_at": utc_stamp(started),
-                "records_dir": records_dir,
-            },
+        def served(column: str, name: str) -> Column:
+            return F.count_if(F.col(column) == name)
+
+        texts = [p.name for p in text_providers]
+        answers = [p.name for p in metadata_providers]
+        counted = m.Counted(
+            named,
+            with_text=F.count("text_source"),
+            **{f"text-{i}": served("text_source", name) for i, name in enumerate(texts)},
+            **{f"metadata-{i}": served("metadata.source", name) for i, name in enumerate(answers)},
         )
-        m.write_manifest(row, path)
-        return Run(path, row, written)
+        with publishing(spark, path) as attempt:
+            write = counted.df.write.format(record_format).options(**m.JSON_NULLS)
+            write.mode("overwrite").save(f"{attempt}/records")
+            n = counted.get()
+            row = m.one_row(
+                spark,
+                m.FULLTEXT_SCHEMA,
+                {
+                    "input_files": list(input_files),
+                    "input_hash": digest,
+                    "record_count": n["rows"],
+                    "records_with_text": n["with_text"],
+                    "records_without_text": n["rows"] - n["with_text"],
+                    "text_sources": sorted(x for i, x in enumerate(texts) if n[f"text-{i}"]),
+                    "metadata_sources": sorted(
+                        x for i, x in enumerate(answers) if n[f"metadata-{i}"]
+                    ),
+                    "error_count": m.write_errors(m.error_log(read, missed), attempt),
+                    "errors_path": m.errors_path(path),
+                    "run_started_at": utc_stamp(started),
+                    "records_dir": f"{path}/records",
+                },
+            )
+            m.write_manifest(row, attempt)
+        written = spark.read.schema(m.FULLTEXT_RECORD).format(record_format)
+        return Run(path, row, written.load(f"{path}/records"))
 
 
 def _read_records(spark: SparkSession, path: str) -> DataFrame:

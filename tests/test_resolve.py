@@ -109,3 +109,22 @@ def test_many_keys_take_the_shuffled_path_with_a_hot_crosswalk_key(spark, monkey
     result = rs.resolve(ids, [rs.Crosswalk("x", table, ("pmid",))], rows_per_task=100)
     assert result.records.count() == n
     assert result.conflicts.count() == n // 3 - 1
+
+
+def test_a_prepared_crosswalk_is_read_as_it_lies(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(rs, "BROADCAST_KEYS", 10)
+    rows = [("pmid", f" {i % 400}", None, f"PMC{i}", None) for i in range(900)] + [("pmid", "x", "1", None, None)] * 2
+    plain = rs.Crosswalk("x", _xw(spark, rows), ("pmid",))
+    ready = rs.prepare(plain, "prepared_crosswalk", str(tmp_path / "xw"), 5)
+    keys = spark.range(300).select(F.lit("pmid").alias("kind"), F.col("id").cast("string").alias("value"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hits = rs.stage_hits(keys, ready)
+        plan = hits._jdf.queryExecution().executedPlan().toString()
+        got, want = (sorted(h.select("id", "pmcid").collect()) for h in (hits, rs.stage_hits(keys, plain)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE prepared_crosswalk")
+    assert got == want and len(got) == 700
+    table = plan[: plan.index("prepared_crosswalk")]
+    assert "Bucketed: true" in plan and "Exchange" not in table[table.index("SortMergeJoin") :]

@@ -11,7 +11,7 @@ from citeloom.operators import fulltext as ft
 from citeloom.operators import resolve as rs
 from citeloom.operators.hashing import hash_files, hash_identifiers
 from citeloom.operators.ordering import dense_index, one_page, paged, with_previous
-from citeloom.operators.search import contains, search
+from citeloom.operators.search import contains, laid_out, lay_out, search
 from citeloom.plans import manifest as m
 from citeloom.plans.layout import DataLayout
 from citeloom.plans.runs import fulltext_run, merge_run, resolve_run, search_run
@@ -174,9 +174,38 @@ def test_every_error_is_in_the_error_table(spark, tmp_path):
         F.lit("s").alias("stage"), F.lit(None).cast("string").alias("path"),
         F.col("id").alias("line_no"), F.concat(F.lit("e"), "id").alias("message"),
     )
-    count, path = m.write_errors(errors, str(tmp_path))
-    assert (count, path) == (2_000, f"{tmp_path}/errors")
-    assert spark.read.parquet(path).select("message").distinct().count() == 2_000
+    assert m.write_errors(errors, str(tmp_path)) == 2_000
+    assert m.write_errors(errors.where("line_no < 0"), str(tmp_path / "none")) == 0
+    assert spark.read.parquet(m.errors_path(str(tmp_path))).select("message").distinct().count() == 2_000
+
+
+@pytest.mark.parametrize("broken", ["write_errors", "write_manifest"])
+def test_a_run_that_fails_leaves_the_earlier_one_whole(spark, tmp_path, write_lines, monkeypatch, broken):
+    a = write_lines("a.jsonl", [{"pmid": "1"}, "{bad"])
+    layout = DataLayout(str(tmp_path / "data"))
+    run = merge_run(spark, [a], layout=layout, clock=clock)
+    before = {p: p.read_bytes() for p in sorted((tmp_path / "data").rglob("*")) if p.is_file()}
+    monkeypatch.setattr(m, broken, lambda *args: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        merge_run(spark, [a], layout=layout, clock=clock)
+    assert {p: p.read_bytes() for p in sorted((tmp_path / "data").rglob("*")) if p.is_file()} == before
+    monkeypatch.undo()
+    again = merge_run(spark, [a], layout=layout, clock=clock)
+    assert m.read_manifest(spark, again.path)["record_count"] == 1
+    assert os.listdir(os.path.dirname(run.path)) == [os.path.basename(run.path)]
+
+
+def test_date_bounds_prune_months(spark, corpus, tmp_path):
+    days = corpus.select("pmid", "text", (F.col("pub_date") + F.col("pmid").cast("int") * 20).alias("pub_date"))
+    lay_out(days.unionByName(days.selectExpr("'x' AS pmid", "text", "cast(NULL AS date) AS pub_date")), str(tmp_path / "c"))
+    laid = laid_out(spark, str(tmp_path / "c"))
+    found = search(laid, contains("brain"), "2024-03-01", "2024-06-30").select("pmid")
+    want = search(days, contains("brain"), "2024-03-01", "2024-06-30").select("pmid")
+    assert sorted(found.collect()) == sorted(want.collect()) and found.count()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    pruned = plan[plan.index("PartitionFilters: [") :].split("]")[0]
+    assert "2024-03" in pruned and "2024-06" in pruned
+    assert search(laid, contains("heart")).count() == 20
 
 
 def test_scratch_goes_when_a_run_fails(spark, tmp_path, monkeypatch):
