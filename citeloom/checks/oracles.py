@@ -224,6 +224,28 @@ comp AS (SELECT id, min(other) AS component FROM reach GROUP BY id),
 parts AS (SELECT c.component, split_part(c.id, ':', 1) AS kind, substr(c.id, instr(c.id, ':') + 1) AS value, s.pos
   FROM comp c LEFT JOIN seeds s ON c.id = s.kind || ':' || s.value)"""
 
+# The latest stage that first names a value wins; of its values the largest.
+_DISPUTED = f"""seeds AS (SELECT pos, ({_kind('raw')}) AS kind, ({_value('raw')}) AS value FROM disputed_inputs),
+d1 AS (SELECT DISTINCT 'pmid:' || x.pmid AS id, u.kind, u.value FROM seeds s JOIN disputed_summaries x
+  ON s.kind = 'pmid' AND s.value = x.pmid,
+  unnest([{{'kind': 'pmcid', 'value': x.pmcid}}, {{'kind': 'doi', 'value': x.doi}}]) AS t(u)),
+known AS (SELECT kind, value FROM seeds UNION SELECT kind, value FROM d1),
+d2 AS (SELECT DISTINCT 'doi:' || x.value AS id, u.kind, u.value FROM known n JOIN disputed_graph x
+  ON n.kind = 'doi' AND n.value = x.value,
+  unnest([{{'kind': 'pmid', 'value': x.pmid}}, {{'kind': 'pmcid', 'value': x.pmcid}}, {{'kind': 'doi', 'value': x.doi}}]) AS t(u)
+  WHERE u.value IS NOT NULL),
+named AS (SELECT kind, value, 0 AS stage, pos FROM seeds UNION ALL SELECT kind, value, 1, NULL FROM d1
+  UNION ALL SELECT kind, value, 2, NULL FROM d2),
+values_ AS (SELECT kind || ':' || value AS id, kind, value, min(stage) AS stage, min(pos) AS pos FROM named GROUP BY ALL),
+one_way AS (SELECT id AS a, kind || ':' || value AS b FROM d1 UNION SELECT id, kind || ':' || value FROM d2),
+links AS (SELECT a, b FROM one_way UNION SELECT b, a FROM one_way UNION SELECT id, id FROM values_),
+reach AS (SELECT a AS id, a AS other FROM links UNION SELECT r.id, l.b FROM reach r JOIN links l ON r.other = l.a),
+comp AS (SELECT id, min(other) AS component FROM reach GROUP BY id),
+judged AS (SELECT *, first_value(value) OVER (PARTITION BY component, kind ORDER BY stage DESC, value DESC) AS kept
+  FROM values_ JOIN comp USING (id))"""
+
+_DISPUTED_VIEWS = ("disputed_inputs", "disputed_summaries", "disputed_graph")
+
 # -- HTML and full text -------------------------------------------------------------------
 
 _HIDDEN = (
@@ -353,6 +375,9 @@ SELECT {_WIDE} FROM members GROUP BY component""",
 WHERE contains(text, 'URGENT') AND pub_date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'""",
     "q_search_open_end": f"""{with_views('corpus')} SELECT doc_id FROM corpus
 WHERE contains(text, 'HIGH') AND pub_date >= DATE '1999-06-01'""",
+    "q_search_documents": f"""{with_views('dated_documents')}
+SELECT doc_id, strftime(pub_date, '%Y-%m-%d') AS pub_date FROM dated_documents
+WHERE contains(text, ' an') AND pub_date BETWEEN DATE '1992-03-15' AND DATE '1997-10-01'""",
     "q_search_pages": f"""{with_views('corpus')},
 n AS (SELECT doc_id, row_number() OVER (ORDER BY pub_date, doc_id) - 1 AS position FROM corpus WHERE contains(text, 'LOW'))
 SELECT doc_id, position, cast(floor(position / 100) AS bigint) AS page FROM n""",
@@ -409,6 +434,11 @@ FROM responses WHERE source = 'entrez'""",
     "q_resolve_stage3": f"{with_views(*_RESOLVE_VIEWS)}, {_STAGES} SELECT id, kind, value FROM s3",
     "q_resolve": f"""{with_views(*_RESOLVE_VIEWS, recursive=True)}, {_RESOLVED}
 SELECT {_WIDE}, min(pos) AS pos FROM parts GROUP BY component ORDER BY pos""",
+    "q_resolve_latest": f"""{with_views(*_DISPUTED_VIEWS, recursive=True)}, {_DISPUTED}
+SELECT min(CASE WHEN kind = 'pmid' THEN kept END) AS pmid, min(CASE WHEN kind = 'pmcid' THEN kept END) AS pmcid,
+  min(CASE WHEN kind = 'doi' THEN kept END) AS doi, min(pos) AS pos FROM judged GROUP BY component""",
+    "q_resolve_conflicts": f"""{with_views(*_DISPUTED_VIEWS, recursive=True)}, {_DISPUTED}
+SELECT component, kind, value, kept FROM judged WHERE value <> kept""",
     "q_sources_used": f"""{with_views(*_RESOLVE_VIEWS)}, {_STAGES}
 SELECT 'pmc' AS source WHERE EXISTS (SELECT 1 FROM s1) UNION ALL SELECT 'entrez' WHERE EXISTS (SELECT 1 FROM s2)
 UNION ALL SELECT 'semantic-scholar' WHERE EXISTS (SELECT 1 FROM s3)""",

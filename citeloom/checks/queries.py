@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,7 +48,7 @@ from citeloom.operators.records import (
     explode_identifiers,
     identifier_errors,
 )
-from citeloom.operators.search import contains, search
+from citeloom.operators.search import contains, laid_out, lay_out, search
 from citeloom.plans import manifest as m
 from citeloom.scratch import Scratch
 from citeloom.sources import responses as resp
@@ -271,6 +272,14 @@ def _(spark, sf):
     return search(view(spark, sf, "corpus"), contains("HIGH"), start="1999-06-01").select("doc_id")
 
 
+@_query("q_search_documents")
+def _(spark, sf):
+    path = f"{Scratch(spark, 'corpus').path}/by-month"
+    lay_out(view(spark, sf, "dated_documents"), path)
+    found = search(laid_out(spark, path), contains(" an"), "1992-03-15", "1997-10-01")
+    return found.select("doc_id", F.date_format("pub_date", "yyyy-MM-dd").alias("pub_date"))
+
+
 @_query("q_search_pages")
 def _(spark, sf):
     found = search(view(spark, sf, "corpus"), contains("LOW")).select("doc_id", "pub_date")
@@ -402,6 +411,27 @@ def _(spark, sf):
     return rs.in_input_order(found.records).select(*KINDS, "pos")
 
 
+def _disputed(spark, sf) -> rs.Resolution:
+    inputs, _ = rs.classified_inputs(view(spark, sf, "disputed_inputs"))
+    scratch = Scratch(spark, "disputed")
+    stages = [rs.esummary(view(spark, sf, "disputed_summaries")), rs.graph(view(spark, sf, "disputed_graph"))]
+    ready = [
+        rs.prepare(x, f"prepared_{i}_{uuid.uuid4().hex}", f"{scratch.path}/prepared-{i}", 8)
+        for i, x in enumerate(stages)
+    ]
+    return rs.resolve(inputs, ready, scratch)
+
+
+@_query("q_resolve_latest")
+def _(spark, sf):
+    return _disputed(spark, sf).records.select(*KINDS, "pos")
+
+
+@_query("q_resolve_conflicts")
+def _(spark, sf):
+    return _disputed(spark, sf).conflicts
+
+
 @_query("q_sources_used")
 def _(spark, sf):
     return rs.sources_frame(spark, _stages(spark, sf).used)

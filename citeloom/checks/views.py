@@ -177,6 +177,22 @@ WHERE NOT ({_div(20)} % 7 = 3 AND o_orderkey % 20 = 3) AND NOT ({_div(20)} % 7 =
     "corpus": """
 SELECT o_orderkey AS doc_id, o_orderpriority AS text, cast(o_orderdate AS date) AS pub_date
 FROM orders""",
+    "dated_documents": """
+SELECT doc_id, text, DATE '1990-01-01' + cast(doc_id % 4000 AS int) AS pub_date FROM documents
+WHERE doc_id % 50 <> 7 UNION ALL
+SELECT doc_id, text, cast(NULL AS date) AS pub_date FROM documents WHERE doc_id % 50 = 7""",
+    # Inputs whose services contradict each other: the graph knows other ids than the summaries.
+    "disputed_inputs": f"""
+SELECT o_orderkey AS pos, CASE WHEN o_orderkey % 2 = 0 THEN {_K} ELSE '10.1000/' || {_K} END AS raw
+FROM orders""",
+    "disputed_summaries": f"""
+SELECT {_K} AS pmid, 'PMC' || {_K} AS pmcid, '10.1000/' || {_K} AS doi FROM orders""",
+    "disputed_graph": f"""
+SELECT 'doi' AS kind, '10.1000/' || {_K} AS value,
+       CASE WHEN o_orderkey % 3 = 0 THEN cast(10000000 + {_div(9)} AS string) ELSE {_K} END AS pmid,
+       CASE WHEN o_orderkey % 5 = 0 THEN 'PMC9' || {_K} END AS pmcid,
+       CASE WHEN o_orderkey % 7 = 0 THEN '10.2000/' || {_K} ELSE '10.1000/' || {_K} END AS doi
+FROM orders WHERE o_orderkey % 11 <> 0""",
     "date_texts": f"""
 SELECT o_orderkey AS k,
        CASE o_orderkey % 6
