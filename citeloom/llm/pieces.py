@@ -11,28 +11,41 @@ from collections.abc import Callable, Iterator
 
 import regex
 
-# Words remembered by one Python worker; past this many the memo starts again.
+# Words remembered by one Python worker.
 WORDS_KEPT = 600_000
 # Longer words are not remembered.
 WORD_LENGTH = 64
 
 
 class Memo(dict):
-    """Encoded words: a missing one is made by ``make`` and remembered within bounds."""
+    """Encoded words: a missing one is made by ``make`` and remembered within bounds.
+
+    Words are kept in two generations of equal size. When the younger is full, the older is let go
+    and the younger takes its place; a word met again moves back to the young. So a word in frequent
+    use is never forgotten, whatever passes by that is met once.
+    """
 
     def __init__(self, make: Callable[[str], object], kept: int = WORDS_KEPT):
         super().__init__()
         self.make = make
-        self.kept = kept
+        self.half = max(1, kept // 2)
+        self.old: dict = {}
 
     def __missing__(self, word: str):
-        value = self.make(word)
+        value = self.old.get(word)
+        if value is None:
+            value = self.make(word)
         if len(word) <= WORD_LENGTH:
-            if len(self) >= self.kept:
-                self.clear()
+            if len(self) >= self.half:
+                self.turn()
             self[word] = value
         return value
 
+    def turn(self) -> None:
+        """Let go of the older generation."""
+        self.old = dict(self)
+        self.clear()
+
 
 class Pieces:
     """Cuts text by ``pattern``; ``special`` strings are kept whole."""

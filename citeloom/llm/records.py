@@ -134,6 +134,7 @@ class Encoder:
         opens = np.zeros(max(vocab.values()) + 1, dtype=bool)
         space = self.library.pre_tokenizer.pre_tokenize_str(" ")[0][0]
         opens[[i for token, i in vocab.items() if token.startswith(space)]] = True
+        self.space = space
         self.opens = opens
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.pieces = Pieces("")
@@ -147,19 +148,27 @@ class Encoder:
 
     def _piece(self, piece: str) -> bytes:
         """Ids of a space and letters, which the split keeps together."""
-        shown = piece.encode().decode("latin-1").translate(self.letters)
+        if piece.isascii():  # such letters stand for themselves
+            shown = self.space + piece[1:]
+        else:
+            shown = piece.encode().decode("latin-1").translate(self.letters)
         return array(self.width, [t.id for t in self.library.model.tokenize(shown)]).tobytes()
 
     def _learn(self, texts: list[list[list[str]]]) -> None:
         """Encode the spaced words not yet known."""
-        known = self.words
-        new = {w for lines in texts for words in lines for w in words[1:]} - known.keys()
-        if len(known) + len(new) > known.kept:
-            known.clear()
-            new = {w for lines in texts for words in lines for w in words[1:]}
-        rest = []
+        known, met = self.words, set()
+        for lines in texts:
+            for words in lines:
+                met.update(words[1:])
+        new = met - known.keys()
+        if len(known) + len(new) > known.half:
+            known.turn()
+            new = met
+        older, rest = known.old, []
         for word in new:
-            if word.isalpha():
+            if word in older:
+                known[word] = older[word]
+            elif word.isalpha():
                 known[word] = self._piece(" " + word)
             elif word[-1] in self.marks and word[:-1].isalpha():
                 stem = known.get(word[:-1])

@@ -30,9 +30,9 @@ from citeloom.llm.session import file_bytes, id_and_text, importable, in_worker
 from citeloom.llm.vocab import Vocabulary
 
 # Transitions kept; past this many the machine forgets all but its start state.
-TRANSITIONS_KEPT = 250_000
+TRANSITIONS_KEPT = 400_000
 # Words and pieces remembered by one Python worker.
-WORDS_KEPT = 300_000
+WORDS_KEPT = 600_000
 # No token.
 NONE = -1
 # Ids decoded at a time.
@@ -45,6 +45,8 @@ class Transducer:
     def __init__(self, vocab: Vocabulary, kept: int = TRANSITIONS_KEPT):
         self.vocab = vocab
         self.kept = kept
+        children, self._ends_at = vocab.tree
+        self._child = children.get
         self._forget()
 
     def _forget(self) -> None:
@@ -75,38 +77,50 @@ class Transducer:
             self._forget()
             number = self._number(state)
         last, borders = self.states[number]
-        children, ends_at, neighbours = *self.vocab.tree, self.vocab.neighbours
+        child, ends_at = self._child, self._ends_at
+        verdict, neighbours = self.vocab.verdicts.get, self.vocab.neighbours
         live, newest = [], None
-        for path, place in borders:
-            place = children.get(place << 8 | byte)
+        for border in borders:
+            path, place = border
+            place = child(place << 8 | byte)
             if place is None:
                 continue
             token, goes_on = ends_at[place]
-            if token >= 0 and newest is None:
+            if newest is None and token >= 0:
                 before = path[-1] if path else last
-                if before < 0 or neighbours(before, token):
+                if before < 0:
                     newest = (*path, token)
+                else:
+                    fits = verdict(before << 20 | token)
+                    if fits is None:
+                        fits = neighbours(before, token)
+                    if fits:
+                        newest = (*path, token)
             if goes_on:
                 live.append((path, place))
         live.append((newest, 0))
-        given = self._shared([path for path, _ in live])
+        given = live[0][0]
+        if given:
+            given = self._shared(live)
         if given:
             last, n = given[-1], len(given)
             live = [(path[n:], place) for path, place in live]
-        if all(path for path, _ in live):
-            last = NONE  # no coming token stands next to it
+        if live[0][0]:
+            # The oldest border has the shortest path; unless it is empty, none is, and no coming
+            # token stands next to the last one given out.
+            last = NONE
         move = (self._number((last, tuple(live))), given)
         self.moves[number << 8 | byte] = move
         return move
 
     @staticmethod
-    def _shared(paths: list[tuple[int, ...]]) -> tuple[int, ...]:
+    def _shared(live: list[tuple[tuple[int, ...], int]]) -> tuple[int, ...]:
         """The tokens all paths begin with."""
-        if len(paths) == 1:
-            return paths[0]
-        low, high = min(paths), max(paths)
-        n = 0
-        while n < len(low) and low[n] == high[n]:
+        if len(live) == 1:
+            return live[0][0]
+        low, high = min(live)[0], max(live)[0]
+        n, most = 0, min(len(low), len(high))
+        while n < most and low[n] == high[n]:
             n += 1
         return low[:n]
 
@@ -158,14 +172,25 @@ class Codec:
         self.pieces = Pieces(pattern)
         machine = Transducer(vocab)
         findall = self.pieces.pattern.findall
-        piece_ids = Memo(lambda piece: array("I", machine.encode(piece.encode())).tobytes(), WORDS_KEPT)
 
-        def whole(word: str) -> bytes:
-            return b"".join([piece_ids[p] for p in findall(word)])
+        def ids(piece: str) -> bytes:
+            return array("I", machine.encode(piece.encode())).tobytes()
+
+        def spaced(word: str) -> bytes:
+            """A word after a space; where they are one piece, the machine reads it."""
+            pieces = findall(" " + word)
+            if len(pieces) == 1:
+                return ids(pieces[0])
+            return b"".join(map(part, pieces))
+
+        def part(piece: str) -> bytes:
+            # A piece that begins with a space is itself a word after a space.
+            return known[piece[1:]] if piece[0] == " " and len(piece) > 1 else bare[piece]
 
-        self._whole = whole
-        self._first = Memo(whole, WORDS_KEPT // 4)
-        self._spaced = Memo(lambda word: whole(" " + word), WORDS_KEPT)
+        known, bare = Memo(spaced, WORDS_KEPT), Memo(ids, WORDS_KEPT // 8)
+        self._spaced = known
+        self._whole = lambda text: b"".join(map(part, findall(text)))
+        self._first = Memo(self._whole, WORDS_KEPT // 8)
 
     def encode(self, text: str) -> bytes:
         """Ids as unsigned 32-bit integers, least byte first."""

@@ -38,7 +38,7 @@ class Vocabulary:
         self._halves: dict[int, tuple[int, int] | None] = {}
         if pairs is not None:
             self._halves = {merged: halves for halves, merged in pairs.items()}
-        self._verdicts: dict[int, bool] = {}
+        self.verdicts: dict[int, bool] = {}
         self._left: dict[int, list[tuple[int, int]]] = {}
         self._right: dict[int, list[tuple[int, int]]] = {}
 
@@ -108,19 +108,23 @@ class Vocabulary:
     def neighbours(self, a: int, b: int) -> bool:
         """Whether ``a`` followed by ``b`` is the encoding of their bytes."""
         key = a << 20 | b
-        verdict = self._verdicts.get(key)
+        verdict = self.verdicts.get(key)
         if verdict is None:
-            if len(self._verdicts) >= PAIRS_KEPT:
-                self._verdicts.clear()
-            verdict = True
-            for x, x_gone in self._edge(a, 1):
-                for y, y_gone in self._edge(b, 0):
-                    rank = self.merged(x, y)
-                    if rank < x_gone and rank <= y_gone and rank != NEVER:
-                        verdict = False
-            self._verdicts[key] = verdict
+            if len(self.verdicts) >= PAIRS_KEPT:
+                self.verdicts.clear()
+            verdict = self.verdicts[key] = self._apart(a, b)
         return verdict
 
+    def _apart(self, a: int, b: int) -> bool:
+        """Whether no merge across the border comes before either of its pieces is absorbed."""
+        right, left, merged = self._edge(a, 1), self._edge(b, 0), self.merged
+        for x, x_gone in right:
+            for y, y_gone in left:
+                rank = merged(x, y)
+                if rank < x_gone and rank <= y_gone and rank != NEVER:
+                    return False
+        return True
+
     @cached_property
     def tree(self) -> tuple[dict[int, int], list[tuple[int, bool]]]:
         """All tokens as a tree of bytes: children by ``place << 8 | byte``, and for each place the
