@@ -36,7 +36,7 @@ from citeloom.llm.pieces import Memo
 from citeloom.llm.session import importable, in_worker
 
 # Words remembered by one Python worker.
-WORDS_KEPT = 500_000
+WORDS_KEPT = 1_000_000
 WINDOW = 8
 SHORTEST = 5
 # Words in a window that must not be placeholders, at least.
@@ -75,6 +75,12 @@ def _core(word: str) -> str:
 
 def _word(word: str) -> int:
     """Hash and flags of one written word, apart from what stands around it."""
+    if word.isalpha():  # nothing to strip and no digits
+        lower = word.lower()
+        flags = _UNIT_WORD if lower in UNITS else 0
+        if lower != word and word[:1].isupper() and word[1:].islower():
+            flags |= _CAPITAL
+        return _hash(lower) | flags
     core = _core(word)
     flags = _STOP if word[-1] in ".!?:" or word[-1] in "\"')]»”" and word[-2:-1] in (".", "!", "?") else 0
     lower = core.lower()
@@ -107,10 +113,11 @@ class Templates:
 
     def __init__(self) -> None:
         self.words = Memo(_word, kept=WORDS_KEPT)
-        self.shapes = Memo(lambda w: _hash(_shape(_core(w).lower())), kept=WORDS_KEPT)
+        self.shapes = Memo(lambda w: _hash(_shape(_core(w).lower())), kept=WORDS_KEPT // 8)
         self.name, self.unit = np.uint64(_hash("<name>")), np.uint64(_hash("<u>"))
         self.number, self.amount = np.uint64(_hash("<n>")), np.uint64(_hash("<n><u>"))
 
+
     def words_of(self, text: str) -> list[str]:
         return text.split()
 
