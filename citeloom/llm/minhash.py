@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.llm.pieces import Memo
-from citeloom.llm.session import importable, in_worker
+from citeloom.llm.session import addressed, importable, in_worker
 from citeloom.operators.components import components
 from citeloom.scratch import Scratch
 
@@ -493,16 +493,12 @@ def classes(docs: DataFrame, scratch: Scratch, *, similar: float = SIMILAR) -> D
 def keep_one(docs: DataFrame, scratch: Scratch, *, similar: float = SIMILAR) -> DataFrame:
     """One document of each class, with all its columns: of those with the smallest id, one."""
     found = scratch.keep(near_duplicates(docs, scratch, similar=similar), "classes")
-    ids = docs.select("doc_id", text_key().alias("key"))
-    smallest = ids.groupBy("key").agg(F.min("doc_id").alias("first"))
-    # Ids before none, then by text.
-    order = F.struct(F.col("first").isNull().alias("none"), "first", "key")
-    chosen = found.join(smallest, "key").groupBy("class_key").agg(F.min(order).alias("one"))
-    chosen = chosen.select(F.col("one.key").alias("_one_key"), F.col("one.first").alias("_one_id"))
-    keyed = docs.withColumn("_text_key", text_key())
-    kept = keyed.join(
-        chosen,
-        (keyed["_text_key"] == chosen["_one_key"]) & keyed["doc_id"].eqNullSafe(chosen["_one_id"]),
-        "left_semi",
-    )
-    return kept.dropDuplicates(["_text_key", "doc_id"]).drop("_text_key")
+    placed, file, row = addressed(docs, scratch)
+    # Ids before none, then by text; of repeated rows the first in its place. Everything but the
+    # last join is on digests and places, and that join is on places: no text is a hot key there.
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", text_key().alias("key"), file, row)
+    first = placed.select(order.alias("one")).groupBy("one.key").agg(F.min("one").alias("one"))
+    chosen = (
+        found.join(first, "key").groupBy("class_key").agg(F.min("one").alias("one"))
+    ).select(F.col(f"one.{file}").alias(file), F.col(f"one.{row}").alias(row))
+    return placed.join(chosen, [file, row], "left_semi").select(*docs.columns)

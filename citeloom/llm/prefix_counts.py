@@ -17,6 +17,7 @@ they come; an empty table gives an empty table; other columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from array import array
 from collections.abc import Iterator, Sequence
 from itertools import accumulate
@@ -211,3 +212,71 @@ def prefix_counts(
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), *columns], names=names)
 
     return id_and_text(docs).mapInArrow(run, schema)
+
+
+# -- counts kept as a table ---------------------------------------------------------------
+
+STORED = "doc_id long, n_bytes long, n_tokens long, steps binary"
+
+
+def pack(counts: np.ndarray) -> bytes:
+    """Counts as their differences, in the narrowest integers that hold them, compressed."""
+    steps = np.diff(counts.astype(np.int64), prepend=0)
+    most = int(np.abs(steps).max(initial=0))
+    width = 1 if most < 1 << 7 else 2 if most < 1 << 15 else 8
+    return bytes([width]) + zlib.compress(steps.astype(f"<i{width}").tobytes(), 1)
+
+
+def unpack(steps: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(steps[1:]), f"<i{steps[0]}").astype(np.int64))
+
+
+def store_counts(docs: DataFrame, vocabulary_path: str, pattern: str, path: str) -> None:
+    """Write the count of every prefix of every text, for :func:`answers` to read."""
+    counted = prefix_counts(docs, vocabulary_path, pattern, budgets=(), keep_counts=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = batch.column("counts")
+            offsets, values = counts.offsets.to_numpy(), counts.values.to_numpy()
+            steps = [pack(values[a:b]) for a, b in zip(offsets, offsets[1:])]
+            columns = [batch.column(c) for c in ("doc_id", "n_bytes", "n_tokens")]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(steps, pa.binary())], names=["doc_id", "n_bytes", "n_tokens", "steps"]
+            )
+
+    counted.mapInArrow(run, STORED).write.mode("overwrite").parquet(path)
+
+
+def answers(
+    stored: DataFrame, *, budgets: Sequence[int] = (), cuts: Sequence[int] = ()
+) -> DataFrame:
+    """Answer any question of stored counts without a text or a tokenizer.
+
+    Adds ``fits_<budget>``, the code points of the longest prefix of at most so many tokens, and
+    ``tokens_<cut>``, the tokens of the first so many code points (of the whole text, if shorter).
+    """
+    names = [*[f"fits_{b}" for b in budgets], *[f"tokens_{c}" for c in cuts]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[list[int]] = [[] for _ in names]
+            for steps in batch.column("steps"):
+                counts = unpack(steps.as_py())
+                for column, budget in zip(rows, budgets):
+                    fitting = np.flatnonzero(counts <= budget)
+                    column.append(int(fitting[-1]) + 1 if len(fitting) else 0)
+                for column, cut in zip(rows[len(budgets) :], cuts):
+                    at = min(cut, len(counts))
+                    column.append(int(counts[at - 1]) if at > 0 else 0)
+            columns = [batch.column(c) for c in ("doc_id", "n_bytes", "n_tokens")]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, *[pa.array(r, pa.int64()) for r in rows]],
+                names=["doc_id", "n_bytes", "n_tokens", *names],
+            )
+
+    importable(stored.sparkSession)
+    added = "".join(f", {name} long" for name in names)
+    return stored.select("doc_id", "n_bytes", "n_tokens", "steps").mapInArrow(
+        run, "doc_id long, n_bytes long, n_tokens long" + added
+    )

@@ -6,6 +6,7 @@ import os
 import re
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +47,27 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the DataFrame does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def addressed(df: DataFrame, scratch: Scratch) -> tuple[DataFrame, str, str]:
+    """The DataFrame with each row's file and number there, and these columns' names.
+
+    A table is addressed where it lies; anything else is written first.
+    """
+    file, row = unused(df, "_file"), unused(df, "_row")
+    place = [F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row)]
+    try:
+        return df.select("*", *place), file, row
+    except AnalysisException:
+        return scratch.keep(df, "addressed").select("*", *place), file, row
+
+
 def file_bytes(path: str) -> bytes:
     """A vocabulary file, read by the driver; its size is fixed, so it may be broadcast."""
     with open(path, "rb") as handle:

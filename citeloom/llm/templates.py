@@ -33,7 +33,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.llm.pieces import Memo
-from citeloom.llm.session import importable, in_worker
+from citeloom.llm.session import importable, in_worker, unused
+from citeloom.operators.lookup import BROADCAST_KEYS, hot_keys, lookup
+from citeloom.scratch import Scratch
 
 # Words remembered by one Python worker.
 WORDS_KEPT = 1_000_000
@@ -117,7 +119,6 @@ class Templates:
         self.name, self.unit = np.uint64(_hash("<name>")), np.uint64(_hash("<u>"))
         self.number, self.amount = np.uint64(_hash("<n>")), np.uint64(_hash("<n><u>"))
 
-
     def words_of(self, text: str) -> list[str]:
         return text.split()
 
@@ -400,8 +401,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, share: float = SHARE)
     return ids.join(matches(docs, benchmark, share=share), "key").drop("key")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, *, share: float = SHARE) -> DataFrame:
-    """The documents, with all their columns, that no item contaminates."""
-    bad = matches(docs, benchmark, share=share).select(F.col("key").alias("_template_key")).distinct()
-    keyed = docs.withColumn("_template_key", text_key())
-    return keyed.join(bad, "_template_key", "left_anti").drop("_template_key")
+def decontaminate(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    scratch: Scratch | None = None,
+    *,
+    share: float = SHARE,
+) -> DataFrame:
+    """The documents, with all their columns, that no item contaminates.
+
+    The keys of contaminated texts are counted and broadcast if they are few; no document is then
+    shuffled. Beyond that documents are joined by key, a text that fills the table over many tasks.
+    """
+    scratch = scratch or Scratch(docs.sparkSession, "templates")
+    key = unused(docs, "_template_key")
+    bad = scratch.keep(
+        matches(docs, benchmark, share=share).select(F.col("key").alias(key)).distinct(), "bad"
+    )
+    keyed = docs.withColumn(key, text_key())
+    if bad.count() <= BROADCAST_KEYS:
+        return keyed.join(F.broadcast(bad), key, "left_anti").drop(key)
+    hot = hot_keys(keyed.select(key), key)
+    return lookup(keyed, bad, key, how="left_anti", hot=hot, null_keys=False).drop(key)

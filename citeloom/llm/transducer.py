@@ -242,15 +242,20 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     return id_and_text(docs).mapInArrow(run, ENCODED)
 
 
-def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """Digests of each text's ids and of what they decode to, and whether that is the text."""
+def round_trip(
+    docs: DataFrame, ranks_path: str, pattern: str, *, keep: bool = False
+) -> DataFrame:
+    """Digests of each text's ids and of what they decode to, and whether that is the text.
+
+    ``keep`` adds the ids (unsigned 32-bit integers, least byte first) and the text itself.
+    """
     importable(docs.sparkSession)
     data = docs.sparkSession.sparkContext.broadcast(file_bytes(ranks_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(data, pattern)
         for batch in batches:
-            n_tokens, id_digests, text_digests, same = [], [], [], []
+            n_tokens, id_digests, text_digests, same, kept = [], [], [], [], []
             for text in batch.column("text"):
                 text = text.as_py()
                 ids = codec.encode(text)
@@ -262,15 +267,19 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 id_digests.append(hashlib.sha256(ids).hexdigest())
                 text_digests.append(digest.hexdigest())
                 same.append("".join(characters) == text)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id").cast(pa.int64()),
-                    pa.array(n_tokens, pa.int64()),
-                    pa.array(id_digests, pa.string()),
-                    pa.array(text_digests, pa.string()),
-                    pa.array(same, pa.bool_()),
-                ],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "same_text"],
-            )
-
-    return id_and_text(docs).mapInArrow(run, ROUND_TRIP)
+                if keep:
+                    kept.append(ids)
+            columns = [
+                batch.column("doc_id").cast(pa.int64()),
+                pa.array(n_tokens, pa.int64()),
+                pa.array(id_digests, pa.string()),
+                pa.array(text_digests, pa.string()),
+                pa.array(same, pa.bool_()),
+            ]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "same_text"]
+            if keep:
+                columns += [pa.array(kept, pa.binary()), batch.column("text").cast(pa.string())]
+                names += ["ids", "text"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return id_and_text(docs).mapInArrow(run, ROUND_TRIP + ", ids binary, text string" * keep)

@@ -147,3 +147,11 @@ def test_one_of_each_class_stays(odd, none, spark, scratch):
     assert ids == sorted([1, 3, 4, 7, 8, 9, 10, 11, None], key=repr)
     assert minhash.keep_one(none, Scratch(spark, "none")).collect() == []
     assert CLASHES[1] in kept.columns
+
+
+def test_columns_of_any_name_are_kept(odd, scratch, tmp_path, spark):
+    odd.withColumnsRenamed({"key": "_file", "part": "_row", "size": "one"}).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    kept = minhash.keep_one(docs, scratch)
+    assert kept.columns == docs.columns and {r["_file"] for r in kept.collect()} == {"x"}
+    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted([1, 3, 4, 7, 8, 9, 10, 11, None], key=repr)

@@ -14,7 +14,7 @@ def test_stages_in_order():
         "quality rules", "minhash near-dedup", "benchmark decontamination", "pii", "byte-level bpe"
     ]
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
 
 
 def test_every_stage_decides_on_what_was_kept(spark, scratch):
@@ -41,6 +41,8 @@ def test_every_stage_decides_on_what_was_kept(spark, scratch):
 
     encoded = stages[4](spark, masked, SF).collect()
     assert sorted(r["doc_id"] for r in encoded) == ids(masked) and all(r["same_text"] for r in encoded)
+    texts = {r["doc_id"]: r["text"] for r in masked.collect()}
+    assert all(r["text"] == texts[r["doc_id"]] and len(r["ids"]) == 4 * r["n_tokens"] for r in encoded)
     whole = corpus_pipeline.run(spark, SF).collect()
     assert sorted(map(tuple, whole)) == sorted(map(tuple, encoded))
 

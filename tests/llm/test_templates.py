@@ -126,3 +126,16 @@ def test_types(text, kinds):
     found = made.canonical(words)[1]
     assert len(found) == len(re.findall(r"\S+", text))
     assert "".join(map(str, found)) == kinds.ljust(len(found), "0")[: len(found)]
+
+
+def test_many_contaminated_texts_are_joined_by_key(spark, scratch, monkeypatch):
+    words = [prose(i, 30) for i in range(6)]
+    docs = frame(spark, [(i, words[i % 6] + " and more") for i in range(60)] + [(99, None), (100, prose(99, 40))])
+    docs = docs.withColumnRenamed("key", "_template_key")
+    benchmark = spark.createDataFrame([(i, w) for i, w in enumerate(words[:3])], "item_id long, text string")
+    few = templates.decontaminate(docs, benchmark, scratch)
+    monkeypatch.setattr(templates, "BROADCAST_KEYS", 0)
+    many = templates.decontaminate(docs, benchmark)
+    want = sorted([i for i in range(60) if i % 6 > 2] + [99, 100])
+    assert sorted(r["doc_id"] for r in few.collect()) == sorted(r["doc_id"] for r in many.collect()) == want
+    assert few.columns == many.columns == docs.columns

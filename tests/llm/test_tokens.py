@@ -13,6 +13,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from citeloom.llm import prefix_counts, records, transducer
+from citeloom.llm.pieces import Memo
 from citeloom.llm.vocab import Vocabulary
 from tests.llm.conftest import ODD_ROWS
 
@@ -175,3 +176,35 @@ def test_records_read_in_any_order(odd, scratch):
     assert sorted(map(tuple, got)) == sorted(
         map(tuple, some.select("doc_id", "n_tokens").collect())
     )
+
+
+def test_stored_counts_answer_any_budget(odd, none, spark, tmp_path):
+    path = str(tmp_path / "counts")
+    prefix_counts.store_counts(odd, JSON, PATTERN, path)
+    got = prefix_counts.answers(spark.read.parquet(path), budgets=(0, 3, 50, 10**6), cuts=(0, 1, 40, 10**6)).collect()
+    counted = prefix_counts.prefix_counts(odd, JSON, PATTERN, budgets=(0, 3, 50, 10**6), keep_counts=True).collect()
+    assert len(got) == len(counted)
+
+    def wanted(r):
+        at = lambda n: r["counts"][min(n, len(r["counts"])) - 1] if n and r["counts"] else 0
+        fits = [r[f"fits_{b}"] for b in (0, 3, 50, 10**6)]
+        return (r["doc_id"], r["n_bytes"], r["n_tokens"], *fits, *map(at, (0, 1, 40, 10**6)))
+
+    assert sorted(map(tuple, got), key=repr) == sorted(map(wanted, counted), key=repr)
+    prefix_counts.store_counts(none, JSON, PATTERN, path)
+    assert prefix_counts.answers(spark.read.parquet(path), budgets=(5,)).collect() == []
+
+
+@pytest.mark.parametrize("counts", [[], [1], [1, 2, 1, 200, 3], [1, 2, 90_000, 4], [0, 2**40]])
+def test_packed_counts(counts):
+    assert prefix_counts.unpack(prefix_counts.pack(np.array(counts, np.int64))).tolist() == counts
+
+
+def test_frequent_words_outlive_two_generations():
+    made = []
+    memo = Memo(lambda w: made.append(w) or w, kept=8)
+    for i in range(100):
+        assert memo["often"] == "often" and memo[f"once {i}"]
+        assert len(memo) + len(memo.old) <= 8
+    assert made.count("often") == 1
+    assert memo["x" * 1_000] and "x" * 1_000 not in memo
