@@ -33,6 +33,7 @@ from citeloom.llm.vocab import Vocabulary
 TRANSITIONS_KEPT = 400_000
 # Words and pieces remembered by one Python worker.
 WORDS_KEPT = 600_000
+KEPT = (WORDS_KEPT, TRANSITIONS_KEPT)
 # No token.
 NONE = -1
 # Ids decoded at a time.
@@ -167,10 +168,11 @@ class Utf8Stream:
 class Codec:
     """Whole texts to ids and back."""
 
-    def __init__(self, vocab: Vocabulary, pattern: str):
+    def __init__(self, vocab: Vocabulary, pattern: str, kept: tuple[int, int] = KEPT):
+        words_kept, transitions_kept = kept
         self.vocab = vocab
         self.pieces = Pieces(pattern)
-        machine = Transducer(vocab)
+        machine = Transducer(vocab, transitions_kept)
         findall = self.pieces.pattern.findall
 
         def ids(piece: str) -> bytes:
@@ -187,10 +189,10 @@ class Codec:
             # A piece that begins with a space is itself a word after a space.
             return known[piece[1:]] if piece[0] == " " and len(piece) > 1 else bare[piece]
 
-        known, bare = Memo(spaced, WORDS_KEPT), Memo(ids, WORDS_KEPT // 8)
+        known, bare = Memo(spaced, words_kept), Memo(ids, words_kept // 8)
         self._spaced = known
         self._whole = lambda text: b"".join(map(part, findall(text)))
-        self._first = Memo(self._whole, WORDS_KEPT // 8)
+        self._first = Memo(self._whole, words_kept // 8)
 
     def encode(self, text: str) -> bytes:
         """Ids as unsigned 32-bit integers, least byte first."""
@@ -211,11 +213,11 @@ class Codec:
         stream.close()
 
 
-def _codec(data: Broadcast, pattern: str) -> Codec:
+def _codec(data: Broadcast, pattern: str, kept: tuple[int, int] = KEPT) -> Codec:
     def make() -> Codec:
-        return Codec(Vocabulary.from_ranks(data.value), pattern)
+        return Codec(Vocabulary.from_ranks(data.value), pattern, kept)
 
-    return in_worker("codec", hash(data.value), pattern, make=make)
+    return in_worker("codec", hash(data.value), pattern, kept, make=make)
 
 
 ENCODED = "doc_id long, text string, ids binary"
@@ -243,19 +245,26 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
 
 def round_trip(
-    docs: DataFrame, ranks_path: str, pattern: str, *, keep: bool = False
+    docs: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    *,
+    keep: bool = False,
+    kept: tuple[int, int] = KEPT,
 ) -> DataFrame:
     """Digests of each text's ids and of what they decode to, and whether that is the text.
 
     ``keep`` adds the ids (unsigned 32-bit integers, least byte first) and the text itself.
+    ``kept`` bounds the words and transitions that a worker remembers, which a worker that has to
+    leave room for other operators may lower; results do not depend on it.
     """
     importable(docs.sparkSession)
     data = docs.sparkSession.sparkContext.broadcast(file_bytes(ranks_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(data, pattern)
+        codec = _codec(data, pattern, kept)
         for batch in batches:
-            n_tokens, id_digests, text_digests, same, kept = [], [], [], [], []
+            n_tokens, id_digests, text_digests, same, all_ids = [], [], [], [], []
             for text in batch.column("text"):
                 text = text.as_py()
                 ids = codec.encode(text)
@@ -268,7 +277,7 @@ def round_trip(
                 text_digests.append(digest.hexdigest())
                 same.append("".join(characters) == text)
                 if keep:
-                    kept.append(ids)
+                    all_ids.append(ids)
             columns = [
                 batch.column("doc_id").cast(pa.int64()),
                 pa.array(n_tokens, pa.int64()),
@@ -278,7 +287,7 @@ def round_trip(
             ]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "same_text"]
             if keep:
-                columns += [pa.array(kept, pa.binary()), batch.column("text").cast(pa.string())]
+                columns += [pa.array(all_ids, pa.binary()), batch.column("text").cast(pa.string())]
                 names += ["ids", "text"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 

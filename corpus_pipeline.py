@@ -15,6 +15,11 @@ from citeloom.llm import minhash, pii, quality, templates, transducer
 from citeloom.scratch import Scratch
 
 
+# Words and transitions remembered by a worker of the last stage. A worker keeps its tables while it
+# waits, so they stand beside the heap that other stages need.
+TABLES = (200_000, 200_000)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor the outlier test rejects."""
     # The operator's own columns follow the document's, so they are told apart by place.
@@ -51,6 +56,7 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         public_tokenizers.path("byte_bpe_50k.tiktoken"),
         public_tokenizers.PATTERN,
         keep=True,
+        kept=TABLES,
     )
 
 
