@@ -28,7 +28,7 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-from citeloom.llm.pieces import Memo, Pieces
+from citeloom.llm.pieces import WORDS_KEPT, Memo, Pieces
 from citeloom.llm.session import file_bytes, id_and_text, importable, in_worker
 from citeloom.llm.vocab import Vocabulary
 
@@ -47,23 +47,30 @@ class PrefixCounter:
         self.pieces = Pieces(pattern, vocab.special)
         self._run = regex.compile(r"\s+")
         self._table = Memo(self._piece)
-        self._first = Memo(self._word)
+        self._first = Memo(self._word, WORDS_KEPT // 4)
         self._spaced = Memo(lambda word: self._word(" " + word))
 
     def last_tokens(self, piece: bytes) -> tuple[list[int], list[int]]:
         """For each length, the last token and the number of tokens of that beginning."""
         children, ends_at = self.vocab.tree
+        child, verdict = children.get, self.vocab.verdicts.get
         neighbours, size = self.vocab.neighbours, len(piece)
         last, count = [-1] * (size + 1), [0] * (size + 1)
         for start in range(size):
             before, n, place = last[start], count[start] + 1, 0
             for end in range(start + 1, size + 1):
-                place = children.get(place << 8 | piece[end - 1])
+                place = child(place << 8 | piece[end - 1])
                 if place is None:
                     break
                 token = ends_at[place][0]
-                if token >= 0 and last[end] < 0 and (not start or neighbours(before, token)):
-                    last[end], count[end] = token, n
+                if token >= 0 and last[end] < 0:
+                    fits = True
+                    if start:
+                        fits = verdict(before << 20 | token)
+                        if fits is None:
+                            fits = neighbours(before, token)
+                    if fits:
+                        last[end], count[end] = token, n
         return last, count
 
     def _piece(self, piece: str) -> array:
@@ -79,8 +86,11 @@ class PrefixCounter:
 
     def _word(self, text: str) -> bytes:
         """Counts after each code point of text whose only white space may be a leading space."""
+        pieces = self.pieces.pattern.findall(text)
+        if len(pieces) == 1:  # remembered as a word, not once more as a piece
+            return array("H", self._piece(pieces[0])).tobytes()
         out, before = array("H"), 0
-        for piece in self.pieces.pattern.findall(text):
+        for piece in pieces:
             counts = self._table[piece]
             out.extend([before + n for n in counts])
             before += counts[-1]
