@@ -440,14 +440,16 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, *, similar: float = SIMIL
     blocks = max(1, -(-size // BLOCK_BYTES))
     bits = (blocks - 1).bit_length()
     # Copies in one task combine before they are sent, so a text that fills the table is no load.
-    distinct = keyed.groupBy("key").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
     texts = scratch.keep(
-        distinct.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int")),
+        keyed.groupBy("key")
+        .agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+        .withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int")),
         "texts",
         compression="zstd",
     )
-    release(spark)
     n_texts = texts.count()
+    # The shuffled texts are held by the last finished job until another one has run.
+    release(spark)
     back = scratch.keep(_count(_send(texts, bits)), "shared")
     release(spark)
     vectors = scratch.keep(
