@@ -340,7 +340,7 @@ def judge(
 ) -> DataFrame:
     """The given columns of all documents, the base statistics, ``base_failed``, ``kept`` and the
     squared ``distance`` (null where no estimate applies)."""
-    scored = scratch.keep(statistics(docs, columns), "statistics")
+    scored = scratch.keep(statistics(docs, columns), "statistics", compression="zstd")
     passing = scored.where(~F.col("base_failed"))
     groups = scratch.keep(_groups(passing.select("_g0", "_g1"), group_size), "groups")
     vectors = scratch.keep(passing.join(groups, "_g0").select("_g", *X), "vectors")
