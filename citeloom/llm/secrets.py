@@ -31,6 +31,8 @@ from citeloom.scratch import Scratch
 # Strings that a stretch of a regex may stand for, at most, before it is put to use.
 MOST_STRINGS = 64
 SPANS = "array<struct<start:int,number:int,end:int>>"
+# Matches of a text whose places are counted in one go.
+RUN = 256
 
 
 @dataclass(frozen=True)
@@ -196,28 +198,47 @@ def _found(rule: Rule, number: int) -> Column:
     gaps = F.split("text", rule.pattern, -1)
     # The last gap follows the last match and is dropped by the shorter arrays.
     rows = F.arrays_zip(whole.alias("whole"), part.alias("part"), gaps.alias("gap"))
+    # One element, so that the lambda's variable holds the matches and they are searched once.
+    return F.flatten(F.transform(F.array(rows), lambda own: _spans(own, rule, number)))
+
+
+def _spans(rows: Column, rule: Rule, number: int) -> Column:
+    """Spans from matches and the gaps before them.
+
+    An appended array is copied, so spans are appended within runs of matches, counted from the
+    run's own start, and runs are moved to their places after.
+    """
     empty = F.array().cast(SPANS)
-    walked = F.aggregate(
-        rows,
-        F.struct(F.lit(0).alias("at"), empty.alias("spans")),
-        lambda seen, row: F.struct(
-            (seen["at"] + F.length(row["gap"]) + F.coalesce(F.length(row["whole"]), F.lit(0))).alias("at"),
-            F.when(
-                row["whole"].isNotNull() & (F.length(row["part"]) >= rule.least),
-                F.concat(
-                    seen["spans"],
-                    F.array(
-                        F.struct(
-                            (seen["at"] + F.length(row["gap"])).alias("start"),
-                            F.lit(number).alias("number"),
-                            (seen["at"] + F.length(row["gap"]) + F.length(row["whole"])).alias("end"),
-                        )
-                    ),
-                ),
-            ).otherwise(seen["spans"]).alias("spans"),
+
+    def step(seen: Column, row: Column) -> Column:
+        start = seen["at"] + F.length(row["gap"])
+        end = start + F.coalesce(F.length(row["whole"]), F.lit(0))
+        span = F.struct(start.alias("start"), F.lit(number).alias("number"), end.alias("end"))
+        counts = row["whole"].isNotNull() & (F.length(row["part"]) >= rule.least)
+        spans = F.when(counts, F.concat(seen["spans"], F.array(span))).otherwise(seen["spans"])
+        return F.struct(end.alias("at"), spans.alias("spans"))
+
+    def move(seen: Column, run: Column) -> Column:
+        moved = F.transform(
+            run["spans"],
+            lambda s: F.struct(
+                (s["start"] + seen["at"]).alias("start"), s["number"].alias("number"), (s["end"] + seen["at"]).alias("end")
+            ),
+        )
+        return F.struct(
+            (seen["at"] + run["at"]).alias("at"), F.concat(seen["runs"], F.array(moved)).alias("runs")
+        )
+
+    last = F.greatest(F.size(rows) - 1, F.lit(0))
+    runs = F.transform(
+        F.sequence(F.lit(0), last, F.lit(RUN)),
+        lambda at: F.aggregate(
+            F.slice(rows, at + 1, RUN), F.struct(F.lit(0).alias("at"), empty.alias("spans")), step
         ),
     )
-    return walked["spans"]
+    no_runs = F.array().cast(f"array<{SPANS}>")
+    placed = F.aggregate(runs, F.struct(F.lit(0).alias("at"), no_runs.alias("runs")), move)
+    return F.flatten(placed["runs"])
 
 
 def _full_scan(rule: Rule, number: int) -> Column:

@@ -55,6 +55,18 @@ def test_spans(spark, scratch):
         assert got[i] == brute(text), repr(text)
 
 
+def test_spans_of_very_many_matches(spark, scratch):
+    """Also one match fewer and more than whole runs of them hold."""
+    rng = random.Random(6)
+    texts = [
+        "é" + " ".join("".join(rng.choices("0123456789abcdef", k=rng.choice([5, 31, 32, 40]))) for _ in range(n))
+        for n in (secrets.RUN - 1, secrets.RUN, secrets.RUN + 1, 2 * secrets.RUN, 20_000)
+    ]
+    got = {r["doc_id"]: r["spans"] for r in secrets.scan(frame(spark, list(enumerate(texts))), scratch).collect()}
+    for i, text in enumerate(texts):
+        assert [tuple(s) for s in got[i]] == brute(text)
+
+
 def test_report_of_odd_documents(odd, none, scratch):
     rows = secrets.report(odd, scratch).collect()
     want = []
