@@ -54,6 +54,23 @@ def test_the_rule_does_not_depend_on_size(spark):
         assert _hash(spark, values) == hashlib.sha256(text.encode()).hexdigest()[:16]
 
 
+def test_tree_hash_is_that_of_the_distinct_values_and_their_counts(spark):
+    from hashlib import sha256
+
+    values = [str(i) for i in range(3_000)] + ["7"] * 500
+    entries, branches = {}, {}
+    for value in set(values):
+        sha = sha256(value.encode()).hexdigest()
+        entries.setdefault(int(sha[:5], 16), []).append(f"{sha}:{values.count(value)}")
+    for leaf, found in entries.items():
+        digest = sha256("\n".join(sorted(found)).encode()).hexdigest()
+        branches.setdefault(leaf // 1024, []).append(f"{leaf:07d}:{digest}")
+    top = [f"{k:07d}:" + sha256("\n".join(sorted(v)).encode()).hexdigest() for k, v in branches.items()]
+    want = sha256("\n".join(sorted(top)).encode()).hexdigest()[:16]
+    assert _hash(spark, values, mode="tree") == _hash(spark, values[::-1], mode="tree") == want
+    assert want != _hash(spark, values[:-1], mode="tree")
+
+
 def test_file_hash_keeps_order(spark, tmp_path, monkeypatch):
     def write(name, text):
         (tmp_path / name).write_bytes(text.encode())
