@@ -1,9 +1,12 @@
 """Connected components of an identifier graph.
 
-Each vertex keeps its smallest neighbour as parent. A round moves every other edge from the
-vertex to that parent and lets every vertex skip to its grandparent, in the manner of the
-alternating large-star / small-star method (Kiveris et al., SoCC 2014). Edges only ever move to
-smaller labels, so the loop ends, and it ends in stars whose centre is the smallest label.
+Randomised contraction (Bögeholz, Brand and Todor, ICDE 2020): a round orders all vertices at
+random, moves each to the first among itself and its neighbours, and goes on with the edges between
+the vertices that are left. With a new order their number falls by a quarter at least in
+expectation, whatever the graph's shape and labels, so all rounds together cost a few times the
+first. An order serves two rounds: the first moves a hub to its first leaf, the second all others
+there. Going back through the rounds gives every vertex its component, which is then named by its
+smallest label.
 
 Keys are numbered once, in their order, so the loop runs on pairs of integers: its aggregates keep
 fixed-width buffers in hash tables, its shuffles carry sixteen bytes an edge, and the smallest
@@ -12,10 +15,12 @@ number of a component is that of its smallest key. Keys are joined back once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import random
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.operators.lookup import ROWS_PER_TASK, hot_bound, hot_keys, lookup
+from citeloom.operators.lookup import BROADCAST_KEYS, ROWS_PER_TASK, hot_bound, hot_keys, lookup
 from citeloom.operators.ordering import dense_index
 from citeloom.scratch import Scratch
 
@@ -26,6 +31,36 @@ def star_edges(keys: str = "keys") -> list:
     return [F.col(keys)[0].alias("src"), F.explode(rest).alias("dst")]
 
 
+# Fixed value: the lower half of a long.
+_HALF = (1 << 32) - 1
+
+
+def _keys(step: int) -> list[int]:
+    """Multipliers of a round and the next, below 31 bits so that no product leaves a long."""
+    draw = random.Random(step // 2)
+    return [draw.getrandbits(30) | 1 << 29 | 1 for _ in range(3)]
+
+
+def _stirred(half: Column, key: int) -> Column:
+    return F.shiftrightunsigned(half * F.lit(key), 17).bitwiseAND(F.lit(_HALF))
+
+
+def _mixed(number: Column, step: int) -> Column:
+    """A long for a long, one to one (a Feistel network), in an order that differs every other round."""
+    left, right = F.shiftrightunsigned(number, 32), number.bitwiseAND(F.lit(_HALF))
+    for key in _keys(step):
+        left, right = right, left.bitwiseXOR(_stirred(right, key))
+    return F.shiftleft(left, 32).bitwiseOR(right)
+
+
+def _unmixed(mixed: Column, step: int) -> Column:
+    """The long that :func:`_mixed` made this one of."""
+    left, right = F.shiftrightunsigned(mixed, 32), mixed.bitwiseAND(F.lit(_HALF))
+    for key in reversed(_keys(step)):
+        left, right = right.bitwiseXOR(_stirred(left, key)), left
+    return F.shiftleft(left, 32).bitwiseOR(right)
+
+
 def parents(
     edges: DataFrame, scratch: Scratch | None = None, *, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
@@ -36,85 +71,73 @@ def parents(
     shared identifier, so a hub costs its number of edges and no more.
     """
     scratch = scratch or Scratch(edges.sparkSession, "components")
-    graph = edges.select(
-        F.greatest("src", "dst").alias("id"), F.least("src", "dst").alias("low")
-    ).where(F.col("id") != F.col("low"))
+    graph = edges.select(F.col("src").cast("bigint"), F.col("dst").cast("bigint")).where("src <> dst")
 
-    step = 0
+    step, sizes = 0, []
     while True:
-        # One row per vertex: its parent, and whether it has more than one smaller neighbour.
-        tree = scratch.keep(
-            graph.groupBy("id").agg(
-                F.min("low").alias("component"),
-                (F.min("low") != F.max("low")).alias("split"),
-                F.count("low").alias("n"),
-            ),
-            f"tree-{step}",
+        # One row per vertex that has an edge: where it moves, and its number of edges.
+        ends = F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))
+        both = graph.select(F.inline(ends).alias("id", "other"))
+        first = both.select("id", _mixed(F.col("other"), step).alias("order")).groupBy("id").agg(
+            F.min("order").alias("order"), F.count("order").alias("n")
+        )
+        first = first.select(
+            "id", F.least("order", _mixed(F.col("id"), step)).alias("order"), "n"
         )
-        size = tree.agg(
-            F.max("split").alias("split"),
+        moves = scratch.keep(
+            first.select("id", _unmixed(F.col("order"), step).alias("component"), "n"), f"moves-{step}"
+        )
+        size = moves.agg(
             F.coalesce(F.max("n"), F.lit(0)).alias("most"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("edges"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("ends"),
             F.count(F.lit(1)).alias("vertices"),
         ).first()
-        raised = _raised(tree, size["vertices"], rows_per_task)
-        if not size["split"]:
-            return _shorten(scratch, tree, raised, step, rows_per_task)
-
-        moved = (
-            lookup(
-                graph.withColumnRenamed("low", "other"),
-                raised.where("split"),
-                "id",
-                how="inner",
-                hot=_hot_vertices(tree, size["most"], size["edges"], rows_per_task),
-                null_keys=False,
-            )
-            .where(F.col("other") != F.col("old"))
-            .select(F.col("other").alias("id"), "low")
-        )
-        graph = scratch.keep(
-            raised.select("id", "low").unionByName(moved).distinct(), f"edges-{step + 1}"
+        if not size["vertices"]:
+            break
+        sizes.append(size["vertices"])
+        hot = _hot_vertices(moves, size["most"], size["ends"], rows_per_task)
+        moved = graph
+        for end in ("src", "dst"):
+            to = moves.select(F.col("id").alias(end), F.col("component").alias(f"new_{end}"))
+            moved = lookup(moved, to, end, how="inner", hot=hot, null_keys=False).drop(end)
+        left = moved.where("new_src <> new_dst").select(
+            F.least("new_src", "new_dst").alias("src"), F.greatest("new_src", "new_dst").alias("dst")
         )
-        scratch.drop(f"edges-{step}", f"tree-{step}")
+        graph = scratch.keep(left.distinct(), f"edges-{step + 1}")
+        scratch.drop(f"edges-{step}")
         step += 1
 
+    scratch.drop(f"edges-{step}")
+    return _smallest(scratch, moves, sizes, rows_per_task)
 
-def _raised(tree: DataFrame, vertices: int, rows_per_task: int) -> DataFrame:
-    """``id, old, low``: each vertex with its parent and its grandparent (the parent if a root)."""
-    grand = tree.select(F.col("id").alias("component"), F.col("component").alias("grand"))
-    hot = hot_keys(tree, "component", total=vertices, rows_per_task=rows_per_task)
-    others = [c for c in tree.columns if c not in ("id", "component")]
-    return lookup(tree, grand, "component", hot=hot, null_keys=False).select(
-        "id",
-        F.col("component").alias("old"),
-        F.coalesce("grand", "component").alias("low"),
-        F.col("grand").isNotNull().alias("moved"),
-        *others,
-    )
 
-
-def _hot_vertices(tree: DataFrame, most: int, edges: int, rows_per_task: int) -> list[tuple[str, int]]:
+def _hot_vertices(moves: DataFrame, most: int, ends: int, rows_per_task: int) -> list[tuple[int, int]]:
     """Vertices with many edges, known from the counts just taken."""
     if most <= rows_per_task:
         return []
-    bound = hot_bound(edges, rows_per_task)
-    rows = tree.where(F.col("n") > bound).select("id", "n").collect()
+    bound = hot_bound(ends, rows_per_task)
+    rows = moves.where(F.col("n") > bound).select("id", "n").collect()
     return [(r["id"], -(-r["n"] // bound)) for r in rows]
 
 
-def _shorten(
-    scratch: Scratch, tree: DataFrame, raised: DataFrame, step: int, rows_per_task: int
+def _smallest(
+    scratch: Scratch, last: DataFrame, sizes: list[int], rows_per_task: int
 ) -> DataFrame:
-    """Only a forest is left: double the reach of every pointer until all end at a root."""
-    forest, hop, used = tree.select("id", "component"), 0, f"tree-{step}"
-    while not raised.where("moved").isEmpty():
-        name = f"forest-{step}-{hop}"
-        forest = scratch.keep(raised.select("id", F.col("low").alias("component")), name)
-        scratch.drop(used)
-        raised = _raised(forest, forest.count(), rows_per_task)
-        hop, used = hop + 1, name
-    return forest
+    """Back through the rounds: each vertex goes where the one that it moved to went."""
+    found = last.select("id", "component")
+    for step in range(len(sizes) - 1, -1, -1):
+        moves = scratch.table(f"moves-{step}").select("id", "component")
+        hot = hot_keys(moves, "component", total=sizes[step], rows_per_task=rows_per_task)
+        on = found.select(F.col("id").alias("component"), F.col("component").alias("further"))
+        joined = lookup(moves, on, "component", hot=hot, null_keys=False)
+        found = scratch.keep(
+            joined.select("id", F.coalesce("further", "component").alias("component")), f"found-{step}"
+        )
+        scratch.drop(f"found-{step + 1}", f"moves-{step}")
+    lowest = found.groupBy("component").agg(F.min("id").alias("lowest"))
+    hot = hot_keys(found, "component", total=max(sizes, default=0), rows_per_task=rows_per_task)
+    named = lookup(found, lowest, "component", how="inner", hot=hot, null_keys=False)
+    return named.where("id <> lowest").select("id", F.col("lowest").alias("component"))
 
 
 def numbered_edges(
@@ -153,12 +176,15 @@ def components(
     numbered = dense_index(vertices, ["id"], "number", scratch)
     total = edges.count()
     joined = numbered_edges(edges, numbered, total, scratch, rows_per_task)
-    found = parents(joined, scratch, rows_per_task=rows_per_task).withColumnRenamed("id", "number")
-    labelled = numbered.join(found, "number", "left").withColumn(
-        "component", F.coalesce("component", "number")
-    )
+    found = scratch.keep(parents(joined, scratch, rows_per_task=rows_per_task), "parents")
     names = numbered.select(F.col("number").alias("component"), F.col("id").alias("name"))
+    roots = found.select("component").distinct()
     # Each vertex with a parent has an edge, so no component has more than two per edge.
-    hot = hot_keys(found, "component", total=2 * total, rows_per_task=rows_per_task)
-    named = lookup(labelled, names, "component", how="inner", hot=hot, null_keys=False)
-    return named.select(*vertices.columns, F.col("name").alias("component"))
+    if roots.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        few = names.join(F.broadcast(roots), "component", "left_semi")
+        named = found.join(F.broadcast(few), "component")
+    else:
+        hot = hot_keys(found, "component", total=2 * total, rows_per_task=rows_per_task)
+        named = lookup(found, names, "component", how="inner", hot=hot, null_keys=False)
+    labelled = numbered.join(named.select(F.col("id").alias("number"), "name"), "number", "left")
+    return labelled.select(*vertices.columns, F.coalesce("name", "id").alias("component"))

@@ -18,6 +18,9 @@ ROWS_PER_TASK = 1_000_000
 # broadcasting the table of them is safe.
 MAX_HOT_KEYS = 100_000
 _NULL_SLOTS = 65_536
+# Groups of keys that are counted before single keys: this many, or, where the bound on a key is low,
+# so many that a group without a hot key seldom exceeds it.
+_KEY_GROUPS, _MOST_KEY_GROUPS = 4_096, 524_288
 # Key sets up to this many rows (a few MB) are broadcast to prune the table they are looked up in.
 BROADCAST_KEYS = 100_000
 
@@ -30,15 +33,26 @@ def hot_keys(
     """``(key, slots)`` for every key holding more rows than one task should handle.
 
     That is ``rows_per_task`` or, in tables so large that more keys than ``MAX_HOT_KEYS`` could
-    exceed it, that share of all rows. Counts are exact and combine map-side. With a total that no
-    key can exceed, nothing is run.
+    exceed it, that share of all rows. Counts are exact: groups of keys are counted first, which
+    shuffles a number a group and task, then the single keys of those groups that exceed the bound,
+    since no other can hold a hot key. With a total that no key can exceed, nothing is run.
     """
     if total is None:
         total = facts.where(F.col(key).isNotNull()).count()
     if total <= rows_per_task:
         return []
     bound = hot_bound(total, rows_per_task)
-    counted = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    groups = min(max(_KEY_GROUPS, 4 * total // bound), _MOST_KEY_GROUPS)
+    rows = facts.where(F.col(key).isNotNull()).select(
+        key, F.pmod(F.xxhash64(key), F.lit(groups)).alias("_group")
+    )
+    large = rows.groupBy("_group").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > bound)
+    found = [(r["_group"],) for r in large.select("_group").collect()]
+    if not found:
+        return []
+    held = F.broadcast(facts.sparkSession.createDataFrame(found, "_group bigint"))
+    suspects = rows.join(held, "_group", "left_semi")
+    counted = suspects.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     return [(r[key], -(-r["_n"] // bound)) for r in counted.where(F.col("_n") > bound).collect()]
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -34,24 +35,28 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str = "run"):
         self.spark = spark
         self.path = f"{checkpoint_root(spark)}/citeloom/{label}-{uuid.uuid4().hex}"
-        self._tables: set[str] = set()
+        self._tables: dict[str, StructType] = {}
 
     def keep(self, df: DataFrame, name: str, **options: str) -> DataFrame:
         """Write a DataFrame once, with the writer's options, and give it back as a table scan."""
         path = f"{self.path}/{name}"
         df.write.mode("overwrite").options(**options).parquet(path)
-        self._tables.add(name)
-        return self.spark.read.schema(df.schema).parquet(path)
+        self._tables[name] = df.schema
+        return self.table(name)
+
+    def table(self, name: str) -> DataFrame:
+        """A table written before, as a scan."""
+        return self.spark.read.schema(self._tables[name]).parquet(f"{self.path}/{name}")
 
     def drop(self, *names: str) -> None:
         """Remove tables nothing reads any more."""
-        for name in self._tables.intersection(names):
+        for name in set(self._tables).intersection(names):
             self._delete(f"{self.path}/{name}")
-            self._tables.remove(name)
+            del self._tables[name]
 
     def drop_since(self, before: set[str], keep: tuple[str, ...] = ()) -> None:
         """Remove the tables written since ``before`` (from :meth:`tables`), but for some."""
-        self.drop(*(self._tables - before - set(keep)))
+        self.drop(*(set(self._tables) - before - set(keep)))
 
     def tables(self) -> set[str]:
         return set(self._tables)

@@ -84,3 +84,23 @@ def test_rounds_aggregate_integers_in_hash_tables(spark, scratch):
     found = {r["id"]: r["component"] for r in parents(edges, scratch).collect()}
     assert found == {i: 0 for i in range(1, 51)}
     assert any("HashAggregate" in p for p in plans) and not any("SortAggregate" in p for p in plans)
+
+
+def test_rounds_on_a_path_shrink(spark, scratch):
+    """What all rounds write together is a few times the input, not a number of rounds times."""
+    labels = list(range(3_000))
+    random.Random(3).shuffle(labels)
+    edges = spark.createDataFrame(list(zip(labels, labels[1:])), "src long, dst long")
+    written = {}
+    keep = scratch.keep
+
+    def counted(df, name, **options):
+        kept = keep(df, name, **options)
+        written[name] = kept.count()
+        return kept
+
+    scratch.keep = counted
+    found = {r["id"]: r["component"] for r in parents(edges, scratch).collect()}
+    assert found == {i: 0 for i in range(1, 3_000)}
+    assert sum(n for name, n in written.items() if name.startswith("edges-")) < 2 * 3_000
+    assert sum(written.values()) < 8 * 3_000

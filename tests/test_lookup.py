@@ -62,3 +62,14 @@ def test_prune_keeps_wanted_rows_or_leaves_large_tables_alone(spark):
     keys = spark.createDataFrame([("hot",), (None,), ("hot",)], "key string")
     assert [tuple(r) for r in prune(table, keys, "key", 3).collect()] == [("hot", 2)]
     assert prune(table, keys, "key", 10**9) is table
+
+
+def test_hot_keys_count_single_keys_only_where_a_group_is_large(spark, monkeypatch):
+    from citeloom.operators import lookup as module
+
+    want = hot_keys(_facts(spark), "key", rows_per_task=1_000)
+    # So few groups that cold keys share one with the hot key.
+    monkeypatch.setattr(module, "_MOST_KEY_GROUPS", 2)
+    assert hot_keys(_facts(spark), "key", rows_per_task=1_000) == want == [("hot", 10)]
+    spread = spark.range(30_000).select(F.concat(F.lit("k"), F.col("id")).alias("key"))
+    assert hot_keys(spread, "key", rows_per_task=1_000) == []
