@@ -86,11 +86,15 @@ def conflict_values(
         F.count(F.lit(1)).alias("n"), F.min("value").alias("chosen")
     )
     disputed = counted.where(F.col("n") > 1).select(group.alias("group"), "chosen")
-    facts = members.select(group.alias("group"), "component", "kind", "value")
+    # The group names both kind and component; a kind has no space.
+    facts = members.select(group.alias("group"), "value")
     hot = hot_keys(facts, "group", total=total, rows_per_task=rows_per_task)
     listed = lookup(facts, disputed, "group", how="inner", hot=hot, null_keys=False)
     return listed.where(F.col("value") != F.col("chosen")).select(
-        "component", "kind", "value", "chosen"
+        F.expr("substring(group, locate(' ', group) + 1)").alias("component"),
+        F.substring_index("group", " ", 1).alias("kind"),
+        "value",
+        "chosen",
     )
 
 

@@ -243,23 +243,28 @@ def resolve(
     stages = lookup_stages(identifiers, crosswalks, scratch, rows_per_task=rows_per_task)
 
     no_position = F.lit(None).cast(stages.seeds.schema["pos"].dataType)
-    asserted = stages.seeds.select("kind", "value", F.lit(0).alias("stage"), "pos")
+    key = id_key(F.col("kind"), F.col("value"))
+    asserted = stages.seeds.select(key.alias("id"), F.lit(0).alias("stage"), "pos")
     all_edges = spark.createDataFrame([], "src string, dst string")
     for rank, links in enumerate(stages.links.values(), start=1):
         good = links.where(F.col("value").isNotNull())
         asserted = asserted.unionByName(
-            good.select("kind", "value", F.lit(rank).alias("stage"), no_position.alias("pos"))
+            good.select(key.alias("id"), F.lit(rank).alias("stage"), no_position.alias("pos"))
         )
-        dst = id_key(F.col("kind"), F.col("value"))
-        all_edges = all_edges.unionByName(good.select(F.col("id").alias("src"), dst.alias("dst")))
-
-    vertices = asserted.groupBy("kind", "value").agg(
-        F.min("stage").alias("stage"), F.min("pos").alias("pos")
-    )
-    vertices = vertices.withColumn("id", id_key(F.col("kind"), F.col("value")))
-    members = scratch.keep(
-        components(vertices, all_edges, scratch, rows_per_task=rows_per_task), "members"
+        all_edges = all_edges.unionByName(good.select(F.col("id").alias("src"), key.alias("dst")))
+
+    # Kinds and values are taken from the keys at the end, so that nothing carries them twice.
+    vertices = asserted.groupBy("id").agg(F.min("stage").alias("stage"), F.min("pos").alias("pos"))
+    found = components(vertices, all_edges, scratch, rows_per_task=rows_per_task)
+    members = found.select(
+        key_kind(F.col("id")).alias("kind"),
+        key_value(F.col("id")).alias("value"),
+        "stage",
+        "pos",
+        "id",
+        "component",
     )
+    members = scratch.keep(members, "members")
 
     kept = [f"links-{rank}" for rank in range(1, len(crosswalks) + 1)]
     scratch.drop_since(before, keep=("members", *kept))
@@ -298,10 +303,16 @@ def losing_values(members: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Dat
         .where(F.col("n") > 1)
         .select("group", F.col("w.value").alias("kept"))
     )
-    facts = members.select(group.alias("group"), "component", "kind", "value")
+    # The group names both kind and component; a kind has no space.
+    facts = members.select(group.alias("group"), "value")
     hot = hot_keys(facts, "group", total=members.count(), rows_per_task=rows_per_task)
     joined = lookup(facts, winners, "group", how="inner", hot=hot, null_keys=False)
-    return joined.where(F.col("value") != F.col("kept")).drop("group")
+    return joined.where(F.col("value") != F.col("kept")).select(
+        F.expr("substring(group, locate(' ', group) + 1)").alias("component"),
+        F.substring_index("group", " ", 1).alias("kind"),
+        "value",
+        "kept",
+    )
 
 
 def in_input_order(records: DataFrame) -> DataFrame:

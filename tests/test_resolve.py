@@ -128,3 +128,22 @@ def test_a_prepared_crosswalk_is_read_as_it_lies(spark, tmp_path, monkeypatch):
     assert got == want and len(got) == 700
     table = plan[: plan.index("prepared_crosswalk")]
     assert "Bucketed: true" in plan and "Exchange" not in table[table.index("SortMergeJoin") :]
+
+
+def test_keys_are_numbered_without_their_parts_and_conflicts_give_them_back(spark, scratch):
+    from citeloom.operators.resolve import Crosswalk, resolve
+
+    inputs = spark.createDataFrame([(1, "doi", "10.1/a:b c")], "pos long, kind string, value string")
+    table = spark.createDataFrame(
+        [("doi", "10.1/a:b c", "7", None, None), ("doi", "10.1/a:b c", "8", None, "10.1/x y:z")],
+        "kind string, value string, pmid string, pmcid string, doi string",
+    )
+    columns, keep = {}, scratch.keep
+    scratch.keep = lambda df, name, **options: columns.setdefault(name, df.columns) and keep(df, name, **options)
+    found = resolve(inputs, [Crosswalk("graph", table)], scratch)
+    assert columns["ordered-number"] == ["id", "stage", "pos"]
+    rows = {(r["component"], r["kind"], r["value"], r["kept"]) for r in found.conflicts.collect()}
+    assert rows == {
+        ("doi:10.1/a:b c", "pmid", "7", "8"),
+        ("doi:10.1/a:b c", "doi", "10.1/a:b c", "10.1/x y:z"),
+    }
