@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from citeloom.llm.pieces import Memo
 from citeloom.llm.session import addressed, importable, in_worker
 from citeloom.operators.components import components
+from citeloom.operators.lookup import hot_keys, lookup
 from citeloom.scratch import Scratch
 
 SHINGLE = 5
@@ -397,14 +398,12 @@ def links(vectors: DataFrame, scratch: Scratch, similar: float) -> DataFrame:
     led = large.where(F.col("key") != F.col("leader")).select(*_pair(F.col("key"), F.col("leader")))
     found = scratch.keep(_verified(near.unionByName(led).distinct(), vectors, similar), "links")
 
-    labelled = scratch.keep(
-        components(
-            large.select(F.col("key").alias("id")).distinct(),
-            found.select(F.col("a").alias("src"), F.col("b").alias("dst")),
-            scratch,
-        ),
-        "labels",
-    )
+    keys = large.select(F.col("key").alias("id")).distinct()
+    between, n_links = found.select(F.col("a").alias("src"), F.col("b").alias("dst")), found.count()
+    for end in ("src", "dst"):
+        hot = hot_keys(between, end, total=n_links)
+        between = lookup(between, keys.withColumnRenamed("id", end), end, how="left_semi", hot=hot, null_keys=False)
+    labelled = scratch.keep(components(keys, between, scratch), "labels")
     leading = labelled.select(F.col("id").alias("leader"), F.col("component").alias("led"))
     placed = large.join(labelled.withColumnRenamed("id", "key"), "key").join(leading, "leader").select(
         "band", "hash", "key", "n", "component", (F.col("component") != F.col("led")).alias("is_left")

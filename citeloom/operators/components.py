@@ -8,9 +8,11 @@ first. An order serves two rounds: the first moves a hub to its first leaf, the
 there. Going back through the rounds gives every vertex its component, which is then named by its
 smallest label.
 
-Keys are numbered once, in their order, so the loop runs on pairs of integers: its aggregates keep
-fixed-width buffers in hash tables, its shuffles carry sixteen bytes an edge, and the smallest
-number of a component is that of its smallest key. Keys are joined back once.
+The loop runs on pairs of integers: its aggregates keep fixed-width buffers in hash tables and its
+shuffles carry sixteen bytes an edge. A key's integer is its hash, so edges need no join to get
+theirs. When keys are joined back, once, their hashes are checked to differ; should two ever be alike,
+all is done again with keys numbered in their order, as where edges have ends that are no vertices.
+The smallest key of a component names it.
 """
 
 from __future__ import annotations
@@ -19,8 +21,9 @@ import random
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
-from citeloom.operators.lookup import BROADCAST_KEYS, ROWS_PER_TASK, hot_bound, hot_keys, lookup
+from citeloom.operators.lookup import ROWS_PER_TASK, hot_bound, hot_keys, lookup
 from citeloom.operators.ordering import dense_index
 from citeloom.scratch import Scratch
 
@@ -71,6 +74,15 @@ def parents(
     shared identifier, so a hub costs its number of edges and no more.
     """
     scratch = scratch or Scratch(edges.sparkSession, "components")
+    found = _grouped(edges, scratch, rows_per_task)
+    lowest = found.groupBy("component").agg(F.min("id").alias("lowest"))
+    hot = hot_keys(found, "component", total=found.count(), rows_per_task=rows_per_task)
+    named = lookup(found, lowest, "component", how="inner", hot=hot, null_keys=False)
+    return named.where("id <> lowest").select("id", F.col("lowest").alias("component"))
+
+
+def _grouped(edges: DataFrame, scratch: Scratch, rows_per_task: int) -> DataFrame:
+    """``(id, component)`` for every vertex with an edge to another, named by some vertex of it."""
     graph = edges.select(F.col("src").cast("bigint"), F.col("dst").cast("bigint")).where("src <> dst")
 
     step, sizes = 0, []
@@ -108,7 +120,7 @@ def parents(
         step += 1
 
     scratch.drop(f"edges-{step}")
-    return _smallest(scratch, moves, sizes, rows_per_task)
+    return _gathered(scratch, moves, sizes, rows_per_task)
 
 
 def _hot_vertices(moves: DataFrame, most: int, ends: int, rows_per_task: int) -> list[tuple[int, int]]:
@@ -120,7 +132,7 @@ def _hot_vertices(moves: DataFrame, most: int, ends: int, rows_per_task: int) ->
     return [(r["id"], -(-r["n"] // bound)) for r in rows]
 
 
-def _smallest(
+def _gathered(
     scratch: Scratch, last: DataFrame, sizes: list[int], rows_per_task: int
 ) -> DataFrame:
     """Back through the rounds: each vertex goes where the one that it moved to went."""
@@ -134,10 +146,7 @@ def _smallest(
             joined.select("id", F.coalesce("further", "component").alias("component")), f"found-{step}"
         )
         scratch.drop(f"found-{step + 1}", f"moves-{step}")
-    lowest = found.groupBy("component").agg(F.min("id").alias("lowest"))
-    hot = hot_keys(found, "component", total=max(sizes, default=0), rows_per_task=rows_per_task)
-    named = lookup(found, lowest, "component", how="inner", hot=hot, null_keys=False)
-    return named.where("id <> lowest").select("id", F.col("lowest").alias("component"))
+    return found
 
 
 def numbered_edges(
@@ -153,7 +162,7 @@ def numbered_edges(
     """
     found = edges
     for end in ("src", "dst"):
-        hot = hot_keys(found, end, total=total, rows_per_task=rows_per_task)
+        hot = hot_keys(edges, end, total=total, rows_per_task=rows_per_task)
         numbers = dictionary.select(F.col("id").alias(end), F.col("number").alias(f"{end}_number"))
         found = lookup(found, numbers, end, how="inner", hot=hot, null_keys=False).drop(end)
     kept = found.select(F.col("src_number").alias("src"), F.col("dst_number").alias("dst"))
@@ -170,21 +179,36 @@ def components(
     """All columns of ``vertices`` (unique string column ``id``) plus ``component``.
 
     The component is the smallest id it holds; a vertex without edges is its own component. Edges
-    run between vertices.
+    run between vertices; those that do not are left out, at the price of a second run.
     """
     scratch = scratch or Scratch(vertices.sparkSession, "components")
-    numbered = dense_index(vertices, ["id"], "number", scratch)
-    total = edges.count()
-    joined = numbered_edges(edges, numbered, total, scratch, rows_per_task)
-    found = scratch.keep(parents(joined, scratch, rows_per_task=rows_per_task), "parents")
-    names = numbered.select(F.col("number").alias("component"), F.col("id").alias("name"))
-    roots = found.select("component").distinct()
-    # Each vertex with a parent has an edge, so no component has more than two per edge.
-    if roots.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
-        few = names.join(F.broadcast(roots), "component", "left_semi")
-        named = found.join(F.broadcast(few), "component")
-    else:
-        hot = hot_keys(found, "component", total=2 * total, rows_per_task=rows_per_task)
-        named = lookup(found, names, "component", how="inner", hot=hot, null_keys=False)
-    labelled = numbered.join(named.select(F.col("id").alias("number"), "name"), "number", "left")
-    return labelled.select(*vertices.columns, F.coalesce("name", "id").alias("component"))
+    ends = edges.where("src <> dst").select(_label(F.col("src")).alias("src"), _label(F.col("dst")).alias("dst"))
+    # In order, strings with one beginning lie together and take less room.
+    ordered = scratch.keep(vertices.sortWithinPartitions("id"), "ordered-number")
+    labelled = ordered.withColumn("number", _label(F.col("id")))
+    placed = _placed(labelled, scratch.keep(ends, "pairs"), scratch, rows_per_task)
+    if not placed.where("n > 1 OR known IS NULL").isEmpty():
+        numbered = dense_index(vertices, ["id"], "number", scratch)
+        pairs = numbered_edges(edges, numbered, edges.count(), scratch, rows_per_task)
+        placed = _placed(numbered, pairs, scratch, rows_per_task)
+    linked = placed.where(F.col("component").isNotNull())
+    names = linked.groupBy("component").agg(F.min("id").alias("name"))
+    hot = hot_keys(linked, "component", total=linked.count(), rows_per_task=rows_per_task)
+    named = lookup(linked, names, "component", how="inner", hot=hot, null_keys=False)
+    alone = placed.where(F.col("component").isNull()).withColumn("name", F.col("id"))
+    both = named.select(*vertices.columns, "name").unionAll(alone.select(*vertices.columns, "name"))
+    return both.withColumnRenamed("name", "component")
+
+
+def _label(key: Column) -> Column:
+    return F.xxhash64(key)
+
+
+def _placed(numbered: DataFrame, pairs: DataFrame, scratch: Scratch, rows_per_task: int) -> DataFrame:
+    """Vertices with the component of their number (null without edges) and ``n``, the vertices of
+    that number, counted on the order that the join leaves. A number that only edges have gives a
+    row with ``known`` null."""
+    found = _grouped(pairs, scratch, rows_per_task).withColumnRenamed("id", "number")
+    joined = numbered.withColumn("known", F.lit(True)).join(found, "number", "full")
+    alike = Window.partitionBy("number")
+    return scratch.keep(joined.withColumn("n", F.count(F.lit(1)).over(alike)).drop("number"), "placed-keys")

@@ -1,4 +1,5 @@
 import random
+import sys
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -104,3 +105,25 @@ def test_rounds_on_a_path_shrink(spark, scratch):
     assert found == {i: 0 for i in range(1, 3_000)}
     assert sum(n for name, n in written.items() if name.startswith("edges-")) < 2 * 3_000
     assert sum(written.values()) < 8 * 3_000
+
+
+def test_keys_whose_hashes_are_alike_stay_apart(spark, monkeypatch):
+    module = sys.modules["citeloom.operators.components"]
+    monkeypatch.setattr(module, "_label", lambda key: F.pmod(F.xxhash64(key), F.lit(3)))
+    pairs = [("a", "b"), ("c", "d"), ("d", "e"), ("x", "y"), ("p", "q"), ("q", "q")]
+    assert run(spark, pairs, rows_per_task=2) == union_find(pairs)
+
+
+def test_edges_get_their_numbers_without_a_dictionary(spark, scratch, monkeypatch):
+    module = sys.modules["citeloom.operators.components"]
+    monkeypatch.setattr(module, "numbered_edges", lambda *a: pytest.fail("edges were joined to the keys"))
+    edges = spark.createDataFrame([(f"a{i}", f"b{i % 7}") for i in range(60)], "src string, dst string")
+    vertices = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    assert components(vertices, edges, scratch).count() == 67
+
+
+def test_edges_to_no_vertex_are_left_out(spark):
+    vertices = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "id string")
+    edges = spark.createDataFrame([("a", "x"), ("x", "b"), ("c", "d"), (None, "a"), (None, "b")], "src string, dst string")
+    got = {r["id"]: r["component"] for r in components(vertices, edges).collect()}
+    assert got == {"a": "a", "b": "b", "c": "c", "d": "c"}
