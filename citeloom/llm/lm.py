@@ -8,7 +8,8 @@ that part most likely, and then all training documents are counted.
 
 Counts are of all training documents. Most bigrams are rare, so rows of single counts would be
 many times the text: tasks pack the counts of a block of documents by ranges of the bigrams'
-hashes, ranges add them up, and each block gets back the totals of the bigrams it holds. A bigram
+hashes, ranges add them up, and each block gets back the totals of the bigrams it holds, under as
+many bytes of their hashes as it needs to tell them apart. A bigram
 is known by its range and 40 more bits of its hash; ranges grow in number with the data, so the
 chance that two share a count stays about one in a million. Where a document lies (file and row)
 makes its block, so the text is read where it is each time and never shuffled.
@@ -105,19 +106,28 @@ def _places(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (hashes >> np.uint64(64 - bits)) << np.uint64(LOW_BITS) | low
 
 
-def _low_bytes(places: np.ndarray) -> bytes:
-    return places.view(np.uint8).reshape(-1, 8)[:, : LOW_BITS // 8].tobytes()
+def _low_bytes(places: np.ndarray, width: int = LOW_BITS // 8) -> bytes:
+    return places.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
-def _from_low_bytes(parts: list[np.ndarray]) -> np.ndarray:
+def _from_low_bytes(parts: list[np.ndarray], width: int = LOW_BITS // 8) -> np.ndarray:
     wide = np.zeros((sum(map(len, parts)), 8), np.uint8)
     if parts:
-        np.concatenate(parts, out=wide[:, : LOW_BITS // 8])
+        np.concatenate(parts, out=wide[:, :width])
     return wide.view(np.uint64).ravel()
 
 
-def _rows_of(column: pa.ChunkedArray) -> list[np.ndarray]:
-    return [np.frombuffer(p.as_buffer(), np.uint8).reshape(-1, LOW_BITS // 8) for p in column]
+def _rows_of(column: pa.ChunkedArray, width: int = LOW_BITS // 8) -> list[np.ndarray]:
+    return [np.frombuffer(p.as_buffer(), np.uint8).reshape(-1, width) for p in column]
+
+
+def _width(low: np.ndarray) -> int:
+    """The fewest low bytes, beginning where it becomes likely, that tell all these hashes apart."""
+    for width in range(min(LOW_BITS // 8, 1 + (2 * len(low).bit_length() - 2) // 8), LOW_BITS // 8):
+        short = np.sort(low & np.uint64((1 << 8 * width) - 1))
+        if (short[1:] != short[:-1]).all():
+            return width
+    return LOW_BITS // 8
 
 
 def _pack(counted: np.ndarray, deleted: np.ndarray) -> tuple[bytes, bytes]:
@@ -165,7 +175,7 @@ def placed(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, int]:
 
 
 SENT = "range long, block long, hashes binary, codes binary, more binary"
-TOTALS = "range long, block long, hashes binary, codes binary, more binary, sums array<long>"
+TOTALS = "range long, block long, width int, hashes binary, codes binary, more binary, sums array<long>"
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
@@ -234,7 +244,11 @@ def _send(documents: DataFrame, bits: int) -> DataFrame:
 
 def _add_up(sent: DataFrame) -> DataFrame:
     """Totals for each block's entries, and for unigrams the sums of the range: tokens and
-    distinct ones, in the counted part and in all training documents."""
+    distinct ones, in the counted part and in all training documents.
+
+    Counts are added by whole hashes. A block looks up nothing but its own entries, so it gets back
+    as many low bytes of their hashes as tell those of one range apart.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         number = table.column("range")[0].as_py()
@@ -243,9 +257,12 @@ def _add_up(sent: DataFrame) -> DataFrame:
         counted, deleted = _unpack(table.column("codes"), table.column("more"))
         counted = np.bincount(where, counted, len(values)).astype(np.uint32)
         deleted = np.bincount(where, deleted, len(values)).astype(np.uint32)
-        blocks = table.column("block").to_pylist()
+        held: dict[int, list[np.ndarray]] = {}
         ends = np.cumsum([len(p) for p in parts])
-        own = [where[e - len(p) : e] for e, p in zip(ends, parts)]
+        for block, end, p in zip(table.column("block").to_pylist(), ends, parts):
+            held.setdefault(block, []).append(where[end - len(p) : end])
+        own = [rows[0] if len(rows) == 1 else np.unique(np.concatenate(rows)) for rows in held.values()]
+        widths = [_width(values[i]) for i in own]
         sums = None
         if number % 2 == 0:
             both = counted.astype(np.int64) + deleted
@@ -253,12 +270,13 @@ def _add_up(sent: DataFrame) -> DataFrame:
         packs = [_pack(counted[i], deleted[i]) for i in own]
         return pa.table(
             {
-                "range": pa.array([number] * len(blocks), pa.int64()),
-                "block": pa.array(blocks, pa.int64()),
-                "hashes": table.column("hashes").combine_chunks(),
+                "range": pa.array([number] * len(held), pa.int64()),
+                "block": pa.array(list(held), pa.int64()),
+                "width": pa.array(widths, pa.int32()),
+                "hashes": pa.array([_low_bytes(values[i], w) for i, w in zip(own, widths)], pa.binary()),
                 "codes": pa.array([codes for codes, _ in packs], pa.binary()),
                 "more": pa.array([more for _, more in packs], pa.binary()),
-                "sums": pa.array([sums] + [None] * (len(blocks) - 1), pa.list_(pa.int64())),
+                "sums": pa.array([sums] + [None] * (len(held) - 1), pa.list_(pa.int64())),
             }
         )
 
@@ -270,22 +288,30 @@ class Totals:
 
     def __init__(self, store: arrow_fs.FileSystem, path: str, bits: int):
         self.bits = bits
-        table = pq.read_table(path, filesystem=store, partitioning=None, columns=["range", "hashes", "codes", "more"])
-        ranges = table.column("range").to_numpy()
+        columns = ["range", "width", "hashes", "codes", "more"]
+        table = pq.read_table(path, filesystem=store, partitioning=None, columns=columns)
+        ranges, widths = table.column("range").to_numpy(), table.column("width").to_numpy()
         self.kinds = []
         for kind in (0, 1):
-            own = table.filter(pa.array(ranges % 2 == kind))
-            parts = _rows_of(own.column("hashes"))
-            of = np.repeat(own.column("range").to_numpy().astype(np.uint64) // np.uint64(2), [len(p) for p in parts])
-            places = _from_low_bytes(parts) | of << np.uint64(LOW_BITS)
+            masks = np.zeros(1 << bits, np.uint64)
+            found = [(np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint32))]
+            for width in range(1, LOW_BITS // 8 + 1):
+                chosen = (ranges % 2 == kind) & (widths == width)
+                own, of = table.filter(pa.array(chosen)), ranges[chosen].astype(np.uint64) // np.uint64(2)
+                masks[of] = (1 << 8 * width) - 1
+                parts = _rows_of(own.column("hashes"), width)
+                of = np.repeat(of, [len(p) for p in parts])
+                places = _from_low_bytes(parts, width) | of << np.uint64(LOW_BITS)
+                found.append((places, *_unpack(own.column("codes"), own.column("more"))))
+            places, counted, deleted = (np.concatenate(c) for c in zip(*found))
             order = np.argsort(places)
-            counted, deleted = _unpack(own.column("codes"), own.column("more"))
-            self.kinds.append((places[order], counted[order], deleted[order]))
+            self.kinds.append((masks, places[order], counted[order], deleted[order]))
 
     def find(self, kind: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Counts in the counted part and in the deleted part."""
-        places, counted, deleted = self.kinds[kind]
-        at = np.searchsorted(places, _places(hashes, self.bits))
+        masks, places, counted, deleted = self.kinds[kind]
+        own = hashes >> np.uint64(64 - self.bits) if self.bits else np.zeros(len(hashes), np.uint64)
+        at = np.searchsorted(places, own << np.uint64(LOW_BITS) | hashes & masks[own])
         return counted[at].astype(np.float64), deleted[at].astype(np.float64)
 
 

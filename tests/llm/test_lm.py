@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from citeloom.llm import lm
@@ -130,3 +131,16 @@ def test_hashes_alike_in_their_low_halves_stay_apart():
     kept = lm._from_low_bytes([np.frombuffer(lm._low_bytes(places), np.uint8).reshape(-1, lm.LOW_BITS // 8)])
     assert len(np.unique(kept)) == 256
     assert lm.STEPS_PER_OCTAVE >= 16
+
+
+def test_blocks_get_back_no_more_bytes_than_tell_their_hashes_apart(spark):
+    low = np.array([5, 5 + (1 << 8), 5 + (1 << 16), 5 + (1 << 39)], np.uint64)
+    assert [lm._width(low[:n]) for n in (1, 2, 3, 4)] == [1, 2, 3, 5]
+    codes, more = lm._pack(np.array([1, 2], np.uint32), np.array([0, 20], np.uint32))
+    packs = [(1, [0, 1]), (1, [0, 2]), (2, [0, 3])]
+    sent = [(7, block, bytearray(lm._low_bytes(low[i])), bytearray(codes), bytearray(more)) for block, i in packs]
+    rows = lm._add_up(spark.createDataFrame(sent, lm.SENT)).collect()
+    found = {r["block"]: r for r in rows}
+    assert len(rows) == 2 and {b: (r["width"], len(r["hashes"])) for b, r in found.items()} == {1: (3, 9), 2: (5, 10)}
+    counted, deleted = lm._unpack(*(pa.chunked_array([[bytes(found[1][c])]], pa.binary()) for c in ("codes", "more")))
+    assert counted.tolist() == [3, 2, 2] and deleted.tolist() == [0, 20, 20]
