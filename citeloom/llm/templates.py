@@ -23,11 +23,13 @@ documents each give their rows; empty tables give empty tables; other columns ar
 from __future__ import annotations
 
 import re
-import zlib
+from array import array
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,7 +54,7 @@ NUMBER, NAME, UNIT = 1, 2, 3
 _WITH_UNIT, _WITH_DIGITS = 2, 3
 # Low bits of a template word's hash: its type, and facts about its writing.
 _KIND, _CAPITAL, _STOP, _UNIT_WORD = 3, 4, 8, 16
-_FLAGS = np.uint64(31)
+_FLAGS, _SHIFT = np.uint64(31), np.uint64(5)
 
 # Units of measure and money, written after (or before) a number.
 UNITS = frozenset(
@@ -61,14 +63,19 @@ UNITS = frozenset(
     "minutes hour hours day days week weeks month months year years percent % degree degrees "
     "dollar dollars cent cents euro euros $ € £ mph kmh km/h watt watts volt volts".split()
 )
+_MARKS = frozenset(",.;:!?")
 _DIGITS = re.compile(r"\d+(?:[.,:/]\d+)*")
 _EDGES = re.compile(r"^[^\w$€£%]+|[^\w$€£%]+$")
 _MULTIPLIER = 0x9E3779B97F4A7C15  # fixed value: odd 64-bit constant for mixing
 
 
+@cache
+def _power(exponent: int) -> np.uint64:
+    return np.uint64(pow(_MULTIPLIER, exponent, 1 << 64))
+
+
 def _hash(text: str) -> int:
-    data = text.encode()
-    return (zlib.crc32(data) << 32 | zlib.crc32(data[::-1] + b"#")) & ~31
+    return xxhash.xxh64_intdigest(text.encode()) & ~31
 
 
 def _core(word: str) -> str:
@@ -77,10 +84,14 @@ def _core(word: str) -> str:
 
 def _word(word: str) -> int:
     """Hash and flags of one written word, apart from what stands around it."""
-    if word.isalpha():  # nothing to strip and no digits
-        lower = word.lower()
-        flags = _UNIT_WORD if lower in UNITS else 0
-        if lower != word and word[:1].isupper() and word[1:].islower():
+    marked = word[-1] in _MARKS
+    letters = word[:-1] if marked else word
+    if letters.isalpha():  # nothing else to strip and no digits
+        lower = letters.lower()
+        flags = _STOP if marked and word[-1] in ".!?:" else 0
+        if lower in UNITS:
+            flags |= _UNIT_WORD
+        if letters[0].isupper() and letters[1:].islower():
             flags |= _CAPITAL
         return _hash(lower) | flags
     core = _core(word)
@@ -124,7 +135,7 @@ class Templates:
 
     def written(self, words: list[str]) -> np.ndarray:
         """Hash of every word as it is, and its flags in the low bits."""
-        return np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
+        return np.array(array("Q", map(self.words.__getitem__, words)), np.uint64)
 
     def canonical(self, words: list[str], raw: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Hash and type (0 for a plain word) of every template word."""
@@ -137,7 +148,7 @@ class Templates:
             return hashes, kinds
         hashes[own == NUMBER], hashes[own == _WITH_UNIT] = self.number, self.amount
         kinds[(own == NUMBER) | (own == _WITH_UNIT)] = NUMBER
-        for i in np.flatnonzero(own == _WITH_DIGITS).tolist():
+        for i in (own == _WITH_DIGITS).nonzero()[0].tolist():
             hashes[i] = self.shapes[words[i]]
         # A capital inside a sentence makes a name; at its beginning it may be any word.
         inside = np.empty(len(words), dtype=bool)
@@ -163,20 +174,27 @@ class Templates:
             | (before == NUMBER) & (after == UNIT)
             | (before == UNIT) & (after == NUMBER)
         )
-        starts = np.flatnonzero(~joined)
-        edges = np.append(starts, len(kinds))
+        starts = (~joined).nonzero()[0]
+        edges = np.concatenate((starts, [len(kinds)]))
         hashes, kinds = hashes[starts], kinds[starts]
-        amounts = (np.diff(edges) > 1) & (kinds != NAME)
+        amounts = (edges[1:] - starts > 1) & (kinds != NAME)
         hashes[amounts], kinds[amounts] = self.amount, NUMBER
         return hashes, kinds, edges
 
-    def windows(self, parts: list[np.ndarray]) -> np.ndarray:
-        """Hash of windows given by their first words' hashes, second words' hashes and so on."""
-        total = np.zeros(len(parts[0]), np.uint64)
-        factor = np.uint64(_MULTIPLIER)
-        for part in parts:
-            total = total * factor + (part >> np.uint64(5))
-        total ^= total >> np.uint64(29)
+    def sums(self, words: np.ndarray, size: int) -> np.ndarray:
+        """Sum over the words of every window, each times a power of the multiplier, the last as it is.
+
+        Windows are put together of shorter ones, so that eight words cost three steps."""
+        total, done = words, 1
+        for bit in bin(size)[3:]:
+            total, done = total[: len(total) - done] * _power(done) + total[done:], 2 * done
+            if bit == "1":
+                total, done = total[:-1] * _power(1) + words[done:], done + 1
+        return total
+
+    def mixed(self, sums: np.ndarray) -> np.ndarray:
+        """Hashes of windows from their sums."""
+        total = sums ^ sums >> np.uint64(29)
         total *= np.uint64(0xBF58476D1CE4E5B9)  # fixed value: a mixing constant
         total ^= total >> np.uint64(32)
         return total
@@ -189,8 +207,8 @@ class Templates:
         n = len(words) - own + 1
         if n > 0:
             apart = words_alone ^ self.unit  # not to be taken for templates
-            window = self.windows([apart[i : i + n] for i in range(own)])
-            for i in np.flatnonzero(wanted(window)).tolist():
+            window = self.mixed(self.sums(apart >> _SHIFT, own))
+            for i in wanted(window).nonzero()[0].tolist():
                 if not _counting(words[i : i + own]):
                     yield int(window[i].view(np.int64)), own, i, i + own, []
         hashes, kinds, edges = self.collapsed(*self.canonical(words, raw))
@@ -198,10 +216,11 @@ class Templates:
         n = len(hashes) - own + 1
         if own < SHORTEST or n <= 0:
             return
-        plain = np.concatenate(([0], np.cumsum(kinds == 0)))
+        plain = np.zeros(len(kinds) + 1, np.int64)
+        np.cumsum(kinds == 0, out=plain[1:])
         least = min(PLAIN_WORDS, own)
         starts = edges[:-1]
-        many = np.diff(edges) > 1
+        many = edges[1:] - starts > 1
 
         def row(window, i, at, till, slots):
             inner = [(kinds[j], edges[j], edges[j + 1]) for j in range(i + 1, till) if kinds[j]]
@@ -210,26 +229,30 @@ class Templates:
                 for kind, a, b in slots + inner
             ]
 
-        window = self.windows([hashes[i : i + n] for i in range(own)])
-        for i in np.flatnonzero((plain[own:] - plain[:-own] >= least) & wanted(window)).tolist():
+        short = hashes >> _SHIFT
+        rest = self.sums(short, own - 1)
+        total, first = rest[:-1] * _power(1) + short[own - 1 :], _power(own - 1)
+        window = self.mixed(total)
+        for i in ((plain[own:] - plain[:-own] >= least) & wanted(window)).nonzero()[0].tolist():
             yield row(window[i], i, starts[i], i + own, [(kinds[i], starts[i], edges[i + 1])] if kinds[i] else [])
             if kinds[i] == NAME and many[i]:
                 # The run's first word may only be a capital one in front of the name.
                 yield row(window[i], i, starts[i] + 1, i + own, [(NAME, starts[i] + 1, edges[i + 1])])
         # The other reading of a capital word that begins a window: a name as a word, a word as a name.
         capital = (raw[starts] & np.uint64(_CAPITAL)) != 0
-        at = np.flatnonzero(capital[:n] & ~many[:n] & ((kinds[:n] == NAME) | (kinds[:n] == 0)))
+        at = (capital[:n] & ~many[:n] & ((kinds[:n] == NAME) | (kinds[:n] == 0))).nonzero()[0]
         named = kinds[at] == NAME
-        window = self.windows([np.where(named, words_alone[starts[at]], self.name), *[hashes[at + i] for i in range(1, own)]])
+        other = np.where(named, words_alone[starts[at]], self.name) >> _SHIFT
+        window = self.mixed(total[at] + (other - short[at]) * first)
         enough = plain[at + own] - plain[at] + np.where(named, 1, -1) >= least
-        for k in np.flatnonzero(enough & wanted(window)).tolist():
+        for k in (enough & wanted(window)).nonzero()[0].tolist():
             i = int(at[k])
             yield row(window[k], i, starts[i], i + own, [] if named[k] else [(NAME, starts[i], edges[i + 1])])
         # A capital word, and the rest of the run as a name.
-        at = np.flatnonzero((kinds[: n + 1] == NAME) & many[: n + 1])
-        window = self.windows([words_alone[starts[at]], *[hashes[at + i - 1] for i in range(1, own)]])
+        at = ((kinds[: n + 1] == NAME) & many[: n + 1]).nonzero()[0]
+        window = self.mixed((words_alone[starts[at]] >> _SHIFT) * first + rest[at])
         enough = plain[at + own - 1] - plain[at] + 1 >= least
-        for k in np.flatnonzero(enough & wanted(window)).tolist():
+        for k in (enough & wanted(window)).nonzero()[0].tolist():
             i = int(at[k])
             yield row(window[k], i, starts[i], i + own - 1, [(NAME, starts[i] + 1, edges[i + 1])])
 
@@ -251,8 +274,8 @@ def _rows(frame: DataFrame, key: str, text: str, sizes: list[int] | None, bitmap
         def wanted(found: np.ndarray) -> np.ndarray:
             if bits is None:
                 return np.ones(len(found), bool)
-            place = found & np.uint64((1 << BITMAP_BITS) - 1)
-            return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1) == 1
+            place = found.view(np.int64) & ((1 << BITMAP_BITS) - 1)
+            return (bits.take(place >> 3) >> (place & 7).astype(np.uint8) & 1) == 1
 
         for batch in batches:
             rows = []

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from citeloom.llm import templates
@@ -139,3 +140,27 @@ def test_many_contaminated_texts_are_joined_by_key(spark, scratch, monkeypatch):
     want = sorted([i for i in range(60) if i % 6 > 2] + [99, 100])
     assert sorted(r["doc_id"] for r in few.collect()) == sorted(r["doc_id"] for r in many.collect()) == want
     assert few.columns == many.columns == docs.columns
+
+
+def test_eight_words_cost_three_steps_and_hash_as_one_sum():
+    class Counting(np.ndarray):
+        def __mul__(self, other):
+            steps.append(1)
+            return super().__mul__(other)
+
+    steps, words = [], np.arange(3, 40, dtype=np.uint64) * np.uint64(0x1234567890ABCDF)
+    maker, factor = templates.Templates(), templates._MULTIPLIER
+    for size in (1, 4, 5, 7, 8):
+        del steps[:]
+        got = maker.sums(words.view(Counting), size)
+        want = [sum(int(w) * factor ** (size - 1 - i) for i, w in enumerate(words[a : a + size])) % 2**64 for a in range(len(words) - size + 1)]
+        assert got.tolist() == want
+        assert len(steps) == {1: 0, 4: 2, 5: 3, 7: 4, 8: 3}[size]
+
+
+def test_words_with_a_mark_are_read_as_the_words_they_hold():
+    alone, flags = templates._word("Miles"), {",": 0, ";": 0, ".": templates._STOP, "!": templates._STOP, "?": templates._STOP, ":": templates._STOP}
+    assert alone & 31 == templates._CAPITAL | templates._UNIT_WORD
+    for mark, more in flags.items():
+        assert templates._word("Miles" + mark) == alone | more
+    assert templates._word("...") & 31 == templates._STOP and templates._word("7.") & 31 == templates._STOP | templates.NUMBER
