@@ -56,13 +56,13 @@ class Crc32c:
     """
 
     POLYNOMIAL = 0x82F63B78  # fixed value of the checksum, reflected
-    BLOCK = 512
+    BLOCK, SHORT = 512, 16
 
     def __init__(self) -> None:
         step = np.arange(256, dtype=np.uint32)
         for _ in range(8):
             step = (step >> 1) ^ np.where(step & 1, np.uint32(self.POLYNOMIAL), np.uint32(0))
-        self.step = step
+        self.step, self.steps = step, step.tolist()
         places = np.empty((self.BLOCK, 256), dtype=np.uint32)
         places[-1] = step
         for i in range(self.BLOCK - 2, -1, -1):
@@ -79,8 +79,12 @@ class Crc32c:
         return (crc >> 8) ^ self.step[crc & 0xFF]
 
     def __call__(self, data: bytes) -> int:
-        """Of at least four bytes."""
         n = len(data)
+        if n <= self.SHORT:
+            crc, steps = 0xFFFFFFFF, self.steps
+            for byte in data:
+                crc = steps[(crc ^ byte) & 255] ^ crc >> 8
+            return crc ^ 0xFFFFFFFF
         rows = -(-n // self.BLOCK)
         padded = np.zeros(rows * self.BLOCK, dtype=np.uint8)
         padded[-n:] = np.frombuffer(data, dtype=np.uint8)
@@ -129,6 +133,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(vocabulary.decode())
+        self.tokenize = self.library.model.tokenize
         self.width = width
         vocab = self.library.get_vocab(with_added_tokens=False)
         opens = np.zeros(max(vocab.values()) + 1, dtype=bool)
@@ -146,13 +151,13 @@ class Encoder:
     def _alone(self, text: str) -> bytes:
         return array(self.width, self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _piece(self, piece: str) -> bytes:
+    def _piece(self, word: str) -> bytes:
         """Ids of a space and letters, which the split keeps together."""
-        if piece.isascii():  # such letters stand for themselves
-            shown = self.space + piece[1:]
+        if word.isascii():  # such letters stand for themselves
+            shown = self.space + word
         else:
-            shown = piece.encode().decode("latin-1").translate(self.letters)
-        return array(self.width, [t.id for t in self.library.model.tokenize(shown)]).tobytes()
+            shown = self.space + word.encode().decode("latin-1").translate(self.letters)
+        return array(self.width, [t.id for t in self.tokenize(shown)]).tobytes()
 
     def _learn(self, texts: list[list[list[str]]]) -> None:
         """Encode the spaced words not yet known."""
@@ -160,20 +165,21 @@ class Encoder:
         for lines in texts:
             for words in lines:
                 met.update(words[1:])
-        new = met - known.keys()
+        # Each word is looked up; a set less the keys would go through all that are known.
+        new = [word for word in met if word not in known]
         if len(known) + len(new) > known.half:
             known.turn()
-            new = met
+            new = list(met)
         older, rest = known.old, []
         for word in new:
             if word in older:
                 known[word] = older[word]
             elif word.isalpha():
-                known[word] = self._piece(" " + word)
+                known[word] = self._piece(word)
             elif word[-1] in self.marks and word[:-1].isalpha():
                 stem = known.get(word[:-1])
                 if stem is None:
-                    stem = known[word[:-1]] = self._piece(" " + word[:-1])
+                    stem = known[word[:-1]] = self._piece(word[:-1])
                 known[word] = stem + self.marks[word[-1]]
             else:
                 rest.append(word)

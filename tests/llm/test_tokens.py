@@ -208,3 +208,20 @@ def test_frequent_words_outlive_two_generations():
         assert len(memo) + len(memo.old) <= 8
     assert made.count("often") == 1
     assert memo["x" * 1_000] and "x" * 1_000 not in memo
+
+
+def test_new_words_are_looked_up_and_known_ones_not_gone_through():
+    with open(JSON, "rb") as file:
+        encoder = records.Encoder(file.read(), "H")
+    encoder.words.keys = lambda: pytest.fail("all known words were gone through")
+    texts = ["one two, three été naïve 12x", "two three\nfour one. été, été", "", "three four five"]
+    library = Tokenizer.from_file(JSON)
+    got = [np.frombuffer(ids, np.uint16).tolist() for ids in encoder.encode(texts) + encoder.encode(texts[::-1])]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts + texts[::-1]]
+
+
+def test_checksums_of_few_bytes():
+    crc = records.Crc32c()
+    assert [crc(b""), crc(b"a"), crc(b"123456789")] == [0, 0xC1D04330, 0xE3069283]
+    crc.SHORT = 3
+    assert crc(b"123456789") == 0xE3069283
