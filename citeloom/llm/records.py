@@ -123,9 +123,8 @@ class Encoder:
 
     Words are encoded once each: a lone space or line break between words is a border that no
     token crosses. A word of letters is one piece of the split, and so is the comma or full stop
-    after it; such pieces go straight to the library's model. Other words that are new are encoded
-    together as one text, cut where a token begins with a space. Texts with other white space go
-    through the library as they are.
+    after it; such pieces go straight to the library's model, other words through the library, each when
+    it is first met. Texts with other white space go through the library as they are.
     """
 
     def __init__(self, vocabulary: bytes, width: str):
@@ -135,17 +134,12 @@ class Encoder:
         self.library = Tokenizer.from_str(vocabulary.decode())
         self.tokenize = self.library.model.tokenize
         self.width = width
-        vocab = self.library.get_vocab(with_added_tokens=False)
-        opens = np.zeros(max(vocab.values()) + 1, dtype=bool)
-        space = self.library.pre_tokenizer.pre_tokenize_str(" ")[0][0]
-        opens[[i for token, i in vocab.items() if token.startswith(space)]] = True
-        self.space = space
-        self.opens = opens
+        self.space = self.library.pre_tokenizer.pre_tokenize_str(" ")[0][0]
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.pieces = Pieces("")
         self.letters = {byte: letter for letter, byte in byte_letters().items()}
         self.marks = {mark: self._alone(mark) for mark in MARKS}
-        self.words = Memo(self._alone, kept=WORDS_KEPT)  # a word after a line break with the break
+        self.words = Memo(self._word, kept=WORDS_KEPT)  # a word after a line break with the break
         self.feed = self._alone("\n")
 
     def _alone(self, text: str) -> bytes:
@@ -159,48 +153,21 @@ class Encoder:
             shown = self.space + word.encode().decode("latin-1").translate(self.letters)
         return array(self.width, [t.id for t in self.tokenize(shown)]).tobytes()
 
-    def _learn(self, texts: list[list[list[str]]]) -> None:
-        """Encode the spaced words not yet known."""
-        known, met = self.words, set()
-        for lines in texts:
-            for words in lines:
-                met.update(words[1:])
-        # Each word is looked up; a set less the keys would go through all that are known.
-        new = [word for word in met if word not in known]
-        if len(known) + len(new) > known.half:
-            known.turn()
-            new = list(met)
-        older, rest = known.old, []
-        for word in new:
-            if word in older:
-                known[word] = older[word]
-            elif word.isalpha():
-                known[word] = self._piece(word)
-            elif word[-1] in self.marks and word[:-1].isalpha():
-                stem = known.get(word[:-1])
-                if stem is None:
-                    stem = known[word[:-1]] = self._piece(word[:-1])
-                known[word] = stem + self.marks[word[-1]]
-            else:
-                rest.append(word)
-        if not rest:
-            return
-        joined = " " + " ".join(rest)
-        ids = np.array(
-            self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids,
-            dtype=np.uint16 if self.width == "H" else np.uint32,
-        )
-        data, size = ids.tobytes(), ids.itemsize
-        starts = np.flatnonzero(self.opens[ids]).tolist()
-        for word, start, end in zip(rest, starts, [*starts[1:], len(ids)], strict=True):
-            known[word] = data[start * size : end * size]
+    def _word(self, word: str) -> bytes:
+        """Ids of a word after a space, or of one that has its line break in front."""
+        if word[0] == "\n":
+            return self._alone(word)
+        if word.isalpha():
+            return self._piece(word)
+        if word[-1] in self.marks and word[:-1].isalpha():
+            return self.words[word[:-1]] + self.marks[word[-1]]
+        return self._alone(" " + word)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text in the encoder's width."""
         split = [
             None if any(s in t for s in self.special) else self.pieces.words(t) for t in texts
         ]
-        self._learn([lines for lines in split if lines])
         ids = []
         for text, lines in zip(texts, split):
             if lines is None:
