@@ -18,7 +18,9 @@ empty table gives no records; other columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
+import string
 import struct
 import zlib
 from array import array
@@ -31,7 +33,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm.pieces import Memo, Pieces
+from citeloom.llm.pieces import Memo
 from citeloom.llm.session import file_bytes, folder_address, id_and_text, importable, in_worker
 from citeloom.llm.vocab import byte_letters
 from citeloom.scratch import Scratch
@@ -41,11 +43,17 @@ HEAD = "<Bq"
 NULL_ID, WIDE = 1, 2
 # Bytes read from a record file at a time.
 READ_STEP = 8 << 20
-# Documents encoded at a time, and words remembered by one Python worker.
+# Documents encoded at a time; words and runs of marks remembered by one Python worker.
 ENCODE_STEP = 256
-WORDS_KEPT = 1_000_000
-# Marks that the split keeps apart from letters before them, when nothing follows.
-MARKS = ",."
+WORDS_KEPT, MARKS_KEPT = 1_000_000, 10_000
+# Marks that the split keeps apart from letters before them and in one piece, when nothing follows;
+# an apostrophe may open a piece of its own.
+MARKS = string.punctuation.replace("'", "")
+# What a model's file says besides tokens and merges.
+MODEL_FIELDS = (
+    "dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk",
+    "byte_fallback", "ignore_merges",
+)
 
 
 class Crc32c:
@@ -67,12 +75,11 @@ class Crc32c:
         places[-1] = step
         for i in range(self.BLOCK - 2, -1, -1):
             places[i] = self._zero(places[i + 1])
-        self.places = places
         shifted = [np.arange(256, dtype=np.uint32) << np.uint32(8 * k) for k in range(4)]
         for _ in range(self.BLOCK):
             shifted = [self._zero(s) for s in shifted]
         self.shift = [s.tolist() for s in shifted]
-        self._at = np.arange(self.BLOCK)
+        self.flat, self._at = places.reshape(-1), np.arange(self.BLOCK) * 256
 
     def _zero(self, crc: np.ndarray) -> np.ndarray:
         """The state after one more zero byte."""
@@ -89,7 +96,7 @@ class Crc32c:
         padded = np.zeros(rows * self.BLOCK, dtype=np.uint8)
         padded[-n:] = np.frombuffer(data, dtype=np.uint8)
         padded[-n : len(padded) - n + 4] ^= 0xFF  # the initial state
-        blocks = self.places[self._at, padded.reshape(rows, self.BLOCK)]
+        blocks = self.flat.take(padded.reshape(rows, self.BLOCK) + self._at)
         crc, (s0, s1, s2, s3) = 0, self.shift
         for block in np.bitwise_xor.reduce(blocks, axis=1).tolist():
             crc = block ^ s0[crc & 255] ^ s1[crc >> 8 & 255] ^ s2[crc >> 16 & 255] ^ s3[crc >> 24]
@@ -122,8 +129,8 @@ class Encoder:
     """Whole texts to ids with the tokenizers library.
 
     Words are encoded once each: a lone space or line break between words is a border that no
-    token crosses. A word of letters is one piece of the split, and so is the comma or full stop
-    after it; such pieces go straight to the library's model, other words through the library, each when
+    token crosses. A word of letters is one piece of the split, and so is the run of marks after
+    it; such letters go straight to the library's model, other words through the library, each when
     it is first met. Texts with other white space go through the library as they are.
     """
 
@@ -132,58 +139,67 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(vocabulary.decode())
-        self.tokenize = self.library.model.tokenize
+        self.tokenize = _uncached(vocabulary).tokenize
         self.width = width
         self.space = self.library.pre_tokenizer.pre_tokenize_str(" ")[0][0]
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.pieces = Pieces("")
         self.letters = {byte: letter for letter, byte in byte_letters().items()}
-        self.marks = {mark: self._alone(mark) for mark in MARKS}
+        self.marks = Memo(self._alone, kept=MARKS_KEPT)
         self.words = Memo(self._word, kept=WORDS_KEPT)  # a word after a line break with the break
         self.feed = self._alone("\n")
 
     def _alone(self, text: str) -> bytes:
         return array(self.width, self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _piece(self, word: str) -> bytes:
-        """Ids of a space and letters, which the split keeps together."""
-        if word.isascii():  # such letters stand for themselves
-            shown = self.space + word
-        else:
-            shown = self.space + word.encode().decode("latin-1").translate(self.letters)
-        return array(self.width, [t.id for t in self.tokenize(shown)]).tobytes()
-
     def _word(self, word: str) -> bytes:
         """Ids of a word after a space, or of one that has its line break in front."""
+        before, shown, own = b"", self.space, word
         if word[0] == "\n":
-            return self._alone(word)
-        if word.isalpha():
-            return self._piece(word)
-        if word[-1] in self.marks and word[:-1].isalpha():
-            return self.words[word[:-1]] + self.marks[word[-1]]
-        return self._alone(" " + word)
+            before, shown, own = self.feed, "", word[1:]
+        if not own.isalpha():
+            stem = own.rstrip(MARKS)
+            if not stem.isalpha():
+                return self._alone(word if before else " " + word)
+            return self.words[word.rstrip(MARKS)] + self.marks[own[len(stem) :]]
+        if own.isascii():  # such letters stand for themselves
+            shown += own
+        else:
+            shown += own.encode().decode("latin-1").translate(self.letters)
+        return before + array(self.width, [t.id for t in self.tokenize(shown)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text in the encoder's width."""
-        split = [
-            None if any(s in t for s in self.special) else self.pieces.words(t) for t in texts
-        ]
-        ids = []
-        for text, lines in zip(texts, split):
-            if lines is None:
+        ids, known, skipped = [], self.words.__getitem__, len(self.feed)
+        for text in texts:
+            words = None if any(s in text for s in self.special) else row_of_words(text)
+            if words is None:
                 ids.append(self._alone(text))
-                continue
-            spaced = self.words.__getitem__
-            ids.append(
-                self.feed.join(
-                    [self._first(words[0]) + b"".join(map(spaced, words[1:])) for words in lines]
-                )
-            )
+            else:
+                ids.append(b"".join(map(known, words))[skipped:])
         return ids
 
-    def _first(self, word: str) -> bytes:
-        """A word at the start of a line: kept apart from the same word after a space."""
-        return self.words["\n" + word][len(self.feed) :] if word else b""
+
+def row_of_words(text: str) -> list[str] | None:
+    """Words, the first of a line with a line break in front, also the first of all.
+
+    None unless every border is a lone space or line break.
+    """
+    row = f"\n{text}\n".replace("\n", " \n")
+    if text.replace("\n", "").isprintable():  # among white space, only the space is
+        lone = "  " not in row and "\n " not in row
+    else:
+        lone = text.split() == text.replace("\n", " ").split(" ")
+    return row[1:-2].split(" ") if lone else None
+
+
+def _uncached(vocabulary: bytes):
+    """The library's model without its own memory of words, since each is encoded once here."""
+    from tokenizers import models
+
+    parsed = json.loads(vocabulary)["model"]
+    given = {k: parsed[k] for k in MODEL_FIELDS if parsed.get(k) is not None}
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in parsed["merges"]]
+    return models.BPE(parsed["vocab"], merges, cache_capacity=0, **given)
 
 
 def _encoder(data: Broadcast, width: str) -> Encoder:

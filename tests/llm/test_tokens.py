@@ -13,7 +13,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from citeloom.llm import prefix_counts, records, transducer
-from citeloom.llm.pieces import Memo
+from citeloom.llm.pieces import Memo, Pieces
 from citeloom.llm.vocab import Vocabulary
 from tests.llm.conftest import ODD_ROWS
 
@@ -225,3 +225,31 @@ def test_checksums_of_few_bytes():
     assert [crc(b""), crc(b"a"), crc(b"123456789")] == [0, 0xC1D04330, 0xE3069283]
     crc.SHORT = 3
     assert crc(b"123456789") == 0xE3069283
+
+
+def test_words_with_marks_take_the_short_way(library):
+    with open(JSON, "rb") as file:
+        encoder = records.Encoder(file.read(), "H")
+    texts = ["Que.*** été!! (one) don't\ndon't, one.'s two'\nQue.*** x_y_ 3.5; naïve_", "one.'s\n'one two's"]
+    alone, asked = encoder._alone, []
+    encoder._alone = lambda text: asked.append(text) or alone(text)
+    encoder.marks = Memo(encoder._alone)
+    got = [np.frombuffer(ids, np.uint16).tolist() for ids in encoder.encode(texts)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ".***" in asked and " Que.***" not in asked and "\nQue.***" not in asked
+
+
+def test_rows_of_words():
+    spaces = [" ", "\n", "  ", "\t", "\x1c", "\x85", "\xa0", "\u2003", "\u2028", "\u3000", "\r\n", " \n", "\n "]
+    plain = ["a", "é", "\xad", "\u200b", "\x00", "日"]
+    for x in ["", *spaces]:
+        for middle in spaces:
+            for y in ["", *spaces]:
+                for a, b in zip(plain, plain[1:]):
+                    text = f"{x}{a}{middle}{b}{y}"
+                    row = records.row_of_words(text)
+                    whole = Pieces("").words(text)
+                    assert (row is None) == (whole is None), repr(text)
+                    assert row is None or row == [
+                        "\n" * (not i) + w for line in whole for i, w in enumerate(line)
+                    ]
